@@ -34,14 +34,14 @@ def commit_metrics(spark: SparkSession, store: Store, run_id: str) -> None:
     mine = staged.filter(F.col("run_id") == run_id)
     if mine.isEmpty():
         return
-    permanent = store.table("quality", METRICS)
+    permanent, quoted = store.table("quality", METRICS), run_id.replace("\\", "\\\\").replace("'", "\\'")
+    partition = f"PARTITION (run_id = '{quoted}')"
     if spark.catalog.tableExists(permanent):
-        columns = spark.table(permanent).columns
-        mine.select(*columns).write.option("partitionOverwriteMode", "dynamic").insertInto(permanent, overwrite=True)
+        columns = ", ".join(f"`{c}`" for c in spark.table(permanent).columns if c != "run_id")
+        spark.sql(f"INSERT OVERWRITE TABLE {permanent} {partition} SELECT {columns} FROM {{mine}}", mine=mine)
     else:
         append_table(mine, store, METRICS, "quality")
-    quoted = run_id.replace("\\", "\\\\").replace("'", "\\'")
-    spark.sql(f"ALTER TABLE {store.table('quality', STAGING)} DROP IF EXISTS PARTITION (run_id = '{quoted}')")
+    spark.sql(f"ALTER TABLE {store.table('quality', STAGING)} DROP IF EXISTS {partition}")
 
 
 def log_checks(results: DataFrame, run: Run, table: str, store: Store) -> None:
