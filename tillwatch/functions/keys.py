@@ -8,14 +8,23 @@ from pyspark.sql import functions as F
 from tillwatch.params import Params
 
 
+def _digits(number: Column, width: int) -> Column:
+    return F.lpad(number.cast("string"), width, "0")
+
+
 def receipt_key() -> Column:
-    """'loc_client_register_yyyyMMdd_HHmmss_receipt'; NULL as soon as one part is NULL."""
+    """'loc_client_register_yyyyMMdd_HHmmss_receipt'; NULL as soon as one part is NULL.
+
+    Date and time are put together from their fields: the key is built for every row
+    of every receipt table, and a pattern formatter costs several times as much.
+    """
+    day, at = F.col("receipt_date"), F.col("receipt_ts")
     parts = [
         F.col("loc_sid").cast("string"),
         F.col("client_id").cast("string"),
         F.col("register_id").cast("string"),
-        F.date_format("receipt_date", "yyyyMMdd"),
-        F.date_format("receipt_ts", "HHmmss"),
+        _digits(F.year(day) * 10_000 + F.month(day) * 100 + F.day(day), 8),
+        _digits(F.hour(at) * 10_000 + F.minute(at) * 100 + F.second(at), 6),
         F.col("receipt_id").cast("string"),
     ]
     pieces = [parts[0]]

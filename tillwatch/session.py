@@ -12,6 +12,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Joins on long receipt keys sort slowly; hash a side whose partitions turn out small.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
 }
 

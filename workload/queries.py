@@ -39,15 +39,16 @@ RUNS = {"2025-02": "20250113000000", "2025-03": "20250120000000"}
 class Week:
     """The tables of a run and of its report, each built when first asked for.
 
-    The anomalies and flags are what a run saves and its report reads back: they
-    are written once per session and input.
+    The raw cash-register tables are derived from the given ones and written once per
+    session and input, so that queries scan files as they would in production. The
+    same holds for anomalies and flags, which a run saves and its report reads back.
     """
 
     _known: dict[tuple[str, str], "Week"] = {}
 
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         self.spark, self.sf_dir, self.p = tune(spark), sf_dir, PARAMS
-        self.raw = raw_tables(spark, sf_dir)
+        self.raw = {name: staged(df, name) for name, df in raw_tables(spark, sf_dir).items()}
         self.x = extract_week(self.raw, self.p)
 
     @classmethod
