@@ -43,13 +43,15 @@ def m04(voided: DataFrame) -> DataFrame:
 
 
 def nth_last_subtotal(subtotals: DataFrame, cash: DataFrame, p: Params) -> DataFrame:
-    """The n-th last subtotal of each receipt; receipts with fewer subtotals drop out."""
+    """The n-th last subtotal of each receipt; receipts with fewer subtotals drop out.
+
+    The cash filter keeps or drops whole receipts, so it can follow the ranking, which
+    leaves one row per receipt to join.
+    """
     newest_first = Window.partitionBy("transaction_id").orderBy(F.col("receiptline_nr").desc())
-    return (
-        keep_cash(subtotals, cash, p)
-        .withColumn("nth", F.row_number().over(newest_first))
-        .filter(F.col("nth") == p.nth_last_subtotal)
-        .select(*RECEIPT_COLUMNS, "transaction_id", F.col("receiptline_nr").alias("subtotal_line_nr"))
+    nth = subtotals.withColumn("nth", F.row_number().over(newest_first)).filter(F.col("nth") == p.nth_last_subtotal)
+    return keep_cash(nth, cash, p).select(
+        *RECEIPT_COLUMNS, "transaction_id", F.col("receiptline_nr").alias("subtotal_line_nr")
     )
 
 
@@ -97,14 +99,13 @@ def last_voided_articles(lines: DataFrame, cash: DataFrame, p: Params) -> DataFr
     """Receipts whose last scanned article was voided, with that article."""
     last_first = Window.partitionBy("transaction_id").orderBy(F.col("receiptline_nr").desc())
     scans = lines.filter(F.col("transaction_type_cd").isin(*SALE_LINES, *VOIDED_SCANS))
-    return (
-        keep_cash(scans, cash, p)
-        .select("transaction_id", "receiptline_nr", "item_sid", "ean_barcode", "void_fg")
+    last = (
+        scans.select("transaction_id", "receiptline_nr", "item_sid", "ean_barcode", "void_fg")
         .withColumn("place", F.rank().over(last_first))
         .filter("place = 1")
         .filter("void_fg = 1")
-        .select("transaction_id", "item_sid", "ean_barcode")
     )
+    return keep_cash(last, cash, p).select("transaction_id", "item_sid", "ean_barcode")
 
 
 def m06(lines: DataFrame, headers: DataFrame, cash: DataFrame, p: Params) -> DataFrame:
