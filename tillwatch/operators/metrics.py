@@ -56,17 +56,35 @@ def nth_last_subtotal(subtotals: DataFrame, cash: DataFrame, p: Params) -> DataF
 
 
 def m05(lines: DataFrame, subtotals: DataFrame, cash: DataFrame, p: Params, approx: bool = False) -> DataFrame:
-    """Receipts with nothing but voids after that subtotal, of at least n different articles."""
-    last = nth_last_subtotal(subtotals, cash, p)
-    kind = F.col("transaction_type_cd")
-    voided_ean = F.when(kind.isin(*VOID_ENTRIES), F.col("ean_barcode"))
-    distinct = F.approx_count_distinct(voided_ean) if approx else F.count_distinct(voided_ean)
+    """Receipts with nothing but voids after that subtotal, of at least n different articles.
+
+    "Nothing but voids" means that the last line of any other type is not after the
+    subtotal, and an article counts if its last void entry is. Both are maxima, so lines
+    combine before they are shuffled and a receipt of very many lines costs no more
+    than its articles.
+    """
+    kind, number = F.col("transaction_type_cd"), F.col("receiptline_nr")
+    entries = (
+        lines.filter(kind.isin(*VOID_ENTRIES))
+        .groupBy("transaction_id", "ean_barcode")
+        .agg(F.max(number).alias("last_entry"))
+    )
+    others = (
+        lines.filter(~F.coalesce(kind.isin(*VOID_LINES), F.lit(False)))
+        .groupBy("transaction_id")
+        .agg(F.max(number).alias("last_other"))
+    )
+    articles = F.approx_count_distinct("ean_barcode") if approx else F.count("ean_barcode")
+    after = F.col("subtotal_line_nr")
     return (
-        lines.join(last, "transaction_id")
-        .filter(F.col("receiptline_nr") > F.col("subtotal_line_nr"))
-        .groupBy("transaction_id", *RECEIPT_COLUMNS)
-        .agg(F.min(F.coalesce(kind.isin(*VOID_LINES), F.lit(False))).alias("only_voids"), distinct.alias("articles"))
-        .filter(F.col("only_voids") & (F.col("articles") >= p.min_distinct_voided))
+        entries.join(nth_last_subtotal(subtotals, cash, p), "transaction_id")
+        .filter(F.col("last_entry") > after)
+        .groupBy("transaction_id", *RECEIPT_COLUMNS, "subtotal_line_nr")
+        .agg(articles.alias("articles"))
+        .filter(F.col("articles") >= p.min_distinct_voided)
+        .join(others, "transaction_id", "left")
+        .filter(F.col("last_other").isNull() | (F.col("last_other") <= after))
+        .select(*RECEIPT_COLUMNS, "transaction_id", "articles")
     )
 
 

@@ -67,9 +67,9 @@ def cash_sales(headers: DataFrame, cash: DataFrame, p: Params) -> DataFrame:
 def voided_cash_receipts(lines: DataFrame, headers: DataFrame, cash: DataFrame, p: Params) -> DataFrame:
     """Cash sales with at least one voided line.
 
-    A semi join asks only whether such a line exists, so a receipt with very many
-    voided lines is never multiplied before it is de-duplicated.
+    Only whether such a line exists matters: the keys are made distinct, which combines
+    before the shuffle, and a semi join never multiplies a receipt.
     """
-    voided = lines.filter(F.col("void_fg") == 1).select("transaction_id")
+    voided = lines.filter(F.col("void_fg") == 1).select("transaction_id").distinct()
     columns = [*RECEIPT_COLUMNS, "cnt_receiptlines_sales", "cnt_receiptlines_voids"]
     return cash_sales(headers, cash, p).join(voided, "transaction_id", "leftsemi").select(*columns).dropDuplicates()

@@ -77,8 +77,12 @@ def inconsistent_weeks(df: DataFrame) -> DataFrame:
 
 
 def attach_week(df: DataFrame, weeks: DataFrame) -> DataFrame:
-    """Replace the week by that of the run; rows of unknown runs drop out."""
-    return df.drop("iso_week").join(weeks, "run_id")
+    """Replace the week by that of the run; rows of unknown runs drop out.
+
+    The map has one row per archived run, some fifty a year, while each run holds a
+    large share of the history: shuffling by run would leave a task per run.
+    """
+    return df.drop("iso_week").join(F.broadcast(weeks), "run_id")
 
 
 def common_weeks(a: DataFrame, b: DataFrame, c: DataFrame, n: int) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tillwatch.functions.keys import in_scope, receipt_key
 from tillwatch.model import CASH, RECEIPT_COLUMNS, SALE_LINES, SELF_CHECKOUT_FROM
+from tillwatch.operators.scale import staged
 from tillwatch.params import Params
 
 
@@ -118,34 +119,46 @@ def original_sales(line: DataFrame, location: DataFrame, p: Params) -> DataFrame
     )
 
 
+ORIGINAL = ["store", "register", "sold_on", "receipt", "item_sid"]
+
+
+def _named_originals(returns: DataFrame) -> DataFrame:
+    """Return lines with the original they name, as join keys.
+
+    A return that names none can never match, and its NULL keys would hash to the same
+    partition as those of all others. It gets a NULL store, so that it still matches
+    nothing, and a number derived from itself in place of the original receipt.
+    """
+    named = ["orig_receipt_store_id", "orig_receipt_register_id", "orig_receipt_dt", "orig_receipt_id"]
+    incomplete = F.greatest(*[F.col(c).isNull().cast("int") for c in named]) == 1
+    return returns.select(
+        "transaction_id",
+        F.when(~incomplete, F.col("orig_receipt_store_id")).alias("store"),
+        F.col("orig_receipt_register_id").alias("register"),
+        F.col("orig_receipt_dt").alias("sold_on"),
+        F.when(incomplete, F.xxhash64("transaction_id")).otherwise(F.col("orig_receipt_id")).alias("receipt"),
+        "item_sid",
+    )
+
+
 def returns_without_original(header: DataFrame, line: DataFrame, location: DataFrame, p: Params) -> DataFrame:
     """Return lines whose original sale is missing or at least ``considered_return_days`` old.
 
-    Returns that name no original can never match. Their NULL keys would all hash
-    to one partition, so a salt taken from the receipt spreads them.
+    Very many returns may name one original (a placeholder, say), so the originals are
+    looked up by distinct names: those combine before the shuffle. The names found are
+    few and written out. The returns then join a plain table, which Spark broadcasts if
+    it is small and whose shuffle it splits at hot keys if it is not.
     """
-    keys = ["orig_receipt_store_id", "orig_receipt_register_id", "orig_receipt_dt", "orig_receipt_id", "item_sid"]
-    incomplete = F.greatest(*[F.col(k).isNull().cast("int") for k in keys]) == 1
-    salt = F.when(incomplete, F.pmod(F.xxhash64("transaction_id"), F.lit(4096))).otherwise(F.lit(-1))
-    returns = (
-        _staffed_headers(header, location, p)
-        .drop("total_gross_val")
-        .join(_return_lines(line, location, p), "transaction_id")
-        .withColumn("salt", salt.cast("int"))
-    )
-    originals = original_sales(line, location, p).select(
-        F.col("store_nr").alias(keys[0]),
-        F.col("register_id").alias(keys[1]),
-        F.col("receipt_date").alias(keys[2]),
-        F.col("receipt_id").alias(keys[3]),
-        F.col("item_sid"),
-        F.lit(-1).alias("salt"),
-        F.col("receipt_date").alias("sold_on"),
-    )
-    age = F.datediff("receipt_date", "sold_on")
+    returns = _named_originals(_return_lines(line, location, p))
+    originals = original_sales(line, location, p).toDF(*ORIGINAL)
+    names = returns.filter(F.col("store").isNotNull()).select(*ORIGINAL).distinct()
+    found = staged(names.join(originals, ORIGINAL), "originals-found").withColumn("found", F.lit(True))
+    too_old = F.datediff("receipt_date", "sold_on") >= p.considered_return_days
     return (
-        returns.join(originals, [*keys, "salt"], "left")
-        .filter(F.col("sold_on").isNull() | (age >= p.considered_return_days))
+        _staffed_headers(header, location, p)
+        .join(returns, "transaction_id")
+        .join(found, ORIGINAL, "left")
+        .filter(F.col("found").isNull() | too_old)
         .select(*RECEIPT_COLUMNS)
     )
 

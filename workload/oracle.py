@@ -462,6 +462,7 @@ _PLAIN = {
     "OR (level = 2 AND region_rank <= max_red_flags) THEN 2 WHEN store_rank <= 3 AND level IS NOT NULL THEN 1 END "
     "AS flag FROM ranked) WHERE flag IS NOT NULL",
     "e13_flag_cashiers": "SELECT * FROM flags",
+    "week_flags": "SELECT * FROM flags",
     "f01_not_null": _check("not_null", "void", _status("count(*) = count(void_fg)"), "count(*) - count(void_fg)", "lines")
     + " UNION ALL "
     + _check(

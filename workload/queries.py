@@ -15,7 +15,7 @@ from tillwatch.functions import calendar, columns, keys
 from tillwatch.operators import export, flagging, metrics, prep, quality, reporting
 from tillwatch.operators.scale import shared_folder, staged
 from tillwatch.params import DEFAULT_RULES, Params
-from tillwatch.plans.week import extract_week, week_metrics
+from tillwatch.plans.week import extract_week, run_week, week_metrics
 from tillwatch.projection import raw_tables
 from tillwatch.session import tune
 from tillwatch.sinks import quality_tables, tables
@@ -521,6 +521,12 @@ def e13_flag_cashiers(w):
     return flagging.flag_cashiers(found, w.stats, w.x["org"], w.p)
 
 
+@query
+def week_flags(w):
+    """The whole run, with every table that several steps read written once."""
+    return run_week(w.raw, w.p)["flags"]
+
+
 # -- quality ------------------------------------------------------------------
 
 
