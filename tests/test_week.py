@@ -83,6 +83,6 @@ def test_groups_are_cut_down_before_the_shuffle(week):
 
 
 def test_no_python_and_no_cartesian_product(week):
-    for df in (week.outside, week.voided, week.levels, flagging.rank_flags(week.levels), week.dense, week.found):
+    for df in (week.x["outside"], week.x["voided"], week.levels, flagging.rank_flags(week.levels), week.dense, week.found):
         text = plan(df)
         assert "Python" not in text and "CartesianProduct" not in text

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from typing import Any
 
 from pyspark.sql import DataFrame
@@ -18,34 +19,40 @@ from tillwatch.sources.readers import load_table
 
 ARCHIVED = ("anomalies", "cashier_stats", "org", "flags")
 
-Raw = Mapping[str, DataFrame]
-Keep = Callable[[DataFrame, str], DataFrame]
+Tables = Mapping[str, DataFrame]
 
 
-def extract_week(raw: Raw, p: Params, keep: Keep = lambda df, name: df) -> dict[str, DataFrame]:
-    """The extracts of a run; ``keep`` may write each one that several steps read."""
+def extract_week(raw: Tables, p: Params) -> dict[str, DataFrame]:
+    """The extracts of a run."""
     header, line, location = raw["receipt_header"], raw["receipt_line"], raw["location"]
     return {
-        "headers": keep(extracts.receipt_headers(header, location, p), "headers"),
-        "lines": keep(extracts.receipt_lines(line, location, p), "lines"),
+        "headers": extracts.receipt_headers(header, location, p),
+        "lines": extracts.receipt_lines(line, location, p),
         "subtotals": extracts.subtotal_lines(raw["subtotal_line"], location, p),
-        "cash": keep(extracts.cash_only_receipts(raw["payment"], location, p), "cash"),
-        "returns": keep(extracts.return_receipts(header, line, location, p), "returns"),
+        "cash": extracts.cash_only_receipts(raw["payment"], location, p),
+        "returns": extracts.return_receipts(header, line, location, p),
         "unreferenced": extracts.returns_without_original(header, line, location, p),
         "hours": extracts.opening_hours(raw["store_hours"], p),
-        "org": keep(extracts.store_org(raw["org_structure"], p), "org"),
+        "org": extracts.store_org(raw["org_structure"], p),
     }
 
 
-def week_metrics(x: Mapping[str, DataFrame], p: Params, keep: Keep = lambda df, name: df) -> dict[int, DataFrame]:
-    """The ten metrics of the extracts, in common form."""
-    outside = keep(prep.receipts_outside_hours(x["headers"], x["hours"], p), "outside")
-    voided = keep(prep.voided_cash_receipts(x["lines"], x["headers"], x["cash"], p), "voided")
+def prepare_week(x: Tables, p: Params) -> dict[str, DataFrame]:
+    """What stage 1 makes of the extracts."""
+    return {
+        "cashier_stats": prep.cashier_stats(x["headers"]),
+        "outside": prep.receipts_outside_hours(x["headers"], x["hours"], p),
+        "voided": prep.voided_cash_receipts(x["lines"], x["headers"], x["cash"], p),
+    }
+
+
+def week_metrics(x: Tables, p: Params) -> dict[int, DataFrame]:
+    """The ten metrics of extracts and prepared tables, in common form."""
     found = {
-        1: metrics.m01(outside),
-        2: metrics.m02(outside),
-        3: metrics.m03(voided),
-        4: metrics.m04(voided),
+        1: metrics.m01(x["outside"]),
+        2: metrics.m02(x["outside"]),
+        3: metrics.m03(x["voided"]),
+        4: metrics.m04(x["voided"]),
         5: metrics.m05(x["lines"], x["subtotals"], x["cash"], p),
         6: metrics.m06(x["lines"], x["headers"], x["cash"], p),
         7: metrics.m07(x["returns"], p),
@@ -56,12 +63,8 @@ def week_metrics(x: Mapping[str, DataFrame], p: Params, keep: Keep = lambda df,
     return {kpi_id: metrics.as_metric(df) for kpi_id, df in found.items()}
 
 
-def week_anomalies(raw: Raw, p: Params, keep: Keep = lambda df, name: df) -> DataFrame:
-    return flagging.merge_anomalies(week_metrics(extract_week(raw, p, keep), p, keep))
-
-
 def run_week(
-    raw: Raw,
+    raw: Tables,
     p: Params,
     store: Store | None = None,
     run: Run | None = None,
@@ -69,8 +72,8 @@ def run_week(
 ) -> dict[str, DataFrame]:
     """Everything a week produces, by name.
 
-    Tables that several steps use are written once: to the working zone of ``store``
-    or, without one, to the session's shared folder. With a store and a run the
+    Tables that several steps use are written once, independent ones at the same time: to
+    the working zone of ``store`` or, without one, to the session's shared folder. With a store and a run the
     quality checks gate the tables, and the results are archived and their drift
     metrics committed.
     """
@@ -88,14 +91,16 @@ def run_week(
             known = load_metrics(spark, store) if store is not None else None
             quality.run_checks(df, name, specs, known, run, store)
 
-    x = extract_week(raw, p, keep)
-    out = {
-        **x,
-        "cashier_stats": keep(prep.cashier_stats(x["headers"]), "cashier_stats"),
-        "anomalies": keep(flagging.merge_anomalies(week_metrics(x, p, keep)), "anomalies"),
-    }
+    def keep_all(tables: Tables) -> dict[str, DataFrame]:
+        with ThreadPoolExecutor(len(tables)) as writers:
+            return dict(zip(tables, writers.map(keep, tables.values(), tables)))
+
+    out = extract_week(raw, p)
+    out |= keep_all({name: out[name] for name in ("headers", "lines", "cash", "returns", "org")})
+    out |= keep_all(prepare_week(out, p))
+    out["anomalies"] = keep(flagging.merge_anomalies(week_metrics(out, p)), "anomalies")
     gate(out["anomalies"], "anomalies")
-    out["flags"] = keep(flagging.flag_cashiers(out["anomalies"], out["cashier_stats"], x["org"], p), "flags")
+    out["flags"] = keep(flagging.flag_cashiers(out["anomalies"], out["cashier_stats"], out["org"], p), "flags")
     gate(out["flags"], "flags")
     if store is not None and run is not None:
         for name in ARCHIVED:

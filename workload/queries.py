@@ -15,7 +15,7 @@ from tillwatch.functions import calendar, columns, keys
 from tillwatch.operators import export, flagging, metrics, prep, quality, reporting
 from tillwatch.operators.scale import shared_folder, staged
 from tillwatch.params import DEFAULT_RULES, Params
-from tillwatch.plans.week import extract_week, run_week, week_metrics
+from tillwatch.plans.week import extract_week, prepare_week, run_week, week_metrics
 from tillwatch.projection import raw_tables
 from tillwatch.session import tune
 from tillwatch.sinks import quality_tables, tables
@@ -50,6 +50,7 @@ class Week:
         self.spark, self.sf_dir, self.p = tune(spark), sf_dir, PARAMS
         self.raw = {name: staged(df, name) for name, df in raw_tables(spark, sf_dir).items()}
         self.x = extract_week(self.raw, self.p)
+        self.x |= prepare_week(self.x, self.p)
 
     @classmethod
     def of(cls, spark: SparkSession, sf_dir: str) -> "Week":
@@ -68,25 +69,17 @@ class Week:
         self.spark.sql(f"CREATE SCHEMA tillwatch_{tag} LOCATION '{folder}/quality'")
         return Store(f"{folder}/working", f"{folder}/historical", f"tillwatch_{tag}")
 
-    @cached_property
-    def outside(self) -> DataFrame:
-        return prep.receipts_outside_hours(self.x["headers"], self.x["hours"], self.p)
-
-    @cached_property
-    def voided(self) -> DataFrame:
-        return prep.voided_cash_receipts(self.x["lines"], self.x["headers"], self.x["cash"], self.p)
-
-    @cached_property
-    def stats(self) -> DataFrame:
-        return prep.cashier_stats(self.x["headers"])
+    def merged(self) -> DataFrame:
+        """The anomalies from the raw tables, computed anew."""
+        return flagging.merge_anomalies(week_metrics(self.x, self.p))
 
     @cached_property
     def anomalies(self) -> DataFrame:
-        return staged(flagging.merge_anomalies(week_metrics(self.x, self.p)), "anomalies")
+        return staged(self.merged(), "anomalies")
 
     @cached_property
     def flags(self) -> DataFrame:
-        return staged(flagging.flag_cashiers(self.anomalies, self.stats, self.x["org"], self.p), "flags")
+        return staged(flagging.flag_cashiers(self.anomalies, self.x["cashier_stats"], self.x["org"], self.p), "flags")
 
     # -- flagging, step by step
 
@@ -96,7 +89,7 @@ class Week:
 
     @cached_property
     def active(self) -> DataFrame:
-        return flagging.with_activity(self.counts, self.stats)
+        return flagging.with_activity(self.counts, self.x["cashier_stats"])
 
     @cached_property
     def base(self) -> DataFrame:
@@ -354,7 +347,7 @@ def b08_load_checks(w):
 
 @query
 def c01_cashier_stats(w):
-    return w.stats
+    return w.x["cashier_stats"]
 
 
 @query
@@ -364,7 +357,7 @@ def c02_opening_timestamps(w):
 
 @query
 def c03_receipts_outside_hours(w):
-    return w.outside
+    return w.x["outside"]
 
 
 @query
@@ -374,7 +367,7 @@ def c04_cash_sales(w):
 
 @query
 def c05_voided_cash_receipts(w):
-    return w.voided
+    return w.x["voided"]
 
 
 # -- metrics ------------------------------------------------------------------
@@ -387,22 +380,22 @@ def d00_as_metric(w):
 
 @query
 def d01_m01(w):
-    return metrics.as_metric(metrics.m01(w.outside))
+    return metrics.as_metric(metrics.m01(w.x["outside"]))
 
 
 @query
 def d02_m02(w):
-    return metrics.as_metric(metrics.m02(w.outside))
+    return metrics.as_metric(metrics.m02(w.x["outside"]))
 
 
 @query
 def d03_m03(w):
-    return metrics.as_metric(metrics.m03(w.voided))
+    return metrics.as_metric(metrics.m03(w.x["voided"]))
 
 
 @query
 def d04_m04(w):
-    return metrics.as_metric(metrics.m04(w.voided))
+    return metrics.as_metric(metrics.m04(w.x["voided"]))
 
 
 @query
@@ -455,7 +448,7 @@ def d10_m10(w):
 
 @query
 def e01_merge_anomalies(w):
-    return flagging.merge_anomalies(week_metrics(w.x, w.p))
+    return w.merged()
 
 
 @query
@@ -517,8 +510,7 @@ def e12_final_flags(w):
 
 @query
 def e13_flag_cashiers(w):
-    found = flagging.merge_anomalies(week_metrics(w.x, w.p))
-    return flagging.flag_cashiers(found, w.stats, w.x["org"], w.p)
+    return flagging.flag_cashiers(w.merged(), w.x["cashier_stats"], w.x["org"], w.p)
 
 
 @query
