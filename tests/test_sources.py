@@ -153,6 +153,7 @@ def test_csv_with_schema(spark, tmp_path):
 
 def echo_warehouse():
     """A source class the workers get by value, as this module is not on their path."""
+    SPLIT = ("dbtable", "partitioncolumn", "lowerbound", "upperbound", "numpartitions")
 
     class EchoWarehouse(DataSource):
         """Stands in for a warehouse: reading answers with the query it was given."""
@@ -169,7 +170,7 @@ def echo_warehouse():
 
             class Reader(DataSourceReader):
                 def read(self, partition):
-                    yield options["query"], options["user"]
+                    yield options.get("query") or " ".join(f"{k}={options[k]}" for k in SPLIT), options["user"]
 
             return Reader()
 
@@ -192,6 +193,10 @@ def test_query_pushdown_and_external_write(spark, make, tmp_path):
     got = readers.read_query(spark, "echo_warehouse", {"user": "me"}, "SELECT 1")
     assert got.columns == ["query", "user"]
     assert values(got) == [("SELECT 1", "me")]
+    parts = readers.read_query(spark, "echo_warehouse", {"user": "me"}, "SELECT 1", ("day", "2025-01-06", "2025-01-12", 7))
+    assert values(parts, "query") == [
+        ("dbtable=(SELECT 1) result partitioncolumn=day lowerbound=2025-01-06 upperbound=2025-01-12 numpartitions=7",)
+    ]
     target = tmp_path / "out.txt"
     tables.write_external(make([("a",)], "t string").coalesce(1), "echo_warehouse", {"target": str(target)}, "dest")
     assert target.read_text() == "dest True a\n"

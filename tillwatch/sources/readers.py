@@ -12,9 +12,26 @@ from pyspark.sql import types as T
 from tillwatch.sinks.store import Store, TableNotFound
 
 
-def read_query(spark: SparkSession, fmt: str, options: Mapping[str, str], sql: str) -> DataFrame:
-    """Run a SQL text at a warehouse-like source; only the result crosses the network."""
-    return lower_columns(spark.read.format(fmt).options(**options).option("query", sql).load())
+def read_query(
+    spark: SparkSession,
+    fmt: str,
+    options: Mapping[str, str],
+    sql: str,
+    split: tuple[str, str, str, int] | None = None,
+) -> DataFrame:
+    """Run a SQL text at a warehouse-like source; only the result crosses the network.
+
+    A JDBC source returns a query in one task. ``split`` (column, lower bound, upper bound,
+    number of parts) reads ranges of a result column in parallel instead; rows outside
+    the bounds belong to the first and last part.
+    """
+    reader = spark.read.format(fmt).options(**options)
+    if split is None:
+        return lower_columns(reader.option("query", sql).load())
+    column, low, high, parts = split
+    reader = reader.option("dbtable", f"({sql}) result").option("partitionColumn", column)
+    reader = reader.option("lowerBound", low).option("upperBound", high).option("numPartitions", parts)
+    return lower_columns(reader.load())
 
 
 def lower_columns(df: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
 from functools import cached_property, reduce
 
@@ -48,7 +49,9 @@ class Week:
 
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         self.spark, self.sf_dir, self.p = tune(spark), sf_dir, PARAMS
-        self.raw = {name: staged(df, name) for name, df in raw_tables(spark, sf_dir).items()}
+        raw = raw_tables(spark, sf_dir)
+        with ThreadPoolExecutor(len(raw)) as writers:
+            self.raw = dict(zip(raw, writers.map(staged, raw.values(), raw)))
         self.x = extract_week(self.raw, self.p)
         self.x |= prepare_week(self.x, self.p)
 
