@@ -22,6 +22,7 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
+from tillwatch.session import STATIC  # noqa: E402
 from workload.queries import QUERIES, Week  # noqa: E402
 
 HEADLINES = [
@@ -58,6 +59,7 @@ def main() -> None:
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("BENCH_MEMORY", "16g"))
+        .config(map=STATIC)
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

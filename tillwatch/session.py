@@ -17,6 +17,10 @@ SETTINGS = {
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
 }
 
+# Only a new session takes these. A week's plan compiles more stages than the default
+# cache of 100 holds, so repeated runs in one session would compile them all again.
+STATIC = {"spark.sql.codegen.cache.maxEntries": "2000"}
+
 
 def tune(spark: SparkSession) -> SparkSession:
     """Apply the settings to a session; memory, cores and partition counts stay with the caller."""
