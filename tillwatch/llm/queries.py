@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import secrets, toxicity
+from . import licenses, secrets, simhash, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,9 +38,32 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", *(n(kind) for kind in secrets.BASE), F.sha2(secrets.joined(base), 256).alias("base_sha256"), secrets.joined(F.col("spans")).alias("spans"))
 
 
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = simhash.groups(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return rows.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = licenses.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    starts = F.concat(*(F.col("places")[label] for label in licenses.PHRASES))
+    base = F.array_sort(F.array_compact(F.array(*(F.when(F.size(F.col("places")[label]) > 0, F.lit(label)) for label in licenses.PHRASES))))
+    return rows.select(
+        "doc_id",
+        "n_words",
+        F.size(starts).cast("long").alias("n_base"),
+        F.array_min(starts).cast("long").alias("first_word"),
+        F.array_max(starts).cast("long").alias("last_word"),
+        F.array_join(base, ",").alias("base_labels"),
+        F.array_join(F.array_sort(F.array_distinct(F.concat(base, "labels"))), ",").alias("labels"),
+        F.greatest("share", (F.size(starts) > 0).cast("double")).alias("score"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_secrets": op2_secrets,
+    "op3_simhash": op3_simhash,
+    "op6_licenses": op6_licenses,
 }
 
 ORACLES: dict[str, str] = {}
