@@ -1,4 +1,9 @@
-"""A training corpus from raw documents, stage by stage."""
+"""A training corpus from raw documents, stage by stage.
+
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written and read again
+as the next one's documents. Nulls, empty tables, repeated rows and further columns are handled as
+the operators say; all stages but the last return the columns they got.
+"""
 
 from __future__ import annotations
 
@@ -6,7 +11,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillwatch.llm import queries, toxicity
+from tillwatch.llm import decontam, packing, queries, secrets, simhash, toxicity
 from tillwatch.llm.common import shared_folder
 
 
@@ -17,8 +22,33 @@ def _toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model, mark).where(f"{mark} < 0.5").drop(mark)
 
 
+def _near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates stays."""
+    return simhash.one_of_each(docs)
+
+
+def _decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    return decontam.clean(docs, queries.table(spark, sf_dir, "benchmark"))
+
+
+def _secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets are masked in the text; every document stays."""
+    found, _ = secrets.scan(docs)
+    return secrets.redact(docs, found)
+
+
+def _packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the tokenised texts with their sequence and place."""
+    return packing.packed(docs, queries.tokenizer())
+
+
 STAGES = [
     ("toxicity", _toxicity),
+    ("near-duplicates", _near_duplicates),
+    ("decontamination", _decontamination),
+    ("secrets", _secrets),
+    ("packing", _packing),
 ]
 
 #: Learned models and packing have no SQL form; the tests compare each stage with brute force.

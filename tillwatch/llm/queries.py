@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import licenses, secrets, simhash, toxicity
+from . import decontam, licenses, packing, secrets, simhash, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -59,11 +59,28 @@ def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def tokenizer() -> str:
+    """The vocabulary of the packing query; other callers of the operator name their own."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(table(spark, sf_dir, "documents"), tokenizer())
+
+
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_secrets": op2_secrets,
     "op3_simhash": op3_simhash,
     "op6_licenses": op6_licenses,
+    "op9_packing": op9_packing,
+    "op10_decontamination": op10_decontamination,
 }
 
 ORACLES: dict[str, str] = {}
