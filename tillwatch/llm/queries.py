@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, licenses, packing, secrets, simhash, toxicity
+from . import decontam, html, licenses, packing, secrets, simhash, toxicity, warc
+from .common import shared_folder
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -43,6 +45,12 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = f"{shared_folder(spark)}/archives-{uuid.uuid4().hex}"
+    warc.write(table(spark, sf_dir, "pages"), folder)
+    return warc.pages(warc.read(spark, folder))
+
+
 def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = licenses.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
     starts = F.concat(*(F.col("places")[label] for label in licenses.PHRASES))
@@ -59,6 +67,10 @@ def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(table(spark, sf_dir, "pages"))
+
+
 def tokenizer() -> str:
     """The vocabulary of the packing query; other callers of the operator name their own."""
     import public_tokenizers
@@ -78,7 +90,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_secrets": op2_secrets,
     "op3_simhash": op3_simhash,
+    "op4_warc": op4_warc,
     "op6_licenses": op6_licenses,
+    "op7_html": op7_html,
     "op9_packing": op9_packing,
     "op10_decontamination": op10_decontamination,
 }
