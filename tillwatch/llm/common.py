@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -26,6 +27,18 @@ def kept(df: DataFrame, name: str) -> DataFrame:
 
 def ascii_lower(column):
     """A-Z as a-z; other letters stay."""
-    from pyspark.sql import functions as F
-
     return F.translate(column, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def bucket_tasks(rows: DataFrame, by: str, chunk: int) -> DataFrame:
+    """Rows of buckets (column ``bucket``) as rows of tasks: ``task``, and ``side`` (0 or 1) in place of the bucket.
+
+    A bucket of at most ``chunk`` rows is one task, in which all rows are side 0. A larger one is cut into
+    chunks by a hash of ``by``, and each pair of chunks is a task: any two rows of a bucket meet in
+    just one. Buckets of one row are left out. ``rows`` is read twice, so it should be cheap to build.
+    """
+    sizes = kept(rows.groupBy("bucket").count().where("count > 1").select("bucket", F.ceil(F.col("count") / chunk).cast("int").alias("_chunks")), "buckets")
+    rows = rows.join(sizes, "bucket").withColumn("_own", F.pmod(F.xxhash64(by), F.col("_chunks")).cast("int"))
+    rows = rows.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_chunks") - 1)))
+    task = F.xxhash64("bucket", F.least("_own", "_other"), F.greatest("_own", "_other"))
+    return rows.withColumns({"task": task, "side": (F.col("_own") > F.col("_other")).cast("int")}).drop("bucket", "_chunks", "_own", "_other")

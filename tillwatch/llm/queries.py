@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, html, licenses, packing, secrets, simhash, toxicity, warc
+from . import decontam, embeddings, html, licenses, packing, secrets, simhash, toxicity, warc
 from .common import shared_folder
 
 
@@ -51,6 +51,11 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.pages(warc.read(spark, folder))
 
 
+def op5_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = embeddings.near(table(spark, sf_dir, "embeddings"))
+    return rows.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
+
+
 def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = licenses.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
     starts = F.concat(*(F.col("places")[label] for label in licenses.PHRASES))
@@ -91,6 +96,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_secrets": op2_secrets,
     "op3_simhash": op3_simhash,
     "op4_warc": op4_warc,
+    "op5_embeddings": op5_embeddings,
     "op6_licenses": op6_licenses,
     "op7_html": op7_html,
     "op9_packing": op9_packing,

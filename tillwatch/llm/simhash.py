@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from .common import kept
+from .common import bucket_tasks, kept
 from .components import components
 
 SEED = 42
@@ -214,11 +214,7 @@ def links(fps: DataFrame, chunk: int = 4096) -> DataFrame:
     """Chains (a, b) whose groups are those of all pairs within the radius, from distinct fingerprints (fp: long)."""
     keys = F.array(*(F.xxhash64(F.lit(i), F.col("fp").bitwiseAND(F.lit(signed(m)))) for i, m in enumerate(masks())))
     rows = fps.select("fp", F.explode(keys).alias("bucket"))
-    large = kept(rows.groupBy("bucket").count().where(F.col("count") > 1).select("bucket", F.ceil(F.col("count") / chunk).cast("int").alias("chunks")), "buckets")
-    rows = rows.join(large, "bucket").withColumn("own", F.pmod(F.xxhash64("fp"), F.col("chunks")).cast("int"))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    task = F.xxhash64("bucket", F.least("own", "other"), F.greatest("own", "other"))
-    rows = rows.select("fp", task.alias("task"), (F.col("own") > F.col("other")).cast("int").alias("side"))
+    rows = bucket_tasks(rows, "fp", chunk)
     return rows.repartition("task").sortWithinPartitions("task").mapInArrow(_chains, "a long, b long")
 
 
