@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, embeddings, html, licenses, packing, secrets, simhash, toxicity, warc
+from . import decontam, embeddings, html, licenses, packing, secrets, simhash, suffix, toxicity, warc
 from .common import shared_folder
 
 
@@ -76,6 +76,10 @@ def op7_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(table(spark, sf_dir, "pages"))
 
 
+def op8_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def tokenizer() -> str:
     """The vocabulary of the packing query; other callers of the operator name their own."""
     import public_tokenizers
@@ -99,6 +103,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_embeddings": op5_embeddings,
     "op6_licenses": op6_licenses,
     "op7_html": op7_html,
+    "op8_suffix": op8_suffix,
     "op9_packing": op9_packing,
     "op10_decontamination": op10_decontamination,
 }
