@@ -12,8 +12,8 @@ drops blocks with fewer than ``need`` tokens, the positional filter those whose
 shared one are too few; what is left is counted exactly. Only words of some template matter for
 containment, so a block is at most as large as the vocabulary of the templates, however long.
 
-Labels of one block whose template is part of another template that the block meets as well are
-dropped ("CC BY" in "CC BY-NC"). Null and empty texts have no words, labels or places. Findings are
+A block's labels are those of the templates it holds the largest share of ("CC BY", not "CC BY-NC", which
+it meets as well), without templates that are part of another of these ("CC BY" in "CC BY-NC"). Null and empty texts have no words, labels or places. Findings are
 kept by content, so null and repeated ids and rows do no harm.
 """
 
@@ -120,8 +120,10 @@ def meeting(docs: DataFrame, templates=TEMPLATES, threshold: float = 0.8) -> Dat
     near = heads.join(wanted, "token").where((F.size("own") >= F.col("need")) & (F.least(F.size("own") - F.col("own_at"), F.col("size") - F.col("at")) >= F.col("need")))
     both = F.size(F.array_intersect("tokens", "own"))
     found = near.select("content", "own", "template", (both / F.col("size")).alias("share"), (both >= F.col("need")).alias("meets")).where("meets")
-    found = found.groupBy("content", "own").agg(F.collect_set("template").alias("met"), F.max("share").alias("share"))
-    # a template within another one that the block meets says less than that one
+    found = found.groupBy("content", "own").agg(F.collect_set(F.struct("template", "share")).alias("all"), F.max("share").alias("share"))
+    best = F.transform(F.filter("all", lambda m: m["share"] == F.col("share")), lambda m: m["template"])
+    found = found.select("content", best.alias("met"), "share")
+    # of equally good templates, one within another says less than that one
     wider = [[j for j, b in enumerate(sets) if set(a.tokens) < set(b.tokens) and a.label != b.label] for a in sets]
     label = F.array(*(F.when(F.array_contains("met", i) & ~F.arrays_overlap("met", F.array(*map(F.lit, w)).cast("array<int>")), F.lit(t.label)) for i, (t, w) in enumerate(zip(sets, wider))))
     labels = found.select("content", F.array_compact(label).alias("labels"), "share")
