@@ -140,6 +140,8 @@ LABELLED = (
     # within the article, whatever the length
     (120, 0.00, 80, 0.0, 95, 0.0, 1, 0, 1), (45, 0.05, 120, 0.0, 60, 0.0, 1, 0, 1), (8, 0.00, 0, 0.0, 120, 0.0, 1, 0, 1), (3, 0.00, 60, 0.0, 45, 0.0, 1, 0, 1),
     (1, 0.00, 90, 0.0, 2, 0.0, 1, 0, 1), (12, 0.40, 70, 0.1, 80, 0.0, 1, 0, 1), (6, 1.00, 70, 0.1, 80, 0.0, 1, 0, 1), (2, 0.00, 0, 0.0, 0, 0.0, 1, 0, 1), (25, 0.00, 2, 1.0, 4, 1.0, 1, 0, 1),
+    (2, 0.50, 1, 0.0, 9, 0.0, 1, 0, 1), (5, 1.00, 3, 1.0, 4, 1.0, 1, 0, 1), (10, 0.60, 5, 0.8, 12, 0.7, 1, 0, 1), (1, 1.00, 1, 1.0, 1, 1.0, 1, 0, 1), (4, 0.75, 9, 1.0, 2, 0.5, 1, 0, 1), (3, 1.00, 0, 0.0, 0, 0.0, 1, 0, 1),
+    (2, 0.50, 2, 1.0, 2, 1.0, 1, 0, 1), (1, 0.00, 1, 1.0, 1, 1.0, 1, 0, 1), (7, 0.85, 1, 1.0, 3, 1.0, 1, 0, 1), (15, 0.90, 20, 0.9, 11, 1.0, 1, 0, 1),
     # within menus, footers, adverts and the like, whatever the length
     (1, 1.00, 0, 0.0, 1, 1.0, -1, 0, 0), (3, 1.00, 2, 1.0, 4, 1.0, -1, 0, 0), (14, 0.10, 90, 0.0, 0, 0.0, -1, 0, 0), (60, 0.00, 80, 0.0, 70, 0.0, -1, 0, 0), (150, 0.00, 40, 0.0, 30, 0.0, -1, 0, 0),
     (9, 0.00, 5, 1.0, 12, 0.0, -1, 0, 0), (1, 1.00, 1, 1.0, 8, 0.0, -1, 1, 0), (12, 0.00, 1, 1.0, 9, 0.0, -1, 1, 0), (70, 0.00, 60, 0.0, 0, 0.0, -1, 1, 0),
@@ -149,6 +151,7 @@ LABELLED = (
     (110, 0.02, 90, 0.0, 70, 0.0, 0, 0, 1), (60, 0.00, 5, 0.0, 40, 0.0, 0, 0, 1), (35, 0.10, 50, 0.0, 30, 0.1, 0, 0, 1), (22, 0.00, 6, 0.0, 24, 0.0, 0, 0, 1), (9, 0.00, 45, 0.0, 60, 0.0, 0, 0, 1),
     (4, 0.00, 60, 0.0, 80, 0.0, 0, 0, 1), (2, 0.00, 40, 0.0, 33, 0.0, 0, 0, 1), (1, 0.00, 22, 0.0, 51, 0.0, 0, 0, 1), (7, 0.00, 0, 0.0, 75, 0.0, 0, 0, 1), (11, 0.00, 55, 0.0, 0, 0.0, 0, 0, 1),
     (5, 0.00, 3, 0.0, 30, 0.0, 0, 0, 1), (6, 0.00, 30, 0.0, 4, 0.0, 0, 0, 1), (8, 0.00, 0, 0.0, 9, 0.0, 0, 0, 1), (10, 0.00, 0, 0.0, 0, 0.0, 0, 0, 1),
+    (50, 0.00, 2, 1.0, 40, 0.0, 0, 0, 1), (80, 0.00, 1, 1.0, 60, 0.0, 0, 0, 1), (30, 0.03, 4, 1.0, 55, 0.0, 0, 0, 1), (6, 0.00, 2, 1.0, 80, 0.0, 0, 0, 1), (5, 0.00, 1, 1.0, 65, 0.0, 0, 0, 1), (45, 0.00, 3, 0.9, 2, 1.0, 0, 0, 1), (26, 0.05, 6, 0.8, 3, 0.7, 0, 0, 1),
     # pages that mark no article: links
     (1, 1.00, 0, 0.0, 1, 1.0, 0, 0, 0), (2, 1.00, 1, 1.0, 2, 1.0, 0, 0, 0), (4, 1.00, 3, 1.0, 60, 0.0, 0, 0, 0), (9, 0.70, 5, 1.0, 4, 1.0, 0, 0, 0), (20, 0.60, 12, 0.8, 16, 0.7, 0, 0, 0),
     (3, 0.00, 2, 1.0, 2, 1.0, 0, 0, 0), (12, 0.50, 50, 0.0, 3, 1.0, 0, 0, 0), (5, 0.80, 70, 0.0, 60, 0.0, 0, 0, 0), (4, 0.00, 1, 1.0, 3, 0.9, 0, 0, 0), (2, 0.00, 4, 0.8, 3, 1.0, 0, 0, 0),
