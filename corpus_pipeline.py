@@ -10,15 +10,16 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tillwatch.llm import decontam, packing, queries, secrets, simhash, toxicity
-from tillwatch.llm.common import shared_folder
+from tillwatch.llm.common import shared_folder, unused
 
 
 def _toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents scored 0.5 or more go."""
     model = toxicity.fit(docs, queries.table(spark, sf_dir, "labels"), learn=~queries.held_out())
-    mark = "_toxicity_score"
+    mark = unused("toxicity", docs.columns)
     return toxicity.score(docs, model, mark).where(f"{mark} < 0.5").drop(mark)
 
 
@@ -33,9 +34,12 @@ def _decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def _secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Secrets are masked in the text; every document stays."""
+    """Secrets are masked in the text (and n_chars follows it); every document stays."""
     found, _ = secrets.scan(docs)
-    return secrets.redact(docs, found)
+    masked = secrets.redact(docs, found)
+    if "n_chars" not in docs.columns:
+        return masked
+    return masked.withColumn("n_chars", F.coalesce(F.char_length("text"), F.col("n_chars")).cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 
 
 def _packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -42,3 +42,11 @@ def bucket_tasks(rows: DataFrame, by: str, chunk: int) -> DataFrame:
     rows = rows.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_chunks") - 1)))
     task = F.xxhash64("bucket", F.least("_own", "_other"), F.greatest("_own", "_other"))
     return rows.withColumns({"task": task, "side": (F.col("_own") > F.col("_other")).cast("int")}).drop("bucket", "_chunks", "_own", "_other")
+
+
+def unused(name: str, columns: list[str]) -> str:
+    """The name, with underscores behind it if a column has it already."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

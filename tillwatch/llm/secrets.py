@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import kept
+from .common import kept, unused
 
 
 @dataclass(frozen=True)
@@ -122,8 +122,8 @@ def paths(docs: DataFrame, found: DataFrame) -> DataFrame:
 def redact(docs: DataFrame, found: DataFrame, mark: str = "[SECRET]") -> DataFrame:
     """All rows and columns; spans in ``text`` (overlapping ones together) become ``mark``."""
     names = docs.columns
-    found = found.select(F.col("blob").alias("_blob"), F.col("spans").alias("_spans"))
-    rows = docs.withColumn("_blob", address(F.col("text"))).join(found, "_blob", "left")
+    blob, spans = unused("blob", names), unused("spans", names)
+    rows = docs.withColumn(blob, address(F.col("text"))).join(found.select(F.col("blob").alias(blob), F.col("spans").alias(spans)), blob, "left")
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
     def step(acc, s):
@@ -131,5 +131,5 @@ def redact(docs: DataFrame, found: DataFrame, mark: str = "[SECRET]") -> DataFra
         out = F.when(apart, F.concat(acc["out"], F.substring(F.col("text"), acc["at"] + 1, s["start"] - acc["at"]), F.lit(mark))).otherwise(acc["out"])
         return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), out.alias("out"))
 
-    cleaned = F.aggregate("_spans", start, step, lambda acc: F.concat(acc["out"], F.substring(F.col("text"), acc["at"] + 1, F.char_length("text"))))
-    return rows.withColumn("text", F.when(F.col("_spans").isNotNull(), cleaned).otherwise(F.col("text"))).select(*names)
+    cleaned = F.aggregate(spans, start, step, lambda acc: F.concat(acc["out"], F.substring(F.col("text"), acc["at"] + 1, F.char_length("text"))))
+    return rows.withColumn("text", F.when(F.col(spans).isNotNull(), cleaned).otherwise(F.col("text"))).select(*names)

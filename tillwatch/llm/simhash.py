@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from .common import bucket_tasks, kept
+from .common import bucket_tasks, kept, unused
 from .components import components
 
 SEED = 42
@@ -237,14 +237,17 @@ def one_of_each(docs: DataFrame, size: int = 3) -> DataFrame:
     """All columns of one row of each group: that of the smallest doc_id; of rows that repeat this id, one of the smallest fingerprint."""
     rows = kept(fingerprints(docs.select("doc_id", "text"), size=size), "fingerprints")
     of_group = rows.join(grouped(rows), "fingerprint").where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    stays = of_group.groupBy("label").agg(F.first("doc_id").alias("_id"), F.min("fingerprint").alias("_fp"))
-    often = rows.groupBy(F.col("doc_id").alias("_id")).count()
-    stays = kept(stays.join(often, stays["_id"].eqNullSafe(often["_id"])).select(stays["_id"], "_fp", (F.col("count") > 1).alias("_repeats")), "stays")
-    once = docs.join(stays.where(~F.col("_repeats")), docs["doc_id"].eqNullSafe(F.col("_id")), "left_semi")
-    again = stays.where("_repeats")
+    stays = of_group.groupBy("label").agg(F.first("doc_id").alias("doc_id"), F.min("fingerprint").alias("fp"))
+    often = rows.groupBy(F.col("doc_id").alias("other")).count()
+    own, fp = unused("kept_id", docs.columns), unused("kept_fp", docs.columns)
+    stays = stays.join(often, F.col("doc_id").eqNullSafe(F.col("other"))).select(F.col("doc_id").alias(own), F.col("fp").alias(fp), (F.col("count") > 1).alias("repeats"))
+    stays = kept(stays, "stays")
+    once, again = stays.where("NOT repeats").select(own), stays.where("repeats").select(own, fp)
+    same = docs["doc_id"].eqNullSafe(F.col(own))
+    single = docs.join(once, same, "left_semi")
     if again.isEmpty():
-        return once
-    same = docs["doc_id"].eqNullSafe(F.col("_id"))
-    some = fingerprints(docs.join(again.select("_id").distinct(), same, "left_semi"), "_fp2", size, text=True)
-    some = some.join(again, some["doc_id"].eqNullSafe(F.col("_id")) & (F.col("_fp2") == F.col("_fp")), "left_semi")
-    return once.unionByName(some.dropDuplicates(["doc_id", "_fp2"]).select(*docs.columns))
+        return single
+    print_of = unused("print", docs.columns)
+    some = fingerprints(docs.join(again.select(own).distinct(), same, "left_semi"), print_of, size, text=True)
+    some = some.join(again, some["doc_id"].eqNullSafe(F.col(own)) & (F.col(print_of) == F.col(fp)), "left_semi")
+    return single.unionByName(some.dropDuplicates(["doc_id", print_of]).select(*docs.columns))
