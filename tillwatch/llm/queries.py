@@ -1,4 +1,4 @@
-"""The registered queries of this subpackage; ``ORACLES`` holds DuckDB SQL where SQL can express one."""
+"""The registered queries of this subpackage, and DuckDB SQL (``ORACLES``) where SQL can express one."""
 
 from __future__ import annotations
 
@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 
 from . import decontam, embeddings, html, licenses, packing, secrets, simhash, suffix, toxicity, warc
 from .common import shared_folder
+from .oracle import ORACLES
+
+
+__all__ = ["ORACLES", "QUERIES"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -106,6 +110,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffix": op8_suffix,
     "op9_packing": op9_packing,
     "op10_decontamination": op10_decontamination,
-}
-
-ORACLES: dict[str, str] = {}
+}
\ No newline at end of file
