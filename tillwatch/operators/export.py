@@ -35,86 +35,60 @@ def flagged_evidence(flags: DataFrame, proof: DataFrame) -> DataFrame:
     return proof.join(flagged, ["iso_week", "store_nr", "kpi_id", "ServicerID"], "leftsemi")
 
 
-def weekly_documents(flags: DataFrame, details: DataFrame, max_items: int = 200_000) -> DataFrame:
-    """``{year, weeknumber, evaluation: [{StoreID, KPI: [{KPITypeID, Anomalies, Receipts}]}]}`` per week.
-
-    A week with more than ``max_items`` entries becomes several documents of the same
-    form (``part`` of ``parts``) that together hold every entry once; an entry is a
-    flagged cashier or a receipt. Parts take whole KPIs of a store where these fit, and
-    a KPI of a store that alone is too large is itself spread over parts. So no
-    group that is collected grows with the data. Arrays are sorted.
+#: What a document holds, and by which columns documents are told apart besides the week.
+GRAINS = {"week": [], "store": ["store_nr"], "kpi": ["store_nr", "kpi_id"]}
+
+
+def weekly_documents(flags: DataFrame, details: DataFrame, grain: str = "store") -> DataFrame:
+    """``{year, weeknumber, evaluation: [{StoreID, KPI: [{KPITypeID, Anomalies, Receipts}]}]}``.
+
+    The caller says what makes a document: a ``store`` of a week, a ``kpi`` of such a store, or the
+    whole ``week``. The form is the same for each, and no sizes change it: what is gathered in one
+    document are the entries of its grain. Stores are in order of their number, all arrays sorted.
     """
+    own = GRAINS[grain]
     flag_items = flags.filter(F.col("iso_week").isNotNull()).select(
         "iso_week",
         "store_nr",
         "kpi_id",
-        F.xxhash64("cashier_id", "flag").alias("identity"),
         F.struct(F.col("cashier_id").alias("ServicerID"), F.col("flag").alias("AnomalyGrade")).alias("anomaly"),
     )
     proof = flagged_evidence(flags, evidence(details))
     fields = ["OccurrenceDateTime", "TillNr", "ServicerID", "ReceiptNr"]
-    receipt_items = proof.select(
-        "iso_week", "store_nr", "kpi_id", F.xxhash64(*fields).alias("identity"), F.struct(*fields).alias("receipt")
-    )
+    receipt_items = proof.select("iso_week", "store_nr", "kpi_id", F.struct(*fields).alias("receipt"))
     group = ["iso_week", "store_nr", "kpi_id"]
     items = flag_items.unionByName(receipt_items, allowMissingColumns=True).dropna(subset=group)
 
-    # Entries per KPI of a store say how many shares it needs; their sum, how many parts the week needs.
-    sizes = items.groupBy(*group).agg(F.count(F.lit(1)).alias("entries"))
-    weeks = sizes.groupBy("iso_week").agg(F.ceil(F.sum("entries") / max_items).cast("int").alias("parts"))
-    large = sizes.filter(F.col("entries") > max_items).select(
-        *group, F.ceil(F.col("entries") / max_items).cast("int").alias("shares")
-    )
-    parts = F.col("parts").cast("long")
-    share = F.pmod("identity", F.coalesce("shares", F.lit(1)).cast("long"))
-    part = F.pmod(F.pmod(F.xxhash64("store_nr", "kpi_id"), parts) + share, parts).cast("int")
-    # At most one row per calendar week, and one per max_items entries: both sides stay small.
-    placed = (
-        items.join(F.broadcast(weeks), "iso_week")
-        .join(F.broadcast(large), group, "left")
-        .withColumn("part", part)
-    )
-
-    per_kpi = placed.groupBy("iso_week", "part", "parts", "store_nr", "kpi_id").agg(
+    per_kpi = items.groupBy(*group).agg(
         F.sort_array(F.collect_list("anomaly")).alias("Anomalies"),
         F.sort_array(F.collect_list("receipt")).alias("Receipts"),
     )
     kpi = F.struct(F.col("kpi_id").alias("KPITypeID"), "Anomalies", "Receipts")
-    per_store = per_kpi.groupBy("iso_week", "part", "parts", "store_nr").agg(
-        F.sort_array(F.collect_list(kpi)).alias("KPI")
-    )
-    store = F.struct(F.col("store_nr").cast("string").alias("StoreID"), "KPI")
+    level = ["iso_week", "store_nr", *(["kpi_id"] if grain == "kpi" else [])]
+    per_store = per_kpi.groupBy(*level).agg(F.sort_array(F.collect_list(kpi)).alias("KPI"))
+    numbered = F.sort_array(F.collect_list(F.struct("store_nr", "KPI")))
+    evaluation = F.transform(numbered, lambda s: F.struct(s["store_nr"].cast("string").alias("StoreID"), s["KPI"].alias("KPI")))
     return (
-        per_store.groupBy("iso_week", "part", "parts")
-        .agg(F.sort_array(F.collect_list(store)).alias("evaluation"))
+        per_store.groupBy("iso_week", *own)
+        .agg(evaluation.alias("evaluation"))
         .select(
             F.split_part("iso_week", F.lit("-"), F.lit(1)).cast("int").alias("year"),
             F.split_part("iso_week", F.lit("-"), F.lit(2)).cast("int").alias("weeknumber"),
-            "part",
-            "parts",
             "evaluation",
         )
     )
 
 
 def document_json(docs: DataFrame, pretty: bool = False) -> DataFrame:
-    """Documents as JSON text in ``value``; part numbers appear only in weeks of several parts."""
-    several = F.col("parts") > 1
-    document = F.struct(
-        "year",
-        "weeknumber",
-        F.when(several, F.col("part") + 1).alias("part"),
-        F.when(several, F.col("parts")).alias("parts"),
-        "evaluation",
-    )
+    """Documents as JSON text in ``value``."""
     options = {"pretty": str(pretty).lower(), "ignoreNullFields": "true"}
-    return docs.select("year", "weeknumber", F.to_json(document, options).alias("value"))
+    return docs.select("year", "weeknumber", F.to_json(F.struct("year", "weeknumber", "evaluation"), options).alias("value"))
 
 
 def write_documents(docs: DataFrame, path: str, pretty: bool = False) -> None:
-    """One folder ``document=dbp_<year>_<week>.json`` per week, each part a text record in it.
+    """One folder ``document=dbp_<year>_<week>.json`` per week, each of its documents a text record in it.
 
-    Only the weeks written are replaced.
+    Only the weeks written are replaced. The name's form is a fixed value. Written pretty, a record spans several lines.
     """
     name = F.format_string("dbp_%d_%d.json", "year", "weeknumber")
     (

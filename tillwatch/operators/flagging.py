@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillwatch.functions.calendar import iso_week
 from tillwatch.functions.columns import lookup
 from tillwatch.model import KPI_IDS, ORANGE, RED
-from tillwatch.operators.scale import competition_rank, same, staged
+from tillwatch.operators.scale import competition_rank, same
 from tillwatch.params import Params
 
 ABSOLUTE_LEVEL = 3
@@ -49,44 +49,48 @@ def with_activity(counts: DataFrame, stats: DataFrame) -> DataFrame:
 
 
 def eligible(df: DataFrame, p: Params) -> DataFrame:
-    """Cashiers with enough receipts, without KPI rows below the KPI's minimum count."""
-    minimum = F.coalesce(lookup(F.col("kpi_id"), p.min_counts, "long"), F.lit(0))
+    """Cashiers with enough receipts, without KPI rows below the KPI's minimum count.
+
+    A row without KPI may belong to any, so it must reach the minimum of each.
+    """
+    highest = F.when(F.col("kpi_id").isNull(), F.lit(max(p.min_counts.values(), default=0)))
+    minimum = F.coalesce(lookup(F.col("kpi_id"), p.min_counts, "long"), highest, F.lit(0))
     return df.filter((F.col("total_receipts") > p.min_receipts_per_cashier) & (F.col("kpi_count") >= minimum))
 
 
 def normalise(df: DataFrame, p: Params) -> DataFrame:
-    """Rate per 100 receipts, and the rate times the KPI's weight."""
-    weights = {kpi_id: p.weight(kpi_id) for kpi_id in p.rules}
-    weight = F.coalesce(lookup(F.col("kpi_id"), weights, "double"), F.lit(float(p.default_weight)))
+    """Rate per 100 receipts, and the rate times the KPI's weight; a KPI without a rule has no score."""
+    weight = lookup(F.col("kpi_id"), {kpi_id: p.weight(kpi_id) for kpi_id in p.rules}, "double")
     rate = F.try_divide(F.col("kpi_count"), F.col("total_receipts")) * 100
     return df.withColumn("kpi_rate", rate).withColumn("kpi_score", F.col("kpi_rate") * weight)
 
 
 def thresholds(df: DataFrame, p: Params) -> DataFrame:
-    """Red and orange quantiles of the rates per week and KPI, from one sketch per group.
+    """Red and orange quantiles of the rates per week and KPI.
 
-    KPIs with an absolute threshold have no red quantile.
+    The quantile of q is the smallest rate that at least q of all rates don't exceed. Rates
+    are counted per value before the shuffle, and the running count over the values gives
+    it exactly, in whichever order the rows come. KPIs with an absolute threshold have no red quantile.
     """
     kpi_ids = sorted(set(KPI_IDS) | set(p.rules))
     red = {k: p.red_probability(k) for k in kpi_ids if k not in p.absolute_thresholds}
     orange = {k: p.orange_probability(k) for k in kpi_ids}
-    wanted = sorted({*red.values(), *orange.values()})
-
-    def pick(probabilities: Mapping[int, float]):
-        place = lookup(F.col("kpi_id"), {k: wanted.index(v) for k, v in probabilities.items()}, "int")
-        return F.get("quantiles", place)
-
-    sketch = F.percentile_approx("kpi_rate", wanted, p.percentile_accuracy)
-    return (
-        df.groupBy("iso_week", "kpi_id")
-        .agg(sketch.alias("quantiles"), F.count("cashier_id").alias("population"))
-        .select(
-            "iso_week",
-            "kpi_id",
-            pick(orange).alias("orange_threshold"),
-            pick(red).alias("red_threshold"),
-            "population",
-        )
+    group = ["iso_week", "kpi_id"]
+    values = df.groupBy(*group, "kpi_rate").agg(
+        F.count(F.lit(1)).alias("rows"), F.count("cashier_id").alias("cashiers")
+    )
+    rated = F.when(F.col("kpi_rate").isNotNull(), F.col("rows")).otherwise(0)
+    upwards = Window.partitionBy(*group).orderBy(F.col("kpi_rate").asc_nulls_first())
+    counted = values.withColumns({"upto": F.sum(rated).over(upwards), "all": F.sum(rated).over(Window.partitionBy(*group))})
+
+    def quantile(probabilities: Mapping[int, float]):
+        percent = lookup(F.col("kpi_id"), {k: round(100 * q) for k, q in probabilities.items()}, "long")
+        return F.min(F.when((F.col("upto") > 0) & (F.col("upto") * 100 >= percent * F.col("all")), F.col("kpi_rate")))
+
+    return counted.groupBy(*group).agg(
+        quantile(orange).alias("orange_threshold"),
+        quantile(red).alias("red_threshold"),
+        F.sum("cashiers").alias("population"),
     )
 
 
@@ -162,13 +166,18 @@ def final_flags(df: DataFrame, p: Params) -> DataFrame:
     return df.select("iso_week", "store_nr", "cashier_id", "kpi_id", flag.alias("flag")).dropna(subset=["flag"])
 
 
-def flag_cashiers(anomalies: DataFrame, stats: DataFrame, org: DataFrame, p: Params) -> DataFrame:
+def flag_cashiers(
+    anomalies: DataFrame,
+    stats: DataFrame,
+    org: DataFrame,
+    p: Params,
+    keep: Callable[[DataFrame, str], DataFrame] = lambda df, name: df,
+) -> DataFrame:
     """Merged anomalies to flags per week, store, cashier and KPI.
 
-    The counts per cashier are far smaller than the anomalies and feed several
-    steps, so they are written once; the same holds for the levels, which are
-    ranked twice.
+    The counts per cashier and the levels are small and feed several steps each; a plan
+    that writes them once passes how as ``keep``.
     """
     counts = with_activity(kpi_counts(anomalies), stats)
-    base = staged(normalise(eligible(counts, p), p), "cashier-kpis")
-    return final_flags(rank_flags(staged(levels(base, org, p), "cashier-levels")), p)
+    base = keep(normalise(eligible(counts, p), p), "cashier_kpis")
+    return final_flags(rank_flags(keep(levels(base, org, p), "cashier_levels")), p)

@@ -55,7 +55,7 @@ def nth_last_subtotal(subtotals: DataFrame, cash: DataFrame, p: Params) -> DataF
     )
 
 
-def m05(lines: DataFrame, subtotals: DataFrame, cash: DataFrame, p: Params, approx: bool = False) -> DataFrame:
+def m05(lines: DataFrame, subtotals: DataFrame, cash: DataFrame, p: Params) -> DataFrame:
     """Receipts with nothing but voids after that subtotal, of at least n different articles.
 
     "Nothing but voids" means that the last line of any other type is not after the
@@ -74,13 +74,12 @@ def m05(lines: DataFrame, subtotals: DataFrame, cash: DataFrame, p: Params, appr
         .groupBy("transaction_id")
         .agg(F.max(number).alias("last_other"))
     )
-    articles = F.approx_count_distinct("ean_barcode") if approx else F.count("ean_barcode")
     after = F.col("subtotal_line_nr")
     return (
         entries.join(nth_last_subtotal(subtotals, cash, p), "transaction_id")
         .filter(F.col("last_entry") > after)
         .groupBy("transaction_id", *RECEIPT_COLUMNS, "subtotal_line_nr")
-        .agg(articles.alias("articles"))
+        .agg(F.count("ean_barcode").alias("articles"))
         .filter(F.col("articles") >= p.min_distinct_voided)
         .join(others, "transaction_id", "left")
         .filter(F.col("last_other").isNull() | (F.col("last_other") <= after))
@@ -88,7 +87,7 @@ def m05(lines: DataFrame, subtotals: DataFrame, cash: DataFrame, p: Params, appr
     )
 
 
-def next_receipt(headers: DataFrame, rows_per_slice: int = 5_000_000) -> DataFrame:
+def next_receipt(headers: DataFrame) -> DataFrame:
     """Each turnover-relevant receipt with the key of the next one at the same register and day.
 
     Ties in time are broken by the receipt key.
@@ -100,7 +99,6 @@ def next_receipt(headers: DataFrame, rows_per_slice: int = 5_000_000) -> DataFra
         at="receipt_ts",
         value="transaction_id",
         out="next_transaction_id",
-        rows_per_slice=rows_per_slice,
     )
 
 

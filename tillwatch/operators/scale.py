@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Sequence
 from functools import reduce
@@ -12,18 +11,9 @@ from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share, named by ``spark.checkpoint.dir``.
-
-    Only a local session without that setting gets a folder of its own.
-    """
+    """The folder all executors share, named by ``spark.checkpoint.dir``; where that is unset, one in the warehouse."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="tillwatch-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return (folder or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_shared").rstrip("/")
 
 
 def staged(df: DataFrame, label: str) -> DataFrame:
@@ -59,51 +49,25 @@ def competition_rank(df: DataFrame, group: Sequence[str], order: Sequence[str],
     return df.join(ranks, same(df, ranks, names, "ranked_"), "left").drop(*[f"ranked_{n}" for n in names])
 
 
-def next_in_order(
-    df: DataFrame, group: Sequence[str], at: str, value: str, out: str, rows_per_slice: int = 5_000_000
-) -> DataFrame:
-    """``lead(value)`` within the group by (``at``, ``value``), with large groups cut into time slices.
+#: Width of a time slice in seconds. Whatever the sizes, all groups are cut alike.
+SLICE_SECONDS = 60
 
-    A group of more than ``rows_per_slice`` rows is cut by time into enough slices;
-    each slice is its own window partition, and the last row of a slice takes the
-    first row of the next slice that has any. There are at most rows/rows_per_slice
-    large groups and twice as many slices, which bounds both broadcast sides: about
-    10 MB for a trillion rows.
-    """
-    seconds = (
-        F.unix_date(F.to_date(at)).cast("long") * 86_400 + F.hour(at) * 3_600 + F.minute(at) * 60 + F.second(at)
-    )
-    timed = df.withColumn("second", seconds)
-    large = (
-        timed.groupBy(*group)
-        .agg(F.count(F.lit(1)).alias("rows"), F.min("second").alias("low"), F.max("second").alias("high"))
-        .filter(F.col("rows") > rows_per_slice)
-        .select(
-            *[F.col(g).alias(f"large_{g}") for g in group],
-            F.ceil(F.col("rows") / rows_per_slice).alias("slices"),
-            "low",
-            (F.col("high") - F.col("low") + 1).alias("width"),
-        )
-    )
-    slice_nr = F.floor((F.col("second") - F.col("low")) * F.col("slices") / F.col("width")).cast("int")
-    sliced = (
-        timed.join(F.broadcast(large), same(timed, large, group, "large_"), "left")
-        .withColumn("slice", F.coalesce(slice_nr, F.lit(0)))
-        .select(*df.columns, "slice")
-    )
 
-    heads = (
-        timed.join(F.broadcast(large), same(timed, large, group, "large_"))
-        .withColumn("slice", slice_nr)
-        .groupBy(*group, "slice")
-        .agg(F.min(F.struct(at, value)).alias("head"))
-    )
-    following = F.lead(F.col(f"head.{value}")).over(Window.partitionBy(*group).orderBy("slice"))
+def next_in_order(df: DataFrame, group: Sequence[str], at: str, value: str, out: str) -> DataFrame:
+    """``lead(value)`` within the group by (``at``, ``value``), computed minute by minute.
+
+    Rows of one group and minute are a window partition; the last of them takes the first
+    row of the group's next minute that has any. A minute's first rows combine before the
+    shuffle, and a day of a group has 1,440 minutes at most, so no window grows with a
+    group's rows but for those of one minute. Ties in time follow ``value``, NULL times come first.
+    """
+    seconds = F.unix_date(F.to_date(at)).cast("long") * 86_400 + F.hour(at) * 3_600 + F.minute(at) * 60 + F.second(at)
+    sliced = df.withColumn("slice", F.floor(seconds / SLICE_SECONDS))
     keys = [*group, "slice"]
+    heads = sliced.groupBy(*keys).agg(F.min(F.struct(at, value)).alias("head"))
+    following = F.lead(F.col(f"head.{value}")).over(Window.partitionBy(*group).orderBy("slice"))
     heads = heads.withColumn("next_head", following).select(*[F.col(k).alias(f"head_{k}") for k in keys], "next_head")
-
-    within = F.lead(value).over(Window.partitionBy(*keys).orderBy(at, value))
-    led = sliced.withColumn("within", within)
-    return led.join(F.broadcast(heads), same(led, heads, keys, "head_"), "left").select(
+    led = sliced.withColumn("within", F.lead(value).over(Window.partitionBy(*keys).orderBy(at, value)))
+    return led.join(heads, same(led, heads, keys, "head_"), "left").select(
         *df.columns, F.coalesce("within", "next_head").alias(out)
     )

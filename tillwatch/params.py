@@ -80,7 +80,6 @@ class Params:
     default_red_percentile: float = 8
     default_orange_percentile: float = 15
     default_weight: float = 100
-    percentile_accuracy: int = 10_000
     min_population: int = 10
     avg_red_flags_per_store: float = 3
     num_flags_per_store: int = 10
@@ -115,7 +114,7 @@ class Params:
 
     def weight(self, kpi_id: int) -> float:
         rule = self.rules.get(kpi_id, KpiRule())
-        return float(self.default_weight if rule.weight is None else rule.weight)
+        return float(rule.weight or self.default_weight)  # no weight, or one of 0
 
     @property
     def absolute_thresholds(self) -> dict[int, int]:

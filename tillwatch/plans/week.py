@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from tillwatch.operators import flagging, metrics, prep, quality
 from tillwatch.operators.scale import staged
 from tillwatch.params import Params
+from tillwatch.session import tune
 from tillwatch.sinks.quality_tables import commit_metrics, load_metrics
 from tillwatch.sinks.store import Run, Store
 from tillwatch.sinks.tables import archive_table, save_table
@@ -22,8 +23,8 @@ ARCHIVED = ("anomalies", "cashier_stats", "org", "flags")
 Tables = Mapping[str, DataFrame]
 
 
-def extract_week(raw: Tables, p: Params) -> dict[str, DataFrame]:
-    """The extracts of a run."""
+def extract_week(raw: Tables, p: Params, originals: DataFrame | None = None) -> dict[str, DataFrame]:
+    """The extracts of a run; ``originals`` are the ``originals_found``, if they have been saved."""
     header, line, location = raw["receipt_header"], raw["receipt_line"], raw["location"]
     return {
         "headers": extracts.receipt_headers(header, location, p),
@@ -31,7 +32,7 @@ def extract_week(raw: Tables, p: Params) -> dict[str, DataFrame]:
         "subtotals": extracts.subtotal_lines(raw["subtotal_line"], location, p),
         "cash": extracts.cash_only_receipts(raw["payment"], location, p),
         "returns": extracts.return_receipts(header, line, location, p),
-        "unreferenced": extracts.returns_without_original(header, line, location, p),
+        "unreferenced": extracts.returns_without_original(header, line, location, p, originals),
         "hours": extracts.opening_hours(raw["store_hours"], p),
         "org": extracts.store_org(raw["org_structure"], p),
     }
@@ -77,7 +78,7 @@ def run_week(
     quality checks gate the tables, and the results are archived and their drift
     metrics committed.
     """
-    spark = raw["receipt_header"].sparkSession
+    spark = tune(raw["receipt_header"].sparkSession)
 
     def keep(df: DataFrame, name: str) -> DataFrame:
         if store is None:
@@ -95,12 +96,13 @@ def run_week(
         with ThreadPoolExecutor(len(tables)) as writers:
             return dict(zip(tables, writers.map(keep, tables.values(), tables)))
 
-    out = extract_week(raw, p)
+    originals = keep(extracts.originals_found(raw["receipt_line"], raw["location"], p), "originals_found")
+    out = extract_week(raw, p, originals)
     out |= keep_all({name: out[name] for name in ("headers", "lines", "cash", "returns", "org")})
     out |= keep_all(prepare_week(out, p))
     out["anomalies"] = keep(flagging.merge_anomalies(week_metrics(out, p)), "anomalies")
     gate(out["anomalies"], "anomalies")
-    out["flags"] = keep(flagging.flag_cashiers(out["anomalies"], out["cashier_stats"], out["org"], p), "flags")
+    out["flags"] = keep(flagging.flag_cashiers(out["anomalies"], out["cashier_stats"], out["org"], p, keep), "flags")
     gate(out["flags"], "flags")
     if store is not None and run is not None:
         for name in ARCHIVED:

@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from tillwatch.functions.keys import in_scope, receipt_key
 from tillwatch.model import CASH, RECEIPT_COLUMNS, SALE_LINES, SELF_CHECKOUT_FROM
-from tillwatch.operators.scale import staged
 from tillwatch.params import Params
 
 
@@ -103,20 +102,18 @@ def return_receipts(header: DataFrame, line: DataFrame, location: DataFrame, p:
 
 
 def original_sales(line: DataFrame, location: DataFrame, p: Params) -> DataFrame:
-    """Sold, not voided articles by receipt, from the return period before the run on."""
+    """Lines of sold, not voided articles, from the return period before the run on.
+
+    An original counts if the sum of its quantities is not NULL, so if one of its lines has a quantity.
+    """
     sold = line.filter(
         F.col("transaction_type_cd").isin(*SALE_LINES)
         & (F.col("turnover_relevant_fg") == 1)
         & F.col("receiptline_voided_by").isNull()
     )
     quantity = F.col("sales_piece_qty") * F.col("sales_weight_qty")
-    return (
-        _located(sold, location, p, lookback_days=p.considered_return_days)
-        .groupBy("store_nr", "register_id", "receipt_date", "receipt_id", "item_sid")
-        .agg(F.count(quantity).alias("quantities"))
-        .filter("quantities > 0")  # the sum of quantities is not NULL
-        .drop("quantities")
-    )
+    located = _located(sold.filter(quantity.isNotNull()), location, p, lookback_days=p.considered_return_days)
+    return located.select("store_nr", "register_id", "receipt_date", "receipt_id", "item_sid")
 
 
 ORIGINAL = ["store", "register", "sold_on", "receipt", "item_sid"]
@@ -141,18 +138,28 @@ def _named_originals(returns: DataFrame) -> DataFrame:
     )
 
 
-def returns_without_original(header: DataFrame, line: DataFrame, location: DataFrame, p: Params) -> DataFrame:
+def originals_found(line: DataFrame, location: DataFrame, p: Params) -> DataFrame:
+    """The originals that returns name and that were sold, each once.
+
+    Very many returns may name one original (a placeholder, say), so they are looked up by
+    distinct names, which combine before the shuffle; sold lines are shuffled once, for the
+    existence check.
+    """
+    names = _named_originals(_return_lines(line, location, p)).filter(F.col("store").isNotNull())
+    originals = original_sales(line, location, p).toDF(*ORIGINAL)
+    return names.select(*ORIGINAL).distinct().join(originals, ORIGINAL, "leftsemi")
+
+
+def returns_without_original(
+    header: DataFrame, line: DataFrame, location: DataFrame, p: Params, found: DataFrame | None = None
+) -> DataFrame:
     """Return lines whose original sale is missing or at least ``considered_return_days`` old.
 
-    Very many returns may name one original (a placeholder, say), so the originals are
-    looked up by distinct names: those combine before the shuffle. The names found are
-    few and written out. The returns then join a plain table, which Spark broadcasts if
-    it is small and whose shuffle it splits at hot keys if it is not.
+    ``found`` are the ``originals_found``, where a plan has saved them: a join with a plain
+    table is broadcast if that is small, and split at hot keys if it is not.
     """
     returns = _named_originals(_return_lines(line, location, p))
-    originals = original_sales(line, location, p).toDF(*ORIGINAL)
-    names = returns.filter(F.col("store").isNotNull()).select(*ORIGINAL).distinct()
-    found = staged(names.join(originals, ORIGINAL), "originals-found").withColumn("found", F.lit(True))
+    found = (originals_found(line, location, p) if found is None else found).withColumn("found", F.lit(True))
     too_old = F.datediff("receipt_date", "sold_on") >= p.considered_return_days
     return (
         _staffed_headers(header, location, p)

@@ -593,8 +593,7 @@ _PLAIN = {
     "h02_flagged_evidence": f"SELECT * FROM ({EVIDENCE}) e WHERE EXISTS (SELECT 1 FROM flags f WHERE f.iso_week = "
     "e.iso_week AND f.store_nr = e.store_nr AND f.kpi_id = e.kpi_id AND f.cashier_id = e.ServicerID)",
     "h03_weekly_documents": ENTRIES,
-    "h04_write_documents": "SELECT year, weeknumber, count(AnomalyGrade) AS flags, count(ReceiptNr) AS receipts "
-    f"FROM ({ENTRIES}) GROUP BY 1, 2",
+    "h04_write_documents": ENTRIES,
     "i01_iso_week": f"SELECT o_orderkey, strftime({DAY}, '%G-%V') AS week FROM orders",
     "i02_calendar_year_week": f"SELECT o_orderkey, year({DAY}) || '_' || strftime({DAY}, '%V') AS week FROM orders",
     "i03_iso_weeks_between": "SELECT o_orderkey, string_agg(week, ',' ORDER BY week) AS weeks FROM (SELECT DISTINCT "

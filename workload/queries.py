@@ -82,7 +82,7 @@ class Week:
 
     @cached_property
     def flags(self) -> DataFrame:
-        return staged(flagging.flag_cashiers(self.anomalies, self.x["cashier_stats"], self.x["org"], self.p), "flags")
+        return staged(flagging.flag_cashiers(self.anomalies, self.x["cashier_stats"], self.x["org"], self.p, staged), "flags")
 
     # -- flagging, step by step
 
@@ -513,7 +513,7 @@ def e12_final_flags(w):
 
 @query
 def e13_flag_cashiers(w):
-    return flagging.flag_cashiers(w.merged(), w.x["cashier_stats"], w.x["org"], w.p)
+    return flagging.flag_cashiers(w.merged(), w.x["cashier_stats"], w.x["org"], w.p, staged)
 
 
 @query
@@ -817,8 +817,7 @@ def h03_weekly_documents(w):
 @query
 def h04_write_documents(w):
     path = f"{shared_folder(w.spark)}/documents-{uuid.uuid4().hex}"
-    docs = export.weekly_documents(w.flags, w.anomalies, max_items=1000)
-    export.write_documents(docs, path)
+    export.write_documents(export.weekly_documents(w.flags, w.anomalies), path)
     kind = (
         "year int, weeknumber int, evaluation array<struct<StoreID: string, KPI: array<struct<KPITypeID: int, "
         "Anomalies: array<struct<ServicerID: int, AnomalyGrade: int>>, "
@@ -826,9 +825,7 @@ def h04_write_documents(w):
     )
     texts = w.spark.read.text(path)
     found = texts.select("document", F.from_json("value", kind).alias("doc")).select("document", "doc.*")
-    return _entries(found.drop("document")).groupBy("year", "weeknumber").agg(
-        F.count("AnomalyGrade").alias("flags"), F.count("ReceiptNr").alias("receipts")
-    )
+    return _entries(found.drop("document"))
 
 
 # -- calendar and columns -----------------------------------------------------
