@@ -136,12 +136,11 @@ def initial_level(df: DataFrame) -> DataFrame:
 def levels(base: DataFrame, org: DataFrame, p: Params) -> DataFrame:
     """Normalised counts with thresholds, region, quota and initial level.
 
-    There is at most one threshold row per KPI and calendar week, so that side is
-    small whatever the data (ten thousand weeks of ten KPIs are about 5 MB).
+    There is at most one threshold row per KPI and calendar week; Spark measures that side and chooses the join.
     """
     limits = robust(thresholds(base, p), p)
     quota = region_quota(org, p).select("store_nr", "region_manager", "max_red_flags")
-    with_limits = absolute_flags(base, p).join(F.broadcast(limits), ["iso_week", "kpi_id"], "left")
+    with_limits = absolute_flags(base, p).join(limits, ["iso_week", "kpi_id"], "left")
     return initial_level(with_limits.join(quota, "store_nr", "left"))
 
 

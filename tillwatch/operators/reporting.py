@@ -79,10 +79,9 @@ def inconsistent_weeks(df: DataFrame) -> DataFrame:
 def attach_week(df: DataFrame, weeks: DataFrame) -> DataFrame:
     """Replace the week by that of the run; rows of unknown runs drop out.
 
-    The map has one row per archived run, some fifty a year, while each run holds a
-    large share of the history: shuffling by run would leave a task per run.
+    The map has one row per archived run; Spark sees how small it is and sends it to the rows.
     """
-    return df.drop("iso_week").join(F.broadcast(weeks), "run_id")
+    return df.drop("iso_week").join(weeks, "run_id")
 
 
 def common_weeks(a: DataFrame, b: DataFrame, c: DataFrame, n: int) -> DataFrame:
@@ -94,7 +93,7 @@ def common_weeks(a: DataFrame, b: DataFrame, c: DataFrame, n: int) -> DataFrame:
 
 def in_weeks(df: DataFrame, weeks: DataFrame) -> DataFrame:
     """Rows of the look-back weeks, a list of at most ``n`` entries."""
-    return df.join(F.broadcast(weeks), "iso_week", "leftsemi")
+    return df.join(weeks, "iso_week", "leftsemi")
 
 
 def store_regions(org: DataFrame) -> DataFrame:

@@ -8,7 +8,8 @@ from typing import Any
 
 from pyspark.sql import DataFrame
 
-from tillwatch.operators import flagging, metrics, prep, quality
+from tillwatch.functions.columns import add_static_columns
+from tillwatch.operators import flagging, metrics, prep, quality, reporting
 from tillwatch.operators.scale import staged
 from tillwatch.params import Params
 from tillwatch.session import tune
@@ -20,6 +21,20 @@ from tillwatch.sources.readers import load_table
 
 ARCHIVED = ("anomalies", "cashier_stats", "org", "flags")
 
+# The quality gates of a weekly run.
+DEFAULT_CHECKS: dict[str, list[dict[str, Any]]] = {
+    "anomalies": [
+        {"type": "distinct_count", "name": "More than 175 stores must have anomalies", "column": "store_nr", "min_threshold": 175, "on_failure": "fail"},
+    ],
+    "flags": [
+        {"type": "distinct_count", "name": "More than 160 stores must have flags", "column": "store_nr", "min_threshold": 160, "on_failure": "fail"},
+        {"type": "stores_red_flag", "name": "More than 100 stores must have red flags", "column": "store_nr", "min_threshold": 100, "on_failure": "fail"},
+        {"type": "kpi_red_flag", "name": "Each KPI must have red flags", "on_failure": "warn"},
+        {"type": "kpi_orange_flag", "name": "Each KPI must have orange flags", "exempt": (2, 5), "on_failure": "warn"},
+        {"type": "row_count_drift", "on_failure": "warn", "comparison": {"type": "tolerance_percent", "value": 30}},
+    ],
+}
+
 Tables = Mapping[str, DataFrame]
 
 
@@ -69,14 +84,14 @@ def run_week(
     p: Params,
     store: Store | None = None,
     run: Run | None = None,
-    checks: Mapping[str, Sequence[Mapping[str, Any]]] | None = None,
+    checks: Mapping[str, Sequence[Mapping[str, Any]]] = DEFAULT_CHECKS,
 ) -> dict[str, DataFrame]:
     """Everything a week produces, by name.
 
     Tables that several steps use are written once, independent ones at the same time: to
-    the working zone of ``store`` or, without one, to the session's shared folder. With a store and a run the
-    quality checks gate the tables, and the results are archived and their drift
-    metrics committed.
+    the working zone of ``store`` or, without one, to the session's shared folder. ``checks`` gate the
+    tables ({} for none). With a store and a run the results are archived, the week of the run is noted in the small
+    table ``runs``, and drift metrics are committed; ``report_week`` goes on from there.
     """
     spark = tune(raw["receipt_header"].sparkSession)
 
@@ -87,7 +102,7 @@ def run_week(
         return load_table(spark, store, name, required=True)
 
     def gate(df: DataFrame, name: str) -> None:
-        specs = (checks or {}).get(name)
+        specs = checks.get(name)
         if specs:
             known = load_metrics(spark, store) if store is not None else None
             quality.run_checks(df, name, specs, known, run, store)
@@ -107,5 +122,7 @@ def run_week(
     if store is not None and run is not None:
         for name in ARCHIVED:
             archive_table(out[name], store, name, run)
+        week = reporting.run_weeks(*(add_static_columns(out[name], {"run_id": run.run_id}) for name in ("anomalies", "flags")))
+        archive_table(week.drop("run_id"), store, "runs", run)
         commit_metrics(spark, store, run.run_id)
     return out

@@ -594,6 +594,7 @@ _PLAIN = {
     "e.iso_week AND f.store_nr = e.store_nr AND f.kpi_id = e.kpi_id AND f.cashier_id = e.ServicerID)",
     "h03_weekly_documents": ENTRIES,
     "h04_write_documents": ENTRIES,
+    "week_documents": ENTRIES,
     "i01_iso_week": f"SELECT o_orderkey, strftime({DAY}, '%G-%V') AS week FROM orders",
     "i02_calendar_year_week": f"SELECT o_orderkey, year({DAY}) || '_' || strftime({DAY}, '%V') AS week FROM orders",
     "i03_iso_weeks_between": "SELECT o_orderkey, string_agg(week, ',' ORDER BY week) AS weeks FROM (SELECT DISTINCT "
@@ -623,4 +624,6 @@ _PLAIN = {
     f"FROM (SELECT c_custkey, c_custkey % 33 AS place, {CODES}[c_custkey % 33 + 1] AS code FROM customer)",
 }
 
+_PLAIN["week_report"] = _PLAIN["g24_headline"]
+
 ORACLES = {name: _with_views(sql) for name, sql in _PLAIN.items()}

@@ -16,6 +16,7 @@ from tillwatch.functions import calendar, columns, keys
 from tillwatch.operators import export, flagging, metrics, prep, quality, reporting
 from tillwatch.operators.scale import shared_folder, staged
 from tillwatch.params import DEFAULT_RULES, Params
+from tillwatch.plans.report import report_basis, report_week
 from tillwatch.plans.week import extract_week, prepare_week, run_week, week_metrics
 from tillwatch.projection import raw_tables
 from tillwatch.session import tune
@@ -126,34 +127,18 @@ class Week:
         return self.x["org"].withColumn("run_id", runs).withColumn("run_timestamp", F.col("run_id"))
 
     @cached_property
-    def run_weeks(self) -> DataFrame:
-        return reporting.run_weeks(self.past_details, self.past_flags)
+    def report(self) -> dict[str, DataFrame]:
+        return report_basis(self.past_details, self.past_flags, self.past_org, self.p, staged)
 
-    def _weekly(self, df: DataFrame) -> DataFrame:
-        return reporting.attach_week(df, self.run_weeks)
+    run_weeks = property(lambda self: self.report["run_weeks"])
+    weeks = property(lambda self: self.report["weeks"])
+    regions = property(lambda self: self.report["regions"])
+    found = property(lambda self: self.report["found"])
+    flagged = property(lambda self: self.report["flagged"])
+    dense = property(lambda self: self.report["dense"])
 
-    @cached_property
-    def weeks(self) -> DataFrame:
-        parts = [self._weekly(df) for df in (self.past_org, self.past_details, self.past_flags)]
-        return reporting.common_weeks(*parts, self.p.look_back_weeks)
-
-    @cached_property
-    def regions(self) -> DataFrame:
-        return reporting.store_regions(reporting.in_weeks(self._weekly(self.past_org), self.weeks))
-
-    @cached_property
-    def found(self) -> DataFrame:
-        recent = reporting.in_weeks(self._weekly(self.past_details), self.weeks)
-        return staged(reporting.anomalies_with_region(recent, self.regions), "anomalies-with-region")
-
-    @cached_property
-    def flagged(self) -> DataFrame:
-        recent = reporting.in_weeks(self._weekly(self.past_flags), self.weeks)
-        return reporting.flags_with_region(recent, self.regions)
-
-    @cached_property
-    def dense(self) -> DataFrame:
-        return staged(reporting.dense_flag_counts(self.flagged, self.regions), "flag-counts")
+    def past_by_week(self) -> list[DataFrame]:
+        return [self.report[f"by_week_{name}"] for name in ("org", "details", "flags")]
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -519,7 +504,7 @@ def e13_flag_cashiers(w):
 @query
 def week_flags(w):
     """The whole run, with every table that several steps read written once."""
-    return run_week(w.raw, w.p)["flags"]
+    return run_week(w.raw, w.p, checks={})["flags"]
 
 
 # -- quality ------------------------------------------------------------------
@@ -668,8 +653,7 @@ def g04_attach_week(w):
 
 @query
 def g05_common_weeks(w):
-    parts = [w._weekly(df) for df in (w.past_org, w.past_details, w.past_flags)]
-    return reporting.common_weeks(*parts, 1)
+    return reporting.common_weeks(*w.past_by_week(), 1)
 
 
 @query
@@ -679,7 +663,7 @@ def g06_store_regions(w):
 
 @query
 def g07_anomalies_with_region(w):
-    return reporting.anomalies_with_region(w._weekly(w.past_details), w.regions)
+    return reporting.anomalies_with_region(w.report["by_week_details"], w.regions)
 
 
 @query
@@ -818,6 +802,10 @@ def h03_weekly_documents(w):
 def h04_write_documents(w):
     path = f"{shared_folder(w.spark)}/documents-{uuid.uuid4().hex}"
     export.write_documents(export.weekly_documents(w.flags, w.anomalies), path)
+    return _entries(_read_documents(w, path))
+
+
+def _read_documents(w, path: str) -> DataFrame:
     kind = (
         "year int, weeknumber int, evaluation array<struct<StoreID: string, KPI: array<struct<KPITypeID: int, "
         "Anomalies: array<struct<ServicerID: int, AnomalyGrade: int>>, "
@@ -825,7 +813,26 @@ def h04_write_documents(w):
     )
     texts = w.spark.read.text(path)
     found = texts.select("document", F.from_json("value", kind).alias("doc")).select("document", "doc.*")
-    return _entries(found.drop("document"))
+    return found.drop("document")
+
+
+def _reported(w) -> tuple[dict[str, DataFrame], str]:
+    """Two weekly runs with a store of their own, the report over both and the folder of their documents."""
+    store = w.store()
+    for run_id, (start, end) in zip(RUNS.values(), (("2025-01-06", "2025-01-12"), ("2025-01-13", "2025-01-19"))):
+        run_week(w.raw, w.p.with_(start_date=start, end_date=end), store, Run(run_id, run_id), checks={})
+    path = f"{shared_folder(w.spark)}/documents-{uuid.uuid4().hex}"
+    return report_week(w.spark, store, w.p, path), path
+
+
+@query
+def week_report(w):
+    return _reported(w)[0]["headline"]
+
+
+@query
+def week_documents(w):
+    return _entries(_read_documents(w, _reported(w)[1]))
 
 
 # -- calendar and columns -----------------------------------------------------
