@@ -4,17 +4,12 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillwatch.operators.scale import shared_folder
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; where that is unset, as in tests, one beside the warehouse, which is then set."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_shared"
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
+__all__ = ["ascii_lower", "bucket_tasks", "kept", "shared_folder", "small_batches", "unused"]
 
 
 def kept(df: DataFrame, name: str) -> DataFrame:
@@ -25,6 +20,19 @@ def kept(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Rows of texts that go to a Python worker at once.
+BATCH_ROWS = 1000
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """Have the session hand texts to Python in batches of few rows: they are long, and several batches are in memory at a time."""
+    conf = df.sparkSession.conf
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(name)) <= BATCH_ROWS:
+        conf.set(name, str(BATCH_ROWS))
+    return df
+
+
 def ascii_lower(column):
     """A-Z as a-z; other letters stay."""
     return F.translate(column, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

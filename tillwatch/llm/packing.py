@@ -18,13 +18,14 @@ from __future__ import annotations
 import os
 import re
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import kept
+from .common import kept, small_batches
 
 SIZE = 2048
 END = 0
@@ -33,22 +34,36 @@ BUCKETS = 1024
 #: Texts are split here before they are tokenised: no token of a word tokenizer goes over a blank or a line's end.
 LETTERS = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
 #: Words whose ids a worker keeps, and the longest of them.
-KEPT_WORDS, LONGEST = 500_000, 40
+KEPT_WORDS, LONGEST = 250_000, 40
 GROUP = 1 << 20
 
 _workers: dict[str, tuple] = {}
 
 
 class Encoder:
-    """Ids of texts by a tokenizer that splits at white space; each different word is tokenised once as long as it is kept."""
+    """Ids of texts by a tokenizer that splits at white space; each different word is tokenised once as long as it is kept.
+
+    Words of letters, with or without marks behind them, take a shorter way: small letters straight to the
+    tokenizer's merges. That is right for tokenizers that lower-case and split letters from marks, which
+    is tried out once; others tokenise every word in full.
+    """
+
+    PROBES = ("The", "été", "ÀÉÎÕÜ", "ÿØß", "word,", "Word.", "what?!", "x", "Äpfel;", "internationalisation:")
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
+        letters = [chr(c) for c in range(0xC0, 0x100)]
+        split = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.spelled = {ord(c): split.pre_tokenize_str(c)[0][0] for c in letters}
         self.words: dict[str, bytes] = {}
         self.chunks: dict[str, bytes] = {"": b""}
+        self.short_way = True
+        self.short_way = list(self._learn(list(self.PROBES)).values()) == self._encode(list(self.PROBES))
+        self.words.clear()
 
     @classmethod
     def at(cls, path: str) -> Encoder:
@@ -57,15 +72,30 @@ class Encoder:
         return _workers[path]
 
     def _encode(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _merged(self, word: str) -> bytes:
+        """Ids of a word of small letters."""
+        spelled = word if word.isascii() else word.translate(self.spelled)
+        return array("I", [t.id for t in self.model.tokenize(spelled)]).tobytes()
 
     def _learn(self, missing: list[str]) -> dict[str, bytes]:
-        """Ids of chunks. Letters with a mark behind them are the letters' ids, in small letters, and the mark's."""
-        split = {c: m.groups() for c in missing if len(c) <= LONGEST and (m := LETTERS.fullmatch(c))}
-        wanted = list(dict.fromkeys(w for a, b in split.values() for w in (a.lower(), b) if w and w not in self.words))
-        self.words.update(zip(wanted, self._encode(wanted)))
-        out = {c: self.words[a.lower()] + (self.words[b] if b else b"") for c, (a, b) in split.items()}
-        rest = [c for c in missing if c not in split]
+        """Ids of chunks."""
+        out, rest = {}, []
+        for c in missing:
+            m = LETTERS.fullmatch(c) if self.short_way and len(c) <= LONGEST else None
+            if not m:
+                rest.append(c)
+                continue
+            a, b = m[1].lower(), m[2]
+            ids = self.words.get(a)
+            if ids is None:
+                ids = self.words[a] = self._merged(a)
+            if b:
+                if b not in self.words:
+                    self.words[b] = self._encode([b])[0]
+                ids += self.words[b]
+            out[c] = ids
         out.update(zip(rest, self._encode(rest)))
         return out
 
@@ -74,8 +104,10 @@ class Encoder:
         parts = [t.replace("\n", " ").split(" ") for t in texts]
         missing = list(set().union(*parts) - self.chunks.keys())
         if len(self.chunks) + len(missing) > KEPT_WORDS:
-            self.chunks, self.words = {"": b""}, {}
+            self.chunks = {"": b""}
             missing = list(set().union(*parts) - {""})
+        if len(self.words) > KEPT_WORDS:
+            self.words = {}
         new = self._learn(missing)
         self.chunks.update((c, ids) for c, ids in new.items() if len(c) <= LONGEST)
         have = new if any(len(c) > LONGEST for c in new) else self.chunks
@@ -86,7 +118,7 @@ class Encoder:
 
 def pieces(docs: DataFrame, tokenizer: str, size: int = SIZE) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 for every piece of every document."""
-    docs = docs.select("doc_id", "text")
+    docs = small_batches(docs.select("doc_id", "text"))
     end = np.array([END], dtype="<u4").tobytes()
 
     def run(batches):
