@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+import os
+import re
 import uuid
 
 import pytest
 from conftest import values
 from pyspark.sql import functions as F
 
-from tillwatch.operators import flagging, metrics
-from tillwatch.plans.week import run_week
+from tillwatch.operators import flagging, metrics, quality
+from tillwatch.plans.report import TooFewWeeks, recent_runs, report_week
+from tillwatch.plans.week import extract_week, run_week
 from tillwatch.sinks import quality_tables, tables
 from tillwatch.sinks.store import Run, Store
+from tillwatch.sources import extracts
 from workload.queries import PARAMS, Week
 
 SF = "/root/testdata/sf0.01"
@@ -45,6 +49,25 @@ def test_run_with_store_checks_and_history(spark, week, tmp_path):
     assert tables.history(spark, store, "flags").count() == 2 * week.flags.count()
     assert quality_tables.load_metrics(spark, store).count() == 2
     assert quality_tables.load_checks(spark, store).count() == 8
+    assert recent_runs(spark, store, PARAMS) and tables.history(spark, store, "runs").count() == 2
+    with pytest.raises(TooFewWeeks):  # both runs are of one week
+        report_week(spark, store, PARAMS)
+    pruned = tables.history(spark, store, "anomalies")
+    assert re.search(r"PartitionFilters: \[[^\]]*run_id", plan(pruned.filter(pruned["run_id"].isin(["20250120000000"]))))
+    with pytest.raises(quality.QualityError):  # twenty stores are too few for the default gates
+        run_week(week.raw, PARAMS, store, Run("20250203000000", "20250203000000"))
+
+
+def test_operators_write_nothing_when_built(spark, week):
+    before = sorted(os.listdir(spark.conf.get("spark.checkpoint.dir")))
+    extract_week(week.raw, PARAMS)
+    flagging.flag_cashiers(week.merged(), week.x["cashier_stats"], week.x["org"], PARAMS)
+    assert sorted(os.listdir(spark.conf.get("spark.checkpoint.dir"))) == before
+
+
+def test_originals_are_looked_up_without_an_aggregate_of_the_sales(week):
+    text = plan(extracts.originals_found(week.raw["receipt_line"], week.raw["location"], PARAMS))
+    assert text.count("HashAggregate") == 2 and "LeftSemi" in text  # the distinct names only
 
 
 def test_expected_counts(week):

@@ -145,10 +145,11 @@ def levels(base: DataFrame, org: DataFrame, p: Params) -> DataFrame:
 
 
 def rank_flags(df: DataFrame) -> DataFrame:
-    """Rank by level, then score, in the region and in the store of each week."""
+    """Rank by level, then score, in the region and in the store of each week; one count of the rows feeds both."""
     order = ["level", "kpi_score"]
-    in_region = competition_rank(df, ["iso_week", "region_manager"], order, "region_rank")
-    return competition_rank(in_region, ["iso_week", "store_nr"], order, "store_rank")
+    counted = df.groupBy("iso_week", "region_manager", "store_nr", *order).agg(F.count(F.lit(1)).alias("rows"))
+    in_region = competition_rank(df, ["iso_week", "region_manager"], order, "region_rank", counted)
+    return competition_rank(in_region, ["iso_week", "store_nr"], order, "store_rank", counted)
 
 
 def final_flags(df: DataFrame, p: Params) -> DataFrame:

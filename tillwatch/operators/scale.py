@@ -32,18 +32,22 @@ def same(left: DataFrame, right: DataFrame, names: Sequence[str], prefix: str) -
     return reduce(lambda a, b: a & b, [left[n].eqNullSafe(right[prefix + n]) for n in names])
 
 
-def competition_rank(df: DataFrame, group: Sequence[str], order: Sequence[str], out: str) -> DataFrame:
+def competition_rank(
+    df: DataFrame, group: Sequence[str], order: Sequence[str], out: str, counted: DataFrame | None = None
+) -> DataFrame:
     """SQL ``rank()`` by all of ``order`` descending, NULLs last, without a window over the rows.
 
     Tied rows share a rank, so only distinct values are ranked: rows are counted per
     value (combined before the shuffle), the running count over the values gives the
     rank, and the rank is joined back. A group with a third of all rows costs as
-    much as its distinct values.
+    much as its distinct values. ``counted`` are rows counted by these columns or more
+    (``rows``), for callers that rank in several groups.
     """
     names = [*group, *order]
     descending = [F.col(c).desc_nulls_last() for c in order]
     ahead = Window.partitionBy(*group).orderBy(*descending).rowsBetween(Window.unboundedPreceding, -1)
-    values = df.groupBy(*names).agg(F.count(F.lit(1)).alias("rows"))
+    counted = df.groupBy(*names).agg(F.count(F.lit(1)).alias("rows")) if counted is None else counted
+    values = counted.groupBy(*names).agg(F.sum("rows").alias("rows"))
     position = F.coalesce(F.sum("rows").over(ahead), F.lit(0)) + 1
     ranks = values.select(*[F.col(n).alias(f"ranked_{n}") for n in names], position.cast("int").alias(out))
     return df.join(ranks, same(df, ranks, names, "ranked_"), "left").drop(*[f"ranked_{n}" for n in names])
