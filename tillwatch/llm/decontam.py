@@ -26,6 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from .common import small_batches
 from .wordhash import BASE, Words, find, groups, mix, words
 
 SIZE, THRESHOLD, LITERAL = 5, 0.8, 3
@@ -179,7 +180,7 @@ def indexes(benchmark: DataFrame, size: int, literal: int, threshold: float, blo
 
 def leaks(docs: DataFrame, benchmark: DataFrame, size: int = SIZE, threshold: float = THRESHOLD, literal: int = LITERAL, block: int = 4_000_000) -> DataFrame:
     """One row per document and item found in it: doc_id, item_id, containment, as_template."""
-    docs = docs.select("doc_id", "text")
+    docs = small_batches(docs.select("doc_id", "text"))
     kinds = dict(docs.dtypes)["doc_id"], dict(benchmark.dtypes)["item_id"]
     names = ["doc_id", "item_id", "containment", "as_template"]
     schema = f"doc_id {kinds[0]}, item_id {kinds[1]}, containment double, as_template boolean"
@@ -202,7 +203,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, size: int = SIZE, threshold: fl
 
 def clean(docs: DataFrame, benchmark: DataFrame, size: int = SIZE, threshold: float = THRESHOLD, literal: int = LITERAL, block: int = 4_000_000) -> DataFrame:
     """The documents, all columns, in which no item is found."""
-    at = docs.columns.index("text")
+    at = small_batches(docs).columns.index("text")
 
     def without(index: Index):
         def run(batches):

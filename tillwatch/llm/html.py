@@ -21,6 +21,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from .common import small_batches
+
 TAG = re.compile(
     r"""<!--(?:.*?-->|.*\Z)|<[!?][^>]*+>|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*+)(?P<attr>(?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(?P<close2>/?)(?P<name2>[a-zA-Z][^\s/>]*+)(?P<attr2>[^>]*+)>""",
     re.DOTALL,
@@ -212,7 +214,7 @@ def main_text(page: str, tree: Node) -> str:
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars of every row of page_id, url, html."""
     tree = grow(np.array(LABELLED, dtype=float))
-    pages = pages.select("page_id", "url", "html")
+    pages = small_batches(pages.select("page_id", "url", "html"))
     kinds = dict(pages.dtypes)
 
     def run(batches):

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from .common import bucket_tasks, kept, unused
+from .common import bucket_tasks, kept, small_batches, unused
 from .components import components
 
 SEED = 42
@@ -57,7 +57,7 @@ def fingerprint(text: str, size: int = 3) -> int:
 
 def fingerprints(docs: DataFrame, column: str = "fingerprint", size: int = 3, text: bool = False) -> DataFrame:
     """All columns of ``docs``, with or without ``text``, and the fingerprint of its text as a signed number (replacing a column of that name)."""
-    docs = docs.drop(column)
+    docs = small_batches(docs.drop(column))
     names = [c for c in docs.columns if text or c != "text"]
 
     def run(batches):

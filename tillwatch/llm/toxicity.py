@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import kept
+from .common import kept, small_batches
 from .wordhash import find, groups, words
 
 #: Bytes that make up the expressions of a word before the whole of it.
@@ -158,6 +158,7 @@ def _distinct(batches):
 
 def fit(docs: DataFrame, labels: DataFrame, learn: Column | None = None, bounds: Bounds = Bounds(), window: int = 4) -> Model:
     """The two models and the curve. ``learn`` says which rows of ``labels`` may be learned from."""
+    small_batches(docs)
     sample = kept(labelled(docs, labels, F.lit(True) if learn is None else learn, bounds), "toxicity-sample")
     counts = sample.where(~F.col("curve")).select("toxic", "text").repartition(6).mapInArrow(_chains, "level int, context long, key long, toxic long, ordinary long")
     rows = counts.groupBy("level", "context", "key").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary")).toArrow()
@@ -248,7 +249,7 @@ def score(docs: DataFrame, model: Model, column: str = "toxicity") -> DataFrame:
     """All columns of ``docs``, and the score of its ``text`` as ``column`` (which replaces one of that name)."""
     from pyspark.sql.types import DoubleType, StructField, StructType
 
-    docs = docs.drop(column)
+    docs = small_batches(docs.drop(column))
     schema = StructType([*docs.schema.fields, StructField(column, DoubleType())])
     at = docs.columns.index("text")
 

@@ -18,7 +18,7 @@ INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 #: Bytes that are hashed at once; a longer word makes its block longer.
 BLOCK = 1 << 19
 #: Texts are taken in groups of about this many bytes.
-GROUP = 4 << 20
+GROUP = 1 << 20
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
