@@ -29,10 +29,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import kept
+from .common import kept, small_batches
 from .wordhash import BASE, INVERSE, mix, powers
 
-LENGTH, GRAM, HOT = 400, 24, 8192
+LENGTH, GRAM, HOT = 400, 24, 2048
 #: Bytes of a text that are cut into segments at once, and of segments that are sorted together.
 AT_ONCE, BLOCK = 1 << 20, 2 << 20
 BASE2 = np.uint64(0xD1342543DE82EF95)
@@ -97,8 +97,8 @@ def _cut(length: int, gram: int):
                     c.append(v)
             row, anchor, content, first, last = (np.concatenate(c) if c else np.zeros(0, np.int64) for c in found)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc").take(pa.array(row, pa.int64())), pa.array(anchor.view(np.int64)), pa.array(content.view(np.int64)), pa.array(first.astype(np.int64)), pa.array((last - first).astype(np.int32))],
-                names=["doc", "anchor", "content", "first", "more"],
+                [batch.column("doc").take(pa.array(row, pa.int64())), pa.array(anchor.view(np.int64)), pa.array(content.view(np.int64)), pa.array(first.astype(np.int64)), pa.array((last - first).astype(np.int32)), batch.column("copies").take(pa.array(row, pa.int64()))],
+                names=["doc", "anchor", "content", "first", "more", "copies"],
             )
 
     return run
@@ -307,7 +307,7 @@ def _removed(length: int):
 
 def distinct_texts(docs: DataFrame) -> DataFrame:
     """doc (key), text, copies of each text, bucketed by key: later joins on it don't move texts."""
-    spark = docs.sparkSession
+    spark = small_batches(docs).sparkSession
     rows = docs.select(key(F.col("text")).alias("doc"), F.coalesce("text", F.lit("")).alias("text"))
     rows = rows.groupBy("doc").agg(F.first("text").alias("text"), F.count(F.lit(1)).alias("copies"))
     name = f"texts_{uuid.uuid4().hex}"
@@ -317,10 +317,12 @@ def distinct_texts(docs: DataFrame) -> DataFrame:
 
 def repeated_windows(texts: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT) -> DataFrame:
     """doc, spans (first window of a segment; first, last, ... of its repeated windows, from there) of the texts that have any."""
-    cut = kept(texts.select("doc", "text").mapInArrow(_cut(length, gram), "doc binary, anchor long, content long, first long, more int"), "segments")
+    cut = kept(texts.select("doc", "text", "copies").mapInArrow(_cut(length, gram), "doc binary, anchor long, content long, first long, more int, copies long"), "segments")
     one = F.min(F.struct("doc", "first", "more")).alias("one")
-    kinds = kept(cut.groupBy("anchor", "content").agg(F.count(F.lit(1)).alias("n"), one), "segment-kinds")
-    met = kept(kinds.groupBy("anchor").agg(F.count(F.lit(1)).alias("different")).where("different > 1"), "anchors")
+    kinds = kept(cut.groupBy("anchor", "content").agg(F.sum("copies").alias("n"), one), "segment-kinds")
+    # segments that occur twice are repeated as a whole; only those that occur once need be compared, with all of their anchor
+    met = kinds.groupBy("anchor").agg(F.count(F.lit(1)).alias("different"), F.min("n").alias("least"))
+    met = kept(met.where("different > 1 AND least = 1").drop("least"), "anchors")
     mixed = kinds.join(met, "anchor").select("anchor", "content", "n", "one.*", (F.col("different") > hot).alias("hot"))
     wanted = mixed.groupBy("doc").agg(F.collect_list(F.struct("anchor", "content", "hot", "first", "more")).alias("wanted"))
     fetched = texts.select("doc", "text").join(wanted.hint("shuffle_hash"), "doc").select("text", "wanted")
