@@ -42,9 +42,11 @@ def with_roles(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
     """page_id, url, payload, digest, n_bytes, refers_to (null for responses)."""
     payload = F.coalesce("html", F.lit(""))
     rows = pages.select("page_id", "url", payload.alias("payload"), base32_sha1(payload.cast("binary")).alias("digest"), F.octet_length(payload).cast("long").alias("n_bytes"))
-    last = kept(rows.groupBy("digest").agg(F.max("page_id").alias("last")), "payloads")
-    revisits = (F.col("n_bytes") >= least_bytes) & ~F.col("page_id").eqNullSafe(F.col("last"))
-    return rows.join(last, "digest").select("page_id", "url", "payload", "digest", "n_bytes", F.when(revisits, F.col("last")).alias("refers_to"))
+    # only payloads that repeat; where these are few, Spark sends them to the pages instead of shuffling payloads
+    last = rows.groupBy("digest").agg(F.max("page_id").alias("last"), F.count(F.lit(1)).alias("n"))
+    last = kept(last.where("n > 1").select("digest", "last"), "payloads")
+    revisits = (F.col("n_bytes") >= least_bytes) & F.col("last").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("last"))
+    return rows.join(last, "digest", "left").select("page_id", "url", "payload", "digest", "n_bytes", F.when(revisits, F.col("last")).alias("refers_to"))
 
 
 def record(page_id="page_id") -> Column:
