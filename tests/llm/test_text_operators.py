@@ -231,6 +231,16 @@ def test_slots_must_agree(spark):
     assert [r["doc_id"] for r in decontam.leaks(docs, bench).collect()] == [1]
 
 
+def test_windows_dense_in_slots(spark):
+    item = "On Monday Tom paid 12 dollars and Sara paid 15 dollars to Mr Brown for 3 kg of tea and 4 kg of rice."
+    good = "On Friday Ann paid 27 euros and Jill paid 31 euros to Mr Green for 6 pounds of tea and 8 pounds of rice."
+    bad = good.replace("31 euros", "31 cents")
+    table = "row 1 2 3 4 5 17 28 39 40 51 62"
+    docs = spark.createDataFrame([(1, f"so {good} end"), (2, bad), (3, table.replace("7", "9").replace("6", "8"))], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, item), (2, table)], "item_id long, text string")
+    assert [tuple(r) for r in decontam.leaks(docs, bench).collect()] == [(1, 1, 1.0, True)]
+
+
 def test_decontamination_brute(spark):
     docs, bench = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "benchmark"))
     norm = lambda t: re.findall("[a-z0-9\x80-\U0010ffff]+", t.lower())

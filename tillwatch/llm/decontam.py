@@ -2,11 +2,13 @@
 
 Words of either side are taken plainly and as templates: a number, a unit behind a number and a
 name (a capitalised word within a sentence) become typed placeholders. Windows of ``size`` words are
-hashed; a document's window meets an item's where the plain or the template forms are equal.
-Template windows need ``literal`` words that are not placeholders. An item is found in a document if
-``threshold`` of its windows are met. Where template windows take part, slots must be consistent:
-along one alignment, a value of the item has one value in the document, else the
-alignment's template windows don't count.
+hashed; a document's window meets an item's where the plain forms are equal, or the template forms
+within a stretch of equal words and placeholders that holds ``literal`` words which are no placeholders.
+To find such stretches, a template window with fewer of these words is hashed up to the word that makes
+them enough; then item and document are compared word by word along the alignment. An item is found in a
+document if ``threshold`` of its windows are met. Slots must be consistent: along one alignment, a value
+of the item has one value in the document, else the alignment's template windows don't count. Items
+with fewer than ``literal`` such words in all are found plainly only.
 
 Items are taken in blocks of at most ``block`` characters; all documents are read once for
 each block, so what goes to the tasks has a bound, and a larger benchmark takes more passes.
@@ -27,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from .common import small_batches
-from .wordhash import BASE, Words, find, groups, mix, words
+from .wordhash import BASE, INVERSE, Words, find, groups, mix, powers, words
 
 SIZE, THRESHOLD, LITERAL = 5, 0.8, 3
 #: Words that are a unit behind a number.
@@ -48,10 +50,10 @@ _numeric[list(b"0123456789.,")] = True
 _weights = np.array([pow(int(BASE), k + 1, 1 << 64) for k in range(64)], dtype=np.uint64)
 
 
-def template(w: Words) -> tuple[np.ndarray, np.ndarray]:
-    """(hashes with placeholders, which words are placeholders)."""
+def template(w: Words) -> np.ndarray:
+    """The placeholder of each word, or 0."""
     if not len(w.hash):
-        return w.hash, np.zeros(0, dtype=bool)
+        return w.hash
     numeric = np.concatenate(([0], np.cumsum(_numeric[w.raw])))
     number = numeric[w.end] - numeric[w.start] == w.end - w.start
     first = np.zeros(len(w.hash), dtype=bool)
@@ -64,8 +66,7 @@ def template(w: Words) -> tuple[np.ndarray, np.ndarray]:
     begins[1:] |= stops[w.start[1:]] > stops[w.end[:-1]]
     head, second = w.raw[w.start], w.raw[np.minimum(w.start + 1, len(w.raw) - 1)]
     name = ~begins & (head >= 65) & (head <= 90) & (w.end - w.start > 1) & (second >= 97) & (second <= 122)
-    out = np.where(number, NUMBER, np.where(unit, UNIT, np.where(name, NAME, w.hash)))
-    return out, number | unit | name
+    return np.where(number, NUMBER, np.where(unit, UNIT, np.where(name, NAME, np.uint64(0))))
 
 
 def windows(hashes: np.ndarray, bounds: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -86,6 +87,27 @@ def windows(hashes: np.ndarray, bounds: np.ndarray, size: int) -> tuple[np.ndarr
     return mix(np.concatenate([total, brief])), np.concatenate([whole, short])
 
 
+def forms(w: Words, kind: np.ndarray, size: int, literal: int) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, first word) of each template window: ``size`` words, or as many more as hold ``literal`` others than placeholders; a shorter text has one at most."""
+    slot = kind > 0
+    start = np.arange(len(slot))
+    last = np.repeat(w.bounds[1:], np.diff(w.bounds))
+    other = np.flatnonzero(~slot)
+    nth = np.cumsum(~slot) - ~slot + max(literal, 1) - 1
+    end = np.full(len(slot), len(slot) + 1)
+    end[nth < len(other)] = other[nth[nth < len(other)]] + 1
+    short = np.repeat(np.diff(w.bounds) < size, np.diff(w.bounds))
+    end = np.where(short, np.where(end <= last, last, end), np.maximum(end, start + size))
+    keep = (end <= last) & (~short | (start == np.repeat(w.bounds[:-1], np.diff(w.bounds))))
+    start, end, short = start[keep], end[keep], short[keep]
+    held = np.concatenate(([0], np.cumsum(slot)))
+    some = held[end] > held[start]
+    start, end, short = start[some], end[some], short[some]
+    total = np.zeros(len(slot) + 1, np.uint64)
+    np.cumsum(np.where(slot, kind, w.hash) * powers(len(slot)), out=total[1:])
+    return mix((total[end] - total[start]) * powers(len(slot) + 1, INVERSE)[start] + (2 * (end - start) + short).astype(np.uint64)), start
+
+
 @dataclass
 class Index:
     """Windows of a block of items: sorted hashes, and for each the item's row and first word; ``typed`` where the template form was taken."""
@@ -97,7 +119,7 @@ class Index:
     typed: np.ndarray
     count: np.ndarray
     word: np.ndarray
-    slot: np.ndarray
+    kind: np.ndarray
     bounds: np.ndarray
     size: int
     literal: int
@@ -106,17 +128,14 @@ class Index:
     @classmethod
     def of(cls, ids: pa.Array, texts: pa.Array, size: int, literal: int, threshold: float) -> Index:
         w = words(texts)
-        typed, slot = template(w)
+        kind = template(w)
         plain, at = windows(w.hash, w.bounds, size)
-        form, _ = windows(typed, w.bounds, size)
-        held = np.concatenate(([0], np.cumsum(slot)))
-        inside = held[np.minimum(at + size, len(slot))] - held[at]
-        other = (inside > 0) & (size - inside >= literal)
-        hashes, starts = np.concatenate([plain, form[other]]), np.concatenate([at, at[other]])
-        kinds = np.concatenate([np.zeros(len(plain), bool), np.ones(int(other.sum()), bool)])
+        form, start = forms(w, kind, size, literal)
+        hashes, starts = np.concatenate([plain, form]), np.concatenate([at, start])
+        kinds = np.concatenate([np.zeros(len(plain), bool), np.ones(len(form), bool)])
         order = np.argsort(hashes, kind="stable")
         row = w.doc[starts[order]] if len(order) else np.zeros(0, np.int64)
-        return cls(ids, hashes[order], row, starts[order], kinds[order], np.bincount(w.doc[at], minlength=len(ids)) if len(at) else np.zeros(len(ids), int), w.hash, slot, w.bounds, size, literal, threshold)
+        return cls(ids, hashes[order], row, starts[order], kinds[order], np.bincount(w.doc[at], minlength=len(ids)) if len(at) else np.zeros(len(ids), int), w.hash, kind, w.bounds, size, literal, threshold)
 
     def matches(self, texts: pa.Array) -> Iterator[tuple[int, int, float, bool]]:
         """(row of the texts, row of the items, share of the item's windows, only as a template) of each item found."""
@@ -124,43 +143,48 @@ class Index:
         left, right = np.searchsorted(self.hash, keys), np.searchsorted(self.hash, keys, side="right")
         for base, part in groups(texts):
             w = words(part)
-            typed, slot = template(w)
-            plain, at = windows(w.hash, w.bounds, self.size)
-            form, _ = windows(typed, w.bounds, self.size)
-            pairs = defaultdict(list)
-            for hashes, is_form in ((plain, False), (form, True)):
+            kind = template(w)
+            met, lines = defaultdict(set), defaultdict(set)
+            for (hashes, at), is_form in ((windows(w.hash, w.bounds, self.size), False), (forms(w, kind, self.size, self.literal), True)):
                 key = find(keys, hashes)
                 hit = np.flatnonzero(key >= 0)
                 n = (right - left)[key[hit]]
                 entry = np.repeat(left[key[hit]], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
                 own = at[np.repeat(hit, n)]
                 fits = self.typed[entry] == is_form
-                for d, e, q in zip(w.doc[own[fits]].tolist(), entry[fits].tolist(), own[fits].tolist()):
-                    pairs[d, int(self.row[e])].append((e, q))
-            for (d, item), found in pairs.items():
-                share, only = self._share(item, found, w)
-                if share >= self.threshold - 1e-9:
-                    yield base + d, item, share, only
-
-    def _share(self, item: int, found: list[tuple[int, int]], w: Words) -> tuple[float, bool]:
-        """Share of the item's windows that are met, after the slots have been checked."""
-        plain = {int(self.at[e]) for e, _ in found if not self.typed[e]}
-        lines = defaultdict(list)
-        for e, q in found:
-            if self.typed[e]:
-                lines[q - int(self.at[e])].append(int(self.at[e]))
-        met = set(plain)
-        for shift, starts in lines.items():
-            value: dict[int, int] = {}
-            good = True
-            for x in {s + k for s in starts for k in range(self.size)}:
-                if self.slot[x]:
-                    u = int(w.hash[x + shift])
-                    good &= value.setdefault(int(self.word[x]), u) == u
-            if good:
-                met.update(starts)
-        n = int(self.count[item])
-        return len(met) / n, len(plain) / n < self.threshold - 1e-9
+                entry, own = entry[fits], own[fits]
+                for d, item, x, q in zip(w.doc[own].tolist(), self.row[entry].tolist(), self.at[entry].tolist(), own.tolist()):
+                    lines[d, item].add(q - x)
+                    if not is_form:
+                        met[d, item].add(x)
+            for (d, item), shifts in lines.items():
+                count, own = int(self.count[item]), met[d, item]
+                found = set(own)
+                if len(own) < count:
+                    for shift in shifts:
+                        found |= self._along(item, d, shift, w, kind)
+                if len(found) / count >= self.threshold - 1e-9:
+                    yield base + d, item, len(found) / count, len(own) / count < self.threshold - 1e-9
+
+    def _along(self, item: int, d: int, shift: int, w: Words, kind: np.ndarray) -> set[int]:
+        """The item's windows that are met ``shift`` words further on in the texts, as templates; none if slots are inconsistent."""
+        first, last = int(self.bounds[item]), int(self.bounds[item + 1])
+        a, b = max(first, int(w.bounds[d]) - shift), min(last, int(w.bounds[d + 1]) - shift)
+        own, other, slot = self.word[a:b], w.hash[a + shift : b + shift], self.kind[a:b] > 0
+        same = (own == other) | (slot & (self.kind[a:b] == kind[a + shift : b + shift]))
+        edge = np.flatnonzero(np.diff(np.concatenate(([False], same, [False])).astype(np.int8)))
+        fixed = np.concatenate(([0], np.cumsum(same & ~slot)))
+        size = min(self.size, last - first)
+        value: dict[int, int] = {}
+        out: set[int] = set()
+        for s, e in zip(edge[::2].tolist(), edge[1::2].tolist()):
+            if e - s >= size and fixed[e] - fixed[s] >= self.literal:
+                held = slot[s:e]
+                for x, u in zip(own[s:e][held].tolist(), other[s:e][held].tolist()):
+                    if value.setdefault(x, u) != u:
+                        return set()
+                out.update(range(a + s, a + e - size + 1))
+        return out
 
 
 def indexes(benchmark: DataFrame, size: int, literal: int, threshold: float, block: int) -> Iterator[Index]:
