@@ -241,6 +241,30 @@ def test_windows_dense_in_slots(spark):
     assert [tuple(r) for r in decontam.leaks(docs, bench).collect()] == [(1, 1, 1.0, True)]
 
 
+def test_names_at_sentence_starts_and_glued_units(spark):
+    items = [
+        (1, "Alice has 12 apples. Bob has 5 more apples than Alice. Carol has twice as many apples as Bob. How many apples do they have together?"),
+        (2, "A tank holds 50kg of rice and loses 3kg every day for 12 days. How much rice is left in the tank?"),
+        (3, 'Riddle:\nAnna said: "Peter ran 3x as far as I did." Mr. Brown thinks that is wrong. Who is right?'),
+    ]
+    texts = [
+        (1, "Emma has 31 apples. Liam has 9 more apples than Emma. Noah has twice as many apples as Liam. How many apples do they have together?"),
+        (2, "Note. A tank holds 80 kg of rice and loses 4kg every day for 15 days. How much rice is left in the tank?"),
+        (3, 'Riddle:\nLaura said: "Simon ran 7x as far as I did." Mr. Green thinks that is wrong. Who is right?'),
+        (4, "Emma has 31 apples. Liam has 9 more apples than Zoe. Noah has twice as many apples as Liam. How many apples do they have together?"),
+        (5, "Alice has 31 apples. Liam has 9 more apples than Emma. Noah has twice as many apples as Liam. How many apples do they have together?"),
+        (6, "so Emma has 31 apples; Liam has 9 more apples than Emma; Noah has twice as many apples as Liam; how many apples do they have together"),
+    ]
+    docs, bench = spark.createDataFrame(texts, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    assert sorted(tuple(r) for r in decontam.leaks(docs, bench).collect()) == [(1, 1, 1.0, True), (2, 2, 1.0, True), (3, 3, 1.0, True), (6, 1, 1.0, True)]
+
+
+def test_numbers_are_parted_from_letters():
+    w = words(pa.array(["50kg 3.5x, x2y", None, "1,000 a"]), split=True)
+    assert [bytes(w.raw[a:b]).decode() for a, b in zip(w.start, w.end)] == ["50", "kg", "3.5", "x", "x", "2", "y", "1,000", "a"]
+    assert w.bounds.tolist() == [0, 7, 7, 9] and w.hash[3] == w.hash[4]
+
+
 def test_decontamination_brute(spark):
     docs, bench = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "benchmark"))
     norm = lambda t: re.findall("[a-z0-9\x80-\U0010ffff]+", t.lower())

@@ -1,7 +1,9 @@
 """Benchmark passages in documents, also with other numbers, names or units.
 
 Words of either side are taken plainly and as templates: a number, a unit behind a number and a
-name (a capitalised word within a sentence) become typed placeholders. Windows of ``size`` words are
+name (a capitalised word) become typed placeholders; digits are parted from letters glued to them.
+A capitalised word that begins a sentence may be a name or not: windows with one have both forms, and
+along an alignment it is a name where the words differ. Windows of ``size`` words are
 hashed; a document's window meets an item's where the plain forms are equal, or the template forms
 within a stretch of equal words and placeholders that holds ``literal`` words which are no placeholders.
 To find such stretches, a template window with fewer of these words is hashed up to the word that makes
@@ -50,10 +52,10 @@ _numeric[list(b"0123456789.,")] = True
 _weights = np.array([pow(int(BASE), k + 1, 1 << 64) for k in range(64)], dtype=np.uint64)
 
 
-def template(w: Words) -> np.ndarray:
-    """The placeholder of each word, or 0."""
+def template(w: Words) -> tuple[np.ndarray, np.ndarray]:
+    """(the placeholder of each word, or 0; which of the others may be names, as they begin a sentence)."""
     if not len(w.hash):
-        return w.hash
+        return w.hash, np.zeros(0, dtype=bool)
     numeric = np.concatenate(([0], np.cumsum(_numeric[w.raw])))
     number = numeric[w.end] - numeric[w.start] == w.end - w.start
     first = np.zeros(len(w.hash), dtype=bool)
@@ -65,8 +67,8 @@ def template(w: Words) -> np.ndarray:
     begins = first.copy()
     begins[1:] |= stops[w.start[1:]] > stops[w.end[:-1]]
     head, second = w.raw[w.start], w.raw[np.minimum(w.start + 1, len(w.raw) - 1)]
-    name = ~begins & (head >= 65) & (head <= 90) & (w.end - w.start > 1) & (second >= 97) & (second <= 122)
-    return np.where(number, NUMBER, np.where(unit, UNIT, np.where(name, NAME, np.uint64(0))))
+    name = ~number & ~unit & (head >= 65) & (head <= 90) & (w.end - w.start > 1) & (second >= 97) & (second <= 122)
+    return np.where(number, NUMBER, np.where(unit, UNIT, np.where(name & ~begins, NAME, np.uint64(0)))), name & begins
 
 
 def windows(hashes: np.ndarray, bounds: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -87,8 +89,14 @@ def windows(hashes: np.ndarray, bounds: np.ndarray, size: int) -> tuple[np.ndarr
     return mix(np.concatenate([total, brief])), np.concatenate([whole, short])
 
 
-def forms(w: Words, kind: np.ndarray, size: int, literal: int) -> tuple[np.ndarray, np.ndarray]:
-    """(hash, first word) of each template window: ``size`` words, or as many more as hold ``literal`` others than placeholders; a shorter text has one at most."""
+def both_forms(w: Words, kind: np.ndarray, maybe: np.ndarray, size: int, literal: int) -> tuple[np.ndarray, np.ndarray]:
+    """Template windows, and further those that differ if words that may be names are."""
+    one, two = forms(w, kind, kind > 0, size, literal), forms(w, np.where(maybe, NAME, kind), maybe, size, literal)
+    return np.concatenate([one[0], two[0]]), np.concatenate([one[1], two[1]])
+
+
+def forms(w: Words, kind: np.ndarray, wanted: np.ndarray, size: int, literal: int) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, first word) of each template window with a wanted word: ``size`` words, or as many more as hold ``literal`` others than placeholders; a shorter text has one at most."""
     slot = kind > 0
     start = np.arange(len(slot))
     last = np.repeat(w.bounds[1:], np.diff(w.bounds))
@@ -100,7 +108,7 @@ def forms(w: Words, kind: np.ndarray, size: int, literal: int) -> tuple[np.ndarr
     end = np.where(short, np.where(end <= last, last, end), np.maximum(end, start + size))
     keep = (end <= last) & (~short | (start == np.repeat(w.bounds[:-1], np.diff(w.bounds))))
     start, end, short = start[keep], end[keep], short[keep]
-    held = np.concatenate(([0], np.cumsum(slot)))
+    held = np.concatenate(([0], np.cumsum(wanted)))
     some = held[end] > held[start]
     start, end, short = start[some], end[some], short[some]
     total = np.zeros(len(slot) + 1, np.uint64)
@@ -120,6 +128,7 @@ class Index:
     count: np.ndarray
     word: np.ndarray
     kind: np.ndarray
+    maybe: np.ndarray
     bounds: np.ndarray
     size: int
     literal: int
@@ -127,25 +136,26 @@ class Index:
 
     @classmethod
     def of(cls, ids: pa.Array, texts: pa.Array, size: int, literal: int, threshold: float) -> Index:
-        w = words(texts)
-        kind = template(w)
+        w = words(texts, split=True)
+        kind, maybe = template(w)
         plain, at = windows(w.hash, w.bounds, size)
-        form, start = forms(w, kind, size, literal)
+        form, start = both_forms(w, kind, maybe, size, literal)
         hashes, starts = np.concatenate([plain, form]), np.concatenate([at, start])
         kinds = np.concatenate([np.zeros(len(plain), bool), np.ones(len(form), bool)])
         order = np.argsort(hashes, kind="stable")
         row = w.doc[starts[order]] if len(order) else np.zeros(0, np.int64)
-        return cls(ids, hashes[order], row, starts[order], kinds[order], np.bincount(w.doc[at], minlength=len(ids)) if len(at) else np.zeros(len(ids), int), w.hash, kind, w.bounds, size, literal, threshold)
+        return cls(ids, hashes[order], row, starts[order], kinds[order], np.bincount(w.doc[at], minlength=len(ids)) if len(at) else np.zeros(len(ids), int), w.hash, kind, maybe, w.bounds, size, literal, threshold)
 
     def matches(self, texts: pa.Array) -> Iterator[tuple[int, int, float, bool]]:
         """(row of the texts, row of the items, share of the item's windows, only as a template) of each item found."""
         keys = np.unique(self.hash)
         left, right = np.searchsorted(self.hash, keys), np.searchsorted(self.hash, keys, side="right")
         for base, part in groups(texts):
-            w = words(part)
-            kind = template(w)
+            w = words(part, split=True)
+            kind, maybe = template(w)
+            named = (kind == NAME) | maybe
             met, lines = defaultdict(set), defaultdict(set)
-            for (hashes, at), is_form in ((windows(w.hash, w.bounds, self.size), False), (forms(w, kind, self.size, self.literal), True)):
+            for (hashes, at), is_form in ((windows(w.hash, w.bounds, self.size), False), (both_forms(w, kind, maybe, self.size, self.literal), True)):
                 key = find(keys, hashes)
                 hit = np.flatnonzero(key >= 0)
                 n = (right - left)[key[hit]]
@@ -162,18 +172,20 @@ class Index:
                 found = set(own)
                 if len(own) < count:
                     for shift in shifts:
-                        found |= self._along(item, d, shift, w, kind)
+                        found |= self._along(item, d, shift, w, kind, named)
                 if len(found) / count >= self.threshold - 1e-9:
                     yield base + d, item, len(found) / count, len(own) / count < self.threshold - 1e-9
 
-    def _along(self, item: int, d: int, shift: int, w: Words, kind: np.ndarray) -> set[int]:
+    def _along(self, item: int, d: int, shift: int, w: Words, kind: np.ndarray, named: np.ndarray) -> set[int]:
         """The item's windows that are met ``shift`` words further on in the texts, as templates; none if slots are inconsistent."""
         first, last = int(self.bounds[item]), int(self.bounds[item + 1])
         a, b = max(first, int(w.bounds[d]) - shift), min(last, int(w.bounds[d + 1]) - shift)
-        own, other, slot = self.word[a:b], w.hash[a + shift : b + shift], self.kind[a:b] > 0
-        same = (own == other) | (slot & (self.kind[a:b] == kind[a + shift : b + shift]))
+        own, other, slot, maybe = self.word[a:b], w.hash[a + shift : b + shift], self.kind[a:b] > 0, self.maybe[a:b]
+        name = maybe | (self.kind[a:b] == NAME)
+        same = (own == other) | (slot & (self.kind[a:b] == kind[a + shift : b + shift])) | (name & named[a + shift : b + shift])
         edge = np.flatnonzero(np.diff(np.concatenate(([False], same, [False])).astype(np.int8)))
-        fixed = np.concatenate(([0], np.cumsum(same & ~slot)))
+        fixed = np.concatenate(([0], np.cumsum((own == other) & ~slot)))
+        slot = slot | maybe
         size = min(self.size, last - first)
         value: dict[int, int] = {}
         out: set[int] = set()

@@ -1,7 +1,7 @@
 """Words of many texts as hashed numbers, without a Python loop over words.
 
 Words are runs of ASCII letters, digits and bytes from 0x80 up; a '.' or ',' between two
-digits belongs to the number. ASCII and Latin-1 capitals count as small letters. A word's
+digits belongs to the number. Where asked for, digits and what is glued to them are words of their own. ASCII and Latin-1 capitals count as small letters. A word's
 hash is the polynomial of its bytes modulo 2^64, mixed: equal on every machine.
 """
 
@@ -86,8 +86,8 @@ def groups(texts: pa.Array, size: int = GROUP) -> Iterator[tuple[int, pa.Array]]
         at = to
 
 
-def words(texts: pa.Array, prefixes: tuple[int, ...] = ()) -> Words:
-    """All words of the texts, in order."""
+def words(texts: pa.Array, prefixes: tuple[int, ...] = (), split: bool = False) -> Words:
+    """All words of the texts, in order; ``split`` parts numbers from letters ('50kg')."""
     raw, starts = text_bytes(texts)
     inside = WORD[raw]
     if len(raw) > 2:
@@ -95,6 +95,10 @@ def words(texts: pa.Array, prefixes: tuple[int, ...] = ()) -> Words:
         inside[1:-1] |= ((raw[1:-1] == 46) | (raw[1:-1] == 44)) & digit[:-2] & digit[2:]
     edge = np.diff(np.concatenate(([False], inside, [False])).astype(np.int8))
     start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    if split and len(raw):
+        digit = DIGIT[raw] | (inside & ~WORD[raw])
+        parts = np.flatnonzero(inside[1:] & inside[:-1] & (digit[1:] != digit[:-1])) + 1
+        start, end = np.sort(np.concatenate([start, parts])), np.sort(np.concatenate([end, parts]))
     hashes = [np.empty(len(start), np.uint64) for _ in range(1 + len(prefixes))]
     first = 0
     with np.errstate(over="ignore"):
