@@ -128,6 +128,26 @@ def test_license_labels(spark):
     assert "cc-by-nc-4.0" in got[1] and "cc-by-4.0" not in got[1] and "cc-by-4.0" in got[2] and got[3] == []
 
 
+def test_licenses_of_unequal_shares(spark):
+    by, nc, sa = "Licensed under CC BY 4.0.", "Licensed under CC BY-NC 4.0.", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."
+    mit = dict(licenses.TEMPLATES)["mit"].replace("charge", "fees").replace("obtaining", "getting")
+    gpl = "This work is licensed under the GNU General Public License, version 3."
+    texts = [by, f"{by} {mit}", f"{by}\n\n{mit}", gpl, f"{gpl}\n{mit} {nc}", f"{by} {sa.replace('International ', '')}"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    got = {r["doc_id"]: r["labels"] for r in licenses.scan(docs).collect()}
+    assert got == {0: ["cc-by-4.0"], 1: ["cc-by-4.0", "mit"], 2: ["cc-by-4.0", "mit"], 3: ["gpl-3.0"], 4: ["cc-by-nc-4.0", "gpl-3.0", "mit"], 5: ["cc-by-4.0", "cc-by-sa-4.0"]}
+    rows = Counter((bytes(r["content"]).hex(), r["template"], r["label"], round(r["share"], 9)) for r in licenses.blocks(docs).collect())
+    expected = Counter()
+    for text in texts:
+        for block in {*re.split("\n\n", text)}:
+            own = set(WORD.findall(block.translate(LOW)))
+            for i, (label, t) in enumerate(licenses.TEMPLATES):
+                words_of = set(t.split())
+                if (share := len(own & words_of) / len(words_of)) >= 0.8 - 1e-9:
+                    expected[hashlib.sha256(text.encode()).hexdigest(), i, label, round(share, 9)] += 1
+    assert rows == expected
+
+
 def brute_repeats(texts, length):
     seen = Counter(b[i : i + length] for b in texts for i in range(len(b) - length + 1))
     out = []

@@ -12,8 +12,9 @@ drops blocks with fewer than ``need`` tokens, the positional filter those whose
 shared one are too few; what is left is counted exactly. Only words of some template matter for
 containment, so a block is at most as large as the vocabulary of the templates, however long.
 
-A block's labels are those of the templates it holds the largest share of ("CC BY", not "CC BY-NC", which
-it meets as well), without templates that are part of another of these ("CC BY" in "CC BY-NC"). Null and empty texts have no words, labels or places. Findings are
+A block's labels are those of all templates it meets, without variants: a template whose words in the
+block are all words of one that the block holds a larger share of ("CC BY-NC" beside "CC BY"), and of equally
+good ones a template that is part of another ("CC BY" in "CC BY-NC"). ``blocks`` has every template met. Null and empty texts have no words, labels or places. Findings are
 kept by content, so null and repeated ids and rows do no harm.
 """
 
@@ -100,14 +101,19 @@ def corpus_order(docs: DataFrame, vocabulary: list[str]) -> list[str]:
     return sorted(vocabulary, key=lambda w: (often.get(w, 0), w))
 
 
-def meeting(docs: DataFrame, templates=TEMPLATES, threshold: float = 0.8) -> DataFrame:
-    """One row per content that holds a block meeting a template: content (SHA-256), labels (sorted), containment (highest)."""
+def template_sets(docs: DataFrame, templates, threshold: float) -> tuple[list[str], list[Template]]:
+    """(all words of the templates, rarest in the corpus first; the templates' words in this order)."""
     order = corpus_order(docs, sorted({w for _, text in templates for w in text.split()}))
     rank = {w: i for i, w in enumerate(order)}
     sets = []
     for label, text in templates:
         own = tuple(sorted(set(text.split()), key=rank.__getitem__))
         sets.append(Template(label, own, math.ceil(threshold * len(own) - 1e-9)))
+    return order, sets
+
+
+def shared(docs: DataFrame, order: list[str], sets: list[Template]) -> DataFrame:
+    """One row per content and different block that meets a template: content (SHA-256), own (its words of templates), met (number of the template to the number of its words)."""
     prefixes = [(t.tokens[at], i, at, len(t.tokens), t.need, list(t.tokens)) for i, t in enumerate(sets) for at in range(t.prefix)]
     # as many rows as the templates' prefixes have tokens
     wanted = docs.sparkSession.createDataFrame(prefixes, "token string, template int, at int, size int, need int, tokens array<string>")
@@ -119,14 +125,40 @@ def meeting(docs: DataFrame, templates=TEMPLATES, threshold: float = 0.8) -> Dat
     heads = blocks.select("content", "own", F.posexplode(F.slice("own", 1, F.size("own") - least + 1)).alias("own_at", "token"))
     near = heads.join(wanted, "token").where((F.size("own") >= F.col("need")) & (F.least(F.size("own") - F.col("own_at"), F.col("size") - F.col("at")) >= F.col("need")))
     both = F.size(F.array_intersect("tokens", "own"))
-    found = near.select("content", "own", "template", (both / F.col("size")).alias("share"), (both >= F.col("need")).alias("meets")).where("meets")
-    found = found.groupBy("content", "own").agg(F.collect_set(F.struct("template", "share")).alias("all"), F.max("share").alias("share"))
-    best = F.transform(F.filter("all", lambda m: m["share"] == F.col("share")), lambda m: m["template"])
-    found = found.select("content", best.alias("met"), "share")
-    # of equally good templates, one within another says less than that one
-    wider = [[j for j, b in enumerate(sets) if set(a.tokens) < set(b.tokens) and a.label != b.label] for a in sets]
-    label = F.array(*(F.when(F.array_contains("met", i) & ~F.arrays_overlap("met", F.array(*map(F.lit, w)).cast("array<int>")), F.lit(t.label)) for i, (t, w) in enumerate(zip(sets, wider))))
-    labels = found.select("content", F.array_compact(label).alias("labels"), "share")
+    found = near.select("content", "own", "template", both.alias("n"), (both >= F.col("need")).alias("meets")).where("meets")
+    return found.groupBy("content", "own").agg(F.map_from_entries(F.collect_set(F.struct("template", "n"))).alias("met"))
+
+
+def blocks(docs: DataFrame, templates=TEMPLATES, threshold: float = 0.8) -> DataFrame:
+    """One row per content, different block and template that it meets: content, own (the block's words of templates), template (its number), label, share."""
+    order, sets = template_sets(docs, templates, threshold)
+    rows = shared(docs, order, sets).select("content", "own", F.explode("met").alias("template", "n"))
+    labels, sizes = F.array(*(F.lit(t.label) for t in sets)), F.array(*(F.lit(len(t.tokens)) for t in sets))
+    return rows.select("content", "own", "template", F.get(labels, F.col("template")).alias("label"), (F.col("n") / F.get(sizes, F.col("template"))).alias("share"))
+
+
+def meeting(docs: DataFrame, templates=TEMPLATES, threshold: float = 0.8) -> DataFrame:
+    """One row per content that holds a block meeting a template: content (SHA-256), labels (sorted), containment (highest)."""
+    order, sets = template_sets(docs, templates, threshold)
+    found = shared(docs, order, sets)
+
+    def label(i: int, a: Template) -> Column:
+        n, here = F.col("met")[i], F.col("met")[i].isNotNull()
+        for j, b in enumerate(sets):
+            both = set(a.tokens) & set(b.tokens)
+            if a.label == b.label or len(both) < a.need:
+                continue
+            # shares as whole numbers
+            mine, other = n * len(b.tokens), F.col("met")[j] * len(a.tokens)
+            variant = (other > mine) & (F.size(F.array_intersect("own", F.array(*map(F.lit, sorted(both))))) == n)
+            if both == set(a.tokens) != set(b.tokens):
+                variant = variant | (other == mine)
+            here = here & ~F.coalesce(variant, F.lit(False))
+        return F.when(here, F.lit(a.label))
+
+    label_list = F.array_compact(F.array(*(label(i, t) for i, t in enumerate(sets))))
+    share = F.greatest(F.lit(0.0), *(F.col("met")[i] / len(t.tokens) for i, t in enumerate(sets)))
+    labels = found.select("content", label_list.alias("labels"), share.alias("share"))
     return labels.groupBy("content").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_set("labels")))).alias("labels"), F.max("share").alias("share"))
 
 
