@@ -87,4 +87,13 @@ SELECT doc_id, n_words, len(places) AS n_base, list_min(places) AS first_word, l
   greatest(coalesce(share, 0), (len(places) > 0)::INTEGER)::DOUBLE AS score
 FROM flat LEFT JOIN labels USING (n) LEFT JOIN shares USING (n)"""
 
-ORACLES = {"op2_secrets": OP2, "op4_warc": OP4, "op5_embeddings": OP5, "op6_licenses": OP6}
+OP13 = f"""
+WITH docs AS (SELECT row_number() OVER () AS n, doc_id, string_split(coalesce(text, ''), chr(10)) AS all_lines FROM documents),
+lines AS (SELECT n, doc_id, unnest(all_lines) AS line, generate_subscripts(all_lines, 1) AS nr FROM docs),
+keyed AS (SELECT *, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), '{UPPER}', '{LOWER}') AS key FROM lines),
+often AS (SELECT key, max(doc_id) AS keeper FROM keyed WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT doc_id) >= 3),
+marked AS (SELECT k.*, keeper IS NOT NULL AND k.doc_id IS DISTINCT FROM keeper AS gone FROM keyed k LEFT JOIN often USING (key))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped, sha256(coalesce(string_agg(line, chr(10) ORDER BY nr) FILTER (NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY n, doc_id"""
+
+ORACLES = {"op2_secrets": OP2, "op4_warc": OP4, "op5_embeddings": OP5, "op6_licenses": OP6, "op13_lines": OP13}
