@@ -96,4 +96,36 @@ marked AS (SELECT k.*, keeper IS NOT NULL AND k.doc_id IS DISTINCT FROM keeper A
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped, sha256(coalesce(string_agg(line, chr(10) ORDER BY nr) FILTER (NOT gone), '')) AS kept_sha256
 FROM marked GROUP BY n, doc_id"""
 
-ORACLES = {"op2_secrets": OP2, "op4_warc": OP4, "op5_embeddings": OP5, "op6_licenses": OP6, "op13_lines": OP13}
+_CRC = "xor(list_reduce([4294967295::UBIGINT] || list_transform(string_split(id, ''), lambda c: ord(c)::UBIGINT), lambda a, b: list_reduce([xor(a, b), 0::UBIGINT, 0::UBIGINT, 0::UBIGINT, 0::UBIGINT, 0::UBIGINT, 0::UBIGINT, 0::UBIGINT, 0::UBIGINT], lambda x, i: xor(x >> 1, 3988292384::UBIGINT * (x & 1::UBIGINT)))), 4294967295::UBIGINT)"
+_BLANKS = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+#: States 0 to 3: nothing yet, after the system turn, after a user, after an assistant. A step is one row's edit and up to two inserted turns behind it.
+OP11 = f"""
+WITH RECURSIVE ids AS (SELECT *, row_number() OVER () AS nr, coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS id FROM conversations),
+hit AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, nr, {_CRC} % 20 AS k FROM ids),
+damaged AS (SELECT conv_id, turn, CASE k WHEN 4 THEN 'user' ELSE role END AS role, CASE k WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text, nr, unnest(range(0, CASE k WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM hit WHERE k <> 0),
+turns AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, nr, copy) AS i, trim(text, {_BLANKS}) AS body FROM damaged),
+rows AS (SELECT *, left(role, 1) AS ch, CASE WHEN body = '' THEN 1 WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 2 WHEN right(body, 1) NOT IN ('.', '!', '?') THEN 3 ELSE 0 END AS fault,
+  lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS former FROM turns),
+tails(q, r, letters, more, cost) AS (VALUES (0, 0, '', '', 0), (0, 2, 'I', '|user:', 5), (0, 3, 'II', '|user:|assistant:', 10), (1, 1, '', '', 0), (1, 2, 'I', '|user:', 5), (1, 3, 'II', '|user:|assistant:', 10),
+  (2, 2, '', '', 0), (2, 3, 'I', '|assistant:', 5), (3, 3, '', '', 0), (3, 2, 'I', '|user:', 5)),
+keeps(q, ch, r) AS (VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (2, 'a', 3), (3, 'u', 2)),
+nexts(q, r, role) AS (VALUES (0, 2, 'user'), (1, 2, 'user'), (2, 3, 'assistant'), (3, 2, 'user')),
+edits AS (
+  SELECT conv_id, i, q, q AS r, 'D' AS letter, '' AS line, 2 AS cost FROM rows, (SELECT unnest(range(0, 4))::INTEGER AS q)
+  UNION ALL SELECT conv_id, i, q, r, 'K', chr(10) || role || ':' || text, CASE fault WHEN 3 THEN 5 ELSE 0 END FROM rows JOIN keeps USING (ch) WHERE fault IN (0, 3)
+  UNION ALL SELECT conv_id, i, q, r, 'R', chr(10) || n.role || ':' || text, CASE fault WHEN 3 THEN 6 ELSE 1 END FROM rows, nexts n WHERE fault IN (0, 3)),
+steps AS (SELECT e.conv_id, e.i, e.q, t.r, e.letter || t.letters AS letters, e.line || replace(t.more, '|', chr(10)) AS line, e.cost + t.cost AS cost FROM edits e JOIN tails t ON e.r = t.q),
+best(conv_id, i, q, cost, audit, out) AS (
+  SELECT c.conv_id, 0::BIGINT, t.r, t.cost, t.letters, replace(t.more, '|', chr(10)) FROM (SELECT DISTINCT conv_id FROM conversations) c, tails t WHERE t.q = 0
+  UNION ALL
+  SELECT * FROM (SELECT b.conv_id, s.i, s.r, b.cost + s.cost AS cost, b.audit || s.letters AS audit, b.out || s.line AS out FROM best b JOIN steps s ON s.conv_id IS NOT DISTINCT FROM b.conv_id AND s.i = b.i + 1 AND s.q = b.q)
+  QUALIFY row_number() OVER (PARTITION BY conv_id, i, r ORDER BY cost, audit) = 1),
+last AS (SELECT conv_id, max(i) AS n FROM best GROUP BY conv_id),
+chosen AS (SELECT b.* FROM best b JOIN last l ON b.conv_id IS NOT DISTINCT FROM l.conv_id AND b.i = l.n WHERE q IN (0, 3) QUALIFY row_number() OVER (PARTITION BY b.conv_id ORDER BY cost, audit) = 1),
+figures AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 1) AS blank, count(*) FILTER (fault = 2) AS duplicate, count(*) FILTER (fault = 3) AS truncated,
+  count(*) FILTER (former IS NOT NULL AND former || ch NOT IN ('su', 'ua', 'au')) AS illegal FROM rows GROUP BY conv_id)
+SELECT c.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+  c.cost::BIGINT AS cost, c.audit, sha256(substr(c.out, 2)) AS repaired_sha256
+FROM chosen c LEFT JOIN figures f ON f.conv_id IS NOT DISTINCT FROM c.conv_id"""
+
+ORACLES = {"op11_conversations": OP11, "op2_secrets": OP2, "op4_warc": OP4, "op5_embeddings": OP5, "op6_licenses": OP6, "op13_lines": OP13}
