@@ -133,10 +133,11 @@ def dropped_lines(docs: DataFrame, least_chars: int = LEAST_CHARS, least_docs: i
     ranged = lines.repartitionByRange(*order).sortWithinPartitions(*order)
     kind = dict(lines.dtypes)["doc_id"]
     told = kept(ranged.mapInArrow(_stream(least_docs), f"h1 long, h2 long, doc_id {kind}, version long, position int, state byte"), "line-states")
-    # keys at the ends of tasks: at most two for each task
     ends = told.where(F.col("state") != GOES)
     held = ends.groupBy("h1", "h2", "doc_id").agg(F.lit(1).alias("one")).groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("docs"), F.max("doc_id").alias("keeper"))
-    late = ends.where(F.col("state") == WAITS).join(held.where(F.col("docs") >= least_docs), ["h1", "h2"]).where(~F.col("doc_id").eqNullSafe(F.col("keeper")))
+    # keys at the ends of tasks, at most two for each task: small enough to go to the lines, whose keys are hot
+    held = F.broadcast(kept(held.where(F.col("docs") >= least_docs), "shared-ends"))
+    late = ends.where(F.col("state") == WAITS).join(held, ["h1", "h2"]).where(~F.col("doc_id").eqNullSafe(F.col("keeper")))
     names = ["doc_id", "version", "position"]
     return told.where(F.col("state") == GOES).select(*names).unionByName(late.select(*names))
 
