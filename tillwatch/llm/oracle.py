@@ -128,4 +128,20 @@ SELECT c.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank
   c.cost::BIGINT AS cost, c.audit, sha256(substr(c.out, 2)) AS repaired_sha256
 FROM chosen c LEFT JOIN figures f ON f.conv_id IS NOT DISTINCT FROM c.conv_id"""
 
-ORACLES = {"op11_conversations": OP11, "op2_secrets": OP2, "op4_warc": OP4, "op5_embeddings": OP5, "op6_licenses": OP6, "op13_lines": OP13}
+_GRAM = "list_transform(range(1, len(w) - {m} + 2), lambda i: w[i:i + {m} - 1])"
+OP12 = f"""
+WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(unnest(regexp_split_to_array(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[.,;:!?\n\x0B\x0C\r]')), '[^ \t]+') AS w FROM documents),
+grams AS (SELECT lang, unnest(flatten([{", ".join(_GRAM.format(m=m) for m in range(1, 6))}])) AS g FROM pieces),
+f AS (SELECT lang, g, count(*)::BIGINT AS a FROM grams GROUP BY lang, g),
+totals AS (SELECT lang, sum(a)::BIGINT AS n FROM f WHERE len(g) = 1 GROUP BY lang),
+often AS (SELECT * FROM f WHERE a >= 100 AND len(g) > 1),
+parts AS (SELECT lang, max(a) AS a, part FROM (SELECT lang, a, unnest([g[1:len(g) - 1], g[2:]]) AS part FROM often) GROUP BY lang, part),
+free AS (SELECT o.* FROM often o LEFT JOIN parts p ON o.lang = p.lang AND o.g = p.part WHERE p.a IS NULL OR 100 * p.a < 100 * o.a),
+cuts AS (SELECT lang, g, a, unnest(range(1, len(g))) AS k FROM free),
+scored AS (SELECT c.lang, c.g, c.a, c.k, x.a AS l, y.a AS r, n, ((1000::HUGEINT * c.a * n) // (x.a::HUGEINT * y.a))::BIGINT AS score
+  FROM cuts c JOIN f x ON x.lang = c.lang AND x.g = c.g[1:k] JOIN f y ON y.lang = c.lang AND y.g = c.g[k + 1:] JOIN totals t ON t.lang = c.lang),
+lowest AS (SELECT *, array_to_string(g, ' ') AS phrase FROM scored QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score FROM lowest
+QUALIFY row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) <= 2000"""
+
+ORACLES = {"op12_collocations": OP12, "op11_conversations": OP11, "op2_secrets": OP2, "op4_warc": OP4, "op5_embeddings": OP5, "op6_licenses": OP6, "op13_lines": OP13}

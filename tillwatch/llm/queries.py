@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import conversations, decontam, embeddings, html, licenses, lines, packing, secrets, simhash, suffix, toxicity, warc
+from . import collocations, conversations, decontam, embeddings, html, licenses, lines, packing, secrets, simhash, suffix, toxicity, warc
 from .common import shared_folder
 from .oracle import ORACLES
 
@@ -103,6 +103,10 @@ def op11_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.repair(conversations.damaged(table(spark, sf_dir, "conversations")))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def op13_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = lines.keep_bitmaps(table(spark, sf_dir, "documents"))
     return rows.select("doc_id", "n_lines", "n_dropped", F.sha2(lines.kept_text(F.col("text"), F.col("keep")), 256).alias("kept_sha256"))
@@ -120,5 +124,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_packing": op9_packing,
     "op10_decontamination": op10_decontamination,
     "op11_conversations": op11_conversations,
+    "op12_collocations": op12_collocations,
     "op13_lines": op13_lines,
 }
\ No newline at end of file
