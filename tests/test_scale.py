@@ -22,7 +22,46 @@ def test_rank_matches_a_window_with_ties_and_nulls(make):
     df = make(rows, "g string, level int, score double, i int")
     window = Window.partitionBy("g").orderBy(F.col("level").desc_nulls_last(), F.col("score").desc_nulls_last())
     expected = df.withColumn("r", F.rank().over(window))
-    assert values(scale.competition_rank(df, ["g"], ["level", "score"], "r")) == values(expected)
+    assert values(scale.competition_ranks(df, {"r": ["g"]}, ["level", "score"])) == values(expected)
+
+
+def test_ranks_in_several_groupings(make):
+    rng = random.Random(8)
+    rows = [(rng.choice(["a", "b", None]), rng.randint(1, 4), rng.choice([None, 1, 2]), rng.choice([None, -1.5, 0.0, 2.5]), i) for i in range(500)]
+    df = make(rows, "g string, s int, level int, score double, i int")
+    order = [F.col("level").desc_nulls_last(), F.col("score").desc_nulls_last()]
+    expected = df.withColumns({"a": F.rank().over(Window.partitionBy("g").orderBy(*order)), "b": F.rank().over(Window.partitionBy("s").orderBy(*order))})
+    assert values(scale.competition_ranks(df, {"a": ["g"], "b": ["s"]}, ["level", "score"])) == values(expected)
+
+
+def test_running_total(spark):
+    """Whatever the ranges, the total of what stands before; one value of the first column has nearly all rows."""
+    df = spark.range(5000).select((F.col("id") % 50 == 0).alias("g"), (F.col("id") * 7919 % 5000).alias("v"), (F.col("id") % 3).alias("n"))
+    got = scale.running_total(df, [F.col("g").asc(), F.col("v").asc()], "n", "before")
+    assert got.select(F.col("before")).distinct().count() > 3000
+    total, wrong = 0, 0
+    for r in sorted(got.collect(), key=lambda r: (r["g"], r["v"])):
+        wrong += r["before"] != total
+        total += r["n"]
+    assert total == df.agg(F.sum("n")).first()[0] and wrong == 0
+    assert scale.running_total(df.limit(0), [F.col("v").asc()], "n", "before").count() == 0
+
+
+def test_a_moment_with_a_third_of_all_rows_stands_in_several_ranges(spark):
+    hot = spark.range(3000).select(F.lit(1).alias("g"), F.lit("2025-01-06 12:00:00").cast("timestamp_ntz").alias("at"), F.format_string("t%05d", "id").alias("key"))
+    rest = spark.range(6000).select((F.col("id") % 5).cast("int").alias("g"), F.expr("timestamp_ntz'2025-01-06 08:00:00' + make_dt_interval(0, 0, 0, cast(id as int))").alias("at"), F.format_string("u%05d", "id").alias("key"))
+    df = hot.unionByName(rest)
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = scale.next_in_order(df, ["g"], "at", "key", "n")
+        ranges = scale.staged(df.repartitionByRange("g", "at", "key").withColumn("range_of", F.spark_partition_id()), "ranges")
+        assert ranges.where("key LIKE 't%'").select("range_of").distinct().count() >= 4
+        assert values(got) == values(df.withColumn("n", F.lead("key").over(Window.partitionBy("g").orderBy("at", "key"))))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
 
 
 @pytest.mark.parametrize("spread", [1, 90, 50_000])

@@ -8,11 +8,12 @@ import uuid
 
 import pytest
 from conftest import values
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tillwatch.operators import flagging, metrics, quality
+from tillwatch.operators import flagging, metrics, quality, rules
 from tillwatch.plans.report import TooFewWeeks, recent_runs, report_week
-from tillwatch.plans.week import extract_week, run_week
+from tillwatch.plans.week import extract_week, prepare_week, run_week, week_anomalies, week_metrics
 from tillwatch.sinks import quality_tables, tables
 from tillwatch.sinks.store import Run, Store
 from tillwatch.sources import extracts
@@ -58,11 +59,56 @@ def test_run_with_store_checks_and_history(spark, week, tmp_path):
         run_week(week.raw, PARAMS, store, Run("20250203000000", "20250203000000"))
 
 
-def test_operators_write_nothing_when_built(spark, week):
-    before = sorted(os.listdir(spark.conf.get("spark.checkpoint.dir")))
+def written(spark):
+    return set(os.listdir(spark.conf.get("spark.checkpoint.dir")))
+
+
+def test_operators_write_nothing_when_built_but_ranges(spark, week):
+    """Ranges are drawn from a sample, so what is dealt out by range is written; nothing else is."""
+    before = written(spark)
     extract_week(week.raw, PARAMS)
-    flagging.flag_cashiers(week.merged(), week.x["cashier_stats"], week.x["org"], PARAMS)
-    assert sorted(os.listdir(spark.conf.get("spark.checkpoint.dir"))) == before
+    rules.header_rules(week.x["headers"], week.x["hours"], week.x["lines"], week.x["cash"], PARAMS)
+    assert written(spark) == before
+    merged = week.merged()
+    assert [name.split("-")[0] for name in written(spark) - before] == ["ranges"]  # the next receipts of KPI 6
+    flagging.flag_cashiers(merged, week.x["cashier_stats"], week.x["org"], PARAMS)
+    assert {name.split("-")[0] for name in written(spark) - before} == {"ranges"}
+
+
+def test_rules_at_once_give_what_the_metrics_give(week):
+    for p in (PARAMS, PARAMS.with_(cash_only=False)):
+        x = extract_week(week.raw, p)
+        x |= prepare_week(x, p)
+        assert values(week_anomalies(week.raw, x, p)) == values(flagging.merge_anomalies(week_metrics(x, p)))
+
+
+def test_merged_rules_need_half_the_exchanges(week):
+    apart, together = (plan(df) for df in (flagging.merge_anomalies(week_metrics(week.x, PARAMS)), week.merged()))
+
+    def count(text):
+        return len(re.findall(r"(?<!Broadcast)(?<!Reused)Exchange (?:hash|range)partitioning", text))
+
+    assert count(together) * 3 <= count(apart) * 2 and together.count("FileScan") * 3 <= apart.count("FileScan") * 2
+
+
+def windows(text):
+    """The partition columns of all windows of a plan."""
+    return re.findall(r"windowspecdefinition\((.*?) (?:ASC|DESC)", text)
+
+
+def test_no_window_has_the_rows_of_a_group(week):
+    for df in (flagging.rank_flags(week.levels), flagging.thresholds(week.base, PARAMS), metrics.next_receipt(week.x["headers"])):
+        specs = windows(plan(df))
+        assert specs and all(spec.startswith("range_of#") for spec in specs)
+
+
+def test_flags_without_regions_and_in_one_region(spark, week):
+    for region in (None, "all"):
+        org = week.x["org"].withColumn("region_manager", F.lit(region).cast("string"))
+        levels = flagging.levels(week.base, org, PARAMS)
+        by_window = Window.partitionBy("iso_week", "region_manager").orderBy(F.col("level").desc_nulls_last(), F.col("kpi_score").desc_nulls_last())
+        names = ["iso_week", "store_nr", "cashier_id", "kpi_id", "region_rank"]
+        assert values(flagging.rank_flags(levels), *names) == values(levels.withColumn("region_rank", F.rank().over(by_window)), *names)
 
 
 def test_originals_are_looked_up_without_an_aggregate_of_the_sales(week):

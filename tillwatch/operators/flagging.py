@@ -3,36 +3,38 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillwatch.functions.calendar import iso_week
 from tillwatch.functions.columns import lookup
 from tillwatch.model import KPI_IDS, ORANGE, RED
-from tillwatch.operators.scale import competition_rank, same
+from tillwatch.operators.scale import competition_ranks, running_total, same
 from tillwatch.params import Params
 
 ABSOLUTE_LEVEL = 3
 
 
+def as_anomalies(df: DataFrame, kpi_id: Column) -> DataFrame:
+    """Receipts in the form of the merged table."""
+    return df.select(
+        F.col("store_nr").cast("int").alias("store_nr"),
+        "receipt_date",
+        F.date_format("receipt_ts", "HH:mm:ss").alias("receipt_time"),
+        F.col("register_id").cast("int").alias("register_id"),
+        F.col("cashier_id").cast("int").alias("cashier_id"),
+        F.col("receipt_id").cast("long").alias("receipt_id"),
+        kpi_id.alias("kpi_id"),
+    )
+
+
 def merge_anomalies(metrics: Mapping[int, DataFrame]) -> DataFrame:
     """All metrics below each other, each row tagged with its KPI."""
-    merged = None
-    for kpi_id, df in metrics.items():
-        rows = df.select(
-            F.col("store_nr").cast("int").alias("store_nr"),
-            "receipt_date",
-            F.date_format("receipt_ts", "HH:mm:ss").alias("receipt_time"),
-            F.col("register_id").cast("int").alias("register_id"),
-            F.col("cashier_id").cast("int").alias("cashier_id"),
-            F.col("receipt_id").cast("long").alias("receipt_id"),
-            F.lit(kpi_id).alias("kpi_id"),
-        )
-        merged = rows if merged is None else merged.unionByName(rows)
-    if merged is None:
+    if not metrics:
         raise ValueError("no metrics to merge")
-    return merged
+    return reduce(DataFrame.unionByName, [as_anomalies(df, F.lit(kpi_id)) for kpi_id, df in metrics.items()])
 
 
 def kpi_counts(anomalies: DataFrame) -> DataFrame:
@@ -68,29 +70,33 @@ def normalise(df: DataFrame, p: Params) -> DataFrame:
 def thresholds(df: DataFrame, p: Params) -> DataFrame:
     """Red and orange quantiles of the rates per week and KPI.
 
-    The quantile of q is the smallest rate that at least q of all rates don't exceed. Rates
-    are counted per value before the shuffle, and the running count over the values gives
-    it exactly, in whichever order the rows come. KPIs with an absolute threshold have no red quantile.
+    The quantile of q is the smallest rate that at least q of all rates don't exceed. Rates are
+    counted per value before the shuffle, running totals over ranges of values say how many don't exceed each,
+    and the smallest that reaches q combines before the shuffle again: exact, in whichever order
+    rows come, and no task has the rates of a week and KPI. KPIs with an absolute threshold have no red quantile.
     """
     kpi_ids = sorted(set(KPI_IDS) | set(p.rules))
     red = {k: p.red_probability(k) for k in kpi_ids if k not in p.absolute_thresholds}
     orange = {k: p.orange_probability(k) for k in kpi_ids}
     group = ["iso_week", "kpi_id"]
     values = df.groupBy(*group, "kpi_rate").agg(
-        F.count(F.lit(1)).alias("rows"), F.count("cashier_id").alias("cashiers")
+        F.count("kpi_rate").alias("rows"), F.count("cashier_id").alias("cashiers")
+    )
+    upwards = [F.col(c).asc_nulls_first() for c in (*group, "kpi_rate")]
+    placed = running_total(values, upwards, "rows", "ahead")
+    sizes = placed.groupBy(*[F.col(c).alias(f"of_{c}") for c in group]).agg(
+        F.min("ahead").alias("first"), F.sum("rows").alias("all"), F.sum("cashiers").alias("population")
     )
-    rated = F.when(F.col("kpi_rate").isNotNull(), F.col("rows")).otherwise(0)
-    upwards = Window.partitionBy(*group).orderBy(F.col("kpi_rate").asc_nulls_first())
-    counted = values.withColumns({"upto": F.sum(rated).over(upwards), "all": F.sum(rated).over(Window.partitionBy(*group))})
+    placed = placed.join(sizes, same(placed, sizes, group, "of_")).withColumn("upto", F.col("ahead") - F.col("first") + F.col("rows"))
 
     def quantile(probabilities: Mapping[int, float]):
         percent = lookup(F.col("kpi_id"), {k: round(100 * q) for k, q in probabilities.items()}, "long")
         return F.min(F.when((F.col("upto") > 0) & (F.col("upto") * 100 >= percent * F.col("all")), F.col("kpi_rate")))
 
-    return counted.groupBy(*group).agg(
+    return placed.groupBy(*group).agg(
         quantile(orange).alias("orange_threshold"),
         quantile(red).alias("red_threshold"),
-        F.sum("cashiers").alias("population"),
+        F.first("population").alias("population"),
     )
 
 
@@ -145,11 +151,9 @@ def levels(base: DataFrame, org: DataFrame, p: Params) -> DataFrame:
 
 
 def rank_flags(df: DataFrame) -> DataFrame:
-    """Rank by level, then score, in the region and in the store of each week; one count of the rows feeds both."""
-    order = ["level", "kpi_score"]
-    counted = df.groupBy("iso_week", "region_manager", "store_nr", *order).agg(F.count(F.lit(1)).alias("rows"))
-    in_region = competition_rank(df, ["iso_week", "region_manager"], order, "region_rank", counted)
-    return competition_rank(in_region, ["iso_week", "store_nr"], order, "store_rank", counted)
+    """Rank by level, then score, in the region and in the store of each week."""
+    groups = {"region_rank": ["iso_week", "region_manager"], "store_rank": ["iso_week", "store_nr"]}
+    return competition_ranks(df, groups, ["level", "kpi_score"])
 
 
 def final_flags(df: DataFrame, p: Params) -> DataFrame:

@@ -7,7 +7,7 @@ cut each group down before the shuffle.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillwatch.model import CANCELLED, RECEIPT_COLUMNS, SALE_LINES, VOID_ENTRIES, VOID_LINES, VOIDED_SCANS
@@ -37,9 +37,13 @@ def m03(voided: DataFrame) -> DataFrame:
     return voided
 
 
+def one_article_left() -> Column:
+    return F.col("cnt_receiptlines_sales") - F.col("cnt_receiptlines_voids") == 1
+
+
 def m04(voided: DataFrame) -> DataFrame:
     """Receipts voided down to one article."""
-    return voided.filter(F.col("cnt_receiptlines_sales") - F.col("cnt_receiptlines_voids") == 1)
+    return voided.filter(one_article_left())
 
 
 def nth_last_subtotal(subtotals: DataFrame, cash: DataFrame, p: Params) -> DataFrame:
@@ -134,10 +138,14 @@ def m06(lines: DataFrame, headers: DataFrame, cash: DataFrame, p: Params) -> Dat
     )
 
 
+def small_return(p: Params) -> Column:
+    total = F.col("total_gross_val")
+    return (total > -p.return_limit) & (total < -p.return_minimum)
+
+
 def m07(returns: DataFrame, p: Params) -> DataFrame:
     """Small returns that need no authorisation; both limits exclusive."""
-    total = F.col("total_gross_val")
-    return returns.filter((total > -p.return_limit) & (total < -p.return_minimum))
+    return returns.filter(small_return(p))
 
 
 def m08(returns: DataFrame) -> DataFrame:

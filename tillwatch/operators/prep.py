@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillwatch.functions.calendar import iso_week
@@ -33,20 +33,25 @@ def opening_timestamps(hours: DataFrame) -> DataFrame:
     )
 
 
-def receipts_outside_hours(headers: DataFrame, hours: DataFrame, p: Params) -> DataFrame:
-    """Sales and returns on closed days or outside opening hours; open days without hours drop out."""
+def beyond_hours(p: Params) -> tuple[Column, Column]:
+    """Whether a receipt is of a closed day or outside opening hours (NULL on open days without hours), and 1 if tolerance doesn't help."""
     closed = F.col("is_open") == 0
     at, opens, closes = F.col("receipt_ts"), F.col("opens_at"), F.col("closes_at")
     early = opens - F.make_interval(mins=F.lit(p.tolerance_opening_minutes))
     late = closes + F.make_interval(mins=F.lit(p.tolerance_closing_minutes))
-    outside = F.when(closed, 1).otherwise(1 - at.between(early, late).cast("int"))
+    return closed | ~at.between(opens, closes), F.when(closed, 1).otherwise(1 - at.between(early, late).cast("int"))
+
+
+def receipts_outside_hours(headers: DataFrame, hours: DataFrame, p: Params) -> DataFrame:
+    """Sales and returns on closed days or outside opening hours; open days without hours drop out."""
+    outside, intolerably = beyond_hours(p)
     return (
         headers.filter(F.col("transaction_type_cd").isin(SALE, RETURN))
         .join(opening_timestamps(hours), ["store_nr", "receipt_date"])
-        .filter(closed | ~at.between(opens, closes))
+        .filter(outside)
         .select(
             *RECEIPT_COLUMNS,
-            outside.alias("outside_tolerance_fg"),
+            intolerably.alias("outside_tolerance_fg"),
             (F.col("transaction_type_cd") == RETURN).cast("int").alias("return_fg"),
         )
     )

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -32,46 +32,71 @@ def same(left: DataFrame, right: DataFrame, names: Sequence[str], prefix: str) -
     return reduce(lambda a, b: a & b, [left[n].eqNullSafe(right[prefix + n]) for n in names])
 
 
-def competition_rank(
-    df: DataFrame, group: Sequence[str], order: Sequence[str], out: str, counted: DataFrame | None = None
-) -> DataFrame:
-    """SQL ``rank()`` by all of ``order`` descending, NULLs last, without a window over the rows.
+def running_total(df: DataFrame, order: Sequence[Column], amount: str, out: str) -> DataFrame:
+    """The same rows with ``out``, the sum of ``amount`` over all rows before them in this order (unique).
 
-    Tied rows share a rank, so only distinct values are ranked: rows are counted per
-    value (combined before the shuffle), the running count over the values gives the
-    rank, and the rank is joined back. A group with a third of all rows costs as
-    much as its distinct values. ``counted`` are rows counted by these columns or more
-    (``rows``), for callers that rank in several groups.
+    Rows are dealt out by range and written with the number of their range; a task sums up
+    one range, and the totals of the ranges before it, one row for each, are added. So no group
+    of rows has to stand in one task. Ranges are drawn from a sample, hence the write: what is
+    read twice must be the same both times.
     """
-    names = [*group, *order]
-    descending = [F.col(c).desc_nulls_last() for c in order]
-    ahead = Window.partitionBy(*group).orderBy(*descending).rowsBetween(Window.unboundedPreceding, -1)
-    counted = df.groupBy(*names).agg(F.count(F.lit(1)).alias("rows")) if counted is None else counted
-    values = counted.groupBy(*names).agg(F.sum("rows").alias("rows"))
-    position = F.coalesce(F.sum("rows").over(ahead), F.lit(0)) + 1
-    ranks = values.select(*[F.col(n).alias(f"ranked_{n}") for n in names], position.cast("int").alias(out))
-    return df.join(ranks, same(df, ranks, names, "ranked_"), "left").drop(*[f"ranked_{n}" for n in names])
-
-
-#: Width of a time slice in seconds. Whatever the sizes, all groups are cut alike.
-SLICE_SECONDS = 60
+    number, before = "range_of", "range_before"
+    ranged = staged(df.repartitionByRange(*order).withColumn(number, F.spark_partition_id()), "ranges")
+    earlier = Window.rowsBetween(Window.unboundedPreceding, -1)
+    within = F.sum(amount).over(earlier.partitionBy(number).orderBy(*order))
+    totals = ranged.groupBy(number).agg(F.sum(amount).alias("total"))
+    totals = totals.select(number, F.sum("total").over(earlier.orderBy(number)).alias(before))
+    summed = ranged.withColumn(out, F.coalesce(within, F.lit(0))).join(totals, number)
+    return summed.withColumn(out, F.col(out) + F.coalesce(before, F.lit(0))).drop(number, before)
+
+
+def competition_ranks(df: DataFrame, groups: Mapping[str, Sequence[str]], order: Sequence[str]) -> DataFrame:
+    """SQL ``rank()`` by all of ``order`` descending, NULLs last, in several groupings; one column for each.
+
+    Tied rows share a rank, so only distinct values are ranked: rows are counted per value
+    (combined before the shuffle) and running totals over all of them, group after group, give how
+    many stand before each. A rank is the distance to the first of the group. The groupings are ranked together
+    and need equally many columns; joins take the ranks back to the rows.
+    """
+    every = [c for names in groups.values() for c in names]
+    counted = df.groupBy(*dict.fromkeys(every), *order).agg(F.count(F.lit(1)).alias("rows"))
+    keys = [f"group_{i}" for i in range(max(map(len, groups.values())))]
+    parts = [
+        counted.select(F.lit(out).alias("ranking"), *[F.col(c).cast("string").alias(k) for c, k in zip(names, keys)], *order, "rows")
+        for out, names in groups.items()
+    ]
+    grouping = ["ranking", *keys]
+    values = reduce(DataFrame.unionByName, parts).groupBy(*grouping, *order).agg(F.sum("rows").alias("rows"))
+    sorting = [*[F.col(k).asc_nulls_first() for k in grouping], *[F.col(c).desc_nulls_last() for c in order]]
+    placed = running_total(values, sorting, "rows", "ahead")
+    firsts = placed.groupBy(*grouping).agg(F.min("ahead").alias("first"))
+    firsts = firsts.select(*[F.col(k).alias(f"of_{k}") for k in grouping], "first")
+    placed = placed.join(firsts, same(placed, firsts, grouping, "of_")).select(
+        *[F.col(c).alias(f"ranked_{c}") for c in [*grouping, *order]], (F.col("ahead") - F.col("first") + 1).cast("int").alias("rank_of_value")
+    )
+    for out, names in groups.items():
+        ranks = placed.filter(F.col("ranked_ranking") == out).withColumnRenamed("rank_of_value", out)
+        matches = [df[c].cast("string").eqNullSafe(ranks[f"ranked_{k}"]) for c, k in zip(names, keys)]
+        matches += [df[c].eqNullSafe(ranks[f"ranked_{c}"]) for c in order]
+        df = df.join(ranks, reduce(lambda a, b: a & b, matches), "left").select(*[df[c] for c in df.columns], out)
+    return df
 
 
 def next_in_order(df: DataFrame, group: Sequence[str], at: str, value: str, out: str) -> DataFrame:
-    """``lead(value)`` within the group by (``at``, ``value``), computed minute by minute.
+    """``lead(value)`` within the group by (``at``, ``value``); ties in time follow ``value``, NULLs come first.
 
-    Rows of one group and minute are a window partition; the last of them takes the first
-    row of the group's next minute that has any. A minute's first rows combine before the
-    shuffle, and a day of a group has 1,440 minutes at most, so no window grows with a
-    group's rows but for those of one minute. Ties in time follow ``value``, NULL times come first.
+    Rows are dealt out by range of all these columns and written with the number of their range. A task
+    takes the next row within its range, and the last row of a range the first of the next one,
+    of which there is one row for each range. So neither a group nor a moment has to stand in one task.
     """
-    seconds = F.unix_date(F.to_date(at)).cast("long") * 86_400 + F.hour(at) * 3_600 + F.minute(at) * 60 + F.second(at)
-    sliced = df.withColumn("slice", F.floor(seconds / SLICE_SECONDS))
-    keys = [*group, "slice"]
-    heads = sliced.groupBy(*keys).agg(F.min(F.struct(at, value)).alias("head"))
-    following = F.lead(F.col(f"head.{value}")).over(Window.partitionBy(*group).orderBy("slice"))
-    heads = heads.withColumn("next_head", following).select(*[F.col(k).alias(f"head_{k}") for k in keys], "next_head")
-    led = sliced.withColumn("within", F.lead(value).over(Window.partitionBy(*keys).orderBy(at, value)))
-    return led.join(heads, same(led, heads, keys, "head_"), "left").select(
-        *df.columns, F.coalesce("within", "next_head").alias(out)
-    )
+    number = "range_of"
+    columns = [*group, at, value]
+    order = [F.col(c).asc_nulls_first() for c in columns]
+    ranged = staged(df.repartitionByRange(*order).withColumn(number, F.spark_partition_id()), "ranges")
+    within = F.lead(F.struct(*columns)).over(Window.partitionBy(number).orderBy(*order))
+    heads = ranged.groupBy(number).agg(F.min(F.struct(*columns)).alias("head"))
+    heads = heads.select(number, F.lead("head").over(Window.orderBy(number)).alias("next_head"))
+    led = ranged.withColumn("next_row", within).join(heads, number).withColumn("next_row", F.coalesce("next_row", "next_head"))
+    in_group = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"next_row.{c}")) for c in group])
+    follows = F.when(F.col("next_row").isNotNull() & in_group, F.col(f"next_row.{value}"))
+    return led.select(*df.columns, follows.alias(out))

@@ -9,7 +9,7 @@ from typing import Any
 from pyspark.sql import DataFrame
 
 from tillwatch.functions.columns import add_static_columns
-from tillwatch.operators import flagging, metrics, prep, quality, reporting
+from tillwatch.operators import flagging, metrics, prep, quality, reporting, rules
 from tillwatch.operators.scale import staged
 from tillwatch.params import Params
 from tillwatch.session import tune
@@ -79,6 +79,19 @@ def week_metrics(x: Tables, p: Params) -> dict[int, DataFrame]:
     return {kpi_id: metrics.as_metric(df) for kpi_id, df in found.items()}
 
 
+def week_anomalies(raw: Tables, x: Tables, p: Params, originals: DataFrame | None = None) -> DataFrame:
+    """The ten metrics merged, each source evaluated once; the same as merging ``week_metrics``."""
+    header, line, location = raw["receipt_header"], raw["receipt_line"], raw["location"]
+    found = extracts.originals_found(line, location, p) if originals is None else originals
+    return rules.merge_rules(
+        [
+            rules.header_rules(x["headers"], x["hours"], x["lines"], x["cash"], p),
+            rules.return_rules(extracts.returned_articles(header, line, location, p), found, p),
+            *rules.line_rules(x["lines"], x["subtotals"], x["headers"], x["cash"], p),
+        ]
+    )
+
+
 def run_week(
     raw: Tables,
     p: Params,
@@ -113,9 +126,10 @@ def run_week(
 
     originals = keep(extracts.originals_found(raw["receipt_line"], raw["location"], p), "originals_found")
     out = extract_week(raw, p, originals)
-    out |= keep_all({name: out[name] for name in ("headers", "lines", "cash", "returns", "org")})
-    out |= keep_all(prepare_week(out, p))
-    out["anomalies"] = keep(flagging.merge_anomalies(week_metrics(out, p)), "anomalies")
+    out |= keep_all({name: out[name] for name in ("headers", "lines", "cash", "org")})
+    out |= prepare_week(out, p)
+    out["cashier_stats"] = keep(out["cashier_stats"], "cashier_stats")
+    out["anomalies"] = keep(week_anomalies(raw, out, p, originals), "anomalies")
     gate(out["anomalies"], "anomalies")
     out["flags"] = keep(flagging.flag_cashiers(out["anomalies"], out["cashier_stats"], out["org"], p, keep), "flags")
     gate(out["flags"], "flags")

@@ -150,6 +150,18 @@ def originals_found(line: DataFrame, location: DataFrame, p: Params) -> DataFram
     return names.select(*ORIGINAL).distinct().join(originals, ORIGINAL, "leftsemi")
 
 
+def without_original(p: Params) -> Column:
+    """No original ``found``, or one of at least ``considered_return_days`` ago."""
+    return F.col("found").isNull() | (F.datediff("receipt_date", "sold_on") >= p.considered_return_days)
+
+
+def returned_articles(header: DataFrame, line: DataFrame, location: DataFrame, p: Params) -> DataFrame:
+    """Return lines with the receipt's data and total, and the original they name."""
+    returns = _named_originals(_return_lines(line, location, p))
+    joined = _staffed_headers(header, location, p).join(returns, "transaction_id")
+    return joined.select(*RECEIPT_COLUMNS, "total_gross_val", *ORIGINAL)
+
+
 def returns_without_original(
     header: DataFrame, line: DataFrame, location: DataFrame, p: Params, found: DataFrame | None = None
 ) -> DataFrame:
@@ -160,12 +172,11 @@ def returns_without_original(
     """
     returns = _named_originals(_return_lines(line, location, p))
     found = (originals_found(line, location, p) if found is None else found).withColumn("found", F.lit(True))
-    too_old = F.datediff("receipt_date", "sold_on") >= p.considered_return_days
     return (
         _staffed_headers(header, location, p)
         .join(returns, "transaction_id")
         .join(found, ORIGINAL, "left")
-        .filter(F.col("found").isNull() | too_old)
+        .filter(without_original(p))
         .select(*RECEIPT_COLUMNS)
     )
 

@@ -17,7 +17,7 @@ from tillwatch.operators import export, flagging, metrics, prep, quality, report
 from tillwatch.operators.scale import shared_folder, staged
 from tillwatch.params import DEFAULT_RULES, Params
 from tillwatch.plans.report import report_basis, report_week
-from tillwatch.plans.week import extract_week, prepare_week, run_week, week_metrics
+from tillwatch.plans.week import extract_week, prepare_week, run_week, week_anomalies
 from tillwatch.projection import raw_tables
 from tillwatch.session import tune
 from tillwatch.sinks import quality_tables, tables
@@ -75,7 +75,7 @@ class Week:
 
     def merged(self) -> DataFrame:
         """The anomalies from the raw tables, computed anew."""
-        return flagging.merge_anomalies(week_metrics(self.x, self.p))
+        return week_anomalies(self.raw, self.x, self.p)
 
     @cached_property
     def anomalies(self) -> DataFrame:
