@@ -6,14 +6,14 @@ Candidates are phrases of 2 to ``longest`` words that occur ``least`` times or m
 As all parts of a candidate occur as often, lengths are counted one after the other, and of each
 length only phrases whose first and last words (all but one) are frequent themselves.
 
-Texts become shards of a bounded size, with a dictionary of their own. Dictionaries meet by word; the
-frequent words get ids, which come back to the shards that hold them. Then for each length:
+Texts become shards of a bounded size, with words numbered by a dictionary of their own. Dictionaries are cut into blocks by
+the words' hashes, the blocks of all shards are merged, and a shard is told which of its words are frequent, and their ids. Then for each length:
 a shard packs every possible phrase into a number (id of its first words, id of the last word), counts
 them in a counting quotient filter, lossless, and cuts it into blocks by the upper bits of the permuted
 numbers. The filters of a block from all shards are merged in one task; blocks are equally large, as
-the permutation spreads keys evenly, and a phrase that is everywhere is one entry of each shard. Frequent
-phrases get ids, which come back to the shards. Nothing is broadcast or brought to the driver but
-for single figures that say how many bits and blocks there are.
+the permutation spreads keys evenly, and a phrase that is everywhere is one entry of each shard. A shard is told which of its
+phrases are frequent, and keeps of its text only what longer phrases may need, in its own small numbers. Nothing is broadcast or
+brought to the driver but for single figures that say how many bits and blocks there are.
 
 The score of a cut is floor(1000 a n / (l r)) in exact arithmetic: a, l and r are the counts of the phrase, of the words before
 the cut and of those behind it, n all words of the language. The lowest counts; of equal ones the first. A candidate
@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from .common import kept, shared_folder, small_batches
 from .quotient import counted, merged, packed, permuted, restored, unpacked
-from .wordhash import LOWER, groups, text_bytes
+from .wordhash import INVERSE, LOWER, groups, mix, powers, text_bytes
 
 LEAST, LONGEST, COVER, TOP = 100, 5, 100, 2000
 
@@ -49,7 +49,7 @@ class Sizes:
     """What a task has in memory at a time; results don't depend on it."""
 
     #: bytes of text in a shard; a longer text is one of its own
-    shard: int = 16 << 20
+    shard: int = 12 << 20
     #: positions in a row of a shard, entries in a row of a filter
     part: int = 8192
     row: int = 4096
@@ -62,8 +62,10 @@ BREAK = np.zeros(256, dtype=bool)
 BREAK[list(b".,;:!?\n\x0b\x0c\r")] = True
 OUTSIDE = BREAK.copy()
 OUTSIDE[list(b" \t")] = True
-#: Rows of a table that a step writes: what shards keep, and what they say to others.
-STATE, SAID = 0, 1
+#: Rows of a table that a step writes: what shards keep (of a block: what is frequent in it), what is said to others, and totals.
+STATE, SAID, TOTAL = 0, 1, 2
+#: Rows of a shard before its parts: ids of its words, ids of its phrases, and what blocks say of its phrases.
+WORDS, PHRASES, TOLD = -3, -2, -1
 
 
 def in_kinds(df: DataFrame, name: str) -> DataFrame:
@@ -121,9 +123,30 @@ def _cuts(sequence: np.ndarray, size: int) -> list[np.ndarray]:
     return [p for p in np.split(sequence, ends) if p.any()]
 
 
-def _encode(sizes: Sizes):
-    """Rows of the shards: their words (SAID) and their texts as numbers of words, most frequent first, with 0 between pieces (STATE)."""
-    names = ["kind", "shard", "part", "seq", "lang", "word", "local", "n"]
+def word_hashes(words: pa.Array) -> np.ndarray:
+    """A hash of each word, equal on every machine."""
+    ends = np.frombuffer(words.buffers()[1], dtype=np.int64)[words.offset : words.offset + len(words) + 1]
+    data = np.frombuffer(words.buffers()[2], dtype=np.uint8)[ends[0] : ends[-1]]
+    ends = ends - ends[0]
+    sums = np.zeros(len(data) + 1, dtype=np.uint64)
+    with np.errstate(over="ignore"):
+        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers(len(data)), out=sums[1:])
+        return mix((sums[ends[1:]] - sums[ends[:-1]]) * powers(len(data) + 1, INVERSE)[ends[:-1]])
+
+
+ROWS = pa.schema([("kind", pa.int8()), ("shard", pa.int64()), ("part", pa.int64()), ("seq", pa.binary()), ("phrases", pa.binary()), ("lang", pa.string()), ("words", pa.string())])
+ROWS_DDL = "kind byte, shard long, part long, seq binary, phrases binary, lang string, words string"
+
+
+def rows_of(**columns) -> pa.RecordBatch:
+    """A batch with these columns; a single value stands for all rows, others are null."""
+    n = max(len(c) for c in columns.values() if isinstance(c, list))
+    whole = [pa.array(v if isinstance(v, list) else [v] * n, f.type) if (v := columns.get(f.name)) is not None else pa.nulls(n, f.type) for f in ROWS]
+    return pa.RecordBatch.from_arrays(whole, schema=ROWS)
+
+
+def _encode(sizes: Sizes, block_bits: int):
+    """Rows of the shards: blocks of their words (SAID: numbers, counts, words) and their texts as numbers of words, most frequent first, with 0 between pieces (STATE)."""
 
     def shard(rows: pa.Table, number: int):
         words, doc, begins = tokens(rows["text"].combine_chunks())
@@ -132,29 +155,37 @@ def _encode(sizes: Sizes):
         coded, langs = words.dictionary_encode(), rows["lang"].combine_chunks().dictionary_encode()
         types = len(coded.dictionary)
         both = np.asarray(coded.indices).astype(np.int64) + np.asarray(langs.indices)[doc].astype(np.int64) * types
+        del words, doc
         code, kinds = pd.factorize(both)
+        del both
         n = np.bincount(code)
         order = np.argsort(-n, kind="stable")
-        local = np.empty(len(n), dtype=np.int64)
+        local = np.empty(len(n), dtype=np.int32)
         local[order] = np.arange(1, len(n) + 1)
-        at = np.arange(len(code)) + np.cumsum(begins) - 1
-        sequence = np.zeros(at[-1] + 1, dtype=np.int64)
+        at = np.cumsum(begins, dtype=np.int32)
+        at += np.arange(-1, len(at) - 1, dtype=np.int32)
+        sequence = np.zeros(int(at[-1]) + 1, dtype=np.int32)
         sequence[at] = local[code]
+        del at, code
         parts = _cuts(sequence, sizes.part)
-        none = pa.nulls(len(parts), pa.string())
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([STATE] * len(parts), pa.int8()), pa.array([number] * len(parts), pa.int64()), pa.array(range(len(parts)), pa.int64()), pa.array([short_numbers(p) for p in parts], pa.binary()), none, none, pa.nulls(len(parts), pa.int64()), pa.nulls(len(parts), pa.int64())],
-            names=names,
-        )
-        kinds = kinds[order]
-        for a in range(0, len(kinds), 50_000):
-            k = kinds[a : a + 50_000]
-            size = len(k)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(size, SAID, np.int8)), pa.array(np.full(size, number)), pa.nulls(size, pa.int64()), pa.nulls(size, pa.binary()), langs.dictionary.take(pa.array(k // types)).cast(pa.string()),
-                 coded.dictionary.take(pa.array(k % types)).cast(pa.string()), pa.array(np.arange(a + 1, a + 1 + size)), pa.array(n[order][a : a + size].astype(np.int64))],
-                names=names,
-            )
+        for a in range(0, len(parts), 200):
+            some = parts[a : a + 200]
+            yield rows_of(kind=STATE, shard=number, part=list(range(a, a + len(some))), seq=[short_numbers(p) for p in some])
+        word, lang, kinds = kinds % types, kinds // types, None
+        hashes = word_hashes(coded.dictionary)[word] ^ word_hashes(langs.dictionary.cast(pa.large_string()))[lang]
+        block = hashes >> np.uint64(64 - block_bits) if block_bits else np.zeros(len(word), np.uint64)
+        order = np.lexsort((local, lang, block))
+        block, lang, word, local, n = block[order].astype(np.int64), lang[order], word[order], local[order], n[order]
+        edges = np.flatnonzero((block[1:] != block[:-1]) | (lang[1:] != lang[:-1])) + 1
+        names, told = langs.dictionary.to_pylist(), []
+        for a, z in zip([0, *edges.tolist()], [*edges.tolist(), len(word)]):
+            for i in range(a, z, sizes.row):
+                e = min(i + sizes.row, z)
+                # a line end is no part of a word
+                told.append((int(block[a]), short_numbers(local[i:e]), short_numbers(n[i:e]), names[lang[a]], "\n".join(coded.dictionary.take(pa.array(word[i:e])).to_pylist())))
+        for a in range(0, len(told), 200):
+            part, seq, counts, lang_of, joined = (list(c) for c in zip(*told[a : a + 200]))
+            yield rows_of(kind=SAID, shard=number, part=part, seq=seq, phrases=counts, lang=lang_of, words=joined)
 
     def run(batches):
         held, size, number = [], 0, TaskContext.get().partitionId() << 32
@@ -173,43 +204,84 @@ def _encode(sizes: Sizes):
     return run
 
 
-def look_up(keys: np.ndarray, ids: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-    """id + 1 of each wanted key in the sorted keys, 0 where it is not there."""
-    if not len(keys):
-        return np.zeros(len(wanted), dtype=np.uint64)
-    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-    return np.where(keys[at] == wanted, ids[at] + np.uint64(1), np.uint64(0))
+def by_key(batches, name: str):
+    """(key, rows) of sorted rows; a group of rows is in memory at a time."""
+    key, rows = None, []
+    for batch in batches:
+        for row in batch.to_pylist():
+            if row[name] != key:
+                if rows:
+                    yield key, rows
+                key, rows = row[name], []
+            rows.append(row)
+    if rows:
+        yield key, rows
+
+
+FOUND = pa.schema([("kind", pa.int8()), ("block", pa.int64()), ("shard", pa.int64()), ("key", pa.int64()), ("nr", pa.int64()), ("n", pa.int64()), ("lang", pa.string()), ("word", pa.string()), ("seq", pa.binary()), ("phrases", pa.binary())])
+FOUND_DDL = "kind byte, block long, shard long, key long, nr long, n long, lang string, word string, seq binary, phrases binary"
 
 
-def _key(first: np.ndarray, word: np.ndarray, word_bits: int) -> np.ndarray:
-    """Both are id + 1."""
-    return ((first - np.uint64(1)) << np.uint64(word_bits)) | (word - np.uint64(1))
+def found_rows(size: int, **columns) -> pa.RecordBatch:
+    whole = [pa.nulls(size, f.type) if (v := columns.get(f.name)) is None else v.cast(f.type) if isinstance(v, pa.Array) else pa.array(np.full(size, v) if np.isscalar(v) and not isinstance(v, str) else [v] * size if isinstance(v, str) else v, f.type) for f in FOUND]
+    return pa.RecordBatch.from_arrays(whole, schema=FOUND)
 
 
-def grown(words: np.ndarray, phrases: np.ndarray | None, keys: np.ndarray, ids: np.ndarray, length: int, word_bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """One step over a sequence: (words, ids of the phrases of ``length`` words that begin there, where both go on; keys of the phrases one word longer).
+def _merge_words(least: int):
+    """Rows come sorted by block: the frequent words (STATE), which of them each shard has (SAID: its numbers, numbers in the block), and all occurrences of each language (TOTAL)."""
+
+    def run(batches):
+        for block, rows in by_key(batches, "part"):
+            next_nr = 0
+            for lang in sorted({r["lang"] for r in rows}):
+                own = [r for r in rows if r["lang"] == lang]
+                lists = [pa.array(r["words"].split("\n")) for r in own]
+                coded = pa.chunked_array(lists).combine_chunks().dictionary_encode()
+                index, counts = np.asarray(coded.indices), np.concatenate([long_numbers(r["phrases"]) for r in own]).astype(np.int64)
+                total = np.zeros(len(coded.dictionary), dtype=np.int64)
+                np.add.at(total, index, counts)
+                yield found_rows(1, kind=TOTAL, block=block, n=int(total.sum()), lang=lang)
+                often = np.flatnonzero(total >= least)
+                if not len(often):
+                    continue
+                nr = np.full(len(total), -1, dtype=np.int64)
+                nr[often] = np.arange(next_nr, next_nr + len(often))
+                next_nr += len(often)
+                yield found_rows(len(often), kind=STATE, block=block, nr=nr[often], n=total[often], lang=lang, word=coded.dictionary.take(pa.array(often)))
+                begins = np.cumsum([0, *map(len, lists)])
+                for r, a, z in zip(own, begins[:-1], begins[1:]):
+                    mine = nr[index[a:z]]
+                    here = mine >= 0
+                    if here.any():
+                        yield found_rows(1, kind=SAID, block=block, shard=r["shard"], seq=[short_numbers(long_numbers(r["seq"])[here])], phrases=[short_numbers(mine[here])])
+
+    return run
+
+
+def look_up(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Place + 1 of each wanted key in the sorted keys, 0 where it is not there."""
+    if not len(keys):
+        return np.zeros(len(wanted), dtype=np.int64)
+    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    return np.where(keys[at] == wanted, at + 1, 0)
+
 
-    ``phrases`` are those of length - 1; for words themselves there are none, and ``words`` are looked up. All ids are id + 1, 0 is a gap.
+def grown(words: np.ndarray, now: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(places from which a phrase one word longer may begin; words and phrases that they need, with 0 between).
+
+    ``now`` says which frequent phrase of ``length`` words begins at each place, 0 for none.
     """
-    if phrases is None:
-        words = now = look_up(keys, ids, words)
-    else:
-        now = np.zeros(len(words), dtype=np.uint64)
-        both = np.flatnonzero((phrases[:-1] > 0) & (phrases[1:] > 0))
-        now[both] = look_up(keys, ids, _key(phrases[both], words[both + length - 1], word_bits))
     on = np.flatnonzero((now[:-1] > 0) & (now[1:] > 0))
     if not len(on):
-        nothing = np.zeros(0, np.uint64)
-        return nothing, nothing, nothing
-    longer = _key(now[on], words[on + length], word_bits)
+        return on, on, on
     edge = np.zeros(len(words) + 1, dtype=np.int64)
     np.add.at(edge, on, 1)
     np.add.at(edge, on + length + 1, -1)
     stay = np.flatnonzero(np.cumsum(edge[:-1]) > 0)
     at = np.arange(len(stay)) + np.concatenate(([0], np.cumsum(np.diff(stay) > 1)))
-    left = np.zeros((2, at[-1] + 1), dtype=np.uint64)
+    left = np.zeros((2, at[-1] + 1), dtype=np.int64)
     left[0, at], left[1, at] = words[stay], now[stay]
-    return left[0], left[1], longer
+    return on, left[0], left[1]
 
 
 def filter_rows(keys: np.ndarray, bits: int, block_bits: int, size: int) -> list[tuple[int, bytes]]:
@@ -223,104 +295,111 @@ def filter_rows(keys: np.ndarray, bits: int, block_bits: int, size: int) -> list
     return out
 
 
-def _grow(length: int, word_bits: int, bits: int, block_bits: int, last: bool, size: int):
-    """Rows come sorted by shard, what was said to it (key, id) before its parts."""
+def _grow(length: int, low_bits: int, word_bits: int, bits: int, block_bits: int, last: bool, size: int):
+    """Rows come sorted by shard and part: ids of its words and phrases, what was said to it, its parts.
 
-    def run(batches):
-        shard, keys, ids, ready, found = None, [], [], False, []
-
-        def rows(kind, parts, seqs, more):
-            n = len(parts)
-            return pa.RecordBatch.from_arrays(
-                [pa.array([kind] * n, pa.int8()), pa.array([shard] * n, pa.int64()), pa.array(parts, pa.int64()), pa.array(seqs, pa.binary()), pa.array(more, pa.binary())],
-                names=["kind", "shard", "part", "seq", "phrases"],
-            )
-
-        def close():
-            if found:
-                every = filter_rows(np.concatenate(found), bits, block_bits, size)
-                for a in range(0, len(every), 200):
-                    some = every[a : a + 200]
-                    yield rows(SAID, [b for b, _ in some], [f for _, f in some], [None] * len(some))
+    A part is the shard's numbers of its words and of the phrases of length - 1 words that begin there (for single words the same). With ids of
+    the frequent phrases of ``length`` words, phrases one word longer are counted (SAID), and what they need is kept (STATE).
+    """
+
+    def ids_of(row) -> np.ndarray:
+        return (np.uint64(row["key"]) << np.uint64(low_bits)) | long_numbers(row["phrases"])
+
+    def table(numbers: np.ndarray, ids: np.ndarray) -> np.ndarray:
+        """id + 1 by number."""
+        out = np.zeros(int(numbers.max()) + 1 if len(numbers) else 1, dtype=np.uint64)
+        out[numbers.astype(np.int64)] = ids + np.uint64(1)
+        return out
 
+    def at(of: np.ndarray, numbers: np.ndarray) -> np.ndarray:
+        return of[np.where(numbers < len(of), numbers, 0)]
+
+    def run(batches):
+        shard = None
         for batch in batches:
-            owner, part = np.asarray(batch.column("shard")), np.asarray(batch.column("part"))
-            key, id_ = (np.asarray(batch.column(c).fill_null(0)).astype(np.uint64) for c in ("key", "id"))
-            seqs, phrases = batch.column("seq"), batch.column("phrases")
-            edges = np.flatnonzero((owner[1:] != owner[:-1]) | ((part[1:] < 0) != (part[:-1] < 0))) + 1
-            for a, z in zip([0, *edges.tolist()], [*edges.tolist(), len(owner)]):
-                if a == z:
-                    continue
-                if owner[a] != shard:
-                    yield from close()
-                    shard, keys, ids, ready, found = int(owner[a]), [], [], False, []
-                if part[a] < 0:
-                    keys.append(key[a:z]), ids.append(id_[a:z])
-                    continue
-                if not keys:
-                    continue  # nothing in it is frequent
-                if not ready:
-                    k, i = np.concatenate(keys), np.concatenate(ids)
-                    order = np.argsort(k)
-                    sorted_keys, sorted_ids, ready = k[order], i[order], True
-                left = [], [], []
-                for r in range(a, z):
-                    before = None if length == 1 else long_numbers(phrases[r].as_py())
-                    words, now, longer = grown(long_numbers(seqs[r].as_py()), before, sorted_keys, sorted_ids, length, word_bits)
-                    if len(longer):
-                        found.append(longer)
+            for row in batch.to_pylist():
+                if row["shard"] != shard:
+                    if shard is not None:
+                        yield from close(shard, found)
+                    shard, words, phrases, told, keys, found = row["shard"], None, None, [], None, []
+                if row["part"] == WORDS:
+                    words = table(long_numbers(row["seq"]), long_numbers(row["phrases"]))
+                elif row["part"] == PHRASES:
+                    phrases = long_numbers(row["phrases"])
+                elif row["part"] == TOLD:
+                    told.append((long_numbers(row["seq"]) if length == 1 else np.frombuffer(row["seq"], dtype="<u8"), ids_of(row)))
+                elif told:
+                    if keys is None:
+                        keys, ids = (np.concatenate(c) for c in zip(*told))
+                        order = np.argsort(keys)
+                        keys, ids = keys[order], ids[order]
+                        if length == 1:
+                            words = table(keys, ids)
+                        if not last:
+                            yield rows_of(kind=STATE, shard=shard, part=[WORDS], seq=[short_numbers(np.flatnonzero(words))], phrases=[short_numbers(words[words > 0] - np.uint64(1))])
+                            if length > 1:
+                                yield rows_of(kind=STATE, shard=shard, part=[PHRASES], phrases=[short_numbers(ids)])
+                    own = long_numbers(row["seq"]).astype(np.int64)
+                    if length == 1:
+                        ids_now = at(words, own)
+                        now = np.where(ids_now > 0, own, 0)
+                        own = now
+                    else:
+                        before = own if length == 2 else long_numbers(row["phrases"]).astype(np.int64)
+                        both = np.flatnonzero((before[:-1] > 0) & (before[1:] > 0))
+                        first = at(words, before[both]) - np.uint64(1) if length == 2 else phrases[before[both] - 1]
+                        now = np.zeros(len(own), dtype=np.int64)
+                        now[both] = look_up(keys, (first << np.uint64(word_bits)) | (at(words, own[both + length - 1]) - np.uint64(1)))
+                        ids_now = np.zeros(len(own), dtype=np.uint64)
+                        ids_now[now > 0] = ids[now[now > 0] - 1] + np.uint64(1)
+                    on, left_words, left_phrases = grown(own, now, length)
+                    if len(on):
+                        found.append(((ids_now[on] - np.uint64(1)) << np.uint64(word_bits)) | (at(words, own[on + length]) - np.uint64(1)))
                         if not last:
-                            left[0].append(int(part[r])), left[1].append(short_numbers(words)), left[2].append(short_numbers(now))
-                if left[0]:
-                    yield rows(STATE, *left)
-        yield from close()
+                            yield rows_of(kind=STATE, shard=shard, part=[row["part"]], seq=[short_numbers(left_words)], phrases=[short_numbers(left_phrases)] if length > 1 else None)
+        if shard is not None:
+            yield from close(shard, found)
+
+    def close(shard: int, found: list):
+        if found:
+            every = filter_rows(np.concatenate(found), bits, block_bits, size)
+            for a in range(0, len(every), 200):
+                some = every[a : a + 200]
+                yield rows_of(kind=SAID, shard=shard, part=[b for b, _ in some], seq=[f for _, f in some])
 
     return run
 
 
 def _merge(least: int):
-    """Rows come sorted by block (part): the frequent phrases (STATE; key, number in the block, count), and which of them each shard holds (SAID)."""
-
-    def solve(block: int, parts: list[tuple[int, bytes]]):
-        lists = [(shard, *unpacked(f)) for shard, f in parts]
-        bits = lists[0][3]
-        values, counts = merged([(v, n) for _, v, n, _ in lists])
-        values, counts = values[counts >= least], counts[counts >= least]
-        if not len(values):
-            return
-        numbers = np.arange(len(values), dtype=np.uint64)
-
-        def rows(kind, shard, keys, nr, n):
-            size = len(keys)
-            return pa.RecordBatch.from_arrays([pa.array(np.full(size, kind, np.int8)), pa.array(np.full(size, block)), shard, pa.array(keys.view(np.int64)), pa.array(nr.view(np.int64)), pa.array(n)], names=["kind", "block", "shard", "key", "nr", "n"])
-
-        yield rows(STATE, pa.nulls(len(values), pa.int64()), restored(values, bits), numbers, counts)
-        for shard, v, n, _ in lists:
-            nr = look_up(values, numbers, v)
-            here = nr > 0
-            if here.any():
-                yield rows(SAID, pa.array(np.full(here.sum(), shard)), restored(v[here], bits), nr[here] - np.uint64(1), n[here])
+    """Rows come sorted by block: the frequent phrases (STATE: key, number in the block, count), and which of them each shard has (SAID: keys, numbers in the block)."""
 
     def run(batches):
-        block, parts = None, []
-        for batch in batches:
-            for b, shard, f in zip(*(batch.column(c).to_pylist() for c in ("part", "shard", "seq"))):
-                if b != block:
-                    if parts:
-                        yield from solve(block, parts)
-                    block, parts = b, []
-                parts.append((shard, f))
-        if parts:
-            yield from solve(block, parts)
+        for block, rows in by_key(batches, "part"):
+            lists = [(r["shard"], *unpacked(r["seq"])) for r in rows]
+            bits = lists[0][3]
+            values, counts = merged([(v, n) for _, v, n, _ in lists])
+            values, counts = values[counts >= least], counts[counts >= least]
+            if not len(values):
+                continue
+            yield found_rows(len(values), kind=STATE, block=block, key=restored(values, bits).view(np.int64), nr=np.arange(len(values)), n=counts)
+            for shard, v, _, _ in lists:
+                nr = look_up(values, v)
+                here = nr > 0
+                if here.any():
+                    yield found_rows(1, kind=SAID, block=block, shard=shard, seq=[restored(v[here], bits).astype("<u8").tobytes()], phrases=[short_numbers(nr[here] - 1)])
 
     return run
 
 
-def _numbered(df: DataFrame, group: str, nr: str) -> tuple[Column, int]:
-    """An id from a group's number and the number within it, and how many bits it has."""
-    most = df.agg(F.max(group).alias("g"), F.max(nr).alias("n")).first()
-    low, high = max((most["n"] or 0).bit_length(), 1), max((most["g"] or 0).bit_length(), 1)
-    return F.col(group) * F.lit(1 << low) + F.col(nr), low + high
+def _id_bits(found: DataFrame) -> tuple[int, int]:
+    """How many bits the number in a block and the whole id have."""
+    most = found.agg(F.max("block").alias("block"), F.max("nr").alias("nr")).first()
+    low, high = max((most["nr"] or 0).bit_length(), 1), max((most["block"] or 0).bit_length(), 1)
+    return low, low + high
+
+
+def _id(low: int) -> Column:
+    return F.shiftleft("block", low).bitwiseOR(F.col("nr"))
 
 
 def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, sizes: Sizes = SIZES) -> tuple[DataFrame, list[DataFrame]]:
@@ -330,41 +409,41 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST
     and lasts (counts of its first and last 1, 2, ... words).
     """
     rows = small_batches(docs.select(F.coalesce("text", F.lit("")).alias("text"), F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang")))
-    shards = in_kinds(rows.mapInArrow(_encode(sizes), "kind byte, shard long, part long, seq binary, lang string, word string, local long, n long"), "shards")
-    held = shards.where(F.col("kind") == SAID).select("shard", "lang", "word", "local", "n")
-    totals = kept(held.groupBy("lang").agg(F.sum("n").alias("n")), "word-totals")
-    words = held.groupBy("lang", "word").agg(F.sum("n").alias("a")).where(F.col("a") >= least)
-    words = kept(words.withColumn("place", F.monotonically_increasing_id()), "frequent-words")
-    words = words.withColumns({"group": F.shiftright("place", 33), "nr": F.col("place").bitwiseAND((1 << 33) - 1)})
-    id_, word_bits = _numbered(words, "group", "nr")
-    longs = F.array().cast("array<long>")
-    levels = [kept(words.select(id_.alias("id"), "lang", F.col("word").alias("phrase"), "a", *(F.lit(None).cast("long").alias(c) for c in ("prefix_id", "suffix_id")), id_.alias("word_id"), longs.alias("firsts"), longs.alias("lasts")), "phrases-1")]
-    told = held.join(levels[0].select(F.col("phrase").alias("word"), "lang", "id"), ["lang", "word"]).select("shard", F.col("local").alias("key"), "id")
-    state, bits = shards.where(F.col("kind") == STATE).withColumn("phrases", F.lit(None).cast("binary")), word_bits
-    most = levels[0].agg(F.sum("a")).first()[0] or 0
+    # as many blocks of words as the input has partitions, which are of a bounded size
+    block_bits = (rows.rdd.getNumPartitions() - 1).bit_length()
+    shards = in_kinds(rows.mapInArrow(_encode(sizes, block_bits), ROWS_DDL), "shards")
+
+    def merge(step: DataFrame, how, name: str) -> DataFrame:
+        said = step.where(F.col("kind") == SAID).drop("kind").repartition("part").sortWithinPartitions("part", "shard")
+        return in_kinds(said.mapInArrow(how, FOUND_DDL), name)
+
+    def told(found: DataFrame) -> DataFrame:
+        return found.where(F.col("kind") == SAID).select("shard", F.lit(TOLD).cast("long").alias("part"), F.col("block").alias("key"), "seq", "phrases")
+
+    found = merge(shards, _merge_words(least), "merged-words")
+    totals = kept(found.where(F.col("kind") == TOTAL).groupBy("lang").agg(F.sum("n").alias("n")), "word-totals")
+    words = found.where(F.col("kind") == STATE)
+    low, bits = _id_bits(words)
+    word_bits, longs = bits, F.array().cast("array<long>")
+    levels = [kept(words.select(_id(low).alias("id"), "lang", F.col("word").alias("phrase"), F.col("n").alias("a"), *(F.lit(None).cast("long").alias(c) for c in ("prefix_id", "suffix_id")), _id(low).alias("word_id"), longs.alias("firsts"), longs.alias("lasts")), "phrases-1")]
+    step = shards
     for length in range(1, longest):
+        most = levels[-1].agg(F.sum("a")).first()[0] or 0
         if not most:
             break
         bits += word_bits
         if bits > 64:
             raise ValueError("more different phrases than keys of 64 bits can tell apart")
         block_bits = min((most // sizes.block).bit_length(), bits)
-        empty = [F.lit(None).cast(t).alias(c) for c, t in (("seq", "binary"), ("phrases", "binary"))]
-        every = state.select("shard", "part", F.lit(None).cast("long").alias("key"), F.lit(None).cast("long").alias("id"), "seq", "phrases")
-        every = every.unionByName(told.select("shard", F.lit(-1).cast("long").alias("part"), "key", "id", *empty))
-        every = every.repartition("shard").sortWithinPartitions("shard", "part")
-        grow = _grow(length, word_bits, bits, block_bits, length == longest - 1, sizes.row)
-        step = in_kinds(every.mapInArrow(grow, "kind byte, shard long, part long, seq binary, phrases binary"), "phrase-filters")
-        state = step.where(F.col("kind") == STATE)
-        blocks = step.where(F.col("kind") == SAID).select("part", "shard", "seq").repartition("part").sortWithinPartitions("part", "shard")
-        met = in_kinds(blocks.mapInArrow(_merge(least), "kind byte, block long, shard long, key long, nr long, n long"), "merged-filters")
-        new = met.where(F.col("kind") == STATE)
-        id_, bits = _numbered(new, "block", "nr")
-        word = F.col("key").bitwiseAND((1 << word_bits) - 1)
-        new = new.select(id_.alias("id"), F.shiftrightunsigned("key", word_bits).alias("prefix_id"), word.alias("word_id"), F.col("n").alias("a"))
+        state = step.where(F.col("kind") == STATE).select("shard", "part", F.lit(None).cast("long").alias("key"), "seq", "phrases")
+        every = state.unionByName(told(found)).repartition("shard").sortWithinPartitions("shard", "part")
+        grow = _grow(length, low, word_bits, bits, block_bits, length == longest - 1, sizes.row)
+        step = in_kinds(every.mapInArrow(grow, ROWS_DDL), "phrase-filters")
+        found = merge(step, _merge(least), "merged-filters")
+        new = found.where(F.col("kind") == STATE)
+        low, bits = _id_bits(new)
+        new = new.select(_id(low).alias("id"), F.shiftrightunsigned("key", word_bits).alias("prefix_id"), F.col("key").bitwiseAND((1 << word_bits) - 1).alias("word_id"), F.col("n").alias("a"))
         levels.append(kept(_described(new, levels), f"phrases-{length + 1}"))
-        told = met.where(F.col("kind") == SAID).select("shard", "key", id_.alias("id"))
-        most = levels[-1].agg(F.sum("a")).first()[0] or 0
     return totals, levels
 
 
@@ -398,6 +477,10 @@ def collocations(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, co
     score = "CAST(CAST(1000 AS DECIMAL(4)) * CAST(a AS DECIMAL(16)) * CAST(n AS DECIMAL(18)) AS DECIMAL(38)) div CAST(CAST(firsts[k] AS DECIMAL(16)) * CAST(lasts[size(lasts) - 1 - k] AS DECIMAL(16)) AS DECIMAL(38))"
     best = F.expr(f"array_min(transform(sequence(0, size(firsts) - 1), k -> struct({score} AS score, k AS k, firsts[k] AS l, lasts[size(lasts) - 1 - k] AS r)))")
     rows = rows.withColumn("best", best).select("lang", "phrase", "a", "best.l", "best.r", "n", "best.score")
-    order = Window.partitionBy("lang").orderBy(F.col("score").desc(), F.col("a").desc(), "phrase")
-    rows = rows.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
+    order = [F.col("score").desc(), F.col("a").desc(), "phrase"]
+    # the first of each of some parts of a language, then the first of those: no task gets more than these
+    part = F.pmod(F.xxhash64("phrase"), F.lit(64))
+    first = F.row_number().over(Window.partitionBy("lang", "part").orderBy(*order))
+    rows = rows.withColumn("part", part).withColumn("rank", first).where(F.col("rank") <= top)
+    rows = rows.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("rank") <= top)
     return rows.select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
