@@ -16,36 +16,50 @@ but for which of two equal pieces (same doc_id, piece and ids) takes which place
 from __future__ import annotations
 
 import os
-import re
 import zlib
-from array import array
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import kept, small_batches
+from .wordhash import LOWER, groups, text_bytes
 
 SIZE = 2048
 END = 0
 #: Pieces of one length are numbered in so many buckets.
 BUCKETS = 1024
-#: Texts are split here before they are tokenised: no token of a word tokenizer goes over a blank or a line's end.
-LETTERS = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
-#: Words whose ids a worker keeps, and the longest of them.
-KEPT_WORDS, LONGEST = 250_000, 40
-GROUP = 1 << 20
+#: Words whose ids a worker keeps, and their bytes; one group of texts may add to them before they are dropped.
+KEPT_WORDS, KEPT_BYTES, LONGEST = 1_000_000, 32 << 20, 40
+#: Bytes of text whose words are looked up together.
+GROUP = 6 << 20
 
-_workers: dict[str, tuple] = {}
+LETTER = np.zeros(256, dtype=bool)
+LETTER[65:91] = LETTER[97:123] = True
+MARK = np.zeros(256, dtype=bool)
+MARK[list(b".,;:!?")] = True
+
+_workers: dict[str, Encoder] = {}
+
+
+def _strings(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.LargeStringArray:
+    """Byte ranges, one behind the other, none empty and with something between them, as strings."""
+    edge = np.zeros(len(data) + 1, dtype=np.int8)
+    edge[start], edge[end] = 1, -1
+    offsets = np.concatenate(([0], np.cumsum(end - start))).astype(np.int64)
+    return pa.LargeStringArray.from_buffers(len(start), pa.py_buffer(offsets), pa.py_buffer(data[np.cumsum(edge[:-1], dtype=np.int8) > 0]))
 
 
 class Encoder:
-    """Ids of texts by a tokenizer that splits at white space; each different word is tokenised once as long as it is kept.
+    """Ids of texts by a tokenizer that splits at white space.
 
-    Words of letters, with or without marks behind them, take a shorter way: small letters straight to the
-    tokenizer's merges. That is right for tokenizers that lower-case and split letters from marks, which
-    is tried out once; others tokenise every word in full.
+    The parts of a group of texts between blanks and line ends are encoded as a dictionary, each different one is
+    tokenised once as long as its ids are kept, and the ids of the texts are gathered by offsets. Parts of letters (to U+00FF) with or without
+    marks behind them count as two, and letters as small ones, which saves most of them and goes straight to the tokenizer's merges. That is right
+    for tokenizers that lower-case and split letters from marks, which is tried out once; for others every part is taken whole.
     """
 
     PROBES = ("The", "été", "ÀÉÎÕÜ", "ÿØß", "word,", "Word.", "what?!", "x", "Äpfel;", "internationalisation:")
@@ -55,15 +69,15 @@ class Encoder:
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.model = self.tokenizer.model
-        letters = [chr(c) for c in range(0xC0, 0x100)]
         split = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        self.spelled = {ord(c): split.pre_tokenize_str(c)[0][0] for c in letters}
-        self.words: dict[str, bytes] = {}
-        self.chunks: dict[str, bytes] = {"": b""}
-        self.short_way = True
-        self.short_way = list(self._learn(list(self.PROBES)).values()) == self._encode(list(self.PROBES))
-        self.words.clear()
+        self.spelled = {c: split.pre_tokenize_str(chr(c))[0][0] for c in range(0xC0, 0x100)}
+        self._forget()
+        self.parts_apart = False
+        whole = self.encode(list(self.PROBES))
+        self._forget()
+        self.parts_apart = True
+        self.parts_apart = self.encode(list(self.PROBES)) == whole
+        self._forget()
 
     @classmethod
     def at(cls, path: str) -> Encoder:
@@ -71,120 +85,186 @@ class Encoder:
             _workers[path] = cls(path)
         return _workers[path]
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _merged(self, word: str) -> bytes:
-        """Ids of a word of small letters."""
-        spelled = word if word.isascii() else word.translate(self.spelled)
-        return array("I", [t.id for t in self.model.tokenize(spelled)]).tobytes()
-
-    def _learn(self, missing: list[str]) -> dict[str, bytes]:
-        """Ids of chunks."""
-        out, rest = {}, []
-        for c in missing:
-            m = LETTERS.fullmatch(c) if self.short_way and len(c) <= LONGEST else None
-            if not m:
-                rest.append(c)
-                continue
-            a, b = m[1].lower(), m[2]
-            ids = self.words.get(a)
-            if ids is None:
-                ids = self.words[a] = self._merged(a)
-            if b:
-                if b not in self.words:
-                    self.words[b] = self._encode([b])[0]
-                ids += self.words[b]
-            out[c] = ids
-        out.update(zip(rest, self._encode(rest)))
-        return out
+    def _forget(self) -> None:
+        self.known = pa.array([], pa.large_string())
+        #: ids of all known parts behind each other; where a part's begin, and how many it has
+        self.flat, self.begin, self.size = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def _one_by_one(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids behind each other, how many each part has)."""
+        ids = [e.ids for e in self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
+        return np.array([i for part in ids for i in part], dtype=np.uint32), np.array([len(i) for i in ids], dtype=np.int64)
+
+    def _merged(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for words of small letters, straight by the tokenizer's merges."""
+        merge, spelled = self.tokenizer.model.tokenize, self.spelled
+        ids = [[t.id for t in merge(w if w.isascii() else w.translate(spelled))] for w in words]
+        return np.array([i for part in ids for i in part], dtype=np.uint32), np.array([len(i) for i in ids], dtype=np.int64)
+
+    def _numbers(self, parts: pa.Array, how) -> np.ndarray:
+        """The numbers of different parts; those that are new are tokenised."""
+        known = pc.index_in(parts, value_set=self.known)
+        new = parts.filter(pc.is_null(known))
+        if len(new):
+            ids, sizes = how(new.to_pylist())
+            at = len(self.known)
+            self.known = pa.concat_arrays([self.known, new])
+            self.begin = np.concatenate([self.begin, len(self.flat) + np.cumsum(sizes) - sizes])
+            self.size, self.flat = np.concatenate([self.size, sizes]), np.concatenate([self.flat, ids])
+        number = np.array(known.fill_null(-1), dtype=np.int64)
+        number[number < 0] = np.arange(at, len(self.known)) if len(new) else 0
+        return number
+
+    def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, each followed by END; where each begins, and the end)."""
+        if len(self.known) > KEPT_WORDS or self.known.nbytes > KEPT_BYTES:
+            self._forget()
+        raw, starts = text_bytes(texts)
+        inside = (raw != 32) & (raw != 10)
+        edge = np.diff(np.concatenate(([False], inside, [False])).astype(np.int8))
+        start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+        letters = np.zeros(len(start), dtype=np.int64)
+        if self.parts_apart:
+            # two bytes are a letter of U+00C0 to U+00FF, but for the signs of multiplication and division
+            two = np.zeros(len(raw) + 1, dtype=bool)
+            two[: len(raw) - 1] = (raw[:-1] == 0xC3) & (raw[1:] >= 0x80) & (raw[1:] <= 0xBF) & (raw[1:] != 0x97) & (raw[1:] != 0xB7)
+            letter = LETTER[raw] | two[:-1]
+            letter[1:] |= two[:-2]
+            before = np.concatenate(([0], np.cumsum(letter, dtype=np.int32)))
+            n = (before[end] - before[start]).astype(np.int64)
+            more = end - start - n
+            # letters first, then at most two marks; anything else is taken whole
+            apart = (n > 0) & (n <= LONGEST) & (before[start + n] - before[start] == n) & (more <= 2)
+            apart &= ((more < 1) | MARK[raw[end - 1]]) & ((more < 2) | MARK[raw[end - 2]])
+            letters = np.where(apart, n, 0)
+            small = LOWER[raw]
+            small[1:] += (two[:-2] & (raw[1:] <= 0x9E)).astype(np.uint8) * np.uint8(32)
+        apart = letters > 0
+        marked = apart & (start + letters < end)
+        units = 1 + marked
+        place = np.cumsum(units) - units
+        number = np.zeros(int(units.sum()), dtype=np.int64)
+        kinds = [(~apart, place, start, end, raw, self._one_by_one)]
+        if apart.any():
+            kinds += [(apart, place, start, start + letters, small, self._merged), (marked, place + 1, start + letters, end, raw, self._one_by_one)]
+        for some, at, a, z, data, how in kinds:
+            if some.any():
+                coded = _strings(data, a[some], z[some]).dictionary_encode()
+                number[at[some]] = self._numbers(coded.dictionary, how)[np.asarray(coded.indices)]
+        size, begin = self.size[number], self.begin[number]
+        before = np.cumsum(size) - size
+        ids = self.flat[np.repeat(begin - before, size) + np.arange(int(size.sum()))]
+        doc = np.repeat(np.searchsorted(starts, start, side="right") - 1, units)
+        counts = np.bincount(doc, weights=size, minlength=len(starts)).astype(np.int64) + 1
+        bounds = np.concatenate(([0], np.cumsum(counts)))
+        out = np.full(int(bounds[-1]), END, dtype="<u4")
+        token = np.ones(len(out), dtype=bool)
+        token[bounds[1:] - 1] = False
+        out[token] = ids
+        return out, bounds
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """Little-endian 32-bit ids of each text."""
-        parts = [t.replace("\n", " ").split(" ") for t in texts]
-        missing = list(set().union(*parts) - self.chunks.keys())
-        if len(self.chunks) + len(missing) > KEPT_WORDS:
-            self.chunks = {"": b""}
-            missing = list(set().union(*parts) - {""})
-        if len(self.words) > KEPT_WORDS:
-            self.words = {}
-        new = self._learn(missing)
-        self.chunks.update((c, ids) for c, ids in new.items() if len(c) <= LONGEST)
-        have = new if any(len(c) > LONGEST for c in new) else self.chunks
-        if have is new:
-            have = {**self.chunks, **new}
-        return [b"".join([have[c] for c in p]) for p in parts]
+        """Little-endian 32-bit ids of each text, without END."""
+        ids, bounds = self.ids(pa.array(texts, pa.string()))
+        return [ids[a : z - 1].tobytes() for a, z in zip(bounds[:-1], bounds[1:])]
 
 
 def pieces(docs: DataFrame, tokenizer: str, size: int = SIZE) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 for every piece of every document."""
     docs = small_batches(docs.select("doc_id", "text"))
-    end = np.array([END], dtype="<u4").tobytes()
 
     def run(batches):
         encoder = Encoder.at(tokenizer)
         for batch in batches:
-            texts = [t or "" for t in batch.column("text").to_pylist()]
-            row, piece, start, length, crc = [], [], [], [], []
-            at = 0
-            while at < len(texts):
-                to, room = at, GROUP
-                while to < len(texts) and (room > 0 or to == at):
-                    room -= len(texts[to])
-                    to += 1
-                for i, ids in enumerate(encoder.encode(texts[at:to]), at):
-                    ids += end
-                    for k, b in enumerate(range(0, len(ids), 4 * size)):
-                        part = ids[b : b + 4 * size]
-                        row.append(i), piece.append(k), start.append(b // 4), length.append(len(part) // 4), crc.append(zlib.crc32(part))
-                at = to
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array(row, pa.int64())), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64())], names=["doc_id", "piece", "start", "length", "ids_crc32"])
+            for first, some in groups(batch.column("text"), GROUP):
+                ids, bounds = encoder.ids(some)
+                n = -(-np.diff(bounds) // size)
+                row = np.repeat(np.arange(len(n)), n)
+                piece = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+                begin = bounds[:-1][row] + piece * size
+                length = np.minimum(begin + size, bounds[1:][row]) - begin
+                view = memoryview(ids).cast("B")
+                crc = [zlib.crc32(view[4 * a : 4 * z]) for a, z in zip(begin.tolist(), (begin + length).tolist())]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_id").take(pa.array(row + first)), pa.array(piece.astype(np.int32)), pa.array(piece * size), pa.array(length), pa.array(crc, pa.int64())],
+                    names=["doc_id", "piece", "start", "length", "ids_crc32"],
+                )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.mapInArrow(run, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long")
 
 
+class Sums:
+    """Index of the available lengths by what one, two or three of them add up to.
+
+    For every sum it holds how far its pairs and triples have been gone through, longest first. Lengths are only ever
+    used up, so what was not available once never is again, and no entry is looked at twice.
+    """
+
+    def __init__(self, left: np.ndarray):
+        self.left = left
+        size = len(left)
+        #: the longest length of a pair, and of a triple, that may still be available for a sum
+        self.longest_of_two = np.arange(size) - 1
+        self.longest_of_three = np.arange(size) - 2
+
+    def available(self, lengths: tuple[int, ...]) -> int:
+        """How often these lengths can be taken together."""
+        return min(int(self.left[n]) // lengths.count(n) for n in lengths)
+
+    def singles(self, total: int) -> Iterator[tuple[int, ...]]:
+        if self.left[total]:
+            yield (total,)
+
+    def pairs(self, total: int) -> Iterator[tuple[int, ...]]:
+        """Available pairs of this sum, from the index on."""
+        a, whole = int(self.longest_of_two[total]), True
+        while 2 * a >= total and a > 0:
+            if self.available((a, total - a)):
+                yield a, total - a
+                whole = whole and not self.available((a, total - a))
+            if whole:
+                self.longest_of_two[total] = a - 1
+            a -= 1
+
+    def triples(self, total: int) -> Iterator[tuple[int, ...]]:
+        a, whole = int(self.longest_of_three[total]), True
+        while 3 * a >= total and a > 0:
+            if self.left[a]:
+                for b, c in self.pairs(total - a):
+                    if b <= a and self.available((a, b, c)):
+                        yield a, b, c
+                whole = whole and not self.left[a]
+            if whole:
+                self.longest_of_three[total] = a - 1
+            a -= 1
+
+
 def plan(counts: dict[int, int], size: int = SIZE) -> list[tuple[int, tuple[int, ...]]]:
     """(how often, lengths) for each kind of sequence; each length is used as often as ``counts`` says."""
     left = np.zeros(size + 1, dtype=np.int64)
     for length, n in counts.items():
         left[length] += n
     out: list[tuple[int, tuple[int, ...]]] = []
+    sums = Sums(left)
 
-    def use(lengths: tuple[int, ...]) -> int:
+    def use(lengths: tuple[int, ...]) -> None:
         """Take the combination as often as it is available."""
-        kinds, need = np.unique(lengths, return_counts=True)
-        times = int((left[kinds] // need).min())
+        times = sums.available(lengths)
         if times:
-            left[kinds] -= times * need
+            for n in lengths:
+                left[n] -= times
             out.append((times, lengths))
-        return times
-
-    def pair(total: int, more: tuple[int, ...]) -> tuple[int, int] | None:
-        """The pair a >= b of available lengths with this sum whose a is longest."""
-        if total < 2:
-            return None
-        a = np.arange(total - 1, (total - 1) // 2, -1)
-        for i in np.flatnonzero((left[a] > 0) & (left[total - a] > 0)):
-            lengths = (*more, int(a[i]), int(total - a[i]))
-            kinds, need = np.unique(lengths, return_counts=True)
-            if (left[kinds] >= need).all():
-                return lengths[-2:]
-        return None
 
     use((size,))
     for longest in range(size - 1, 0, -1):
-        gap = size - longest
-        if left[longest] and left[gap]:
-            use((longest, gap))
-        while left[longest] and (two := pair(gap, (longest,))):
-            use((longest, *two))
-        third = gap - 2
-        while left[longest] and third > 0:
-            if left[third] and (two := pair(gap - third, (longest, third))):
-                use((longest, third, *two))
-            else:
-                third -= 1
+        for index in (sums.singles, sums.pairs, sums.triples):
+            if not left[longest]:
+                break
+            for rest in index(size - longest):
+                use((longest, *rest))
+                if not left[longest]:
+                    break
     return out + _best_fit(left, size)
 
 
