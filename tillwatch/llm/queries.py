@@ -34,8 +34,10 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found, _ = secrets.scan(docs)
-    rows = secrets.paths(docs, found)
+    ledger = f"{shared_folder(spark)}/ledger-{uuid.uuid4().hex}"
+    # two runs: half of the documents, then all of them, of which the ledger has half
+    secrets.update(docs.where(F.crc32(F.col("doc_id").cast("string")) % 2 == 0), ledger)
+    rows = secrets.paths(docs, secrets.update(docs, ledger))
 
     def n(kind: str):
         return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")

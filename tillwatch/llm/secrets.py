@@ -3,7 +3,8 @@
 Every text is a version at a path (the document) and has a content address, the SHA-256 of its
 UTF-8 bytes. The ledger says which pairs of blob and rule version have been scanned, and what
 was found. A run computes all addresses, scans one copy of each blob with the rules that the
-ledger lacks for it, adds rows to the ledger, and joins findings back to all paths.
+ledger lacks for it, adds rows to the ledger, and joins findings back to all paths. ``update``
+keeps the ledger as a table in a folder: later runs over more documents, or with other rules, go on from there.
 
 Spans count code points, end exclusive. A rule finds leftmost non-overlapping matches; those
 whose value is too short are dropped after they were matched. Null and empty texts have no
@@ -15,6 +16,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -44,7 +46,8 @@ RULES = (
     Rule("assign", 1, ASSIGN, group=2, least=6, probe=r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]"""),
     Rule("access", 1, r"AKIA[A-Z0-9]{16,}", words=("AKIA",)),
     Rule("hex", 1, r"[0-9a-f]{24,}", probe=r"[0-9a-f]{24}"),
-    Rule("private", 1, r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----", words=("PRIVATE KEY-----",)),
+    # words of capitals with one blank behind each; without a repeated group, which Java matches by recursion
+    Rule("private", 1, r"-----BEGIN (?! )(?![A-Z ]*  )[A-Z ]*(?<= )PRIVATE KEY-----", words=("PRIVATE KEY-----",)),
     Rule("github", 1, r"gh[pousr]_[A-Za-z0-9]{36,}", words=("ghp_", "gho_", "ghu_", "ghs_", "ghr_")),
 )
 BASE = ("assign", "access", "hex")
@@ -108,6 +111,25 @@ def scan(docs: DataFrame, ledger: DataFrame | None = None, rules: tuple[Rule, ..
     return found, new
 
 
+LEDGER = f"blob binary, rules array<string>, spans array<{SPAN}>"
+
+
+def update(docs: DataFrame, folder: str, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """Scan what the ledger in the folder lacks, add it there, and return the findings per blob of the documents and the ledger."""
+    spark = docs.sparkSession
+    try:
+        spark.read.parquet(folder)
+    except AnalysisException as error:
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        before = None
+    else:
+        before = spark.read.schema(LEDGER).parquet(folder)
+    found, new = scan(docs, before, rules)
+    new.write.mode("append").parquet(folder)
+    return found
+
+
 def joined(spans: Column) -> Column:
     """kind:start:end, comma-joined."""
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
