@@ -65,7 +65,7 @@ def test_permutation_and_filters():
     values, counts, bits = quotient.unpacked(quotient.packed(np.zeros(0, np.uint64), np.zeros(0, np.int64), 40))
     assert not len(values) and not len(counts) and bits == 40
     dense = np.sort(rng.choice(1 << 40, 4096, replace=False).astype(np.uint64))
-    assert len(quotient.packed(dense, np.ones(4096, np.int64), 40)) < 5.3 * 4096
+    assert len(quotient.packed(dense, np.ones(4096, np.int64), 40)) < 4.0 * 4096
 
 
 @settings(max_examples=60, deadline=None)

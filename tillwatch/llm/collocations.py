@@ -102,6 +102,34 @@ def long_numbers(data: bytes) -> np.ndarray:
     return np.add.reduceat(bits, begins)
 
 
+_zstd = pa.Codec("zstd", 3)
+
+
+def squeezed(data: bytes) -> bytes:
+    return len(data).to_bytes(4, "little") + _zstd.compress(data, asbytes=True)
+
+
+def unsqueezed(data: bytes) -> bytes:
+    return _zstd.decompress(data[4:], decompressed_size=int.from_bytes(data[:4], "little"), asbytes=True)
+
+
+def squeezed_numbers(values: np.ndarray) -> bytes:
+    return squeezed(short_numbers(values))
+
+
+def read_numbers(data: bytes) -> np.ndarray:
+    return long_numbers(unsqueezed(data))
+
+
+def rising(values: np.ndarray) -> bytes:
+    """Numbers in order, as steps."""
+    return squeezed_numbers(np.diff(values, prepend=values.dtype.type(0)))
+
+
+def read_rising(data: bytes) -> np.ndarray:
+    return np.cumsum(read_numbers(data), dtype=np.uint64)
+
+
 def tokens(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     """(words, index of each one's text, whether a piece begins with it)."""
     raw, starts = text_bytes(texts)
@@ -134,8 +162,8 @@ def word_hashes(words: pa.Array) -> np.ndarray:
         return mix((sums[ends[1:]] - sums[ends[:-1]]) * powers(len(data) + 1, INVERSE)[ends[:-1]])
 
 
-ROWS = pa.schema([("kind", pa.int8()), ("shard", pa.int64()), ("part", pa.int64()), ("seq", pa.binary()), ("phrases", pa.binary()), ("lang", pa.string()), ("words", pa.string())])
-ROWS_DDL = "kind byte, shard long, part long, seq binary, phrases binary, lang string, words string"
+ROWS = pa.schema([("kind", pa.int8()), ("shard", pa.int64()), ("part", pa.int64()), ("seq", pa.binary()), ("phrases", pa.binary()), ("lang", pa.string()), ("words", pa.binary())])
+ROWS_DDL = "kind byte, shard long, part long, seq binary, phrases binary, lang string, words binary"
 
 
 def rows_of(**columns) -> pa.RecordBatch:
@@ -170,7 +198,7 @@ def _encode(sizes: Sizes, block_bits: int):
         parts = _cuts(sequence, sizes.part)
         for a in range(0, len(parts), 200):
             some = parts[a : a + 200]
-            yield rows_of(kind=STATE, shard=number, part=list(range(a, a + len(some))), seq=[short_numbers(p) for p in some])
+            yield rows_of(kind=STATE, shard=number, part=list(range(a, a + len(some))), seq=[squeezed_numbers(p) for p in some])
         word, lang, kinds = kinds % types, kinds // types, None
         hashes = word_hashes(coded.dictionary)[word] ^ word_hashes(langs.dictionary.cast(pa.large_string()))[lang]
         block = hashes >> np.uint64(64 - block_bits) if block_bits else np.zeros(len(word), np.uint64)
@@ -182,7 +210,8 @@ def _encode(sizes: Sizes, block_bits: int):
             for i in range(a, z, sizes.row):
                 e = min(i + sizes.row, z)
                 # a line end is no part of a word
-                told.append((int(block[a]), short_numbers(local[i:e]), short_numbers(n[i:e]), names[lang[a]], "\n".join(coded.dictionary.take(pa.array(word[i:e])).to_pylist())))
+                joined = "\n".join(coded.dictionary.take(pa.array(word[i:e])).to_pylist())
+                told.append((int(block[a]), rising(local[i:e]), squeezed_numbers(n[i:e]), names[lang[a]], squeezed(joined.encode())))
         for a in range(0, len(told), 200):
             part, seq, counts, lang_of, joined = (list(c) for c in zip(*told[a : a + 200]))
             yield rows_of(kind=SAID, shard=number, part=part, seq=seq, phrases=counts, lang=lang_of, words=joined)
@@ -235,9 +264,9 @@ def _merge_words(least: int):
             next_nr = 0
             for lang in sorted({r["lang"] for r in rows}):
                 own = [r for r in rows if r["lang"] == lang]
-                lists = [pa.array(r["words"].split("\n")) for r in own]
+                lists = [pa.array(unsqueezed(r["words"]).decode().split("\n")) for r in own]
                 coded = pa.chunked_array(lists).combine_chunks().dictionary_encode()
-                index, counts = np.asarray(coded.indices), np.concatenate([long_numbers(r["phrases"]) for r in own]).astype(np.int64)
+                index, counts = np.asarray(coded.indices), np.concatenate([read_numbers(r["phrases"]) for r in own]).astype(np.int64)
                 total = np.zeros(len(coded.dictionary), dtype=np.int64)
                 np.add.at(total, index, counts)
                 yield found_rows(1, kind=TOTAL, block=block, n=int(total.sum()), lang=lang)
@@ -253,7 +282,7 @@ def _merge_words(least: int):
                     mine = nr[index[a:z]]
                     here = mine >= 0
                     if here.any():
-                        yield found_rows(1, kind=SAID, block=block, shard=r["shard"], seq=[short_numbers(long_numbers(r["seq"])[here])], phrases=[short_numbers(mine[here])])
+                        yield found_rows(1, kind=SAID, block=block, shard=r["shard"], seq=[rising(read_rising(r["seq"])[here])], phrases=[squeezed_numbers(mine[here])])
 
     return run
 
@@ -303,7 +332,7 @@ def _grow(length: int, low_bits: int, word_bits: int, bits: int, block_bits: int
     """
 
     def ids_of(row) -> np.ndarray:
-        return (np.uint64(row["key"]) << np.uint64(low_bits)) | long_numbers(row["phrases"])
+        return (np.uint64(row["key"]) << np.uint64(low_bits)) | read_numbers(row["phrases"])
 
     def table(numbers: np.ndarray, ids: np.ndarray) -> np.ndarray:
         """id + 1 by number."""
@@ -323,11 +352,11 @@ def _grow(length: int, low_bits: int, word_bits: int, bits: int, block_bits: int
                         yield from close(shard, found)
                     shard, words, phrases, told, keys, found = row["shard"], None, None, [], None, []
                 if row["part"] == WORDS:
-                    words = table(long_numbers(row["seq"]), long_numbers(row["phrases"]))
+                    words = table(read_rising(row["seq"]), read_numbers(row["phrases"]))
                 elif row["part"] == PHRASES:
-                    phrases = long_numbers(row["phrases"])
+                    phrases = read_numbers(row["phrases"])
                 elif row["part"] == TOLD:
-                    told.append((long_numbers(row["seq"]) if length == 1 else np.frombuffer(row["seq"], dtype="<u8"), ids_of(row)))
+                    told.append((read_rising(row["seq"]) if length == 1 else np.frombuffer(row["seq"], dtype="<u8"), ids_of(row)))
                 elif told:
                     if keys is None:
                         keys, ids = (np.concatenate(c) for c in zip(*told))
@@ -336,16 +365,16 @@ def _grow(length: int, low_bits: int, word_bits: int, bits: int, block_bits: int
                         if length == 1:
                             words = table(keys, ids)
                         if not last:
-                            yield rows_of(kind=STATE, shard=shard, part=[WORDS], seq=[short_numbers(np.flatnonzero(words))], phrases=[short_numbers(words[words > 0] - np.uint64(1))])
+                            yield rows_of(kind=STATE, shard=shard, part=[WORDS], seq=[rising(np.flatnonzero(words))], phrases=[squeezed_numbers(words[words > 0] - np.uint64(1))])
                             if length > 1:
-                                yield rows_of(kind=STATE, shard=shard, part=[PHRASES], phrases=[short_numbers(ids)])
-                    own = long_numbers(row["seq"]).astype(np.int64)
+                                yield rows_of(kind=STATE, shard=shard, part=[PHRASES], phrases=[squeezed_numbers(ids)])
+                    own = read_numbers(row["seq"]).astype(np.int64)
                     if length == 1:
                         ids_now = at(words, own)
                         now = np.where(ids_now > 0, own, 0)
                         own = now
                     else:
-                        before = own if length == 2 else long_numbers(row["phrases"]).astype(np.int64)
+                        before = own if length == 2 else read_numbers(row["phrases"]).astype(np.int64)
                         both = np.flatnonzero((before[:-1] > 0) & (before[1:] > 0))
                         first = at(words, before[both]) - np.uint64(1) if length == 2 else phrases[before[both] - 1]
                         now = np.zeros(len(own), dtype=np.int64)
@@ -356,7 +385,7 @@ def _grow(length: int, low_bits: int, word_bits: int, bits: int, block_bits: int
                     if len(on):
                         found.append(((ids_now[on] - np.uint64(1)) << np.uint64(word_bits)) | (at(words, own[on + length]) - np.uint64(1)))
                         if not last:
-                            yield rows_of(kind=STATE, shard=shard, part=[row["part"]], seq=[short_numbers(left_words)], phrases=[short_numbers(left_phrases)] if length > 1 else None)
+                            yield rows_of(kind=STATE, shard=shard, part=[row["part"]], seq=[squeezed_numbers(left_words)], phrases=[squeezed_numbers(left_phrases)] if length > 1 else None)
         if shard is not None:
             yield from close(shard, found)
 
@@ -386,7 +415,7 @@ def _merge(least: int):
                 nr = look_up(values, v)
                 here = nr > 0
                 if here.any():
-                    yield found_rows(1, kind=SAID, block=block, shard=shard, seq=[restored(v[here], bits).astype("<u8").tobytes()], phrases=[short_numbers(nr[here] - 1)])
+                    yield found_rows(1, kind=SAID, block=block, shard=shard, seq=[restored(v[here], bits).astype("<u8").tobytes()], phrases=[squeezed_numbers(nr[here] - 1)])
 
     return run
 

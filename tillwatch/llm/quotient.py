@@ -3,8 +3,8 @@
 A key goes through an invertible permutation of its bits. The upper bits of the result are the
 quotient, which is not stored but counted: a bit 1 for each entry and a 0 at the end of each
 quotient's run. The others are the remainder, stored in full, so equal remainders of a quotient
-are equal keys, and keys can be had back. Entries are in the order of the permuted keys. A count takes a byte;
-those that need more stand behind. Filters in this order are merged like sorted lists.
+are equal keys, and keys can be had back. Entries are in the order of the permuted keys. A bit says whether an entry's
+count is more than one; such a count takes a byte, and those that need more stand behind. Filters in this order are merged like sorted lists.
 """
 
 from __future__ import annotations
@@ -54,44 +54,52 @@ def counted(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return values[first], np.diff(np.concatenate((first, [len(values)])))
 
 
+def _bits(values: np.ndarray, size: int) -> bytes:
+    """Numbers of ``size`` bits, one behind the other."""
+    return np.packbits(np.unpackbits(values.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)[:, 64 - size :]).tobytes()
+
+
 def packed(values: np.ndarray, counts: np.ndarray, bits: int) -> bytes:
     """A filter of permuted values of ``bits`` bits, different and in order."""
     n = len(values)
     low = int(values[0]) if n else 0
-    span = (int(values[-1]) - low).bit_length() if n else 0
-    # about one quotient for each entry, and a remainder of whole bytes
-    bytes_each = -(-max(span - n.bit_length(), 0) // 8)
-    shift = np.uint64(8 * bytes_each)
+    # about as many quotients as entries
+    size = max((int(values[-1]) - low).bit_length() - n.bit_length(), 0) if n else 0
     offset = values - np.uint64(low)
-    quotient = (offset >> shift if bytes_each < 8 else np.zeros_like(offset)).astype(np.int64)
+    quotient = (offset >> np.uint64(size)).astype(np.int64)
     slots = int(quotient[-1]) + 1 if n else 0
     ones = np.zeros(n + slots, dtype=np.uint8)
     ones[quotient + np.arange(n)] = 1
-    rest = offset.astype("<u8").view(np.uint8).reshape(n, 8)[:, :bytes_each]
-    big = counts > LARGE
-    small = np.where(big, 0, counts).astype(np.uint8)
-    head = HEAD.pack(low, n, bits, bytes_each, slots)
-    return b"".join([head, np.packbits(ones).tobytes(), rest.tobytes(), small.tobytes(), counts[big].astype("<i8").tobytes()])
+    several = counts > 1
+    more = counts[several]
+    large = more > LARGE
+    head = HEAD.pack(low, n, bits, size, slots)
+    return b"".join(
+        [head, np.packbits(ones).tobytes(), _bits(offset, size), np.packbits(several).tobytes(), np.where(large, 0, more).astype(np.uint8).tobytes(), more[large].astype("<i8").tobytes()]
+    )
 
 
 def unpacked(data: bytes) -> tuple[np.ndarray, np.ndarray, int]:
     """(permuted values in order, counts, bits) of a filter."""
-    low, n, bits, bytes_each, slots = HEAD.unpack_from(data)
-    raw = np.frombuffer(data, dtype=np.uint8)
-    at = HEAD.size
-    size = -(-(n + slots) // 8)
-    ones = np.flatnonzero(np.unpackbits(raw[at : at + size], count=n + slots))
-    at += size
-    offset = np.zeros((n, 8), dtype=np.uint8)
-    offset[:, :bytes_each] = raw[at : at + n * bytes_each].reshape(n, bytes_each)
-    at += n * bytes_each
-    values = offset.view("<u8").ravel()
-    if bytes_each < 8:
-        values = values + ((ones - np.arange(n)).astype(np.uint64) << np.uint64(8 * bytes_each))
-    counts = raw[at : at + n].astype(np.int64)
-    at += n
-    counts[counts == 0] = np.frombuffer(data, dtype="<i8", offset=at)
-    return values + np.uint64(low), counts, bits
+    low, n, bits, size, slots = HEAD.unpack_from(data)
+    raw, at = np.frombuffer(data, dtype=np.uint8), HEAD.size
+
+    def take(count: int) -> np.ndarray:
+        """The next so many bits."""
+        nonlocal at
+        begin, at = at, at + -(-count // 8)
+        return np.unpackbits(raw[begin:at], count=count)
+
+    quotient = np.flatnonzero(take(n + slots)) - np.arange(n)
+    rest = np.zeros((n, 64), dtype=np.uint8)
+    rest[:, 64 - size :] = take(n * size).reshape(n, size)
+    offset = np.packbits(rest, axis=1).view(">u8").ravel().astype(np.uint64)
+    counts = np.ones(n, dtype=np.int64)
+    several = np.flatnonzero(take(n))
+    more = raw[at : at + len(several)].astype(np.int64)
+    more[more == 0] = np.frombuffer(data, dtype="<i8", offset=at + len(several))
+    counts[several] = more
+    return (offset | (quotient.astype(np.uint64) << np.uint64(size))) + np.uint64(low), counts, bits
 
 
 def merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
