@@ -5,8 +5,10 @@ from datetime import date
 
 import pytest
 from conftest import values
+from pyspark.sql import functions as F
 
 from tillwatch.operators import export
+from tillwatch.sinks.documents import Document
 
 FLAGS = "iso_week string, store_nr int, cashier_id int, kpi_id int, flag int"
 DETAILS = "store_nr int, receipt_date date, receipt_time string, register_id int, cashier_id int, receipt_id long, kpi_id int"
@@ -100,3 +102,54 @@ def test_written_documents(spark, tables, tmp_path, pretty):
     texts = ["".join(f.read_text() for f in (tmp_path / "out" / d).glob("part-*")) for d in folders]
     assert [json.loads(t) for t in texts] == [WEEK_1, WEEK_2]
     assert ("\n  " in texts[0]) == pretty
+
+
+def test_finer_grains_part_receipts_and_keep_flags_together(tables):
+    for grain in ("day", "register"):
+        got = documents(export.document_json(export.weekly_documents(*tables, grain=grain)))
+        kpis = [(d["weeknumber"], s["StoreID"], k["KPITypeID"], len(k["Anomalies"]), len(k["Receipts"])) for d in got for s in d["evaluation"] for k in s["KPI"]]
+        # flags of a week, store and KPI stand in one document without receipts, each receipt in one of its day or register
+        assert sorted(k for k in kpis if k[3]) == [(1, "10", 8, 1, 0), (1, "9", 3, 2, 0), (2, "9", 3, 1, 0)]
+        assert sorted(k for k in kpis if k[4]) == [(1, "9", 3, 0, 2), (2, "9", 3, 0, 1)]
+
+
+@pytest.mark.parametrize("indent", [None, 4])
+def test_named_documents(spark, tables, tmp_path, indent):
+    flags, details = tables
+    path = str(tmp_path / "out")
+    export.write_named_documents(flags, details, path, indent)
+    export.write_named_documents(flags.where("iso_week = '2025-02'"), details, path, indent)  # leaves week 1 alone
+    assert sorted(p.name for p in (tmp_path / "out").iterdir() if p.is_file()) == ["dbp_2025_1.json", "dbp_2025_2.json"]
+    for name, week in (("dbp_2025_1.json", WEEK_1), ("dbp_2025_2.json", WEEK_2)):
+        separators = (",", ":") if indent is None else None
+        assert (tmp_path / "out" / name).read_text() == json.dumps(week, indent=indent, separators=separators)
+    export.write_named_documents(flags.limit(0), details, path, indent)
+    assert len([p for p in (tmp_path / "out").iterdir() if p.is_file()]) == 2
+
+
+def test_a_document_needs_no_memory_for_its_entries():
+    """A store with very many receipts: what is held between two entries is the place in the document."""
+    pieces = []
+
+    def write(text):
+        assert len(text) < 200
+        pieces.append(len(text))
+
+    doc = Document(write, 2025, 2, None)
+    for i in range(200_000):
+        doc.add(1 + i // 150_000, 3, 1, '{"ReceiptNr":"1"}')
+    assert not any(isinstance(v, (list, dict)) or (isinstance(v, str) and len(v) > 50) for v in vars(doc).values())
+    doc.end()
+    assert sum(pieces) > 3_000_000
+
+
+def test_a_failed_task_leaves_the_old_document(spark, tables, tmp_path):
+    flags, details = tables
+    path = str(tmp_path / "out")
+    export.write_named_documents(flags, details, path)
+    before = (tmp_path / "out" / "dbp_2025_1.json").read_bytes()
+    fails = F.when(F.col("cashier_id") == 6, F.raise_error(F.lit("broken"))).otherwise(F.lit(1)).cast("int")
+    with pytest.raises(Exception, match="broken"):
+        export.write_named_documents(flags.withColumn("flag", fails), details, path)
+    assert (tmp_path / "out" / "dbp_2025_1.json").read_bytes() == before
+    assert not list((tmp_path / "out" / "_staged").glob("*"))
