@@ -93,5 +93,5 @@ def report_week(spark: SparkSession, store: Store, p: Params, documents: str | N
         raise TooFewWeeks(f"a report needs {LEAST_WEEKS} weeks")
     out = {name: keep(df, name) for name, df in report_tables(basis).items()}
     if documents is not None:
-        export.write_documents(export.weekly_documents(past["flags"], past["anomalies"]), documents)
+        export.write_named_documents(past["flags"], past["anomalies"], documents)
     return out

@@ -18,14 +18,21 @@ def read_query(
     options: Mapping[str, str],
     sql: str,
     split: tuple[str, str, str, int] | None = None,
+    tables: Sequence[str] = (),
 ) -> DataFrame:
     """Run a SQL text at a warehouse-like source; only the result crosses the network.
 
+    A source that scans tables but runs no SQL is given their names in ``tables``; the text names them in braces
+    (``FROM {orders}``). Spark then runs the text, filters go down to the scans, and the source plans the splits.
+
     A JDBC source returns a query in one task. ``split`` (column, lower bound, upper bound,
     number of parts) reads ranges of a result column in parallel instead; rows outside
     the bounds belong to the first and last part.
     """
     reader = spark.read.format(fmt).options(**options)
+    if tables:
+        scans = {name: lower_columns(spark.read.format(fmt).options(**options).option("dbtable", name).load()) for name in tables}
+        return lower_columns(spark.sql(sql, **scans))
     if split is None:
         return lower_columns(reader.option("query", sql).load())
     column, low, high, parts = split

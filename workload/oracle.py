@@ -335,6 +335,17 @@ ENTRIES = (
     "CAST(receipt_id AS VARCHAR) FROM anomalies a JOIN flags f ON f.store_nr = a.store_nr AND f.kpi_id = a.kpi_id "
     "AND f.cashier_id = a.cashier_id AND f.iso_week = strftime(receipt_date, '%G-%V')"
 )
+FILES = (
+    """SELECT * FROM (WITH a AS (SELECT iso_week, store_nr, kpi_id, string_agg('{"ServicerID":' || cashier_id || ',"AnomalyGrade":' || flag || '}', ',' ORDER BY cashier_id, flag) AS anomalies FROM flags GROUP BY ALL), """
+    """r AS (SELECT f.iso_week, f.store_nr, f.kpi_id, string_agg('{"OccurrenceDateTime":"' || receipt_date || ' ' || receipt_time || '","TillNr":' || register_id || ',"ServicerID":' || f.cashier_id || ',"ReceiptNr":"' || receipt_id || '"}', """
+    """',' ORDER BY receipt_date, receipt_time, register_id, f.cashier_id, CAST(receipt_id AS VARCHAR)) AS receipts FROM anomalies x JOIN flags f ON f.store_nr = x.store_nr AND f.kpi_id = x.kpi_id """
+    """AND f.cashier_id = x.cashier_id AND f.iso_week = strftime(receipt_date, '%G-%V') GROUP BY ALL), """
+    """k AS (SELECT iso_week, store_nr, string_agg('{"KPITypeID":' || kpi_id || ',"Anomalies":[' || anomalies || '],"Receipts":[' || coalesce(receipts, '') || ']}', ',' ORDER BY kpi_id) AS kpis """
+    """FROM a LEFT JOIN r USING (iso_week, store_nr, kpi_id) GROUP BY ALL), """
+    """w AS (SELECT CAST(left(iso_week, 4) AS INTEGER) AS y, CAST(right(iso_week, 2) AS INTEGER) AS n, string_agg('{"StoreID":"' || store_nr || '","KPI":[' || kpis || ']}', ',' ORDER BY store_nr) AS stores FROM k GROUP BY iso_week), """
+    """t AS (SELECT 'dbp_' || y || '_' || n || '.json' AS document, '{"year":' || y || ',"weeknumber":' || n || ',"evaluation":[' || stores || ']}' AS text FROM w) """
+    "SELECT document, octet_length(encode(text)) AS n_bytes, sha256(text) AS sha256 FROM t)"
+)
 DAY = "CAST(o_orderdate AS DATE)"
 CODES = (
     "['AT','BE','BG','CH','CY','CZ','INT','DK','EE','ES','FI','FR','GB','GR','HR','HU','IE','IT','LT','LV','NI','NL',"
@@ -420,6 +431,8 @@ _PLAIN = {
     "b02_archive_table": "SELECT run_id, run_id AS run_timestamp, transaction_id, store_nr "
     f"FROM headers JOIN run ON iso_week = {WEEK}",
     "b03_align_schema": HEADER_TEXT,
+    "a11_read_query": "SELECT store_nr, transaction_type_cd, count(*) AS receipts, min(receipt_id) AS first_receipt, max(strftime(receipt_ts, '%Y-%m-%d %H:%M:%S')) AS last_ts "
+    "FROM headers WHERE receipt_date >= DATE '2025-01-13' AND store_nr < 110 AND transaction_type_cd IN (100, 150) GROUP BY ALL",
     "b04_write_external": "SELECT * FROM org",
     "b05_stage_metrics": DAILY,
     "b06_commit_metrics": f"SELECT *, CASE WHEN run_id IN ('20250106', '20250110') THEN 'permanent' ELSE 'staging' END AS place FROM ({DAILY})",
@@ -594,6 +607,8 @@ _PLAIN = {
     "e.iso_week AND f.store_nr = e.store_nr AND f.kpi_id = e.kpi_id AND f.cashier_id = e.ServicerID)",
     "h03_weekly_documents": ENTRIES,
     "h04_write_documents": ENTRIES,
+    "h04_document_files": FILES,
+    "h04_document_parts": f"SELECT e.*, grain FROM ({ENTRIES}) e, unnest(['week', 'store', 'kpi', 'day', 'register']) AS g(grain)",
     "week_documents": ENTRIES,
     "i01_iso_week": f"SELECT o_orderkey, strftime({DAY}, '%G-%V') AS week FROM orders",
     "i02_calendar_year_week": f"SELECT o_orderkey, year({DAY}) || '_' || strftime({DAY}, '%V') AS week FROM orders",

@@ -20,7 +20,7 @@ from tillwatch.plans.report import report_basis, report_week
 from tillwatch.plans.week import extract_week, prepare_week, run_week, week_anomalies
 from tillwatch.projection import raw_tables
 from tillwatch.session import tune
-from tillwatch.sinks import quality_tables, tables
+from tillwatch.sinks import quality_tables, tables, warehouse
 from tillwatch.sinks.store import Run, Store
 from tillwatch.sources import extracts, readers
 
@@ -275,8 +275,26 @@ def b03_align_schema(w):
 @query
 def b04_write_external(w):
     path = f"{shared_folder(w.spark)}/external-{uuid.uuid4().hex}"
-    tables.write_external(w.x["org"], "orc", {"path": path}, "org")
-    return w.spark.read.orc(path)
+    warehouse.register(w.spark)
+    tables.write_external(w.x["org"].limit(0), "warehouse", {"path": path}, "org")  # replaced by the next
+    tables.write_external(w.x["org"], "warehouse", {"path": path}, "org")
+    return w.spark.read.format("warehouse").options(path=path, dbtable="org").load()
+
+
+def _warehouse(w, name: str) -> dict[str, str]:
+    """An extract as a table behind the data source."""
+    warehouse.register(w.spark)
+    options = {"path": f"{shared_folder(w.spark)}/external-{uuid.uuid4().hex}"}
+    rows = w.x[name].withColumn("receipt_ts", F.col("receipt_ts").cast("string"))
+    tables.write_external(rows, "warehouse", options | {"groupRows": "5000", "fileRows": "20000"}, name)
+    return options | {"splitBytes": "200000"}
+
+
+@query
+def a11_read_query(w):
+    text = """SELECT store_nr AS STORE_NR, transaction_type_cd, count(*) AS RECEIPTS, min(receipt_id) AS first_receipt, max(receipt_ts) AS last_ts
+        FROM {headers} WHERE receipt_date >= DATE'2025-01-13' AND store_nr < 110 AND transaction_type_cd IN (100, 150) GROUP BY ALL"""
+    return readers.read_query(w.spark, "warehouse", _warehouse(w, "headers"), text, tables=["headers"])
 
 
 def _daily_metrics(w) -> list[dict]:
@@ -795,25 +813,47 @@ def _entries(docs: DataFrame) -> DataFrame:
 
 @query
 def h03_weekly_documents(w):
-    return _entries(export.weekly_documents(w.flags, w.anomalies))
+    return _entries(export.weekly_documents(w.flags, w.anomalies, "day"))
 
 
 @query
 def h04_write_documents(w):
     path = f"{shared_folder(w.spark)}/documents-{uuid.uuid4().hex}"
-    export.write_documents(export.weekly_documents(w.flags, w.anomalies), path)
+    export.write_named_documents(w.flags, w.anomalies, path, indent=4)
     return _entries(_read_documents(w, path))
 
 
+@query
+def h04_document_files(w):
+    """The files byte by byte."""
+    path = f"{shared_folder(w.spark)}/documents-{uuid.uuid4().hex}"
+    export.write_named_documents(w.flags, w.anomalies, path)
+    files = w.spark.read.format("binaryFile").option("pathGlobFilter", "*.json").load(path)
+    return files.select(F.substring_index("path", "/", -1).alias("document"), F.octet_length("content").cast("long").alias("n_bytes"), F.sha2("content", 256).alias("sha256"))
+
+
+@query
+def h04_document_parts(w):
+    """Documents of every grain as records in folders, read back."""
+    found = []
+    for grain in export.GRAINS:
+        path = f"{shared_folder(w.spark)}/documents-{uuid.uuid4().hex}"
+        export.write_documents(export.weekly_documents(w.flags, w.anomalies, grain), path)
+        records = w.spark.read.text(path).select(F.from_json("value", DOCUMENT).alias("doc")).select("doc.*")
+        found.append(_entries(records).withColumn("grain", F.lit(grain)))
+    return reduce(DataFrame.unionByName, found)
+
+
+DOCUMENT = (
+    "year int, weeknumber int, evaluation array<struct<StoreID: string, KPI: array<struct<KPITypeID: int, "
+    "Anomalies: array<struct<ServicerID: int, AnomalyGrade: int>>, "
+    "Receipts: array<struct<OccurrenceDateTime: string, TillNr: int, ServicerID: int, ReceiptNr: string>>>>>>"
+)
+
+
 def _read_documents(w, path: str) -> DataFrame:
-    kind = (
-        "year int, weeknumber int, evaluation array<struct<StoreID: string, KPI: array<struct<KPITypeID: int, "
-        "Anomalies: array<struct<ServicerID: int, AnomalyGrade: int>>, "
-        "Receipts: array<struct<OccurrenceDateTime: string, TillNr: int, ServicerID: int, ReceiptNr: string>>>>>>"
-    )
-    texts = w.spark.read.text(path)
-    found = texts.select("document", F.from_json("value", kind).alias("doc")).select("document", "doc.*")
-    return found.drop("document")
+    texts = w.spark.read.text(path, wholetext=True, pathGlobFilter="dbp_*.json")
+    return texts.select(F.from_json("value", DOCUMENT).alias("doc")).select("doc.*")
 
 
 def _reported(w) -> tuple[dict[str, DataFrame], str]:
