@@ -86,7 +86,8 @@ class Encoder:
         return _workers[path]
 
     def _forget(self) -> None:
-        self.known = pa.array([], pa.large_string())
+        #: of each kind of part, those known and their numbers
+        self.known = {kind: (pa.array([], pa.large_string()), np.zeros(0, np.int64)) for kind in ("whole", "letters", "marks")}
         #: ids of all known parts behind each other; where a part's begin, and how many it has
         self.flat, self.begin, self.size = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
@@ -101,23 +102,24 @@ class Encoder:
         ids = [[t.id for t in merge(w if w.isascii() else w.translate(spelled))] for w in words]
         return np.array([i for part in ids for i in part], dtype=np.uint32), np.array([len(i) for i in ids], dtype=np.int64)
 
-    def _numbers(self, parts: pa.Array, how) -> np.ndarray:
+    def _numbers(self, kind: str, parts: pa.Array) -> np.ndarray:
         """The numbers of different parts; those that are new are tokenised."""
-        known = pc.index_in(parts, value_set=self.known)
-        new = parts.filter(pc.is_null(known))
+        known, numbers = self.known[kind]
+        place = pc.index_in(parts, value_set=known)
+        new = parts.filter(pc.is_null(place))
         if len(new):
-            ids, sizes = how(new.to_pylist())
-            at = len(self.known)
-            self.known = pa.concat_arrays([self.known, new])
+            ids, sizes = (self._merged if kind == "letters" else self._one_by_one)(new.to_pylist())
+            numbers = np.concatenate([numbers, len(self.size) + np.arange(len(new))])
+            self.known[kind] = pa.concat_arrays([known, new]), numbers
             self.begin = np.concatenate([self.begin, len(self.flat) + np.cumsum(sizes) - sizes])
             self.size, self.flat = np.concatenate([self.size, sizes]), np.concatenate([self.flat, ids])
-        number = np.array(known.fill_null(-1), dtype=np.int64)
-        number[number < 0] = np.arange(at, len(self.known)) if len(new) else 0
-        return number
+        at = np.array(place.fill_null(-1), dtype=np.int64)
+        at[at < 0] = np.arange(len(known), len(known) + len(new))
+        return numbers[at]
 
     def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, each followed by END; where each begins, and the end)."""
-        if len(self.known) > KEPT_WORDS or self.known.nbytes > KEPT_BYTES:
+        if len(self.size) > KEPT_WORDS or sum(known.nbytes for known, _ in self.known.values()) > KEPT_BYTES:
             self._forget()
         raw, starts = text_bytes(texts)
         inside = (raw != 32) & (raw != 10)
@@ -144,13 +146,13 @@ class Encoder:
         units = 1 + marked
         place = np.cumsum(units) - units
         number = np.zeros(int(units.sum()), dtype=np.int64)
-        kinds = [(~apart, place, start, end, raw, self._one_by_one)]
+        kinds = [("whole", ~apart, place, start, end, raw)]
         if apart.any():
-            kinds += [(apart, place, start, start + letters, small, self._merged), (marked, place + 1, start + letters, end, raw, self._one_by_one)]
-        for some, at, a, z, data, how in kinds:
+            kinds += [("letters", apart, place, start, start + letters, small), ("marks", marked, place + 1, start + letters, end, raw)]
+        for kind, some, at, a, z, data in kinds:
             if some.any():
                 coded = _strings(data, a[some], z[some]).dictionary_encode()
-                number[at[some]] = self._numbers(coded.dictionary, how)[np.asarray(coded.indices)]
+                number[at[some]] = self._numbers(kind, coded.dictionary)[np.asarray(coded.indices)]
         size, begin = self.size[number], self.begin[number]
         before = np.cumsum(size) - size
         ids = self.flat[np.repeat(begin - before, size) + np.arange(int(size.sum()))]
