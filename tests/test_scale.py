@@ -90,3 +90,17 @@ def test_staged_keeps_rows_and_schema_and_cuts_the_lineage(spark, make):
 
 def test_staged_keeps_an_empty_result(make):
     assert scale.staged(make([], "n int"), "nothing").count() == 0
+
+
+def test_membership_filter(spark):
+    keys = spark.range(2000).select((F.col("id") * 31).alias("a"), F.when(F.col("id") % 9 > 0, F.col("id").cast("string")).alias("b"))
+    rows = spark.range(200_000).select(F.col("id").alias("a"), F.when((F.col("id") / 31) % 9 > 0, (F.col("id") / 31).cast("long").cast("string")).alias("b"))
+    columns = [F.col("a"), F.col("b")]
+    for words in (scale.FILTER_WORDS, 3):
+        known = scale.members_filter(keys, columns, words)
+        assert known.count() <= min(words, 2000)
+        found = scale.maybe_members(rows, columns, known, words)
+        wanted = rows.join(keys, (rows["a"] == keys["a"]) & rows["b"].eqNullSafe(keys["b"]), "leftsemi")
+        assert wanted.count() > 1500 and wanted.exceptAll(found).count() == 0 and found.columns == ["a", "b"]
+        assert words == 3 or found.count() < 1.02 * wanted.count()
+    assert scale.maybe_members(rows, columns, scale.members_filter(keys.limit(0), columns)).count() == 0

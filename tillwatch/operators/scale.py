@@ -32,6 +32,34 @@ def same(left: DataFrame, right: DataFrame, names: Sequence[str], prefix: str) -
     return reduce(lambda a, b: a & b, [left[n].eqNullSafe(right[prefix + n]) for n in names])
 
 
+#: Words of a membership filter: what its 16 bytes each add up to is sent to every executor, whatever the keys.
+FILTER_WORDS = 1 << 20
+
+
+def _place_and_bits(keys: Sequence[Column], words: int) -> tuple[Column, Column]:
+    """Which word a key belongs to, and four of the word's bits."""
+    hashed = F.xxhash64(*keys)
+    bits = [F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.shiftrightunsigned(hashed, shift), F.lit(64)).cast("int")) for shift in (40, 46, 52, 58)]
+    return F.pmod(hashed, F.lit(words)), reduce(Column.bitwiseOR, bits)
+
+
+def members_filter(df: DataFrame, keys: Sequence[Column], words: int = FILTER_WORDS) -> DataFrame:
+    """(word, bits) in which every key of ``df`` has its bits set; at most ``words`` rows, combined before the shuffle."""
+    word, bits = _place_and_bits(keys, words)
+    return df.groupBy(word.alias("filter_word")).agg(F.bit_or(bits).alias("filter_bits"))
+
+
+def maybe_members(df: DataFrame, keys: Sequence[Column], known: DataFrame, words: int = FILTER_WORDS) -> DataFrame:
+    """Rows whose key may be in the filter: all that are, and few others as long as keys are not many times the words.
+
+    The filter has a bounded size, so it is sent to all tasks, and rows are tested where they are read. Keys must
+    have the types of those that made it.
+    """
+    word, bits = _place_and_bits(keys, words)
+    tested = df.withColumns({"own_word": word, "own_bits": bits}).join(F.broadcast(known), F.col("own_word") == F.col("filter_word"))
+    return tested.filter(F.col("filter_bits").bitwiseAND(F.col("own_bits")) == F.col("own_bits")).select(*df.columns)
+
+
 def running_total(df: DataFrame, order: Sequence[Column], amount: str, out: str) -> DataFrame:
     """The same rows with ``out``, the sum of ``amount`` over all rows before them in this order (unique).
 

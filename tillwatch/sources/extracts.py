@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tillwatch.functions.keys import in_scope, receipt_key
 from tillwatch.model import CASH, RECEIPT_COLUMNS, SALE_LINES, SELF_CHECKOUT_FROM
+from tillwatch.operators.scale import maybe_members, members_filter
 from tillwatch.params import Params
 
 
@@ -142,12 +143,14 @@ def originals_found(line: DataFrame, location: DataFrame, p: Params) -> DataFram
     """The originals that returns name and that were sold, each once.
 
     Very many returns may name one original (a placeholder, say), so they are looked up by
-    distinct names, which combine before the shuffle; sold lines are shuffled once, for the
-    existence check.
+    distinct names, which combine before the shuffle. A compact filter of the names is tested where sold lines are
+    read; of those, hardly any but the originals are shuffled for the existence check.
     """
-    names = _named_originals(_return_lines(line, location, p)).filter(F.col("store").isNotNull())
-    originals = original_sales(line, location, p).toDF(*ORIGINAL)
-    return names.select(*ORIGINAL).distinct().join(originals, ORIGINAL, "leftsemi")
+    names = _named_originals(_return_lines(line, location, p)).filter(F.col("store").isNotNull()).select(*ORIGINAL).distinct()
+    sold = original_sales(line, location, p).toDF(*ORIGINAL)
+    keys = [F.col("sold_on") if c == "sold_on" else F.col(c).cast("long") for c in ORIGINAL]
+    originals = maybe_members(sold, keys, members_filter(names, keys))
+    return names.join(originals, ORIGINAL, "leftsemi")
 
 
 def without_original(p: Params) -> Column:
