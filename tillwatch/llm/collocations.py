@@ -64,8 +64,8 @@ OUTSIDE = BREAK.copy()
 OUTSIDE[list(b" \t")] = True
 #: Rows of a table that a step writes: what shards keep (of a block: what is frequent in it), what is said to others, and totals.
 STATE, SAID, TOTAL = 0, 1, 2
-#: Rows of a shard before its parts: ids of its words, ids of its phrases, and what blocks say of its phrases.
-WORDS, PHRASES, TOLD = -3, -2, -1
+#: Rows of a shard before its parts: what its numbers stand for, and what blocks say of its phrases.
+TABLE, TOLD = -2, -1
 
 
 def in_kinds(df: DataFrame, name: str) -> DataFrame:
@@ -295,22 +295,21 @@ def look_up(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     return np.where(keys[at] == wanted, at + 1, 0)
 
 
-def grown(words: np.ndarray, now: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(places from which a phrase one word longer may begin; words and phrases that they need, with 0 between).
+def grown(now: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(places at which a frequent phrase begins and another one at the next; what stands there, with a 0 where it doesn't go on).
 
-    ``now`` says which frequent phrase of ``length`` words begins at each place, 0 for none.
+    ``now`` says which frequent phrase begins at each place, 0 for none.
     """
     on = np.flatnonzero((now[:-1] > 0) & (now[1:] > 0))
     if not len(on):
-        return on, on, on
-    edge = np.zeros(len(words) + 1, dtype=np.int64)
-    np.add.at(edge, on, 1)
-    np.add.at(edge, on + length + 1, -1)
-    stay = np.flatnonzero(np.cumsum(edge[:-1]) > 0)
+        return on, on
+    stay = np.zeros(len(now), dtype=bool)
+    stay[on] = stay[on + 1] = True
+    stay = np.flatnonzero(stay)
     at = np.arange(len(stay)) + np.concatenate(([0], np.cumsum(np.diff(stay) > 1)))
-    left = np.zeros((2, at[-1] + 1), dtype=np.int64)
-    left[0, at], left[1, at] = words[stay], now[stay]
-    return on, left[0], left[1]
+    left = np.zeros(at[-1] + 1, dtype=np.int64)
+    left[at] = now[stay]
+    return on, left
 
 
 def filter_rows(keys: np.ndarray, bits: int, block_bits: int, size: int) -> list[tuple[int, bytes]]:
@@ -325,24 +324,19 @@ def filter_rows(keys: np.ndarray, bits: int, block_bits: int, size: int) -> list
 
 
 def _grow(length: int, low_bits: int, word_bits: int, bits: int, block_bits: int, last: bool, size: int):
-    """Rows come sorted by shard and part: ids of its words and phrases, what was said to it, its parts.
+    """Rows come sorted by shard and part: what its numbers stand for, what was said to it, its parts.
 
-    A part is the shard's numbers of its words and of the phrases of length - 1 words that begin there (for single words the same). With ids of
-    the frequent phrases of ``length`` words, phrases one word longer are counted (SAID), and what they need is kept (STATE).
+    A part says which phrase of length - 1 words begins at each place (of one word, which word stands there), in the shard's numbers, and
+    the table which id and last word these have. With the ids of the frequent phrases of ``length`` words, which begin where two of them
+    begin side by side, phrases one word longer are counted (SAID), and what these need is kept (STATE).
     """
+    none = np.zeros(1, dtype=np.uint64)
 
-    def ids_of(row) -> np.ndarray:
-        return (np.uint64(row["key"]) << np.uint64(low_bits)) | read_numbers(row["phrases"])
-
-    def table(numbers: np.ndarray, ids: np.ndarray) -> np.ndarray:
-        """id + 1 by number."""
+    def spread(numbers: np.ndarray, values: np.ndarray) -> np.ndarray:
         out = np.zeros(int(numbers.max()) + 1 if len(numbers) else 1, dtype=np.uint64)
-        out[numbers.astype(np.int64)] = ids + np.uint64(1)
+        out[numbers.astype(np.int64)] = values
         return out
 
-    def at(of: np.ndarray, numbers: np.ndarray) -> np.ndarray:
-        return of[np.where(numbers < len(of), numbers, 0)]
-
     def run(batches):
         shard = None
         for batch in batches:
@@ -350,42 +344,37 @@ def _grow(length: int, low_bits: int, word_bits: int, bits: int, block_bits: int
                 if row["shard"] != shard:
                     if shard is not None:
                         yield from close(shard, found)
-                    shard, words, phrases, told, keys, found = row["shard"], None, None, [], None, []
-                if row["part"] == WORDS:
-                    words = table(read_rising(row["seq"]), read_numbers(row["phrases"]))
-                elif row["part"] == PHRASES:
-                    phrases = read_numbers(row["phrases"])
+                    shard, ids, ends, told, keys, found = row["shard"], none, none, [], None, []
+                if row["part"] == TABLE:
+                    numbers = read_rising(row["seq"])
+                    ids = spread(numbers, read_numbers(row["phrases"]))
+                    ends = ids if length == 2 else spread(numbers, read_numbers(row["words"]))
                 elif row["part"] == TOLD:
-                    told.append((read_rising(row["seq"]) if length == 1 else np.frombuffer(row["seq"], dtype="<u8"), ids_of(row)))
+                    told.append((read_rising(row["seq"]) if length == 1 else np.frombuffer(row["seq"], dtype="<u8"), (np.uint64(row["key"]) << np.uint64(low_bits)) | read_numbers(row["phrases"])))
                 elif told:
                     if keys is None:
-                        keys, ids = (np.concatenate(c) for c in zip(*told))
+                        keys, new_ids = (np.concatenate(c) for c in zip(*told))
                         order = np.argsort(keys)
-                        keys, ids = keys[order], ids[order]
-                        if length == 1:
-                            words = table(keys, ids)
+                        keys, new_ids = keys[order], new_ids[order]
+                        # numbers of words stay, those of longer phrases are their places among the keys, from 1
+                        numbers = keys if length == 1 else np.arange(1, len(keys) + 1, dtype=np.uint64)
+                        new_ends = new_ids if length == 1 else keys & np.uint64((1 << word_bits) - 1)
                         if not last:
-                            yield rows_of(kind=STATE, shard=shard, part=[WORDS], seq=[rising(np.flatnonzero(words))], phrases=[squeezed_numbers(words[words > 0] - np.uint64(1))])
-                            if length > 1:
-                                yield rows_of(kind=STATE, shard=shard, part=[PHRASES], phrases=[squeezed_numbers(ids)])
+                            yield rows_of(kind=STATE, shard=shard, part=[TABLE], seq=[rising(numbers)], phrases=[squeezed_numbers(new_ids)], words=None if length == 1 else [squeezed_numbers(new_ends)])
+                        id_of, end_of = spread(numbers, new_ids), spread(numbers, new_ends)
+                        frequent = spread(numbers, np.ones(len(numbers))) > 0
                     own = read_numbers(row["seq"]).astype(np.int64)
                     if length == 1:
-                        ids_now = at(words, own)
-                        now = np.where(ids_now > 0, own, 0)
-                        own = now
+                        now = np.where(frequent[np.where(own < len(frequent), own, 0)], own, 0)
                     else:
-                        before = own if length == 2 else read_numbers(row["phrases"]).astype(np.int64)
-                        both = np.flatnonzero((before[:-1] > 0) & (before[1:] > 0))
-                        first = at(words, before[both]) - np.uint64(1) if length == 2 else phrases[before[both] - 1]
+                        both = np.flatnonzero((own[:-1] > 0) & (own[1:] > 0))
                         now = np.zeros(len(own), dtype=np.int64)
-                        now[both] = look_up(keys, (first << np.uint64(word_bits)) | (at(words, own[both + length - 1]) - np.uint64(1)))
-                        ids_now = np.zeros(len(own), dtype=np.uint64)
-                        ids_now[now > 0] = ids[now[now > 0] - 1] + np.uint64(1)
-                    on, left_words, left_phrases = grown(own, now, length)
+                        now[both] = look_up(keys, (ids[own[both]] << np.uint64(word_bits)) | ends[own[both + 1]])
+                    on, left = grown(now)
                     if len(on):
-                        found.append(((ids_now[on] - np.uint64(1)) << np.uint64(word_bits)) | (at(words, own[on + length]) - np.uint64(1)))
+                        found.append((id_of[now[on]] << np.uint64(word_bits)) | end_of[now[on + 1]])
                         if not last:
-                            yield rows_of(kind=STATE, shard=shard, part=[row["part"]], seq=[squeezed_numbers(left_words)], phrases=[squeezed_numbers(left_phrases)] if length > 1 else None)
+                            yield rows_of(kind=STATE, shard=shard, part=[row["part"]], seq=[squeezed_numbers(left)])
         if shard is not None:
             yield from close(shard, found)
 
@@ -447,7 +436,8 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST
         return in_kinds(said.mapInArrow(how, FOUND_DDL), name)
 
     def told(found: DataFrame) -> DataFrame:
-        return found.where(F.col("kind") == SAID).select("shard", F.lit(TOLD).cast("long").alias("part"), F.col("block").alias("key"), "seq", "phrases")
+        nothing = F.lit(None).cast("binary").alias("words")
+        return found.where(F.col("kind") == SAID).select("shard", F.lit(TOLD).cast("long").alias("part"), F.col("block").alias("key"), "seq", "phrases", nothing)
 
     found = merge(shards, _merge_words(least), "merged-words")
     totals = kept(found.where(F.col("kind") == TOTAL).groupBy("lang").agg(F.sum("n").alias("n")), "word-totals")
@@ -464,7 +454,7 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST
         if bits > 64:
             raise ValueError("more different phrases than keys of 64 bits can tell apart")
         block_bits = min((most // sizes.block).bit_length(), bits)
-        state = step.where(F.col("kind") == STATE).select("shard", "part", F.lit(None).cast("long").alias("key"), "seq", "phrases")
+        state = step.where(F.col("kind") == STATE).select("shard", "part", F.lit(None).cast("long").alias("key"), "seq", "phrases", "words")
         every = state.unionByName(told(found)).repartition("shard").sortWithinPartitions("shard", "part")
         grow = _grow(length, low, word_bits, bits, block_bits, length == longest - 1, sizes.row)
         step = in_kinds(every.mapInArrow(grow, ROWS_DDL), "phrase-filters")
