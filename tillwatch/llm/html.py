@@ -3,7 +3,8 @@
 A page is cut into blocks at block-level tags. Each has its number of words and the share of
 them within links, and those of the blocks before and behind it; besides, whether it stands within
 an article element (or the page has one elsewhere), and whether an element around it is a menu,
-header, footer, sidebar, notice, advert, form or reader comment by its tag, class, id or role. A
+header, footer, sidebar, notice, advert, form or reader comment by its tag, class, id or role. An article
+element within a form, or within a wrapper that only its class names after one of these, counts as an article. A
 tree, grown on a small labelled table, decides about each block.
 
 Scripts, styles, titles and comments of the markup are never text. White space in a block
@@ -30,6 +31,8 @@ TAG = re.compile(
 ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden|itemprop)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.IGNORECASE)
 #: Elements whose content is not text of the page.
 RAW = frozenset("script style title noscript template iframe svg math canvas object audio video select textarea button datalist".split())
+#: Of these, the ones that may be closed in themselves, and the ones that go to the end of the page where nothing closes them.
+FOREIGN, SWALLOWS = frozenset({"svg", "math"}), frozenset("script style title textarea noscript".split())
 BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split()
@@ -46,6 +49,13 @@ HINTS = frozenset(
     "cookie cookies consent gdpr notice alert popup modal overlay newsletter subscribe subscription signup login register search form "
     "comment comments reply replies respond disqus discussion share sharing social related recommended trending tags".split()
 )
+#: Words of class names of what holds text, and of mere boxes: "post-comments" are comments, a "content-sidebar-wrap" holds both, "search-result" is a result.
+CONTENT = frozenset("article content post entry story text body main page news result results blog".split())
+BOXES = frozenset("wrap wrapper container box area section inner outer block group holder layout row col column".split())
+TALK = frozenset("comment comments reply replies respond disqus discussion".split())
+#: Where an element stands: within the article; neither; within a form or what its class tells; within a menu, footer and the like; among comments; hidden.
+ARTICLE, OPEN, SOFT, HARD, TALKED, HIDDEN = 1, 0, -1, -2, -3, -4
+MAIN_HINTS = frozenset("comment comments reply ad advert teaser related".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
 WORD = re.compile(r"\S+")
 
@@ -55,30 +65,52 @@ class Block:
     text: str
     words: int
     linked: int
-    zone: int  # 1 within the article, -1 within something else, 0 neither
+    zone: int  # 1 within the article, -1 within something that is not the article, 0 neither
 
     @property
     def density(self) -> float:
         return self.linked / self.words if self.words else 0.0
 
 
-def _zone(name: str, attributes: str, parent: int) -> int:
-    """Where an element's text stands. What is within something that is not the article stays so."""
-    if parent < 0:
-        return parent
+def _noise(names: str, hints: frozenset) -> str:
+    """The word of a class or id that tells what is not the article, or nothing."""
+    tokens = names.lower().split()
+    found = ""
+    for token in tokens:
+        parts = [p for p in re.split(r"[^a-z]+", token) if p]
+        boxed = len(parts)
+        while parts and parts[-1] in BOXES:
+            parts.pop()
+        if not parts or parts[-1] not in hints or (len(parts) < boxed and CONTENT.intersection(parts)):
+            continue
+        if parts[-1] in TALK:
+            return parts[-1]
+        found = parts[-1]
+    return "" if CONTENT.intersection(tokens) else found
+
+
+def _zone(name: str, attributes: str, parent: int, article_seen: bool) -> int:
+    """Where an element's text stands. An article resets what a form or a class says, and comments before the first article."""
     given = {m[1].lower(): next((g for g in m.groups()[1:] if g is not None), "") for m in ATTRIBUTE.finditer(attributes)} if attributes else {}
     role = given.get("role", "").lower()
-    if "hidden" in given or given.get("aria-hidden", "").lower() == "true" or role in ROLES:
-        return -1
-    if name in ASIDE or (name == "header" and parent == 0):
-        return -1
-    if name not in ("html", "body"):
-        parts = set(re.split(r"[^a-z]+", (given.get("class", "") + " " + given.get("id", "")).lower()))
-        hints = HINTS if name not in MAIN else {"comment", "comments", "reply", "ad", "advert", "teaser", "related"}
-        if parts & hints:
-            return -1
+    if parent == HIDDEN or "hidden" in given or given.get("aria-hidden", "").lower() == "true":
+        return HIDDEN
+    names = given.get("class", "") + " " + given.get("id", "")
     if name in MAIN or role in ("main", "article") or "articleBody" in given.get("itemprop", ""):
-        return 1
+        noise = _noise(names, MAIN_HINTS)
+        if noise:
+            return min(parent, TALKED if noise in TALK else HARD)
+        return parent if parent == HARD or (parent == TALKED and article_seen) else ARTICLE
+    if parent < 0:
+        return parent
+    if name in ("form", "fieldset") or role in ("search", "form"):
+        return SOFT
+    if name in ASIDE or role in ROLES or (name == "header" and parent == OPEN):
+        return HARD
+    if name not in ("html", "body"):
+        noise = _noise(names, HINTS)
+        if noise:
+            return TALKED if noise in TALK else SOFT
     return parent
 
 
@@ -87,7 +119,8 @@ def blocks(page: str) -> list[Block]:
     out: list[Block] = []
     stack: list[tuple[str, int]] = []
     parts: list[tuple[str, bool]] = []
-    link = 0
+    link = 0  # depth at which the open link began, from 1
+    article_seen = False
     at, size = 0, len(page)
 
     def flush() -> None:
@@ -97,7 +130,7 @@ def blocks(page: str) -> list[Block]:
             if text:
                 linked = sum(len(WORD.findall(html.unescape(t))) for t, a in parts if a)
                 words = len(WORD.findall(text))
-                out.append(Block(text, words, min(linked, words), stack[-1][1] if stack else 0))
+                out.append(Block(text, words, min(linked, words), max(stack[-1][1], -1) if stack else OPEN))
             parts.clear()
 
     while at < size:
@@ -112,12 +145,14 @@ def blocks(page: str) -> list[Block]:
         if not name:
             continue
         closing = bool(m["close"] or m["close2"])
+        attributes = m["attr"] or m["attr2"] or ""
         if name in RAW and not closing:
-            end = re.compile(rf"</{re.escape(name)}\b[^>]*>", re.IGNORECASE).search(page, at)
-            at = end.end() if end else size
+            if not (name in FOREIGN and attributes.endswith("/")):
+                end = re.compile(rf"</{re.escape(name)}\b[^>]*>", re.IGNORECASE).search(page, at)
+                at = end.end() if end else size if name in SWALLOWS else at
             parts.append((" ", False))
         elif name == "a":
-            link = 0 if closing else 1
+            link = 0 if closing else len(stack) + 1
         elif name == "br":
             parts.append((" ", False))
         elif name in BLOCK:
@@ -129,8 +164,10 @@ def blocks(page: str) -> list[Block]:
             elif name not in VOID:
                 while stack and (stack[-1][0] == "p" or name in ENDS.get(stack[-1][0], ())):
                     stack.pop()
-                attributes = m["attr"] or m["attr2"] or ""
-                stack.append((name, _zone(name, attributes, stack[-1][1] if stack else 0)))
+                stack.append((name, _zone(name, attributes, stack[-1][1] if stack else OPEN, article_seen)))
+                article_seen = article_seen or stack[-1][1] == ARTICLE
+            if link > len(stack) + 1:  # the block in which it began has ended
+                link = 0
     flush()
     return out
 
