@@ -251,6 +251,17 @@ def test_slots_must_agree(spark):
     assert [r["doc_id"] for r in decontam.leaks(docs, bench).collect()] == [1]
 
 
+def test_slots_agree_in_both_directions(spark):
+    item = "Alice has 12 apples in a bag and Bob has 5 pears in a box so how many do they have in all"
+    good = item.replace("Alice", "Emma").replace("Bob", "Liam").replace("12", "31").replace(" 5 ", " 9 ")
+    bad = item.replace("Alice", "Emma").replace("Bob", "Emma").replace("12", "31").replace(" 5 ", " 31 ")
+    docs = spark.createDataFrame([(1, good), (2, bad)], "doc_id long, text string")
+    for kind, value in (("short", 7), ("decimal(10,0)", 7), ("string", "a"), ("date", None)):
+        bench = spark.createDataFrame([(str(value) if value else None, item)], "item_id string, text string").withColumn("item_id", F.col("item_id").cast(kind))
+        found = decontam.leaks(docs, bench)
+        assert [r["doc_id"] for r in found.collect()] == [1] and found.schema["item_id"].dataType == bench.schema["item_id"].dataType
+
+
 def test_windows_dense_in_slots(spark):
     item = "On Monday Tom paid 12 dollars and Sara paid 15 dollars to Mr Brown for 3 kg of tea and 4 kg of rice."
     good = "On Friday Ann paid 27 euros and Jill paid 31 euros to Mr Green for 6 pounds of tea and 8 pounds of rice."

@@ -29,6 +29,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql.pandas.types import to_arrow_type
 
 from .common import small_batches
 from .wordhash import BASE, INVERSE, Words, find, groups, mix, powers, words
@@ -188,12 +189,13 @@ class Index:
         slot = slot | maybe
         size = min(self.size, last - first)
         value: dict[int, int] = {}
+        back: dict[int, int] = {}
         out: set[int] = set()
         for s, e in zip(edge[::2].tolist(), edge[1::2].tolist()):
             if e - s >= size and fixed[e] - fixed[s] >= self.literal:
                 held = slot[s:e]
                 for x, u in zip(own[s:e][held].tolist(), other[s:e][held].tolist()):
-                    if value.setdefault(x, u) != u:
+                    if value.setdefault(x, u) != u or back.setdefault(u, x) != x:
                         return set()
                 out.update(range(a + s, a + e - size + 1))
         return out
@@ -202,7 +204,7 @@ class Index:
 def indexes(benchmark: DataFrame, size: int, literal: int, threshold: float, block: int) -> Iterator[Index]:
     """Indexes of blocks of at most ``block`` characters (or one longer item)."""
     ids, texts, length = [], [], 0
-    kind = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[dict(benchmark.dtypes)["item_id"]]
+    kind = to_arrow_type(benchmark.schema["item_id"].dataType)
     for r in benchmark.select("item_id", "text").toLocalIterator():
         text = r["text"] or ""
         if texts and length + len(text) > block:
