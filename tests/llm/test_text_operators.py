@@ -96,6 +96,26 @@ WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
 LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
+def best_share(text: str, template: str) -> float:
+    """Largest share of the template's words in a run of at most half as many words again, within a sentence."""
+    wanted, best = set(template.split()), 0
+    longest = -(-3 * len(template.split()) // 2)
+    for part in re.split("[.!?;][\x20\x09-\x0d]+|\n[ \t\r]*\n", text or ""):
+        w = WORD.findall(part.translate(LOW))
+        best = max([best, *(len(wanted & set(w[k : k + longest])) for k in range(len(w)))])
+    return best / len(wanted) if best / len(wanted) >= 0.8 - 1e-9 else 0.0
+
+
+def test_words_far_apart_are_no_license(spark):
+    texts = [
+        "we licensed a pump by post, and the parts under the bench were 4 or 0 in number, as the cc of the letter says",
+        "The general version of this public work is licensed to us under seal; the gnu grazes. number 3",
+        "so it goes. " * 2000 + "Licensed under CC BY 4.0." + " and on it goes" * 2000,
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    assert {r["doc_id"]: r["labels"] for r in licenses.scan(docs).collect()} == {0: [], 1: [], 2: ["cc-by-4.0"]}
+
+
 def test_licenses(spark, odd):
     rng = random.Random(5)
     vocabulary = sorted({w for _, t in licenses.TEMPLATES for w in t.split()}) + ["MIT", "Apache", "CC", "É", "x1"]
@@ -111,12 +131,7 @@ def test_licenses(spark, odd):
     def brute(i, text):
         w = WORD.findall((text or "").translate(LOW))
         places = tuple(tuple(k for k in range(len(w)) if tuple(w[k : k + len(p)]) == p) for p in licenses.PHRASES.values())
-        share = 0.0
-        for block in re.split(r"\n[ \t\r]*\n", text or ""):
-            own = set(WORD.findall(block.translate(LOW)))
-            for _, t in licenses.TEMPLATES:
-                s = len(own & set(t.split())) / len(set(t.split()))
-                share = max(share, s if s >= 0.8 - 1e-9 else 0)
+        share = max(best_share(text, t) for _, t in licenses.TEMPLATES)
         return i, len(w), places, round(share, 9)
 
     assert got == Counter(brute(i, t) for i, t, _ in [*ODD, *made])
@@ -139,11 +154,9 @@ def test_licenses_of_unequal_shares(spark):
     rows = Counter((bytes(r["content"]).hex(), r["template"], r["label"], round(r["share"], 9)) for r in licenses.blocks(docs).collect())
     expected = Counter()
     for text in texts:
-        for block in {*re.split("\n\n", text)}:
-            own = set(WORD.findall(block.translate(LOW)))
+        for block in re.split("[.!?;][\x20\x09-\x0d]+|\n\n", text):
             for i, (label, t) in enumerate(licenses.TEMPLATES):
-                words_of = set(t.split())
-                if (share := len(own & words_of) / len(words_of)) >= 0.8 - 1e-9:
+                if share := best_share(block, t):
                     expected[hashlib.sha256(text.encode()).hexdigest(), i, label, round(share, 9)] += 1
     assert rows == expected
 

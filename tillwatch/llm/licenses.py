@@ -3,30 +3,32 @@
 Base: places where the words of a phrase stand one after another. Words are runs of ASCII
 letters, digits and characters beyond ASCII; A-Z count as a-z.
 
-Templates: an exact set-similarity join of text blocks (parts between blank lines) with
-license notices. Tokens are ordered by how often they occur in the whole corpus, rarest first.
-A block meets a template if it holds at least ``threshold`` of the template's different words.
-The prefix filter joins on the rarest tokens only: two sets that share the needed number
+Templates: an exact set-similarity join of text blocks with license notices. A block is any run of words within a sentence (or between blank lines)
+that is at most half as long again as the template; it meets the template if it holds at least ``threshold`` of the template's
+different words. Tokens are ordered by how often they occur in the whole corpus, rarest first.
+The prefix filter looks at the rarest tokens only: two sets that share the needed number
 ``need`` of tokens also share one among the first ``|set| - need + 1`` of each. The length filter
-drops blocks with fewer than ``need`` tokens, the positional filter those whose tokens after the
-shared one are too few; what is left is counted exactly. Only words of some template matter for
-containment, so a block is at most as large as the vocabulary of the templates, however long.
-
-A block's labels are those of all templates it meets, without variants: a template whose words in the
-block are all words of one that the block holds a larger share of ("CC BY-NC" beside "CC BY"), and of equally
-good ones a template that is part of another ("CC BY" in "CC BY-NC"). ``blocks`` has every template met. Null and empty texts have no words, labels or places. Findings are
-kept by content, so null and repeated ids and rows do no harm.
+drops texts with fewer than ``need`` tokens, the positional filter those whose tokens after the
+shared one are too few; for what is left the best block is found exactly. The templates' prefixes are a small map within the plan, looked
+up where a text is read: no text and no token is shuffled, so frequent tokens gather nowhere. Only words of some template matter
+for containment, so a text's set is at most as large as the vocabulary of the templates, however long.
+
+Labels are those of all templates that a sentence meets, without variants: a template whose words in its best
+block are all words of one that is met with a larger share ("CC BY-NC" beside "CC BY"), and of equally
+good ones a template that is part of another ("CC BY" in "CC BY-NC"). ``blocks`` has every template met. Null and empty texts have
+no words, labels or places. Every row is judged by itself, so null and repeated ids and rows do no harm.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, kept
+from .common import ascii_lower
 
 PHRASES = {
     "gpl": ("gnu", "general", "public", "license"),
@@ -58,7 +60,8 @@ TEMPLATES = (
 
 #: What stands between words of a text whose capitals are still there.
 BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
-BLANK_LINES = r"\n[ \t\r]*\n"
+#: Between texts: the end of a sentence or clause with white space behind it, or a blank line.
+BETWEEN_TEXTS = r"[.!?;][\x20\x09-\x0D]+|\n[ \t\r]*\n"
 
 
 @dataclass(frozen=True)
@@ -67,6 +70,9 @@ class Template:
     tokens: tuple[str, ...]
     need: int
 
+    #: words of the longest block
+    longest: int
+
     @property
     def prefix(self) -> int:
         return len(self.tokens) - self.need + 1
@@ -108,58 +114,99 @@ def template_sets(docs: DataFrame, templates, threshold: float) -> tuple[list[st
     sets = []
     for label, text in templates:
         own = tuple(sorted(set(text.split()), key=rank.__getitem__))
-        sets.append(Template(label, own, math.ceil(threshold * len(own) - 1e-9)))
+        sets.append(Template(label, own, math.ceil(threshold * len(own) - 1e-9), -(-3 * len(text.split()) // 2)))
     return order, sets
 
 
-def shared(docs: DataFrame, order: list[str], sets: list[Template]) -> DataFrame:
-    """One row per content and different block that meets a template: content (SHA-256), own (its words of templates), met (number of the template to the number of its words)."""
-    prefixes = [(t.tokens[at], i, at, len(t.tokens), t.need, list(t.tokens)) for i, t in enumerate(sets) for at in range(t.prefix)]
-    # as many rows as the templates' prefixes have tokens
-    wanted = docs.sparkSession.createDataFrame(prefixes, "token string, template int, at int, size int, need int, tokens array<string>")
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _strings(words: Iterable[str]) -> Column:
+    return F.array(*map(F.lit, words)) if words else F.array().cast("array<string>")
+
+
+def met_in(words: Column, order: list[str], sets: list[Template]) -> Column:
+    """Templates met by a word list: template (its number), n (its different words in the best block), own (these)."""
+    heads: dict[str, list[Column]] = {}
+    for i, t in enumerate(sets):
+        for at in range(t.prefix):
+            entry = F.struct(F.lit(i).alias("template"), F.lit(len(t.tokens) - at).alias("left"), F.lit(t.need).alias("need"))
+            heads.setdefault(t.tokens[at], []).append(entry)
+    by_token = F.create_map(*(c for token, entries in heads.items() for c in (F.lit(token), F.array(*entries))))
     least = min(t.need for t in sets)
-    all_tokens = F.array(*map(F.lit, order))
-    blocks = docs.select(content(F.col("text")).alias("content"), F.explode(F.split(F.coalesce("text", F.lit("")), BLANK_LINES, -1)).alias("block"))
-    # array_intersect keeps the order of its first argument: the block's tokens, rarest first
-    blocks = blocks.select("content", F.array_intersect(all_tokens, F.split(ascii_lower(F.col("block")), BETWEEN, -1)).alias("own")).where(F.size("own") >= least)
-    heads = blocks.select("content", "own", F.posexplode(F.slice("own", 1, F.size("own") - least + 1)).alias("own_at", "token"))
-    near = heads.join(wanted, "token").where((F.size("own") >= F.col("need")) & (F.least(F.size("own") - F.col("own_at"), F.col("size") - F.col("at")) >= F.col("need")))
-    both = F.size(F.array_intersect("tokens", "own"))
-    found = near.select("content", "own", "template", both.alias("n"), (both >= F.col("need")).alias("meets")).where("meets")
-    return found.groupBy("content", "own").agg(F.map_from_entries(F.collect_set(F.struct("template", "n"))).alias("met"))
+    tokens, needs, longest = F.array(*(_strings(t.tokens) for t in sets)), F.array(*(F.lit(t.need) for t in sets)), F.array(*(F.lit(t.longest) for t in sets))
 
+    def near(own: Column) -> Column:
+        """Templates that pass the filters; ``own``: the text's words of templates, rarest first."""
 
-def blocks(docs: DataFrame, templates=TEMPLATES, threshold: float = 0.8) -> DataFrame:
-    """One row per content, different block and template that it meets: content, own (the block's words of templates), template (its number), label, share."""
-    order, sets = template_sets(docs, templates, threshold)
-    rows = shared(docs, order, sets).select("content", "own", F.explode("met").alias("template", "n"))
-    labels, sizes = F.array(*(F.lit(t.label) for t in sets)), F.array(*(F.lit(len(t.tokens)) for t in sets))
-    return rows.select("content", "own", "template", F.get(labels, F.col("template")).alias("label"), (F.col("n") / F.get(sizes, F.col("template"))).alias("share"))
+        def of(token: Column, at: Column) -> Column:
+            left = F.size(own) - at
+            # the shared token is in the prefix of the text, and enough tokens follow on either side
+            fits = F.filter(F.element_at(by_token, token), lambda e: (left >= e["need"]) & (e["left"] >= e["need"]))
+            return F.coalesce(F.transform(fits, lambda e: e["template"]), F.array().cast("array<int>"))
 
+        first = F.slice(own, 1, F.greatest(F.size(own) - least + 1, F.lit(0)))
+        passed = F.array_distinct(F.flatten(F.transform(first, of)))
+        return F.filter(passed, lambda i: F.size(F.array_intersect(F.get(tokens, i), own)) >= F.get(needs, i))
 
-def meeting(docs: DataFrame, templates=TEMPLATES, threshold: float = 0.8) -> DataFrame:
-    """One row per content that holds a block meeting a template: content (SHA-256), labels (sorted), containment (highest)."""
-    order, sets = template_sets(docs, templates, threshold)
-    found = shared(docs, order, sets)
+    def best(i: Column) -> Column:
+        """The block with most of the template's words; of equal ones the first."""
+        places = F.filter(F.transform(words, lambda w, p: F.struct(p.alias("p"), w.alias("w"))), lambda h: F.array_contains(F.get(tokens, i), h["w"]))
+        length = F.get(longest, i)
+
+        def block(hits: Column, h: Column, k: Column) -> Column:
+            own = F.array_distinct(F.transform(F.filter(F.slice(hits, k + 1, length), lambda g: g["p"] < h["p"] + length), lambda g: g["w"]))
+            return let(own, lambda own: F.struct(F.size(own).alias("n"), (-h["p"]).alias("at"), own.alias("own")))
+
+        found = let(places, lambda hits: F.array_max(F.transform(hits, lambda h, k: block(hits, h, k))))
+        return let(found, lambda f: F.struct(i.alias("template"), f["n"].alias("n"), f["own"].alias("own")))
 
-    def label(i: int, a: Template) -> Column:
-        n, here = F.col("met")[i], F.col("met")[i].isNotNull()
+    own = F.array_intersect(_strings(order), words)
+    met = let(own, lambda own: F.transform(near(own), best))
+    return F.filter(met, lambda m: m["n"] >= F.get(needs, m["template"]))
+
+
+def texts_between(text: Column) -> Column:
+    """Word lists of sentences."""
+    return F.transform(F.split(F.coalesce(text, F.lit("")), BETWEEN_TEXTS, -1), word_list)
+
+
+def without_variants(met: Column, sets: list[Template]) -> Column:
+    """Labels of the templates met, but for variants of better ones."""
+    both = {}
+    for i, a in enumerate(sets):
         for j, b in enumerate(sets):
-            both = set(a.tokens) & set(b.tokens)
-            if a.label == b.label or len(both) < a.need:
-                continue
+            common = sorted(set(a.tokens) & set(b.tokens))
+            if a.label != b.label and len(common) >= a.need:
+                both[i * len(sets) + j] = common
+    sizes, labels = F.array(*(F.lit(len(t.tokens)) for t in sets)), F.array(*(F.lit(t.label) for t in sets))
+    size = lambda m: F.get(sizes, m["template"])
+    if both:
+        common = F.create_map(*(c for k, words in both.items() for c in (F.lit(k), _strings(words))))
+
+        def explained(x: Column, y: Column) -> Column:
+            words = F.element_at(common, x["template"] * len(sets) + y["template"])
             # shares as whole numbers
-            mine, other = n * len(b.tokens), F.col("met")[j] * len(a.tokens)
-            variant = (other > mine) & (F.size(F.array_intersect("own", F.array(*map(F.lit, sorted(both))))) == n)
-            if both == set(a.tokens) != set(b.tokens):
-                variant = variant | (other == mine)
-            here = here & ~F.coalesce(variant, F.lit(False))
-        return F.when(here, F.lit(a.label))
+            mine, other = x["n"] * size(y), y["n"] * size(x)
+            better = (other > mine) & (F.size(F.array_intersect(x["own"], words)) == x["n"])
+            part = (other == mine) & (F.size(words) == size(x)) & (size(y) > size(x))
+            return words.isNotNull() & (better | part)
+
+        kept = F.filter(met, lambda x: ~F.exists(met, lambda y: F.coalesce(explained(x, y), F.lit(False))))
+    else:
+        kept = met
+    return F.transform(kept, lambda m: F.get(labels, m["template"]))
 
-    label_list = F.array_compact(F.array(*(label(i, t) for i, t in enumerate(sets))))
-    share = F.greatest(F.lit(0.0), *(F.col("met")[i] / len(t.tokens) for i, t in enumerate(sets)))
-    labels = found.select("content", label_list.alias("labels"), share.alias("share"))
-    return labels.groupBy("content").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_set("labels")))).alias("labels"), F.max("share").alias("share"))
+
+def blocks(docs: DataFrame, templates=TEMPLATES, threshold: float = 0.8) -> DataFrame:
+    """One row per row of ``docs``, sentence and template that it meets: content (SHA-256), part (number of the sentence), own (the template's words in the best block), template (its number), label, share."""
+    order, sets = template_sets(docs, templates, threshold)
+    rows = docs.select(content(F.col("text")).alias("content"), F.posexplode(F.transform(texts_between(F.col("text")), lambda words: met_in(words, order, sets))).alias("part", "met"))
+    rows = rows.select("content", "part", F.inline("met"))
+    labels, sizes = F.array(*(F.lit(t.label) for t in sets)), F.array(*(F.lit(len(t.tokens)) for t in sets))
+    return rows.select("content", "part", "own", "template", F.get(labels, F.col("template")).alias("label"), (F.col("n") / F.get(sizes, F.col("template"))).alias("share"))
 
 
 def content(text: Column) -> Column:
@@ -173,7 +220,10 @@ def scan(docs: DataFrame, templates=TEMPLATES, threshold: float = 0.8) -> DataFr
     none = F.struct(*(F.array().cast("array<int>").alias(label) for label in PHRASES))
     # the one-element array binds the word list, which would else be split again for every place
     found = F.element_at(F.transform(F.array(word_list(text)), lambda words: F.struct(*(places(words, phrase).alias(label) for label, phrase in PHRASES.items()))), 1)
-    rows = docs.select("doc_id", content(text).alias("content"), count_words(text).cast("long").alias("n_words"), F.when(text.rlike(f"(?i){probe}"), found).otherwise(none).alias("places"))
-    met = kept(meeting(docs, templates, threshold), "license-blocks")
-    joined = rows.join(met, "content", "left")
-    return joined.select("doc_id", "n_words", "places", F.coalesce("labels", F.array().cast("array<string>")).alias("labels"), F.coalesce("share", F.lit(0.0)).alias("share"))
+    order, sets = template_sets(docs, templates, threshold)
+    sizes = F.array(*(F.lit(len(t.tokens)) for t in sets))
+    met = F.transform(texts_between(text), lambda words: met_in(words, order, sets))
+    rows = docs.select("doc_id", count_words(text).cast("long").alias("n_words"), F.when(text.rlike(f"(?i){probe}"), found).otherwise(none).alias("places"), met.alias("met"))
+    labels = F.array_sort(F.array_distinct(F.flatten(F.transform("met", lambda m: without_variants(m, sets)))))
+    shares = F.transform(F.flatten("met"), lambda m: m["n"] / F.get(sizes, m["template"]))
+    return rows.select("doc_id", "n_words", "places", labels.alias("labels"), F.coalesce(F.array_max(shares), F.lit(0.0)).alias("share"))

@@ -67,18 +67,23 @@ def _starts(words: tuple[str, ...]) -> str:
 
 
 _VALUES = ", ".join(f"({i}, '{label}', string_split('{text}', ' '))" for i, (label, text) in enumerate(TEMPLATES))
+#: The best block of a text for a template: of the runs of at most half as many words again, the first that holds most of its different words.
 OP6 = f"""
-WITH templates AS (SELECT t, label, list_distinct(words) AS tokens FROM (VALUES {_VALUES}) v(t, label, words)),
+WITH templates AS (SELECT t, label, list_distinct(words) AS tokens, ((3 * len(words) + 1) // 2)::BIGINT AS longest, ceil(0.8 * len(list_distinct(words)) - 1e-9) AS need FROM (VALUES {_VALUES}) v(t, label, words)),
 docs AS (SELECT row_number() OVER () AS n, doc_id, translate(coalesce(text, ''), '{UPPER}', '{LOWER}') AS low FROM documents),
 base AS (SELECT n, doc_id, regexp_extract_all(low, '{_WORD}') AS w FROM docs),
 places AS (SELECT n, doc_id, len(w) AS n_words, {", ".join(f"{_starts(p)} AS p{i}" for i, p in enumerate(PHRASES.values()))} FROM base),
-blocks AS (SELECT n, b, list_distinct(regexp_extract_all(block, '{_WORD}')) AS own
-  FROM (SELECT n, unnest(string_split_regex(low, '\\n[ \\t\\r]*\\n')) AS block, generate_subscripts(string_split_regex(low, '\\n[ \\t\\r]*\\n'), 1) AS b FROM docs WHERE low ~ 'licen|creative|redistribution|permission|gnu|apache|mozilla|cc')),
-met AS (SELECT n, b, t, label, tokens, len(list_intersect(own, tokens)) / len(tokens) AS share FROM blocks, templates WHERE len(list_intersect(own, tokens)) >= ceil(0.8 * len(tokens) - 1e-9)),
-best AS (SELECT * FROM met QUALIFY share = max(share) OVER (PARTITION BY n, b)),
-widest AS (SELECT * FROM best x WHERE NOT EXISTS (SELECT 1 FROM best y WHERE y.n = x.n AND y.b = x.b AND y.label <> x.label AND len(y.tokens) > len(x.tokens) AND list_has_all(y.tokens, x.tokens))),
-labels AS (SELECT n, list_distinct(list(label)) AS found FROM widest GROUP BY n),
-shares AS (SELECT n, max(share) AS share FROM met GROUP BY n),
+texts AS (SELECT n, b, regexp_extract_all(block, '{_WORD}') AS w
+  FROM (SELECT n, unnest(string_split_regex(low, '[.!?;][\\x20\\x09-\\x0D]+|\\n[ \\t\\r]*\\n')) AS block, generate_subscripts(string_split_regex(low, '[.!?;][\\x20\\x09-\\x0D]+|\\n[ \\t\\r]*\\n'), 1) AS b FROM docs WHERE low ~ 'licen|creative|redistribution|permission|gnu|apache|mozilla|cc')),
+near AS (SELECT n, b, t, label, tokens, longest, need, w FROM texts, templates WHERE len(list_intersect(w, tokens)) >= need),
+runs AS (SELECT n, b, t, label, tokens, need, i, list_distinct(list_filter(w[i:i + longest - 1], lambda x: list_contains(tokens, x))) AS own
+  FROM (SELECT *, unnest(list_filter(range(1, len(w) + 1), lambda i: list_contains(tokens, w[i]))) AS i FROM near)),
+met AS (SELECT * FROM runs QUALIFY row_number() OVER (PARTITION BY n, b, t ORDER BY len(own) DESC, i) = 1 AND len(own) >= need),
+plain AS (SELECT * FROM met x WHERE NOT EXISTS (SELECT 1 FROM met y WHERE y.n = x.n AND y.b = x.b AND y.label <> x.label AND len(list_intersect(x.tokens, y.tokens)) >= x.need AND (
+  (len(y.own) * len(x.tokens) > len(x.own) * len(y.tokens) AND list_has_all(y.tokens, x.own))
+  OR (len(y.own) * len(x.tokens) = len(x.own) * len(y.tokens) AND len(y.tokens) > len(x.tokens) AND list_has_all(y.tokens, x.tokens))))),
+labels AS (SELECT n, list_distinct(list(label)) AS found FROM plain GROUP BY n),
+shares AS (SELECT n, max(len(own) / len(tokens)) AS share FROM met GROUP BY n),
 flat AS (SELECT *, {" || ".join(f"p{i}" for i in range(len(PHRASES)))} AS places,
   list_filter([{", ".join(f"CASE WHEN len(p{i}) > 0 THEN '{label}' END" for i, label in enumerate(PHRASES))}], lambda x: x IS NOT NULL) AS base_found FROM places)
 SELECT doc_id, n_words, len(places) AS n_base, list_min(places) AS first_word, list_max(places) AS last_word,
