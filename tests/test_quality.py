@@ -135,3 +135,21 @@ def test_run_checks_logs_raises_and_stages(spark, make, store):
     assert values(q.baselines(quality_tables.load_metrics(spark, store), "t", ["row_count_drift", "avg_drift:n"])) == [
         ("avg_drift:n", 5.0), ("row_count_drift", 4.0)
     ]
+
+
+def test_key_checks_of_a_suite_take_one_scan(spark, tmp_path):
+    path = str(tmp_path / "rows")
+    spark.range(9000).selectExpr("id", "CASE WHEN id % 3 > 0 THEN 7 ELSE id END hot", "CASE WHEN id % 2 = 0 THEN NULL ELSE id % 5 END some", "CASE id WHEN 0 THEN -0.0D WHEN 1 THEN 0.0D WHEN 2 THEN double('NaN') WHEN 3 THEN double('NaN') ELSE 1.5 END x").write.parquet(path)
+    df = spark.read.parquet(path)
+    suite = [
+        {"type": "unique", "columns": "id"}, {"type": "unique", "columns": ["hot", "some"], "name": "pair", "on_failure": "warn"}, {"type": "distinct_count", "column": "hot", "min_threshold": 3001},
+        {"type": "distinct_count", "column": "some", "min_threshold": 7, "name": "some"}, {"type": "distinct_count", "column": "x", "min_threshold": 1, "name": "x"}, {"type": "unique", "columns": ["hot"], "name": "hot"}, {"type": "unique", "columns": ["absent"]},
+    ]
+    got = q.check_results(df, suite)
+    assert [(r["check_name"], r["status"], r["metric_value"]) for r in got.collect()] == [
+        ("unique", "PASS", 0), ("pair", "WARN", 6), ("distinct_count", "PASS", 3001), ("some", "FAIL", 6), ("x", "PASS", 3), ("hot", "FAIL", 1),
+    ]
+    # two sums and a count of a small table are no scans of this one
+    text = got._jdf.queryExecution().executedPlan().toString()
+    assert text.count("FileScan") == 1, text
+    assert q.check_results(df.limit(0), suite[:3]).collect()[2]["metric_value"] == 0

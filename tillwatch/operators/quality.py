@@ -2,7 +2,7 @@
 
 Each check function returns a one-row DataFrame with the columns of ``RESULT``.
 ``run_checks`` evaluates all checks that are plain aggregates of the table in a
-single pass and the others next to it.
+single pass, all that look for different or repeated keys in another, and the others next to them.
 """
 
 from __future__ import annotations
@@ -83,19 +83,6 @@ def _not_null(column: str) -> Scalar:
     return Scalar(measures, verdict)
 
 
-def _distinct_count(column: str, minimum: int) -> Scalar:
-    def measures(df: DataFrame) -> dict[str, Column]:
-        return {"values": F.count_distinct(column), "nulls": F.max(F.col(column).isNull().cast("int"))}
-
-    def verdict(m: Callable[[str], Column]) -> Verdict:
-        found = m("values") + F.coalesce(m("nulls"), F.lit(0))
-        return Verdict(
-            found >= minimum, _text(f"column '{column}' has ", found, f" distinct values, {minimum} required"), found
-        )
-
-    return Scalar(measures, verdict)
-
-
 def _drift(value: Column, metric_id: str, baseline: float | None, pct: float | None) -> Verdict:
     known = baseline is not None and pct is not None
     if known:
@@ -151,13 +138,6 @@ def not_null(df: DataFrame, col: str, name: str = "not_null", on_failure: str =
     return _single(df, "not_null", name, on_failure, _not_null(col))
 
 
-def distinct_count(
-    df: DataFrame, col: str, minimum: int, name: str = "distinct_count", on_failure: str = "fail"
-) -> DataFrame:
-    """At least ``minimum`` different values; NULL counts as one."""
-    return _single(df, "distinct_count", name, on_failure, _distinct_count(col, minimum))
-
-
 def row_count_drift(
     df: DataFrame, baseline: float | None, pct: float | None, name: str = "row_count_drift", on_failure: str = "fail"
 ) -> DataFrame:
@@ -184,18 +164,64 @@ def _result(measured: DataFrame, kind: str, name: str, on_failure: str, verdict:
     return measured.select(*[c.alias(n) for n, c in verdict.columns(kind, name, on_failure).items()])
 
 
-def unique(df: DataFrame, cols: Sequence[str] | str, name: str = "unique", on_failure: str = "fail") -> DataFrame:
-    """No key occurs twice; the metric is the number of keys that do."""
+@dataclass(frozen=True)
+class KeyCheck:
+    """A check over the different values of some columns together: how many there are, and how many occur more than once."""
+
+    columns: tuple[str, ...]
+    verdict: Callable[[Column, Column], Verdict]
+
+
+def _unique(cols: Sequence[str] | str) -> KeyCheck:
     keys = [cols] if isinstance(cols, str) else list(cols)
-    repeated = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1")
-    found = F.col("repeated")
-    return _result(
-        repeated.agg(F.count(F.lit(1)).alias("repeated")),
-        "unique",
-        name,
-        on_failure,
-        Verdict(found == 0, _text(f"key {keys} has ", found, " duplicated values"), found),
+    return KeyCheck(tuple(keys), lambda _, repeated: Verdict(repeated == 0, _text(f"key {keys} has ", repeated, " duplicated values"), repeated))
+
+
+def _distinct_count(column: str, minimum: int) -> KeyCheck:
+    text = f" distinct values, {minimum} required"
+    return KeyCheck((column,), lambda values, _: Verdict(values >= minimum, _text(f"column '{column}' has ", values, text), values))
+
+
+def _as_key(df: DataFrame, column: str) -> Column:
+    """A column's value as text; equal values have equal texts."""
+    col = F.col(column)
+    if isinstance(df.schema[column].dataType, (T.DoubleType, T.FloatType)):
+        col = F.when(col == 0, F.lit(0.0)).otherwise(col)  # there is a negative zero
+    return col.cast("string")
+
+
+def _evaluate_keys(df: DataFrame, checks: Mapping[int, tuple[str, str, str, KeyCheck]]) -> DataFrame:
+    """One pass over the table for any number of key checks, one result row each with its position.
+
+    A row is expanded to one key for each set of columns. Equal keys of a task combine before the
+    shuffle, so one that a third of all rows have is one row of each task; what is left is counted per set of columns.
+    """
+    sets = list(dict.fromkeys(check.columns for *_, check in checks.values()))
+    expanded = df.select(
+        F.inline(F.array(*[F.struct(F.lit(i).alias("key_set"), F.array(*[_as_key(df, c) for c in columns]).alias("key")) for i, columns in enumerate(sets)]))
     )
+    counted = expanded.groupBy("key_set", "key").agg(F.count(F.lit(1)).alias("rows"))
+    sums = {f"{name}_{i}": F.count_if((F.col("key_set") == i) & more) for i in range(len(sets)) for name, more in (("values", F.lit(True)), ("repeated", F.col("rows") > 1))}
+    once = counted.agg(*[col.alias(name) for name, col in sums.items()])
+    rows = []
+    for position, (kind, name, on_failure, check) in checks.items():
+        i = sets.index(check.columns)
+        verdict = check.verdict(F.col(f"values_{i}"), F.col(f"repeated_{i}"))
+        fields = {"position": F.lit(position), **verdict.columns(kind, name, on_failure)}
+        rows.append(F.struct(*[c.alias(n) for n, c in fields.items()]))
+    return once.select(F.inline(F.array(*rows)))
+
+
+def distinct_count(
+    df: DataFrame, col: str, minimum: int, name: str = "distinct_count", on_failure: str = "fail"
+) -> DataFrame:
+    """At least ``minimum`` different values; NULL counts as one."""
+    return _evaluate_keys(df, {0: ("distinct_count", name, on_failure, _distinct_count(col, minimum))}).select(*RESULT)
+
+
+def unique(df: DataFrame, cols: Sequence[str] | str, name: str = "unique", on_failure: str = "fail") -> DataFrame:
+    """No key occurs twice; the metric is the number of keys that do."""
+    return _evaluate_keys(df, {0: ("unique", name, on_failure, _unique(cols))}).select(*RESULT)
 
 
 def _red_by_store(flags: DataFrame, col: str) -> DataFrame:
@@ -287,8 +313,6 @@ def _scalar(spec: Mapping[str, Any], known: Mapping[str, float]) -> Scalar | Non
     kind = spec["type"]
     if kind == "not_null":
         return _not_null(spec["column"])
-    if kind == "distinct_count":
-        return _distinct_count(spec["column"], spec["min_threshold"])
     if kind == "row_count_drift":
         return _row_count_drift(known.get(metric_id(spec)), _tolerance(spec))
     if kind == "avg_drift":
@@ -296,12 +320,16 @@ def _scalar(spec: Mapping[str, Any], known: Mapping[str, float]) -> Scalar | Non
     return None
 
 
+def _key_check(spec: Mapping[str, Any]) -> KeyCheck | None:
+    if spec["type"] == "unique":
+        return _unique(spec["columns"])
+    return _distinct_count(spec["column"], spec["min_threshold"]) if spec["type"] == "distinct_count" else None
+
+
 def _grouped(df: DataFrame, spec: Mapping[str, Any], name: str, on_failure: str) -> DataFrame | None:
     kind = spec["type"]
     if callable(kind):  # a caller's own check: DataFrame and spec in, one result row out
         return kind(df, spec)
-    if kind == "unique":
-        return unique(df, spec["columns"], name, on_failure)
     if kind == "stores_red_flag":
         return stores_red_flag(df, spec["column"], spec["min_threshold"], name, on_failure)
     if kind == "kpi_red_flag":
@@ -316,6 +344,7 @@ def check_results(
 ) -> DataFrame:
     """Result rows of a suite in its order; unknown and misconfigured checks are skipped with a warning."""
     scalars: dict[int, tuple[str, str, str, Scalar]] = {}
+    keys: dict[int, tuple[str, str, str, KeyCheck]] = {}
     parts = []
     for position, spec in enumerate(specs):
         kind = spec.get("type")
@@ -332,6 +361,12 @@ def check_results(
                 scalar.measures(df)
                 scalars[position] = (kind, name, on_failure, scalar)
                 continue
+            key_check = None if callable(kind) else _key_check(spec)
+            if key_check is not None:
+                for column in key_check.columns:
+                    df.schema[column]
+                keys[position] = (kind, name, on_failure, key_check)
+                continue
             rows = _grouped(df, spec, name, on_failure)
         except (KeyError, ValueError) as error:
             log.warning("skipping misconfigured check %r: %r", name, error)
@@ -342,6 +377,8 @@ def check_results(
         parts.append(rows.select(F.lit(position).alias("position"), *RESULT))
     if scalars:
         parts.append(_evaluate(df, scalars))
+    if keys:
+        parts.append(_evaluate_keys(df, keys))
     if not parts:
         empty = ", ".join(f"{c} {'double' if c == 'metric_value' else 'string'}" for c in RESULT)
         return df.sparkSession.createDataFrame([], empty)

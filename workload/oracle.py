@@ -254,7 +254,6 @@ SELECT iso_week, region_manager, store_nr, flag, 'GESAMT', CAST(sum(flag_count)
     "mean_counts": """
 SELECT 'all' AS iso_week, region_manager, store_nr, flag, kpi, avg(flag_count) AS v FROM with_total
 GROUP BY region_manager, store_nr, flag, kpi""",
-    "second_counts": "SELECT 'all' AS iso_week, region_manager, store_nr, flag, kpi, v FROM weekly_counts WHERE iso_week <> '2025-02'",
 }
 
 LABELS = [f"KPI_{k:02d}" for k in range(1, 11)] + ["GESAMT"]
@@ -302,13 +301,30 @@ def _with_views(sql: str) -> str:
     return "WITH " + ",\n".join(f"{name} AS ({VIEWS[name]})" for name in VIEWS if name in needed) + "\n" + sql
 
 
-def _check(kind: str, name: str, status: str, metric: str, source: str) -> str:
+def _check(kind: str, name: str, status: str, metric: str, source: str, message: str = "") -> str:
+    told = f"{message} AS message, " if message else ""
     return (
         f"SELECT '{kind}' AS check_type, '{name}' AS check_name, {status} AS status, "
-        f"CAST({metric} AS DOUBLE) AS metric_value FROM {source}"
+        f"{told}CAST({metric} AS DOUBLE) AS metric_value FROM {source}"
     )
 
 
+def _empty(column: str) -> str:
+    return f"'column ''{column}'' has ' || (count(*) - count({column})) || ' empty values'"
+
+
+def _repeated(*keys: str) -> str:
+    return "'key [" + ", ".join(f"''{k}''" for k in keys) + "] has ' || count(*) || ' duplicated values'"
+
+
+def _different(column: str, least: int, count: str = "count(*)") -> str:
+    return f"'column ''{column}'' has ' || {count} || ' distinct values, {least} required'"
+
+
+def _lacking(colour: str) -> str:
+    return f"CASE WHEN count(*) = 0 THEN 'every KPI has {colour} flags' ELSE 'KPIs without {colour} flags: ' || string_agg(kpi_id, ', ' ORDER BY kpi_id) END"
+
+
 def _status(passed: str, otherwise: str = "FAIL") -> str:
     return f"CASE WHEN {passed} THEN 'PASS' ELSE '{otherwise}' END"
 
@@ -319,7 +335,7 @@ MEAN = "(SELECT avg(cnt_receiptlines_sales) FROM headers WHERE " + WEEK_1 + ")"
 LOG = (
     "SELECT 'run-{0}' AS run_id, '2025-01-20' AS run_timestamp, 'weekly' AS task_name, '{0}' AS table_name, "
     "'unique' AS check_type, 'unique' AS check_name, CASE WHEN count(*) = 0 THEN 'PASS' ELSE 'WARN' END AS status, "
-    "CAST(count(*) AS DOUBLE) AS metric_value, CAST(NULL AS VARCHAR) AS metric_text "
+    "'key [''transaction_id''] has ' || count(*) || ' duplicated values' AS message, CAST(count(*) AS DOUBLE) AS metric_value, CAST(NULL AS VARCHAR) AS metric_text "
     "FROM (SELECT transaction_id FROM {0} GROUP BY 1 HAVING count(*) > 1)"
 )
 DAILY = (
@@ -476,26 +492,26 @@ _PLAIN = {
     "AS flag FROM ranked) WHERE flag IS NOT NULL",
     "e13_flag_cashiers": "SELECT * FROM flags",
     "week_flags": "SELECT * FROM flags",
-    "f01_not_null": _check("not_null", "void", _status("count(*) = count(void_fg)"), "count(*) - count(void_fg)", "lines")
+    "f01_not_null": _check("not_null", "void", _status("count(*) = count(void_fg)"), "count(*) - count(void_fg)", "lines", _empty("void_fg"))
     + " UNION ALL "
     + _check(
-        "not_null", "key", _status("count(*) = count(transaction_id)"), "count(*) - count(transaction_id)", "lines"
+        "not_null", "key", _status("count(*) = count(transaction_id)"), "count(*) - count(transaction_id)", "lines", _empty("transaction_id")
     ),
     "f02_unique": _check(
         "unique", "receipts", _status("count(*) = 0"), "count(*)",
-        "(SELECT transaction_id FROM headers GROUP BY 1 HAVING count(*) > 1)",
+        "(SELECT transaction_id FROM headers GROUP BY 1 HAVING count(*) > 1)", _repeated("transaction_id"),
     )
     + " UNION ALL "
     + _check(
         "unique", "articles", _status("count(*) = 0", "WARN"), "count(*)",
-        "(SELECT transaction_id, item_sid FROM lines GROUP BY 1, 2 HAVING count(*) > 1)",
+        "(SELECT transaction_id, item_sid FROM lines GROUP BY 1, 2 HAVING count(*) > 1)", _repeated("transaction_id", "item_sid"),
     ),
     "f03_distinct_count": _check(
-        "distinct_count", "stores", _status("count(*) >= 15"), "count(*)", "(SELECT DISTINCT store_nr FROM anomalies)"
+        "distinct_count", "stores", _status("count(*) >= 15"), "count(*)", "(SELECT DISTINCT store_nr FROM anomalies)", _different("store_nr", 15)
     )
     + " UNION ALL "
     + _check(
-        "distinct_count", "void", _status("count(*) >= 3", "WARN"), "count(*)", "(SELECT DISTINCT void_fg FROM lines)"
+        "distinct_count", "void", _status("count(*) >= 3", "WARN"), "count(*)", "(SELECT DISTINCT void_fg FROM lines)", _different("void_fg", 3)
     ),
     "f04_row_count_drift": " UNION ALL ".join(
         _check("row_count_drift", name, status, "now", f"(SELECT count(*) FILTER ({WEEK_1}) AS before, "
@@ -518,13 +534,13 @@ _PLAIN = {
     "f06_run_checks": " UNION ALL ".join(
         [
             _check("not_null", "not_null", _status("count(*) = count(transaction_id)"),
-                   "count(*) - count(transaction_id)", "lines"),
-            _check("not_null", "void", _status("count(*) = count(void_fg)", "WARN"), "count(*) - count(void_fg)", "lines"),
+                   "count(*) - count(transaction_id)", "lines", _empty("transaction_id")),
+            _check("not_null", "void", _status("count(*) = count(void_fg)", "WARN"), "count(*) - count(void_fg)", "lines", _empty("void_fg")),
             _check("distinct_count", "distinct_count", _status("count(DISTINCT item_sid) >= 5"),
-                   "count(DISTINCT item_sid)", "lines"),
+                   "count(DISTINCT item_sid)", "lines", _different("item_sid", 5, "count(DISTINCT item_sid)")),
             _check("unique", "unique", _status("count(*) = 0"), "count(*)",
-                   "(SELECT transaction_id FROM lines GROUP BY transaction_id, receiptline_nr HAVING count(*) > 1)"),
-            _check("row_count_drift", "row_count_drift", "'PASS'", "count(*)", "lines"),
+                   "(SELECT transaction_id FROM lines GROUP BY transaction_id, receiptline_nr HAVING count(*) > 1)", _repeated("transaction_id", "receiptline_nr")),
+            _check("row_count_drift", "row_count_drift", "'PASS'", "count(*)", "lines", "'row_count_drift is ' || count(*) || '.0, nothing to compare with'"),
         ]
     ),
     "f07_baselines": "SELECT 'row_count_drift:' || kpi_id AS metric_id, avg(n) AS baseline_value FROM "
@@ -532,26 +548,27 @@ _PLAIN = {
     "f08_stores_red_flag": " UNION ALL ".join(
         _check("stores_red_flag", name, _status(f"n >= {least}", other),
                f"CASE WHEN n >= {least} THEN n ELSE {least} - n END",
-               "(SELECT count(DISTINCT store_nr) AS n FROM flags WHERE flag = 2)")
+               "(SELECT count(DISTINCT store_nr) FILTER (flag = 2) AS n, count(DISTINCT store_nr) AS stores FROM flags)",
+               f"n || ' of ' || stores || ' stores have red flags, {least} required'")
         for name, least, other in (("few", 5, "FAIL"), ("many", 1000000, "WARN"))
     ),
     "f09_kpi_red_flag": _check(
         "kpi_red_flag", "kpi_red_flag", _status("count(*) = 0"), "count(*)",
-        "(SELECT kpi_id FROM flags EXCEPT SELECT kpi_id FROM flags WHERE flag = 2)",
+        "(SELECT kpi_id FROM flags EXCEPT SELECT kpi_id FROM flags WHERE flag = 2)", _lacking("red"),
     )
     + " UNION ALL "
     + _check(
         "kpi_red_flag", "orange only", _status("count(*) = 0", "WARN"), "count(*)",
-        "(SELECT DISTINCT kpi_id FROM flags WHERE flag = 1)",
+        "(SELECT DISTINCT kpi_id FROM flags WHERE flag = 1)", _lacking("red"),
     ),
     "f10_kpi_orange_flag": _check(
         "kpi_orange_flag", "kpi_orange_flag", _status("count(*) = 0"), "count(*)",
-        "(SELECT kpi_id FROM flags WHERE kpi_id NOT IN (2, 5) EXCEPT SELECT kpi_id FROM flags WHERE flag = 1)",
+        "(SELECT kpi_id FROM flags WHERE kpi_id NOT IN (2, 5) EXCEPT SELECT kpi_id FROM flags WHERE flag = 1)", _lacking("orange"),
     )
     + " UNION ALL "
     + _check(
         "kpi_orange_flag", "red only", _status("count(*) = 0"), "count(*)",
-        "(SELECT DISTINCT kpi_id FROM flags WHERE flag = 2 AND kpi_id NOT IN (2, 5))",
+        "(SELECT DISTINCT kpi_id FROM flags WHERE flag = 2 AND kpi_id NOT IN (2, 5))", _lacking("orange"),
     ),
     "g01_with_history": HISTORY,
     "g02_run_weeks": f"SELECT DISTINCT run_id, {WEEK} AS iso_week FROM ({HISTORY})",
@@ -568,7 +585,7 @@ _PLAIN = {
     "g09_dense_flag_counts": "SELECT * FROM dense",
     "g10_flag_counts": _flag_counts("region_manager") + " UNION ALL " + _flag_counts("store_nr"),
     "g11_add_total_rows": "SELECT * FROM with_total",
-    "g12_flag_stats": _wide_stats("second_counts", weekly=False),
+    "g12_flag_stats": _wide_stats("weekly_counts", weekly=True),
     "g13_total_flag_stats": _wide_stats("mean_counts", weekly=False),
     "g14_weekly_flag_stats": _wide_stats("weekly_counts", weekly=True),
     "g15_anomalous_receipts_per_week": "SELECT iso_week, count(DISTINCT receipt_id) AS receipts FROM found GROUP BY 1",
