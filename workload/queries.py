@@ -99,11 +99,13 @@ class Week:
     def base(self) -> DataFrame:
         return flagging.normalise(flagging.eligible(self.active, self.p), self.p)
 
-    @cached_property
+    # these write ranges when they are built, so every query builds them anew
+
+    @property
     def limits(self) -> DataFrame:
         return flagging.thresholds(self.base, self.p)
 
-    @cached_property
+    @property
     def levels(self) -> DataFrame:
         return flagging.levels(self.base, self.x["org"], self.p)
 
@@ -504,7 +506,7 @@ def e10_initial_level(w):
 
 @query
 def e11_rank_flags(w):
-    return flagging.rank_flags(w.levels).select(
+    return flagging.rank_flags(staged(w.levels, "levels")).select(
         "iso_week", "store_nr", "cashier_id", "kpi_id", "region_rank", "store_rank"
     )
 
