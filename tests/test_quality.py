@@ -49,6 +49,13 @@ def test_row_count_drift(make, baseline, pct, status):
     assert outcome(q.row_count_drift(make(ROWS, SCHEMA), baseline, pct)) == (status, 4.0)
 
 
+def test_drift_messages_have_no_exponent(spark, make):
+    suite = [{"type": "row_count_drift", "comparison": {"type": "tolerance_percent", "value": 30}}]
+    assert q.check_results(spark.range(12_345_678), suite).first()["message"] == "row_count_drift is 12345678.0, nothing to compare with"
+    for mean, text in [(12_345_678.25, "12345678.25"), (2e9, "2000000000.0"), (-1e7, "-10000000.0"), (2.5, "2.5"), (1e40, "1.0E40"), (None, "NULL")]:
+        assert q.avg_drift(make([(mean,)], "x double"), "x", None, None).first()["message"] == f"avg_drift:x is {text}, nothing to compare with"
+
+
 def test_average_drift(make):
     df = make(ROWS, SCHEMA)
     assert outcome(q.avg_drift(df, "n", 5 / 3, 1))[0] == "PASS"

@@ -66,6 +66,13 @@ def _text(*parts: Column | str) -> Column:
     return F.concat(*pieces)
 
 
+def _number(value: Column) -> Column:
+    """A double as text without an exponent, however large it is."""
+    digits = value.try_cast("decimal(38,6)").cast("string")
+    plain = F.regexp_replace(digits, r"(\.\d+?)0+$", "$1")
+    return F.when(F.abs(value) >= 1e7, F.coalesce(plain, value.cast("string"))).otherwise(value.cast("string"))
+
+
 # -- plain aggregates ---------------------------------------------------------
 
 
@@ -88,10 +95,10 @@ def _drift(value: Column, metric_id: str, baseline: float | None, pct: float | N
     if known:
         low, high = baseline * (1 - pct / 100), baseline * (1 + pct / 100)
         inside = value.between(low, high)
-        message = _text(f"{metric_id} is ", value, f", expected {low} to {high}")
+        message = _text(f"{metric_id} is ", _number(value), f", expected {low} to {high}")
     else:
         inside = F.lit(True)
-        message = _text(f"{metric_id} is ", value, ", nothing to compare with")
+        message = _text(f"{metric_id} is ", _number(value), ", nothing to compare with")
     return Verdict(inside, message, value)
 
 
