@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from typing import Any
 
@@ -40,25 +40,41 @@ Tables = Mapping[str, DataFrame]
 
 def extract_week(raw: Tables, p: Params, originals: DataFrame | None = None) -> dict[str, DataFrame]:
     """The extracts of a run; ``originals`` are the ``originals_found``, if they have been saved."""
-    header, line, location = raw["receipt_header"], raw["receipt_line"], raw["location"]
+    return {name: build() for name, build in extractors(raw, p, originals).items()}
+
+
+def extractors(raw: Tables, p: Params, originals: DataFrame | None = None) -> dict[str, Callable[[], DataFrame]]:
+    """How each extract is built; a raw table is looked up when an extract that reads it is."""
+
+    def of(build: Callable[..., DataFrame], *tables: str) -> Callable[[], DataFrame]:
+        return lambda: build(*[raw[name] for name in tables], p)
+
+    def unreferenced(*args) -> DataFrame:
+        return extracts.returns_without_original(*args, originals)
+
     return {
-        "headers": extracts.receipt_headers(header, location, p),
-        "lines": extracts.receipt_lines(line, location, p),
-        "subtotals": extracts.subtotal_lines(raw["subtotal_line"], location, p),
-        "cash": extracts.cash_only_receipts(raw["payment"], location, p),
-        "returns": extracts.return_receipts(header, line, location, p),
-        "unreferenced": extracts.returns_without_original(header, line, location, p, originals),
-        "hours": extracts.opening_hours(raw["store_hours"], p),
-        "org": extracts.store_org(raw["org_structure"], p),
+        "headers": of(extracts.receipt_headers, "receipt_header", "location"),
+        "lines": of(extracts.receipt_lines, "receipt_line", "location"),
+        "subtotals": of(extracts.subtotal_lines, "subtotal_line", "location"),
+        "cash": of(extracts.cash_only_receipts, "payment", "location"),
+        "returns": of(extracts.return_receipts, "receipt_header", "receipt_line", "location"),
+        "unreferenced": of(unreferenced, "receipt_header", "receipt_line", "location"),
+        "hours": of(extracts.opening_hours, "store_hours"),
+        "org": of(extracts.store_org, "org_structure"),
     }
 
 
 def prepare_week(x: Tables, p: Params) -> dict[str, DataFrame]:
     """What stage 1 makes of the extracts."""
+    return {name: build() for name, build in preparers(x, p).items()}
+
+
+def preparers(x: Tables, p: Params) -> dict[str, Callable[[], DataFrame]]:
+    """How each prepared table is built; an extract is looked up when a table that reads it is."""
     return {
-        "cashier_stats": prep.cashier_stats(x["headers"]),
-        "outside": prep.receipts_outside_hours(x["headers"], x["hours"], p),
-        "voided": prep.voided_cash_receipts(x["lines"], x["headers"], x["cash"], p),
+        "cashier_stats": lambda: prep.cashier_stats(x["headers"]),
+        "outside": lambda: prep.receipts_outside_hours(x["headers"], x["hours"], p),
+        "voided": lambda: prep.voided_cash_receipts(x["lines"], x["headers"], x["cash"], p),
     }
 
 

@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
-from functools import cached_property, reduce
+from functools import cached_property, partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +17,7 @@ from tillwatch.operators import export, flagging, metrics, prep, quality, report
 from tillwatch.operators.scale import shared_folder, staged
 from tillwatch.params import DEFAULT_RULES, Params
 from tillwatch.plans.report import report_basis, report_week
-from tillwatch.plans.week import extract_week, prepare_week, run_week, week_anomalies
+from tillwatch.plans.week import extractors, preparers, run_week, week_anomalies
 from tillwatch.projection import raw_tables
 from tillwatch.session import tune
 from tillwatch.sinks import quality_tables, tables, warehouse
@@ -38,11 +38,29 @@ FIRST_WEEK = "2025-02"
 RUNS = {"2025-02": "20250113000000", "2025-03": "20250120000000"}
 
 
+class Built(Mapping):
+    """Tables by name, each built when first asked for and kept."""
+
+    def __init__(self, builders: Mapping[str, Callable[[], DataFrame]]) -> None:
+        self.builders, self._built = dict(builders), {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = self.builders[name]()
+        return self._built[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self.builders)
+
+    def __len__(self) -> int:
+        return len(self.builders)
+
+
 class Week:
     """The tables of a run and of its report, each built when first asked for.
 
-    The raw cash-register tables are derived from the given ones and written once per
-    session and input, so that queries scan files as they would in production. The
+    The raw cash-register tables are derived from the given ones and each written once per
+    session and input, when a query first reads it, so that queries scan files as they would in production. The
     same holds for anomalies and flags, which a run saves and its report reads back.
     """
 
@@ -51,13 +69,27 @@ class Week:
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         self.spark, self.sf_dir, self.p = tune(spark), sf_dir, PARAMS
         raw = raw_tables(spark, sf_dir)
-        with ThreadPoolExecutor(len(raw)) as writers:
-            self.raw = dict(zip(raw, writers.map(staged, raw.values(), raw)))
-        self.x = extract_week(self.raw, self.p)
-        self.x |= prepare_week(self.x, self.p)
+        self.raw = Built({name: partial(staged, df, name) for name, df in raw.items()})
+        self.x = Built(extractors(self.raw, self.p))
+        self.x.builders |= preparers(self.x, self.p)
+
+    def raw_written(self, *names: str) -> Mapping[str, DataFrame]:
+        """The raw tables, of which the named ones (all, if none is) are there; those that are not yet are written at the same time."""
+        names = names or tuple(self.raw)
+        with ThreadPoolExecutor(len(names)) as writers:
+            list(writers.map(self.raw.__getitem__, names))
+        return self.raw
 
     @classmethod
     def of(cls, spark: SparkSession, sf_dir: str) -> "Week":
+        """The session's tables of an input, all raw ones written."""
+        week = cls.lazy(spark, sf_dir)
+        week.raw_written()
+        return week
+
+    @classmethod
+    def lazy(cls, spark: SparkSession, sf_dir: str) -> "Week":
+        """The session's tables of an input; a raw one is written when it is first read."""
         key = (spark.sparkContext.applicationId, sf_dir)
         if key not in cls._known:
             cls._known[key] = cls(spark, sf_dir)
@@ -75,7 +107,8 @@ class Week:
 
     def merged(self) -> DataFrame:
         """The anomalies from the raw tables, computed anew."""
-        return week_anomalies(self.raw, self.x, self.p)
+        read = [name for name in self.raw if name != "org_structure"]
+        return week_anomalies(self.raw_written(*read), self.x, self.p)
 
     @cached_property
     def anomalies(self) -> DataFrame:
@@ -147,7 +180,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
 def query(build: Callable[[Week], DataFrame]) -> Callable[[Week], DataFrame]:
-    QUERIES[build.__name__] = lambda spark, sf_dir: build(Week.of(spark, sf_dir))
+    QUERIES[build.__name__] = lambda spark, sf_dir: build(Week.lazy(spark, sf_dir))
     return build
 
 
@@ -524,7 +557,7 @@ def e13_flag_cashiers(w):
 @query
 def week_flags(w):
     """The whole run, with every table that several steps read written once."""
-    return run_week(w.raw, w.p, checks={})["flags"]
+    return run_week(w.raw_written(), w.p, checks={})["flags"]
 
 
 # -- quality ------------------------------------------------------------------
@@ -861,9 +894,9 @@ def _read_documents(w, path: str) -> DataFrame:
 
 def _reported(w) -> tuple[dict[str, DataFrame], str]:
     """Two weekly runs with a store of their own, the report over both and the folder of their documents."""
-    store = w.store()
+    store, raw = w.store(), w.raw_written()
     for run_id, (start, end) in zip(RUNS.values(), (("2025-01-06", "2025-01-12"), ("2025-01-13", "2025-01-19"))):
-        run_week(w.raw, w.p.with_(start_date=start, end_date=end), store, Run(run_id, run_id), checks={})
+        run_week(raw, w.p.with_(start_date=start, end_date=end), store, Run(run_id, run_id), checks={})
     path = f"{shared_folder(w.spark)}/documents-{uuid.uuid4().hex}"
     return report_week(w.spark, store, w.p, path), path
 
