@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
 import uuid
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 from pyspark.sql.datasource import WriterCommitMessage
@@ -49,3 +51,18 @@ def drop_staged(system, folder: str, job: str) -> None:
 
     if system.get_file_info(f"{folder}/{STAGED}/{job}").type == fs.FileType.Directory:
         system.delete_dir(f"{folder}/{STAGED}/{job}")
+
+
+def digests(folder: str, batches: Iterator) -> Iterator:
+    """Length and SHA-256 of the files named in ``document``, read in blocks: a file may be larger than what fits into one value."""
+    import pyarrow as pa
+
+    system, place = at(folder)
+    for batch in batches:
+        for name in batch.column("document").to_pylist():
+            hashed, length = hashlib.sha256(), 0
+            with system.open_input_stream(f"{place}/{name}") as stream:
+                while block := stream.read(1 << 22):
+                    hashed.update(block)
+                    length += len(block)
+            yield pa.RecordBatch.from_pydict({"document": [name], "n_bytes": [length], "sha256": [hashed.hexdigest()]})

@@ -21,6 +21,7 @@ from tillwatch.plans.week import extractors, preparers, run_week, week_anomalies
 from tillwatch.projection import raw_tables
 from tillwatch.session import tune
 from tillwatch.sinks import quality_tables, tables, warehouse
+from tillwatch.sinks.files import digests
 from tillwatch.sinks.store import Run, Store
 from tillwatch.sources import extracts, readers
 
@@ -864,8 +865,8 @@ def h04_document_files(w):
     """The files byte by byte."""
     path = f"{shared_folder(w.spark)}/documents-{uuid.uuid4().hex}"
     export.write_named_documents(w.flags, w.anomalies, path)
-    files = w.spark.read.format("binaryFile").option("pathGlobFilter", "*.json").load(path)
-    return files.select(F.substring_index("path", "/", -1).alias("document"), F.octet_length("content").cast("long").alias("n_bytes"), F.sha2("content", 256).alias("sha256"))
+    files = w.spark.read.format("binaryFile").option("pathGlobFilter", "*.json").load(path).select(F.substring_index("path", "/", -1).alias("document"))
+    return files.mapInArrow(partial(digests, path), "document string, n_bytes long, sha256 string")
 
 
 @query
