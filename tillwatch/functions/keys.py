@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,6 +35,31 @@ def receipt_key() -> Column:
     return F.trim(F.concat(*pieces))
 
 
+#: A receipt key as numbers: the receipt, the location and register, and the second.
+KEY = ["key_receipt", "key_till", "key_second"]
+
+
+def number_key() -> list[Column]:
+    """The parts of ``receipt_key`` as three numbers, for joins within a run.
+
+    Within one client they are equal where the keys are, and one of them is NULL where the key is. They take a fraction of
+    the time and bytes of the text.
+    """
+    day, at = F.col("receipt_date"), F.col("receipt_ts")
+    till = F.shiftleft(F.col("loc_sid").cast("long"), 32).bitwiseOR(F.col("register_id").cast("long").bitwiseAND(F.lit(0xFFFFFFFF)))
+    second = F.unix_date(day).cast("long") * 86_400 + F.hour(at) * 3_600 + F.minute(at) * 60 + F.second(at)
+    return [column.alias(name) for column, name in zip((F.col("receipt_id").cast("long"), till, second), KEY)]
+
+
+def text_key() -> list[Column]:
+    return [receipt_key().alias("transaction_id")]
+
+
+def key_of(df: DataFrame) -> Sequence[str]:
+    """The columns that tell receipts apart in an extract."""
+    return KEY if set(KEY) <= set(df.columns) else ["transaction_id"]
+
+
 def in_scope(
     df: DataFrame, p: Params, date_col: str = "receipt_date", store_col: str = "store_nr", lookback_days: int = 0
 ) -> DataFrame:

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillwatch.functions.keys import key_of
 from tillwatch.model import CANCELLED, RECEIPT_COLUMNS, SALE_LINES, VOID_ENTRIES, VOID_LINES, VOIDED_SCANS
 from tillwatch.operators.prep import keep_cash
 from tillwatch.operators.scale import next_in_order
@@ -52,10 +53,11 @@ def nth_last_subtotal(subtotals: DataFrame, cash: DataFrame, p: Params) -> DataF
     The cash filter keeps or drops whole receipts, so it can follow the ranking, which
     leaves one row per receipt to join.
     """
-    newest_first = Window.partitionBy("transaction_id").orderBy(F.col("receiptline_nr").desc())
+    key = key_of(subtotals)
+    newest_first = Window.partitionBy(*key).orderBy(F.col("receiptline_nr").desc())
     nth = subtotals.withColumn("nth", F.row_number().over(newest_first)).filter(F.col("nth") == p.nth_last_subtotal)
     return keep_cash(nth, cash, p).select(
-        *RECEIPT_COLUMNS, "transaction_id", F.col("receiptline_nr").alias("subtotal_line_nr")
+        *RECEIPT_COLUMNS, *key, F.col("receiptline_nr").alias("subtotal_line_nr")
     )
 
 
@@ -117,15 +119,16 @@ def sold_articles(lines: DataFrame) -> DataFrame:
 
 def last_voided_articles(lines: DataFrame, cash: DataFrame, p: Params) -> DataFrame:
     """Receipts whose last scanned article was voided, with that article."""
-    last_first = Window.partitionBy("transaction_id").orderBy(F.col("receiptline_nr").desc())
+    key = key_of(lines)
+    last_first = Window.partitionBy(*key).orderBy(F.col("receiptline_nr").desc())
     scans = lines.filter(F.col("transaction_type_cd").isin(*SALE_LINES, *VOIDED_SCANS))
     last = (
-        scans.select("transaction_id", "receiptline_nr", "item_sid", "ean_barcode", "void_fg")
+        scans.select(*key, "receiptline_nr", "item_sid", "ean_barcode", "void_fg")
         .withColumn("place", F.rank().over(last_first))
         .filter("place = 1")
         .filter("void_fg = 1")
     )
-    return keep_cash(last, cash, p).select("transaction_id", "item_sid", "ean_barcode")
+    return keep_cash(last, cash, p).select(*key, "item_sid", "ean_barcode")
 
 
 def m06(lines: DataFrame, headers: DataFrame, cash: DataFrame, p: Params) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillwatch.functions.calendar import iso_week
+from tillwatch.functions.keys import key_of
 from tillwatch.model import RECEIPT_COLUMNS, RETURN, SALE
 from tillwatch.params import Params
 from tillwatch.sources.extracts import staffed
@@ -59,7 +60,7 @@ def receipts_outside_hours(headers: DataFrame, hours: DataFrame, p: Params) -> D
 
 def keep_cash(df: DataFrame, cash: DataFrame, p: Params) -> DataFrame:
     """Rows of cash-only receipts, if the run is limited to those."""
-    return df.join(cash.select("transaction_id"), "transaction_id", "leftsemi") if p.cash_only else df
+    return df.join(cash.select(*key_of(cash)), key_of(cash), "leftsemi") if p.cash_only else df
 
 
 def cash_sales(headers: DataFrame, cash: DataFrame, p: Params) -> DataFrame:

@@ -9,6 +9,7 @@ from typing import Any
 from pyspark.sql import DataFrame
 
 from tillwatch.functions.columns import add_static_columns
+from tillwatch.functions.keys import number_key
 from tillwatch.operators import flagging, metrics, prep, quality, reporting, rules
 from tillwatch.operators.scale import staged
 from tillwatch.params import Params
@@ -36,6 +37,7 @@ DEFAULT_CHECKS: dict[str, list[dict[str, Any]]] = {
 }
 
 Tables = Mapping[str, DataFrame]
+Keep = Callable[[DataFrame, str], DataFrame]
 
 
 def extract_week(raw: Tables, p: Params, originals: DataFrame | None = None) -> dict[str, DataFrame]:
@@ -95,17 +97,31 @@ def week_metrics(x: Tables, p: Params) -> dict[int, DataFrame]:
     return {kpi_id: metrics.as_metric(df) for kpi_id, df in found.items()}
 
 
-def week_anomalies(raw: Tables, x: Tables, p: Params, originals: DataFrame | None = None) -> DataFrame:
-    """The ten metrics merged, each source evaluated once; the same as merging ``week_metrics``."""
-    header, line, location = raw["receipt_header"], raw["receipt_line"], raw["location"]
-    found = extracts.originals_found(line, location, p) if originals is None else originals
-    return rules.merge_rules(
-        [
-            rules.header_rules(x["headers"], x["hours"], x["lines"], x["cash"], p),
-            rules.return_rules(extracts.returned_articles(header, line, location, p), found, p),
-            *rules.line_rules(x["lines"], x["subtotals"], x["headers"], x["cash"], p),
-        ]
-    )
+def week_anomalies(
+    raw: Tables, x: Tables, p: Params, originals: DataFrame | None = None, keep: Keep | None = None
+) -> DataFrame:
+    """The ten metrics merged, each source evaluated once; the same as merging ``week_metrics``.
+
+    A plan that may write tables says how as ``keep``: the facts of each receipt, and the few rows that are looked up once
+    more, are then written once, and most lines are shuffled only as part of these facts.
+    """
+    header, line, subtotal, payment, location = (raw[name] for name in ("receipt_header", "receipt_line", "subtotal_line", "payment", "location"))
+    if keep is None:
+        found = extracts.originals_found(line, location, p) if originals is None else originals
+        return rules.merge_rules(
+            [
+                rules.header_rules(x["headers"], x["hours"], x["lines"], x["cash"], p),
+                rules.return_rules(extracts.returned_articles(header, line, location, p), found, p),
+                *rules.line_rules(x["lines"], x["subtotals"], x["headers"], x["cash"], p),
+            ]
+        )
+    headers = extracts.priced_headers(header, location, p, number_key)
+    lines = extracts.receipt_lines(line, location, p, number_key)
+    subtotals = extracts.subtotal_lines(subtotal, location, p, number_key)
+    payments = extracts.payments(payment, location, p, number_key)
+    returns, facts = keep(extracts.named_returns(line, location, p), "named_returns"), keep(rules.receipt_facts(lines, payments), "receipt_facts")
+    found = extracts.originals_found(line, location, p, returns) if originals is None else originals
+    return rules.merge_rules(rules.fact_rules(headers, x["hours"], lines, subtotals, facts, rules.unreferenced(returns, found, p), p, keep))
 
 
 def run_week(
@@ -145,7 +161,7 @@ def run_week(
     out |= keep_all({name: out[name] for name in ("headers", "lines", "cash", "org")})
     out |= prepare_week(out, p)
     out["cashier_stats"] = keep(out["cashier_stats"], "cashier_stats")
-    out["anomalies"] = keep(week_anomalies(raw, out, p, originals), "anomalies")
+    out["anomalies"] = keep(week_anomalies(raw, out, p, originals, keep), "anomalies")
     gate(out["anomalies"], "anomalies")
     out["flags"] = keep(flagging.flag_cashiers(out["anomalies"], out["cashier_stats"], out["org"], p, keep), "flags")
     gate(out["flags"], "flags")

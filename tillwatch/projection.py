@@ -49,13 +49,15 @@ def _at(day: Column, seconds: Column) -> Column:
 
 
 def _articles(lineitem: DataFrame) -> DataFrame:
-    in_order = Window.partitionBy("l_orderkey").orderBy(
+    # named first: the join with the receipts then takes the rows as the numbering has dealt them out
+    lineitem = lineitem.withColumnRenamed("l_orderkey", "receipt_id")
+    in_order = Window.partitionBy("receipt_id").orderBy(
         "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate"
     )
     k = (F.col("l_partkey") + F.col("l_suppkey")) % 10
     kind = F.when(k < 5, 101).when(k == 5, 102).when(k < 8, 170).otherwise(171)
     return lineitem.select(
-        F.col("l_orderkey").alias("receipt_id"),
+        "receipt_id",
         (2 * F.row_number().over(in_order)).alias("receiptline_nr"),
         kind.alias("line_type"),
         (F.col("l_partkey") % EAN_COUNT).alias("item_sid"),
@@ -87,20 +89,22 @@ def _lines(receipts: DataFrame, lineitem: DataFrame) -> DataFrame:
     )
     clock = F.col("receipt_ts") - F.col("receipt_date").cast("timestamp_ntz")
     nothing = F.lit(None)
-    originals = lines.filter(F.col("orig_receipt_id").isNotNull()).withColumns(
-        {
-            "receipt_ts": F.col("orig_receipt_dt").cast("timestamp_ntz") + clock,
-            "receipt_date": F.col("orig_receipt_dt"),
-            "receipt_id": F.col("orig_receipt_id"),
-            "transaction_type_cd": F.lit(101),
-            "return_fg": F.lit(0),
-            "orig_receipt_store_id": nothing,
-            "orig_receipt_register_id": nothing,
-            "orig_receipt_dt": nothing,
-            "orig_receipt_id": nothing,
-        }
-    )
-    return _typed(lines, model.RECEIPT_LINE).unionByName(_typed(originals, model.RECEIPT_LINE))
+    sale = {
+        "receipt_ts": F.col("orig_receipt_dt").cast("timestamp_ntz") + clock,
+        "receipt_date": F.col("orig_receipt_dt"),
+        "receipt_id": F.col("orig_receipt_id"),
+        "transaction_type_cd": F.lit(101),
+        "return_fg": F.lit(0),
+        "orig_receipt_store_id": nothing,
+        "orig_receipt_register_id": nothing,
+        "orig_receipt_dt": nothing,
+        "orig_receipt_id": nothing,
+    }
+    # a returned line that names its original stands for two, so numbering and join are done once
+    twice = F.when(F.col("orig_receipt_id").isNotNull(), F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))
+    both = lines.withColumn("is_original", F.explode(twice))
+    both = both.withColumns({name: F.when(F.col("is_original"), column).otherwise(F.col(name)) for name, column in sale.items()})
+    return _typed(both, model.RECEIPT_LINE)
 
 
 def _headers(receipts: DataFrame, lineitem: DataFrame) -> DataFrame:

@@ -2,20 +2,26 @@
 
 The location join is written as an inner join: the store filter of the report
 scope drops receipts without a location anyway. No join carries a broadcast hint;
-Spark compares the measured size of a side with its own threshold.
+Spark compares the measured size of a side with its own threshold. ``key`` says what tells receipts apart: the
+text ``transaction_id``, or the numbers that the rules of a week join by.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillwatch.functions.keys import in_scope, receipt_key
+from tillwatch.functions.keys import in_scope, key_of, number_key, text_key
 from tillwatch.model import CASH, RECEIPT_COLUMNS, SALE_LINES, SELF_CHECKOUT_FROM
 from tillwatch.operators.scale import maybe_members, members_filter
 from tillwatch.params import Params
 
 
+Key = Callable[[], list[Column]]
+
+
 def staffed() -> Column:
     """Registers with a cashier, that is no self-checkout."""
     return F.col("register_id") < SELF_CHECKOUT_FROM
@@ -26,9 +32,9 @@ def _located(df: DataFrame, location: DataFrame, p: Params, lookback_days: int =
     return in_scope(df.join(stores, "loc_sid"), p, lookback_days=lookback_days)
 
 
-def receipt_headers(header: DataFrame, location: DataFrame, p: Params) -> DataFrame:
+def receipt_headers(header: DataFrame, location: DataFrame, p: Params, key: Key = text_key) -> DataFrame:
     return _located(header, location, p).select(
-        receipt_key().alias("transaction_id"),
+        *key(),
         "transaction_type_cd",
         "cnt_receiptlines_sales",
         "cnt_receiptlines_voids",
@@ -37,11 +43,17 @@ def receipt_headers(header: DataFrame, location: DataFrame, p: Params) -> DataFr
     )
 
 
-def receipt_lines(line: DataFrame, location: DataFrame, p: Params) -> DataFrame:
+def priced_headers(header: DataFrame, location: DataFrame, p: Params, key: Key = text_key) -> DataFrame:
+    """``receipt_headers`` with the total of the receipt."""
+    columns = ["transaction_type_cd", "cnt_receiptlines_sales", "cnt_receiptlines_voids", "turnover_relevant_fg", "total_gross_val"]
+    return _located(header, location, p).select(*key(), *columns, *RECEIPT_COLUMNS)
+
+
+def receipt_lines(line: DataFrame, location: DataFrame, p: Params, key: Key = text_key) -> DataFrame:
     """Turnover-relevant lines of staffed registers; ``void_fg`` stays NULL where nothing voided the line."""
     relevant = line.filter(staffed() & (F.col("turnover_relevant_fg") == 1))
     return _located(relevant, location, p).select(
-        receipt_key().alias("transaction_id"),
+        *key(),
         "transaction_type_cd",
         "receiptline_nr",
         "return_fg",
@@ -51,10 +63,12 @@ def receipt_lines(line: DataFrame, location: DataFrame, p: Params) -> DataFrame:
     )
 
 
-def subtotal_lines(subtotal: DataFrame, location: DataFrame, p: Params) -> DataFrame:
-    return _located(subtotal.filter(staffed()), location, p).select(
-        receipt_key().alias("transaction_id"), "receiptline_nr", *RECEIPT_COLUMNS
-    )
+def subtotal_lines(subtotal: DataFrame, location: DataFrame, p: Params, key: Key = text_key) -> DataFrame:
+    return _located(subtotal.filter(staffed()), location, p).select(*key(), "receiptline_nr", *RECEIPT_COLUMNS)
+
+
+def payments(payment: DataFrame, location: DataFrame, p: Params, key: Key = text_key) -> DataFrame:
+    return _located(payment.filter(staffed()), location, p).select(*key(), "payment_type")
 
 
 def cash_only_receipts(payment: DataFrame, location: DataFrame, p: Params) -> DataFrame:
@@ -65,8 +79,7 @@ def cash_only_receipts(payment: DataFrame, location: DataFrame, p: Params) -> Da
     """
     kind = F.col("payment_type")
     return (
-        _located(payment.filter(staffed()), location, p)
-        .select(receipt_key().alias("transaction_id"), "payment_type")
+        payments(payment, location, p)
         .groupBy("transaction_id")
         .agg(F.min(kind).alias("lowest"), F.max(kind).alias("highest"))
         .filter((F.col("lowest") == CASH) & (F.col("highest") == CASH))
@@ -74,10 +87,10 @@ def cash_only_receipts(payment: DataFrame, location: DataFrame, p: Params) -> Da
     )
 
 
-def _return_lines(line: DataFrame, location: DataFrame, p: Params) -> DataFrame:
+def _return_lines(line: DataFrame, location: DataFrame, p: Params, key: Key = text_key) -> DataFrame:
     wanted = (F.col("return_fg") == 1) & (F.col("turnover_relevant_fg") == 1) & staffed()
     return _located(line.filter(wanted), location, p).select(
-        receipt_key().alias("transaction_id"),
+        *key(),
         "item_sid",
         "orig_receipt_store_id",
         "orig_receipt_register_id",
@@ -86,18 +99,17 @@ def _return_lines(line: DataFrame, location: DataFrame, p: Params) -> DataFrame:
     )
 
 
-def _staffed_headers(header: DataFrame, location: DataFrame, p: Params) -> DataFrame:
-    return _located(header.filter(staffed()), location, p).select(
-        receipt_key().alias("transaction_id"), *RECEIPT_COLUMNS, "total_gross_val"
-    )
+def _staffed_headers(header: DataFrame, location: DataFrame, p: Params, key: Key = text_key) -> DataFrame:
+    return _located(header.filter(staffed()), location, p).select(*key(), *RECEIPT_COLUMNS, "total_gross_val")
 
 
 def return_receipts(header: DataFrame, line: DataFrame, location: DataFrame, p: Params) -> DataFrame:
     """One row per return line, with the receipt's data and total."""
-    returned = _return_lines(line, location, p).select("transaction_id")
+    returned = _return_lines(line, location, p, number_key)
+    returned = returned.select(*key_of(returned))
     return (
-        _staffed_headers(header, location, p)
-        .join(returned, "transaction_id")
+        _staffed_headers(header, location, p, number_key)
+        .join(returned, key_of(returned))
         .select(*RECEIPT_COLUMNS, "total_gross_val")
     )
 
@@ -130,23 +142,30 @@ def _named_originals(returns: DataFrame) -> DataFrame:
     named = ["orig_receipt_store_id", "orig_receipt_register_id", "orig_receipt_dt", "orig_receipt_id"]
     incomplete = F.greatest(*[F.col(c).isNull().cast("int") for c in named]) == 1
     return returns.select(
-        "transaction_id",
+        *key_of(returns),
         F.when(~incomplete, F.col("orig_receipt_store_id")).alias("store"),
         F.col("orig_receipt_register_id").alias("register"),
         F.col("orig_receipt_dt").alias("sold_on"),
-        F.when(incomplete, F.xxhash64("transaction_id")).otherwise(F.col("orig_receipt_id")).alias("receipt"),
+        F.when(incomplete, F.xxhash64(*key_of(returns))).otherwise(F.col("orig_receipt_id")).alias("receipt"),
         "item_sid",
     )
 
 
-def originals_found(line: DataFrame, location: DataFrame, p: Params) -> DataFrame:
+def named_returns(line: DataFrame, location: DataFrame, p: Params) -> DataFrame:
+    """Return lines, by number key, with the original they name."""
+    return _named_originals(_return_lines(line, location, p, number_key))
+
+
+def originals_found(line: DataFrame, location: DataFrame, p: Params, returns: DataFrame | None = None) -> DataFrame:
     """The originals that returns name and that were sold, each once.
 
     Very many returns may name one original (a placeholder, say), so they are looked up by
     distinct names, which combine before the shuffle. A compact filter of the names is tested where sold lines are
-    read; of those, hardly any but the originals are shuffled for the existence check.
+    read; of those, hardly any but the originals are shuffled for the existence check. ``returns`` are the ``named_returns``,
+    where a plan has saved them.
     """
-    names = _named_originals(_return_lines(line, location, p)).filter(F.col("store").isNotNull()).select(*ORIGINAL).distinct()
+    returns = named_returns(line, location, p) if returns is None else returns
+    names = returns.filter(F.col("store").isNotNull()).select(*ORIGINAL).distinct()
     sold = original_sales(line, location, p).toDF(*ORIGINAL)
     keys = [F.col("sold_on") if c == "sold_on" else F.col(c).cast("long") for c in ORIGINAL]
     originals = maybe_members(sold, keys, members_filter(names, keys))
@@ -160,8 +179,8 @@ def without_original(p: Params) -> Column:
 
 def returned_articles(header: DataFrame, line: DataFrame, location: DataFrame, p: Params) -> DataFrame:
     """Return lines with the receipt's data and total, and the original they name."""
-    returns = _named_originals(_return_lines(line, location, p))
-    joined = _staffed_headers(header, location, p).join(returns, "transaction_id")
+    returns = named_returns(line, location, p)
+    joined = _staffed_headers(header, location, p, number_key).join(returns, key_of(returns))
     return joined.select(*RECEIPT_COLUMNS, "total_gross_val", *ORIGINAL)
 
 
@@ -173,11 +192,11 @@ def returns_without_original(
     ``found`` are the ``originals_found``, where a plan has saved them: a join with a plain
     table is broadcast if that is small, and split at hot keys if it is not.
     """
-    returns = _named_originals(_return_lines(line, location, p))
+    returns = named_returns(line, location, p)
     found = (originals_found(line, location, p) if found is None else found).withColumn("found", F.lit(True))
     return (
-        _staffed_headers(header, location, p)
-        .join(returns, "transaction_id")
+        _staffed_headers(header, location, p, number_key)
+        .join(returns, key_of(returns))
         .join(found, ORIGINAL, "left")
         .filter(without_original(p))
         .select(*RECEIPT_COLUMNS)

@@ -106,14 +106,14 @@ class Week:
         self.spark.sql(f"CREATE SCHEMA tillwatch_{tag} LOCATION '{folder}/quality'")
         return Store(f"{folder}/working", f"{folder}/historical", f"tillwatch_{tag}")
 
-    def merged(self) -> DataFrame:
-        """The anomalies from the raw tables, computed anew."""
+    def merged(self, keep: Callable[[DataFrame, str], DataFrame] | None = None) -> DataFrame:
+        """The anomalies from the raw tables, computed anew; ``keep`` is how tables that several steps read are written once."""
         read = [name for name in self.raw if name != "org_structure"]
-        return week_anomalies(self.raw_written(*read), self.x, self.p)
+        return week_anomalies(self.raw_written(*read), self.x, self.p, keep=keep)
 
     @cached_property
     def anomalies(self) -> DataFrame:
-        return staged(self.merged(), "anomalies")
+        return staged(self.merged(staged), "anomalies")
 
     @cached_property
     def flags(self) -> DataFrame:
@@ -490,7 +490,7 @@ def d10_m10(w):
 
 @query
 def e01_merge_anomalies(w):
-    return w.merged()
+    return w.merged(staged)
 
 
 @query
@@ -552,7 +552,7 @@ def e12_final_flags(w):
 
 @query
 def e13_flag_cashiers(w):
-    return flagging.flag_cashiers(w.merged(), w.x["cashier_stats"], w.x["org"], w.p, staged)
+    return flagging.flag_cashiers(w.merged(staged), w.x["cashier_stats"], w.x["org"], w.p, staged)
 
 
 @query
