@@ -108,3 +108,15 @@ def test_a_week_with_kept_facts_shuffles_no_lines_but_for_the_facts(raw):
     week_anomalies(raw, x, P, keep=keep)
     assert set(kept) == {"named_returns", "receipt_facts", "after_subtotal", "next_receipts"}
     assert "filter_word" in kept["after_subtotal"] and "filter_word" in kept["next_receipts"]
+
+
+def test_flags_by_step_read_counts_and_levels_that_are_written_once(spark):
+    """Neither goes back to the anomalies; the counts stand for three steps, the levels for each of the two rankings."""
+    from workload.queries import QUERIES, Week
+
+    folder = "/root/testdata/sf0.001"
+    for name in ("e11_rank_flags", "e12_final_flags"):
+        read = {file.split("/")[-2].rsplit("-", 1)[0] for file in QUERIES[name](spark, folder).inputFiles()}
+        assert read <= {"levels", "ranges"}
+    read = {file.split("/")[-2].rsplit("-", 1)[0] for file in Week.lazy(spark, folder).base.inputFiles()}
+    assert read == {"cashier_kpis"}

@@ -131,7 +131,7 @@ class Week:
 
     @cached_property
     def base(self) -> DataFrame:
-        return flagging.normalise(flagging.eligible(self.active, self.p), self.p)
+        return staged(flagging.normalise(flagging.eligible(self.active, self.p), self.p), "cashier_kpis")
 
     # these write ranges when they are built, so every query builds them anew
 
@@ -547,7 +547,7 @@ def e11_rank_flags(w):
 
 @query
 def e12_final_flags(w):
-    return flagging.final_flags(flagging.rank_flags(w.levels), w.p.with_(orange_requires_level=True))
+    return flagging.final_flags(flagging.rank_flags(staged(w.levels, "levels")), w.p.with_(orange_requires_level=True))
 
 
 @query
