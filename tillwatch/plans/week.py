@@ -158,7 +158,7 @@ def run_week(
 
     originals = keep(extracts.originals_found(raw["receipt_line"], raw["location"], p), "originals_found")
     out = extract_week(raw, p, originals)
-    out |= keep_all({name: out[name] for name in ("headers", "lines", "cash", "org")})
+    out |= keep_all({name: out[name] for name in ("headers", "org")})
     out |= prepare_week(out, p)
     out["cashier_stats"] = keep(out["cashier_stats"], "cashier_stats")
     out["anomalies"] = keep(week_anomalies(raw, out, p, originals, keep), "anomalies")
