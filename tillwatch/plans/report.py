@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,22 +24,31 @@ class TooFewWeeks(ValueError):
 
 def report_basis(details: DataFrame, flags: DataFrame, org: DataFrame, p: Params, keep: Keep = lambda df, name: df) -> dict[str, DataFrame]:
     """What all report tables start from, of archived runs (``run_id`` in each table)."""
-    run_weeks = reporting.run_weeks(details, flags)
-    by_week = {name: reporting.attach_week(df, run_weeks) for name, df in (("org", org), ("details", details), ("flags", flags))}
-    weeks = reporting.common_weeks(by_week["org"], by_week["details"], by_week["flags"], p.look_back_weeks)
-    recent = {name: reporting.in_weeks(df, weeks) for name, df in by_week.items()}
-    regions = reporting.store_regions(recent["org"])
-    flagged = reporting.flags_with_region(recent["flags"], regions)
+    basis: dict[str, DataFrame] = {"org": org, "details": details, "flags": flags}
+    for name, build in basis_builders(basis, p, keep).items():
+        basis[name] = build()
+    return {name: df for name, df in basis.items() if name not in ("org", "details", "flags")}
+
+
+def basis_builders(x: Mapping[str, DataFrame], p: Params, keep: Keep) -> dict[str, Callable[[], DataFrame]]:
+    """How each table of ``report_basis`` is built, in order; a table is looked up in ``x`` when one that reads it is.
+
+    So a caller that needs a few of them writes no others.
+    """
+
+    def recent(name: str) -> DataFrame:
+        return reporting.in_weeks(x[f"by_week_{name}"], x["weeks"])
+
     return {
-        "run_weeks": run_weeks,
-        "by_week_org": by_week["org"],
-        "by_week_details": by_week["details"],
-        "by_week_flags": by_week["flags"],
-        "weeks": weeks,
-        "regions": regions,
-        "found": keep(reporting.anomalies_with_region(recent["details"], regions), "anomalies_with_region"),
-        "flagged": flagged,
-        "dense": keep(reporting.dense_flag_counts(flagged, regions), "flag_counts"),
+        "run_weeks": lambda: reporting.run_weeks(x["details"], x["flags"]),
+        "by_week_org": lambda: reporting.attach_week(x["org"], x["run_weeks"]),
+        "by_week_details": lambda: reporting.attach_week(x["details"], x["run_weeks"]),
+        "by_week_flags": lambda: reporting.attach_week(x["flags"], x["run_weeks"]),
+        "weeks": lambda: reporting.common_weeks(x["by_week_org"], x["by_week_details"], x["by_week_flags"], p.look_back_weeks),
+        "regions": lambda: reporting.store_regions(recent("org")),
+        "found": lambda: keep(reporting.anomalies_with_region(recent("details"), x["regions"]), "anomalies_with_region"),
+        "flagged": lambda: reporting.flags_with_region(recent("flags"), x["regions"]),
+        "dense": lambda: keep(reporting.dense_flag_counts(x["flagged"], x["regions"]), "flag_counts"),
     }
 
 

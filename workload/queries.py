@@ -16,7 +16,7 @@ from tillwatch.functions import calendar, columns, keys
 from tillwatch.operators import export, flagging, metrics, prep, quality, reporting
 from tillwatch.operators.scale import shared_folder, staged
 from tillwatch.params import DEFAULT_RULES, Params
-from tillwatch.plans.report import report_basis, report_week
+from tillwatch.plans.report import basis_builders, report_week
 from tillwatch.plans.week import extractors, preparers, run_week, week_anomalies
 from tillwatch.projection import raw_tables
 from tillwatch.session import tune
@@ -163,8 +163,10 @@ class Week:
         return self.x["org"].withColumn("run_id", runs).withColumn("run_timestamp", F.col("run_id"))
 
     @cached_property
-    def report(self) -> dict[str, DataFrame]:
-        return report_basis(self.past_details, self.past_flags, self.past_org, self.p, staged)
+    def report(self) -> Built:
+        report = Built({"org": lambda: self.past_org, "details": lambda: self.past_details, "flags": lambda: self.past_flags})
+        report.builders |= basis_builders(report, self.p, staged)
+        return report
 
     run_weeks = property(lambda self: self.report["run_weeks"])
     weeks = property(lambda self: self.report["weeks"])
@@ -683,21 +685,19 @@ def g02_run_weeks(w):
     return w.run_weeks
 
 
-def _daily_runs(w) -> tuple[DataFrame, DataFrame]:
-    """Details and flags whose run is the weekday, so runs and weeks cross."""
-    details = w.anomalies.withColumn("run_id", F.weekday("receipt_date").cast("string"))
-    return details, w.flags.withColumn("run_id", (F.col("kpi_id") % 2).cast("string"))
+def _daily_details(w) -> DataFrame:
+    """Details whose run is the weekday, so runs and weeks cross."""
+    return w.anomalies.withColumn("run_id", F.weekday("receipt_date").cast("string"))
 
 
 @query
 def g03_inconsistent_runs(w):
-    return reporting.inconsistent_runs(*_daily_runs(w))
+    return reporting.inconsistent_runs(_daily_details(w), w.flags.withColumn("run_id", (F.col("kpi_id") % 2).cast("string")))
 
 
 @query
 def g03_inconsistent_weeks(w):
-    details, _ = _daily_runs(w)
-    return reporting.inconsistent_weeks(details.withColumn("iso_week", calendar.iso_week("receipt_date")))
+    return reporting.inconsistent_weeks(_daily_details(w).withColumn("iso_week", calendar.iso_week("receipt_date")))
 
 
 @query
