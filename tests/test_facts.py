@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tillwatch import model
 from tillwatch.functions import keys
-from tillwatch.operators import flagging, scale
+from tillwatch.operators import flagging, rules, scale
 from tillwatch.params import Params
 from tillwatch.plans.week import extract_week, prepare_week, week_anomalies, week_metrics
 from tillwatch.projection import raw_tables
@@ -120,3 +120,40 @@ def test_flags_by_step_read_counts_and_levels_that_are_written_once(spark):
         assert read <= {"levels", "ranges"}
     read = {file.split("/")[-2].rsplit("-", 1)[0] for file in Week.lazy(spark, folder).base.inputFiles()}
     assert read == {"cashier_kpis"}
+
+
+@pytest.mark.parametrize("changes", [{"store_max": 100}, {"stores": (101,)}])
+def test_facts_keep_to_the_stores_of_the_run(raw, changes):
+    p = P.with_(**changes)
+    x = extract_week(raw, p)
+    x |= prepare_week(x, p)
+    wanted = values(flagging.merge_anomalies(week_metrics(x, p)))
+    assert values(week_anomalies(raw, x, p, keep=scale.staged)) == wanted
+    assert {row[0] for row in wanted} == {changes.get("store_max") or changes["stores"][0]}
+
+
+def test_lines_are_not_dealt_out_by_location(spark, raw):
+    """With more locations than Spark sends to every task, lines and payments are still shuffled by receipt only."""
+    kept = {}
+
+    def keep(df, name):
+        kept[name] = df._jdf.queryExecution().executedPlan().toString()
+        return scale.staged(df, name)
+
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        week_anomalies(raw, extract_week(raw, P), P, keep=keep)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert "hashpartitioning(key_receipt" in kept["receipt_facts"]
+    assert not any("hashpartitioning(loc_sid" in kept[name] for name in ("receipt_facts", "named_returns"))
+
+
+def test_a_receipt_that_moves_along_has_its_number_once(spark, raw):
+    """Next receipts are put in order with one copy of what tells them apart."""
+    headers = extracts.priced_headers(raw["receipt_header"], raw["location"], P, keys.number_key)
+    following = rules.next_keys(headers)
+    ranged = spark.read.parquet(*{file.rsplit("/", 1)[0] for file in following.inputFiles()})
+    assert "key_receipt" not in ranged.columns
+    assert following.filter("NOT (key_receipt <=> receipt_id)").isEmpty() and not following.filter("next_key_receipt IS NOT NULL").isEmpty()

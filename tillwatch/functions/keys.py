@@ -64,11 +64,14 @@ def in_scope(
     df: DataFrame, p: Params, date_col: str = "receipt_date", store_col: str = "store_nr", lookback_days: int = 0
 ) -> DataFrame:
     """Rows of the client, period and stores of the run; ``lookback_days`` widens the period backwards."""
-    start = F.date_sub(F.lit(p.start_date), lookback_days)
     if p.stores:
         stores = F.col(store_col).isin(*p.stores)
     else:
         stores = F.col(store_col).between(p.store_min, p.store_max)
-    return df.filter(
-        (F.col("client_id") == p.client_id) & F.col(date_col).between(start, F.lit(p.end_date)) & stores
-    )
+    return in_period(df, p, date_col, lookback_days).filter(stores)
+
+
+def in_period(df: DataFrame, p: Params, date_col: str = "receipt_date", lookback_days: int = 0) -> DataFrame:
+    """Rows of the client and period of the run, whatever their store."""
+    start = F.date_sub(F.lit(p.start_date), lookback_days)
+    return df.filter((F.col("client_id") == p.client_id) & F.col(date_col).between(start, F.lit(p.end_date)))

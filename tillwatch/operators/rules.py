@@ -2,12 +2,14 @@
 
 The rules are those of ``metrics``; there, each KPI can be had alone. A plan that may write tables has them from extracts with
 number keys instead: lines and payments are summed up in one row for each receipt, and these facts tell which few receipts
-KPIs 5 and 6 can concern, so that only lines of those are shuffled again (``fact_rules``).
+KPIs 5 and 6 can concern, so that only lines of those are shuffled again (``fact_rules``). Stores are looked up for receipts and not for
+lines: whatever comes of lines and payments is joined with headers or subtotals of the run's stores.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -130,11 +132,14 @@ def header_rules(
     return rows.select(*RECEIPT_COLUMNS, _mask(rules))
 
 
-def voided_after_subtotal(facts: DataFrame, lines: DataFrame, subtotals: DataFrame, p: Params, keep: Keep) -> DataFrame:
-    """``metrics.m05`` of the receipts of the facts: what is no void has to stand before the subtotal, and a void entry after it."""
+def voided_after_subtotal(facts: DataFrame, lines: DataFrame, subtotals: Callable[[DataFrame], DataFrame], p: Params, keep: Keep) -> DataFrame:
+    """``metrics.m05`` of the receipts of the facts: what is no void has to stand before the subtotal, and a void entry after it.
+
+    ``subtotals`` gives those that may be of certain receipts.
+    """
     entry, other, after = F.col("last_entry"), F.col("last_other"), F.col("subtotal_line_nr")
     likely = facts.filter(entry.isNotNull() & (other.isNull() | (entry > other))).select(*KEY, "last_entry", "last_other")
-    nth = nth_last_subtotal(cut_down(subtotals, likely, KEY), facts, p.with_(cash_only=False))
+    nth = nth_last_subtotal(subtotals(likely), facts, p.with_(cash_only=False))
     found = nth.join(likely, KEY).filter((entry > after) & (other.isNull() | (other <= after)))
     found = keep(found.select(*KEY, *RECEIPT_COLUMNS, "subtotal_line_nr"), "after_subtotal")
     entries = lines.filter(F.col("transaction_type_cd").isin(*VOID_ENTRIES)).select(*KEY, "ean_barcode", "receiptline_nr")
@@ -148,23 +153,25 @@ def voided_after_subtotal(facts: DataFrame, lines: DataFrame, subtotals: DataFra
     )
 
 
-def _next_keys(headers: DataFrame) -> DataFrame:
+def next_keys(headers: DataFrame) -> DataFrame:
     """``metrics.next_receipt`` with number keys: ties in time are broken by what differs in the text of the keys."""
     relevant = headers.filter(staffed() & (F.col("turnover_relevant_fg") == 1))
     location = F.shiftright("key_till", 32).cast("string")
     tie = F.concat(location, F.lit("_"), F.col("receipt_id").cast("string")).alias("tie")
     group = ["receipt_date", "store_nr", "register_id"]
-    return next_in_order(relevant.select(*KEY, *RECEIPT_COLUMNS, tie), group, "receipt_ts", "tie", "next_tie", carry=KEY)
+    rows = relevant.select("key_till", "key_second", *RECEIPT_COLUMNS, tie)  # the number of the receipt is there already
+    led = next_in_order(rows, group, "receipt_ts", "tie", "next_tie", carry=["key_till", "key_second", "receipt_id"])
+    return led.withColumn("key_receipt", F.col("receipt_id").cast("long")).withColumnRenamed("next_receipt_id", "next_key_receipt")
 
 
-def sold_on_next_receipt(facts: DataFrame, lines: DataFrame, headers: DataFrame, keep: Keep) -> DataFrame:
-    """``metrics.m06`` of the receipts of the facts."""
+def sold_on_next_receipt(facts: DataFrame, lines: DataFrame, following: DataFrame, keep: Keep) -> DataFrame:
+    """``metrics.m06`` of the receipts of the facts; ``following`` are the ``next_keys``."""
     kind, article = F.col("transaction_type_cd"), ["item_sid", "ean_barcode"]
     marked = facts.filter("last_voided").select(*KEY, "last_scan")
     scans = lines.filter(kind.isin(*SALE_LINES, *VOIDED_SCANS) & (F.col("void_fg") == 1)).select(*KEY, "receiptline_nr", *article)
     last = cut_down(scans, marked, KEY).join(marked, KEY).filter(F.col("receiptline_nr").eqNullSafe(F.col("last_scan")))
     wanted = [*[f"next_{c}" for c in KEY], *article]
-    offered = keep(last.join(cut_down(_next_keys(headers), marked, KEY), KEY).select(*wanted, *RECEIPT_COLUMNS), "next_receipts")
+    offered = keep(last.join(cut_down(following, marked, KEY), KEY).select(*wanted, *RECEIPT_COLUMNS), "next_receipts")
     sold = lines.filter(kind.isin(*SALE_LINES)).select(*KEY, *article).toDF(*wanted)
     return offered.join(cut_down(sold, offered, wanted).dropDuplicates(), wanted, "leftsemi")
 
@@ -173,15 +180,19 @@ def fact_rules(
     headers: DataFrame,
     hours: DataFrame,
     lines: DataFrame,
-    subtotals: DataFrame,
+    subtotals: Callable[[DataFrame], DataFrame],
     facts: DataFrame,
+    following: DataFrame,
     unreferenced: DataFrame,
     p: Params,
     keep: Keep,
 ) -> list[DataFrame]:
-    """All KPIs, from extracts with number keys; ``keep`` is how the few rows that are looked up once more are written."""
+    """All KPIs, from extracts with number keys; ``keep`` is how the few rows that are looked up once more are written, those of both at the same time."""
     paid = facts.filter("in_cash") if p.cash_only else facts
-    found = {5: voided_after_subtotal(paid, lines, subtotals, p, keep), 6: sold_on_next_receipt(paid, lines, headers, keep)}
+    with ThreadPoolExecutor(2) as writers:
+        after = writers.submit(voided_after_subtotal, paid, lines, subtotals, p, keep)
+        sold = writers.submit(sold_on_next_receipt, paid, lines, following, keep)
+        found = {5: after.result(), 6: sold.result()}
     return [header_rules(headers, hours, None, None, p, facts, unreferenced)] + [df.select(*RECEIPT_COLUMNS, bit(k).alias(MASK)) for k, df in found.items()]
 
 

@@ -116,12 +116,20 @@ def week_anomalies(
             ]
         )
     headers = extracts.priced_headers(header, location, p, number_key)
-    lines = extracts.receipt_lines(line, location, p, number_key)
-    subtotals = extracts.subtotal_lines(subtotal, location, p, number_key)
-    payments = extracts.payments(payment, location, p, number_key)
-    returns, facts = keep(extracts.named_returns(line, location, p), "named_returns"), keep(rules.receipt_facts(lines, payments), "receipt_facts")
+    lines = extracts.receipt_lines(line, location, p, number_key, anywhere=True)
+    payments = extracts.payments(payment, location, p, number_key, anywhere=True)
+
+    def subtotals(wanted: DataFrame) -> DataFrame:
+        return extracts.subtotals_of(subtotal, location, p, wanted)
+
+    with ThreadPoolExecutor(3) as writers:
+        kept_facts = writers.submit(keep, rules.receipt_facts(lines, payments), "receipt_facts")
+        kept_returns = writers.submit(keep, extracts.named_returns(line, location, p, anywhere=True), "named_returns")
+        ordered = writers.submit(rules.next_keys, headers)
+        facts, returns, following = kept_facts.result(), kept_returns.result(), ordered.result()
     found = extracts.originals_found(line, location, p, returns) if originals is None else originals
-    return rules.merge_rules(rules.fact_rules(headers, x["hours"], lines, subtotals, facts, rules.unreferenced(returns, found, p), p, keep))
+    missing = rules.unreferenced(returns, found, p)
+    return rules.merge_rules(rules.fact_rules(headers, x["hours"], lines, subtotals, facts, following, missing, p, keep))
 
 
 def run_week(

@@ -131,13 +131,10 @@ def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     staffed = receipts.filter(F.col("register_id") < model.SELF_CHECKOUT_FROM)
     stores = receipts.select("store_nr", "loc_sid").distinct()
 
-    places = F.transform(F.sequence(F.lit(0).cast("long"), F.col("receipt_id") % 3), lambda j: 2 * j + 1)
-    payments = F.array_compact(
-        F.array(
-            F.when(F.col("receipt_id") % 4 == 0, 12).otherwise(model.CASH),
-            F.when(F.col("receipt_id") % 9 == 0, 12),
-        )
-    )
+    # neither array takes a lambda, which Spark would run row by row outside the compiled stage
+    places = F.sequence(F.lit(1).cast("long"), 2 * (F.col("receipt_id") % 3) + 1, F.lit(2).cast("long"))
+    first = F.when(F.col("receipt_id") % 4 == 0, 12).otherwise(model.CASH)
+    payments = F.when(F.col("receipt_id") % 9 == 0, F.array(first, F.lit(12))).otherwise(F.array(first))
     s, d = F.col("store_nr") - 100, F.col("day")
     closed = d.isin(6, 13) & (s % 2 == 0)
     clockless = closed | ((s + d) % 17 == 0)

@@ -3,7 +3,9 @@
 The location join is written as an inner join: the store filter of the report
 scope drops receipts without a location anyway. No join carries a broadcast hint;
 Spark compares the measured size of a side with its own threshold. ``key`` says what tells receipts apart: the
-text ``transaction_id``, or the numbers that the rules of a week join by.
+text ``transaction_id``, or the numbers that the rules of a week join by. Where ``anywhere`` is set, rows of other
+stores may stay: it is for rows that an exact join with rows of the run's stores follows, so that
+lines needn't be dealt out by location if there are too many locations to be sent to every task.
 """
 
 from __future__ import annotations
@@ -13,9 +15,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillwatch.functions.keys import in_scope, key_of, number_key, text_key
+from tillwatch.functions.keys import KEY, in_period, in_scope, key_of, number_key, text_key
 from tillwatch.model import CASH, RECEIPT_COLUMNS, SALE_LINES, SELF_CHECKOUT_FROM
-from tillwatch.operators.scale import maybe_members, members_filter
+from tillwatch.operators.scale import cut_down, maybe_members, members_filter
 from tillwatch.params import Params
 
 
@@ -32,6 +34,11 @@ def _located(df: DataFrame, location: DataFrame, p: Params, lookback_days: int =
     return in_scope(df.join(stores, "loc_sid"), p, lookback_days=lookback_days)
 
 
+def _scoped(df: DataFrame, location: DataFrame, p: Params, anywhere: bool) -> DataFrame:
+    """Stores that are named are few, so rows of others are left out in any case."""
+    return in_period(df, p) if anywhere and not p.stores else _located(df, location, p)
+
+
 def receipt_headers(header: DataFrame, location: DataFrame, p: Params, key: Key = text_key) -> DataFrame:
     return _located(header, location, p).select(
         *key(),
@@ -49,10 +56,10 @@ def priced_headers(header: DataFrame, location: DataFrame, p: Params, key: Key =
     return _located(header, location, p).select(*key(), *columns, *RECEIPT_COLUMNS)
 
 
-def receipt_lines(line: DataFrame, location: DataFrame, p: Params, key: Key = text_key) -> DataFrame:
+def receipt_lines(line: DataFrame, location: DataFrame, p: Params, key: Key = text_key, anywhere: bool = False) -> DataFrame:
     """Turnover-relevant lines of staffed registers; ``void_fg`` stays NULL where nothing voided the line."""
     relevant = line.filter(staffed() & (F.col("turnover_relevant_fg") == 1))
-    return _located(relevant, location, p).select(
+    return _scoped(relevant, location, p, anywhere).select(
         *key(),
         "transaction_type_cd",
         "receiptline_nr",
@@ -67,8 +74,14 @@ def subtotal_lines(subtotal: DataFrame, location: DataFrame, p: Params, key: Key
     return _located(subtotal.filter(staffed()), location, p).select(*key(), "receiptline_nr", *RECEIPT_COLUMNS)
 
 
-def payments(payment: DataFrame, location: DataFrame, p: Params, key: Key = text_key) -> DataFrame:
-    return _located(payment.filter(staffed()), location, p).select(*key(), "payment_type")
+def subtotals_of(subtotal: DataFrame, location: DataFrame, p: Params, wanted: DataFrame) -> DataFrame:
+    """``subtotal_lines`` by number key, of which those that can't be of ``wanted`` receipts are left out before stores are looked up."""
+    rows = in_period(subtotal.filter(staffed()), p).withColumns(dict(zip(KEY, number_key())))
+    return _located(cut_down(rows, wanted, KEY), location, p).select(*KEY, "receiptline_nr", *RECEIPT_COLUMNS)
+
+
+def payments(payment: DataFrame, location: DataFrame, p: Params, key: Key = text_key, anywhere: bool = False) -> DataFrame:
+    return _scoped(payment.filter(staffed()), location, p, anywhere).select(*key(), "payment_type")
 
 
 def cash_only_receipts(payment: DataFrame, location: DataFrame, p: Params) -> DataFrame:
@@ -87,9 +100,9 @@ def cash_only_receipts(payment: DataFrame, location: DataFrame, p: Params) -> Da
     )
 
 
-def _return_lines(line: DataFrame, location: DataFrame, p: Params, key: Key = text_key) -> DataFrame:
+def _return_lines(line: DataFrame, location: DataFrame, p: Params, key: Key = text_key, anywhere: bool = False) -> DataFrame:
     wanted = (F.col("return_fg") == 1) & (F.col("turnover_relevant_fg") == 1) & staffed()
-    return _located(line.filter(wanted), location, p).select(
+    return _scoped(line.filter(wanted), location, p, anywhere).select(
         *key(),
         "item_sid",
         "orig_receipt_store_id",
@@ -114,18 +127,27 @@ def return_receipts(header: DataFrame, line: DataFrame, location: DataFrame, p:
     )
 
 
-def original_sales(line: DataFrame, location: DataFrame, p: Params) -> DataFrame:
+def _receipt_article(receipt: str, day: str, register: str) -> list[Column]:
+    return [F.col(receipt).cast("long"), F.col(day), F.col(register).cast("long"), F.col("item_sid").cast("long")]
+
+
+def original_sales(line: DataFrame, location: DataFrame, p: Params, names: DataFrame | None = None) -> DataFrame:
     """Lines of sold, not voided articles, from the return period before the run on.
 
-    An original counts if the sum of its quantities is not NULL, so if one of its lines has a quantity.
+    An original counts if the sum of its quantities is not NULL, so if one of its lines has a quantity: the product of two
+    numbers of 18 digits always fits, so it is NULL if one of them is. Given ``names`` of originals, lines that none can mean
+    are left out where they are read, before stores are looked up.
     """
     sold = line.filter(
         F.col("transaction_type_cd").isin(*SALE_LINES)
         & (F.col("turnover_relevant_fg") == 1)
         & F.col("receiptline_voided_by").isNull()
     )
-    quantity = F.col("sales_piece_qty") * F.col("sales_weight_qty")
-    located = _located(sold.filter(quantity.isNotNull()), location, p, lookback_days=p.considered_return_days)
+    sold = sold.filter(F.col("sales_piece_qty").isNotNull() & F.col("sales_weight_qty").isNotNull())
+    if names is not None:
+        within = in_period(sold, p, lookback_days=p.considered_return_days)
+        sold = maybe_members(within, _receipt_article("receipt_id", "receipt_date", "register_id"), members_filter(names, _receipt_article("receipt", "sold_on", "register")))
+    located = _located(sold, location, p, lookback_days=p.considered_return_days)
     return located.select("store_nr", "register_id", "receipt_date", "receipt_id", "item_sid")
 
 
@@ -151,9 +173,9 @@ def _named_originals(returns: DataFrame) -> DataFrame:
     )
 
 
-def named_returns(line: DataFrame, location: DataFrame, p: Params) -> DataFrame:
+def named_returns(line: DataFrame, location: DataFrame, p: Params, anywhere: bool = False) -> DataFrame:
     """Return lines, by number key, with the original they name."""
-    return _named_originals(_return_lines(line, location, p, number_key))
+    return _named_originals(_return_lines(line, location, p, number_key, anywhere))
 
 
 def originals_found(line: DataFrame, location: DataFrame, p: Params, returns: DataFrame | None = None) -> DataFrame:
@@ -166,10 +188,7 @@ def originals_found(line: DataFrame, location: DataFrame, p: Params, returns: Da
     """
     returns = named_returns(line, location, p) if returns is None else returns
     names = returns.filter(F.col("store").isNotNull()).select(*ORIGINAL).distinct()
-    sold = original_sales(line, location, p).toDF(*ORIGINAL)
-    keys = [F.col("sold_on") if c == "sold_on" else F.col(c).cast("long") for c in ORIGINAL]
-    originals = maybe_members(sold, keys, members_filter(names, keys))
-    return names.join(originals, ORIGINAL, "leftsemi")
+    return names.join(original_sales(line, location, p, names).toDF(*ORIGINAL), ORIGINAL, "leftsemi")
 
 
 def without_original(p: Params) -> Column:
