@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 import duckdb
 import pytest
 
 import check
+from tillwatch.operators import reporting
 
 SF = "/root/testdata/sf0.001"
 QUERIES = [
@@ -42,3 +45,19 @@ def test_query(spark, skewed, name):
     folder, db = skewed
     verdict, rows, *_ = check.compare(spark, db, name, folder)
     assert verdict == "ok" and rows > 0
+
+
+def test_rows_of_a_run_or_week_do_not_meet_in_one_task(make, spark):
+    """The week of a run, and the weeks looked back upon, are sent to the rows, whatever Spark's own limit is."""
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    details = make([("r1" if i % 2 else "r2", date(2025, 1, 6 + 7 * (i % 2)), i) for i in range(50)], "run_id string, receipt_date date, receipt_id long")
+    flags = make([("r1", "2025-03"), ("r2", "2025-02"), ("r3", "2025-02")], "run_id string, iso_week string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        weeks = reporting.run_weeks(details, flags)
+        rows = reporting.in_weeks(reporting.attach_week(details, weeks), weeks.select("iso_week").distinct())
+        text = rows._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert text.count("BroadcastHashJoin") == 2 and "SortMergeJoin" not in text
+    assert {tuple(r) for r in rows.select("run_id", "iso_week").distinct().collect()} == {("r1", "2025-03"), ("r2", "2025-02")} and rows.count() == 50

@@ -79,9 +79,10 @@ def inconsistent_weeks(df: DataFrame) -> DataFrame:
 def attach_week(df: DataFrame, weeks: DataFrame) -> DataFrame:
     """Replace the week by that of the run; rows of unknown runs drop out.
 
-    The map has one row per archived run; Spark sees how small it is and sends it to the rows.
+    The map has one row per archived run, so it is sent to the rows. Spark can't tell its size before it has shuffled the rows
+    as well, by run, and then all rows of a run stand in one task.
     """
-    return df.drop("iso_week").join(weeks, "run_id")
+    return df.drop("iso_week").join(F.broadcast(weeks), "run_id")
 
 
 def common_weeks(a: DataFrame, b: DataFrame, c: DataFrame, n: int) -> DataFrame:
@@ -92,8 +93,8 @@ def common_weeks(a: DataFrame, b: DataFrame, c: DataFrame, n: int) -> DataFrame:
 
 
 def in_weeks(df: DataFrame, weeks: DataFrame) -> DataFrame:
-    """Rows of the look-back weeks, a list of at most ``n`` entries."""
-    return df.join(weeks, "iso_week", "leftsemi")
+    """Rows of the look-back weeks, a list of at most ``n`` entries that is sent to the rows."""
+    return df.join(F.broadcast(weeks), "iso_week", "leftsemi")
 
 
 def store_regions(org: DataFrame) -> DataFrame:
