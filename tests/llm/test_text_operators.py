@@ -186,6 +186,39 @@ def test_suffix_dedup(spark, hot):
     assert [got[i] for i in range(len(made))] == brute_repeats([(t or "").encode() for t in made], 50)
 
 
+def test_suffix_outputs(spark):
+    """The operator gives what goes and what stays, of passages of over 50 words: from 400 bytes on they go from all documents, a byte less and they stay."""
+    rng = random.Random(5)
+
+    def words(n):
+        return " ".join("".join(rng.choices("abcdefé", k=rng.randrange(4, 6))) for _ in range(n))
+
+    def passage(size):
+        text = words(size // 4).encode()[:size].decode(errors="ignore")
+        return text + "." * (size - len(text.encode()))
+
+    made = [None, "", words(200), words(90), words(90)]
+    made[4] = made[3]
+    for size in (600, 400, 399):
+        again = passage(size)
+        assert len(again.encode()) == size and len(again.split()) > 50
+        made += [f"0{again}", f"{words(30)} 1{again}1 {words(30)}", f"{words(30)} 2{again}2 {words(30)}"]
+    docs = spark.createDataFrame([(i, t, "x") for i, t in enumerate(made)], "doc_id long, text string, kept string")
+    rows = {r["doc_id"]: r for r in suffix.clean(docs).collect()}
+    texts = [(t or "").encode() for t in made]
+    expected = brute_repeats(texts, 400)
+    assert [sum(n > 0 for _, n, _, _ in expected[i : i + 3]) for i in (5, 8, 11)] == [3, 3, 0] and expected[2][1] == 0
+    for i, data in enumerate(texts):
+        row = rows[i]
+        assert (row["text"], row["kept"]) == (made[i], "x")
+        gone = [tuple(s) for s in row["removed"]]
+        ends = [0, *(e for s in gone for e in s), len(data)]
+        assert ends == sorted(ends) and b"".join(data[a:b] for a, b in zip(ends[::2], ends[1::2])) == bytes(row["kept_"])
+        assert (len(data), sum(b - a for a, b in gone), len(gone), hashlib.sha256(bytes(row["kept_"])).hexdigest()) == expected[i]
+    figures = {r["doc_id"]: tuple(r)[1:] for r in suffix.figures(docs).collect()}
+    assert figures == {i: (*expected[i], ",".join(f"{a}:{b}" for a, b in rows[i]["removed"])) for i in range(len(made))}
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.binary(min_size=1, max_size=200).map(lambda b: bytes(x % 3 + 97 for x in b)), st.integers(1, 3))
 def test_suffix_array(data, times):
